@@ -3,7 +3,16 @@
 from __future__ import annotations
 
 from .exact_dedup import OP8_SQL, op8_exact_dedup
+from .language import op4_language_id
 from .mixing import OP6_SQL, op6_mixing
+from .quality import op9_quality
+from .toxicity import op10_toxicity
 
-QUERIES = {"op6_mixing": op6_mixing, "op8_exact_dedup": op8_exact_dedup}
+QUERIES = {
+    "op4_language_id": op4_language_id,
+    "op6_mixing": op6_mixing,
+    "op8_exact_dedup": op8_exact_dedup,
+    "op9_quality": op9_quality,
+    "op10_toxicity": op10_toxicity,
+}
 SQL = {"op6_mixing": OP6_SQL, "op8_exact_dedup": OP8_SQL}

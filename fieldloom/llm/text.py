@@ -66,15 +66,18 @@ class Words:
         self.first = np.searchsorted(self.start, self.text_start)
         self.count = np.diff(self.first)
         self.text_of = np.repeat(np.arange(len(texts)), self.count)
+        self._sums: np.ndarray | None = None
 
-    def hashes(self, values: np.ndarray | None = None) -> np.ndarray:
-        """A 64-bit hash of each word's bytes, or of ``values`` over its bytes (0: left out)."""
+    def hashes(self, values: np.ndarray | None = None, prefix: int | None = None) -> np.ndarray:
+        """A 64-bit hash of each word's bytes (its first ``prefix`` ones), or of ``values`` over its bytes (0: left out)."""
         v = self.buf.astype(_U) + _U(1) if values is None else values.astype(_U)
         up, down = powers(len(v))
         with np.errstate(over="ignore"):
             if values is None:
-                total = np.concatenate(([_U(0)], np.cumsum(v * up, dtype=_U)))
-                h = (total[self.end] - total[self.start]) * down[self.start]
+                if self._sums is None:
+                    self._sums = np.concatenate(([_U(0)], np.cumsum(v * up, dtype=_U)))
+                end = self.end if prefix is None else np.minimum(self.end, self.start + prefix)
+                h = (self._sums[end] - self._sums[self.start]) * down[self.start]
             else:
                 kept = v != 0
                 at = np.concatenate(([0], np.cumsum(kept)))
