@@ -6,11 +6,15 @@ from .exact_dedup import OP8_SQL, op8_exact_dedup
 from .language import op4_language_id
 from .mixing import OP6_SQL, op6_mixing
 from .quality import op9_quality
+from .sentencepieces import op7_sentencepiece
 from .toxicity import op10_toxicity
+from .vectors import op5_near_vectors
 
 QUERIES = {
     "op4_language_id": op4_language_id,
+    "op5_near_vectors": op5_near_vectors,
     "op6_mixing": op6_mixing,
+    "op7_sentencepiece": op7_sentencepiece,
     "op8_exact_dedup": op8_exact_dedup,
     "op9_quality": op9_quality,
     "op10_toxicity": op10_toxicity,
