@@ -9,6 +9,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from .text import Words, as_bytes, pieces, rolling
 
@@ -101,10 +102,11 @@ def sample_features(docs: DataFrame, labels: DataFrame, features: Callable[[list
     return [r[1:] for r in sorted(found, key=lambda r: (r[0], r[1], len(r[3])))]
 
 
-def score_texts(docs: DataFrame, features: Callable[[list[bytes]], Features], weights: np.ndarray, finish: Callable[[np.ndarray], dict[str, np.ndarray]], schema: str) -> DataFrame:
+def score_texts(docs: DataFrame, features: Callable[[list[bytes]], Features], weights: np.ndarray, finish: Callable[[np.ndarray], dict[str, np.ndarray]], schema: str, keep: list[str]) -> DataFrame:
     """Sparse dot products of the weights with each document's features, finished to the columns of ``schema``.
 
-    ``docs`` has doc_id, text and held_out; schema: the columns that ``finish`` makes of the dot products.
+    schema: the columns that ``finish`` makes of the dot products. They come behind the columns
+    ``keep`` of ``docs``, which must not have their names.
     """
     shared = docs.sparkSession.sparkContext.broadcast(weights)
 
@@ -116,9 +118,13 @@ def score_texts(docs: DataFrame, features: Callable[[list[bytes]], Features], we
                 text, cell, value = features(texts[i:j])
                 dots.append(np.bincount(text, weights=value * w[cell], minlength=j - i))
             made = finish(np.concatenate(dots) if dots else np.zeros(0))
-            yield pa.RecordBatch.from_pydict({"doc_id": batch["doc_id"], "held_out": batch["held_out"]} | made)
+            yield pa.RecordBatch.from_pydict({c: batch[c] for c in keep} | made)
 
-    return docs.select("doc_id", "text", "held_out").mapInArrow(score, f"doc_id long, held_out boolean, {schema}")
+    docs = docs.select(*dict.fromkeys([*keep, "text"]))
+    out = docs.select(*keep).schema
+    for field in T.StructType.fromDDL(schema):
+        out = T.StructType([*out.fields, field])
+    return docs.mapInArrow(score, out)
 
 
 def sigmoid(x):

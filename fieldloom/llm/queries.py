@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from .exact_dedup import OP8_SQL, op8_exact_dedup
+from .jaccard import op1_jaccard
 from .language import op4_language_id
 from .mixing import OP6_SQL, op6_mixing
 from .quality import op9_quality
@@ -11,6 +12,7 @@ from .toxicity import op10_toxicity
 from .vectors import op5_near_vectors
 
 QUERIES = {
+    "op1_jaccard": op1_jaccard,
     "op4_language_id": op4_language_id,
     "op5_near_vectors": op5_near_vectors,
     "op6_mixing": op6_mixing,

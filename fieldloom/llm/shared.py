@@ -94,6 +94,22 @@ def in_bitmap(bitmap: np.ndarray, cells: np.ndarray) -> np.ndarray:
     return (bitmap[cells >> np.uint64(3)] >> (cells & np.uint64(7)).astype(np.uint8)) & 1 == 1
 
 
+def without(df: DataFrame, dropped: DataFrame, key: str, rows: int) -> DataFrame:
+    """The rows of ``df`` whose ``key`` is not in ``dropped``; ``rows``: about how many ``df`` has.
+
+    A bitmap of hashed keys, bounded by MAX_BITS, tells which rows may be dropped; only those
+    shuffle, all others pass straight through. A null key is never dropped.
+    """
+    bits = bits_for(rows, 64)
+    cell = F.pmod(F.xxhash64(key), F.lit(bits)) + 1
+    dropped = dropped.select(key).where(F.col(key).isNotNull()).distinct()
+    blocks = saved(bitmap_blocks(dropped.select(cell.alias("_cell")), "_cell"))
+    tested = df.withColumn("_cell", cell).withColumn("block", F.bitmap_bucket_number("_cell")).join(F.broadcast(blocks), "block", "left")
+    tested = tested.withColumn("_maybe", bit_is_set("bits", "_cell"))
+    passed = tested.where(~F.col("_maybe")).select(*df.columns)
+    return passed.unionByName(tested.where("_maybe").select(*df.columns).join(dropped.hint("merge"), key, "left_anti"))
+
+
 def connected_components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
     """(node, component): each node of the edge table with the smallest node it reaches.
 

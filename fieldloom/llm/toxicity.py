@@ -99,7 +99,7 @@ def toxicity(docs: DataFrame, labels: DataFrame, sample_rows: int = SAMPLE_ROWS,
         return {"score": above[:, 0], "severity": above.sum(axis=1), "grade": each.argmax(axis=1).astype(np.int32), "predicted": (above[:, 0] >= threshold).astype(np.int32)}
 
     marked = docs.select("doc_id", "text", F.coalesce(fold == 0, F.lit(False)).alias("held_out"))
-    return score_texts(marked, features, weights, finish, "score double, severity double, grade int, predicted int")
+    return score_texts(marked, features, weights, finish, "score double, severity double, grade int, predicted int", ["doc_id", "held_out"])
 
 
 def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
