@@ -16,10 +16,10 @@ from .text import as_bytes, mix, pieces, powers
 MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 SPACE = "▁".encode()
 #: Texts are taken in pieces of about this many bytes.
-PIECE_BYTES = 3_000_000
+PIECE_BYTES = 1_000_000
 START, NOWHERE = -1, -2
-#: Distinct cuts that a worker remembers before it starts afresh, some 40 MB.
-MEMORY = 700_000
+#: Distinct cuts that a worker remembers before it starts afresh, some 20 MB.
+MEMORY = 400_000
 
 
 def spread(first: np.ndarray, count: np.ndarray) -> np.ndarray:
@@ -72,7 +72,7 @@ class Pieces:
         self.out_start = np.concatenate(([0], np.cumsum(self.out_len)[:-1]))
         self.out_bytes = np.frombuffer(b"".join(out), np.uint8)
         raw = [self.names[i].encode() for i in plain]
-        self.id, self.len = np.array(plain), np.array([len(x) for x in raw])
+        self.id, self.len = np.array(plain, np.int32), np.array([len(x) for x in raw], np.int32)
         self.one_char = np.array([len(self.names[i]) == 1 for i in plain])
         pad = lambda x, a, fill: int.from_bytes(x[a : a + 8].ljust(8, fill), "big")
         self.lo = [np.array([pad(x, a, b"\0") for x in raw], np.uint64) for a in (0, 8)]
@@ -99,7 +99,7 @@ class Pieces:
 
     def stands(self, before: np.ndarray, token: np.ndarray) -> np.ndarray:
         """Whether each token comes out of merging as it is behind the token before it."""
-        key = (before + 2) << 32 | token
+        key = (before.astype(np.int64) + 2) << 32 | token
         at = np.minimum(np.searchsorted(self.known, key), max(0, len(self.known) - 1))
         hit = self.known[at] == key if len(self.known) else np.zeros(len(key), bool)
         good = self.good[at] & hit if len(self.known) else hit.copy()
@@ -126,13 +126,13 @@ class Pieces:
     def edges(self, buf: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """(from, to, token) of every occurrence of a piece, and of the characters without one."""
         first, second = windows(buf, 0), windows(buf, 8)
-        suffixes = np.lexsort((second, first))
+        suffixes = np.lexsort((second, first)).astype(np.int32)
         first, second = first[suffixes], second[suffixes]
         a, b = np.searchsorted(first, self.lo[0], "left"), np.searchsorted(first, self.hi[0], "right")
         long_ = self.len > 8
         a[long_], b[long_] = (bisect(second, a[long_], b[long_], x[long_], right) for x, right in ((self.lo[1], False), (self.hi[1], True)))
         count = np.maximum(b - a, 0)
-        which = np.repeat(np.arange(len(count)), count)
+        which = np.repeat(np.arange(len(count), dtype=np.int32), count)
         start = suffixes[spread(a, count)]
         for k in np.flatnonzero((self.len > 16) & (count > 0)):  # the suffixes are sorted by 16 bytes
             mine = np.flatnonzero(which == k)
@@ -141,9 +141,9 @@ class Pieces:
         start, which = start[which >= 0], which[which >= 0]
         bare = (buf & 0xC0) != 0x80
         bare[start[self.one_char[which]]] = False
-        lone = np.flatnonzero(bare)
-        width = np.where(buf[lone] < 0x80, 1, np.where(buf[lone] < 0xE0, 2, np.where(buf[lone] < 0xF0, 3, 4)))
-        token = np.zeros(len(lone), np.int64)
+        lone = np.flatnonzero(bare).astype(np.int32)
+        width = np.where(buf[lone] < 0x80, 1, np.where(buf[lone] < 0xE0, 2, np.where(buf[lone] < 0xF0, 3, 4))).astype(np.int32)
+        token = np.zeros(len(lone), np.int32)
         for i, (s, w) in enumerate(zip(lone, width)):
             char = buf[s : s + w].tobytes()
             if char not in self.extra:
@@ -156,9 +156,9 @@ class Pieces:
         """Tokens of all chunks one after the other, and how many each has."""
         sizes = np.array([len(c) for c in chunks])
         buf = np.frombuffer(b"".join(chunks), np.uint8)
-        begin = np.concatenate(([0], np.cumsum(sizes)))
+        begin = np.concatenate(([0], np.cumsum(sizes))).astype(np.int32)
         start, end, token = self.edges(buf)
-        chunk = np.repeat(np.arange(len(chunks)), sizes)[start]
+        chunk = np.repeat(np.arange(len(chunks), dtype=np.int32), sizes)[start]
         inside = end <= begin[chunk + 1]
         start, end, token, chunk = start[inside], end[inside], token[inside], chunk[inside]
         # positions are counted once more for each chunk, so that an end is not the next one's start
