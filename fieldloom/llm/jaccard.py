@@ -17,6 +17,8 @@ SHINGLE = 5
 PERCENT = 75
 #: A shingle that this share of the near-duplicate candidates have is long-listed.
 LONG_SHARE = 1 / 500
+#: Pairs of different components for each member of a list that are checked without a leader.
+OPEN_PAIRS = 16
 #: Bits of a filter for each document; its size is bounded by shared.MAX_BITS.
 BITS_PER_ROW = 64
 _U = np.uint64
@@ -185,11 +187,13 @@ def short_lists(sets: DataFrame, n_sets: int, percent: int) -> tuple[DataFrame,
 
     def long_ones(t: pa.Table) -> pa.Table:
         h, n = np.unique(repeated(t, _U)[0], return_counts=True)
-        return pa.table({"h": h[n >= limit].view(np.int64)})
+        return pa.table({"h": h[n >= limit].view(np.int64), "n": n[n >= limit].astype(np.int64)})
 
     # at most 1 / LONG_SHARE times the mean number of shingles in a set
-    found = sets.mapInArrow(all_postings, "bucket int, h binary, key binary").groupBy("bucket").applyInArrow(long_ones, "h long").toArrow()
-    long_ = spark.sparkContext.broadcast(np.sort(found["h"].to_numpy().astype(np.int64).view(_U)))
+    found = sets.mapInArrow(all_postings, "bucket int, h binary, key binary").groupBy("bucket").applyInArrow(long_ones, "h long, n long").toArrow()
+    h, n = found["h"].to_numpy().astype(np.int64).view(_U), found["n"].to_numpy().astype(np.int64)
+    order = np.argsort(h)
+    long_ = spark.sparkContext.broadcast((h[order], n[order]))
 
     def prefix_postings(batches):
         for batch in batches:
@@ -215,15 +219,17 @@ def short_lists(sets: DataFrame, n_sets: int, percent: int) -> tuple[DataFrame,
     return saved(made.distinct()), long_
 
 
-def by_length(s: np.ndarray, long_: np.ndarray) -> np.ndarray:
-    """The shingles of a set with the long-listed ones last."""
-    if not len(long_):
+def by_length(s: np.ndarray, long_: tuple[np.ndarray, np.ndarray]) -> np.ndarray:
+    """The shingles of a set with the long-listed ones last, the longest list at the end."""
+    h, n = long_
+    if not len(h):
         return s
-    is_long = long_[np.minimum(np.searchsorted(long_, s), len(long_) - 1)] == s
-    return np.concatenate((s[~is_long], s[is_long]))
+    at = np.minimum(np.searchsorted(h, s), len(h) - 1)
+    is_long = h[at] == s
+    return np.concatenate((s[~is_long], s[is_long][np.argsort(n[at[is_long]], kind="stable")]))
 
 
-def overlaps(a: np.ndarray, b: np.ndarray, short: int, long_: np.ndarray, least: int) -> bool:
+def overlaps(a: np.ndarray, b: np.ndarray, short: int, long_: tuple[np.ndarray, np.ndarray], least: int) -> bool:
     """Whether two sets share ``least`` shingles: merge the short lists, then probe the long ones.
 
     Merging tells how many of a's ``short`` first shingles b has; the rest are looked up in b
@@ -262,18 +268,19 @@ def linked_keys(lists: DataFrame, sets: DataFrame, long_, percent: int) -> DataF
 
     Each list's members are checked against one of them, the leader, which joins groups of near
     copies with one pair per member. What lists still hold of different components is checked
-    against a new leader as long as that leaves more pairs than members; then all that is left.
+    against a new leader as long as there are many more pairs than members; then all that is left.
     """
     sizes = sets.select("key", "n")
     members = saved(lists.join(sizes, "key"))
     fits = f"least(a_n, b_n) * 100 >= {percent} * greatest(a_n, b_n)"
     edges = component = tested = None
+    total = members.count()
     for turn in range(1_000_000):
         lead = F.xxhash64(F.lit(turn), "key")
         leaders = members.groupBy("list").agg(F.min(F.struct(lead.alias("o"), "key", "n", *(["component"] if turn else []))).alias("l"), F.count("*").alias("rows"))
         joined = join_unique(members, saved(leaders), "list", "rows", members.count())
-        joined = joined.select(F.col("l.key").alias("a"), F.col("key").alias("b"), F.col("l.n").alias("a_n"), F.col("n").alias("b_n"), *([F.col("component") != F.col("l.component")] if turn else [F.lit(True)]))
-        pairs = joined.where(joined[4]).where("a <> b").where(fits).select("a", "b").distinct()
+        joined = joined.select(F.col("l.key").alias("a"), F.col("key").alias("b"), F.col("l.n").alias("a_n"), F.col("n").alias("b_n"), (F.col("component") != F.col("l.component") if turn else F.lit(True)).alias("apart"))
+        pairs = joined.where("apart").where("a <> b").where(fits).select("a", "b").distinct()
         good = verified(pairs if tested is None else pairs.join(tested, ["a", "b"], "left_anti"), sets, long_, percent)
         edges = good if edges is None else edges.unionByName(good)
         tested = saved(pairs) if tested is None else saved(tested.unionByName(pairs).distinct())
@@ -283,10 +290,10 @@ def linked_keys(lists: DataFrame, sets: DataFrame, long_, percent: int) -> DataF
         open_lists = per.groupBy("list").agg(F.sum("c").alias("n_all"), F.sum(F.col("c") * F.col("c")).alias("squares"), F.count("*").alias("parts")).where("parts > 1")
         open_lists = saved(open_lists.select("list", (F.col("n_all") * F.col("n_all") - F.col("squares")).alias("twice")))
         members = saved(members.join(open_lists, "list", "left_semi").select("list", "key", "n", "component"))
-        left, rows = open_lists.agg(F.sum("twice")).first()[0] or 0, members.count()
+        left = open_lists.agg(F.sum("twice")).first()[0] or 0
         if not left:
             return component
-        if left <= 8 * rows:
+        if left <= OPEN_PAIRS * total:
             break
     a, b = (members.select("list", *[F.col(c).alias(f"{x}{c}") for c in ("key", "n", "component")]) for x in ("a_", "b_"))
     rest = a.join(b, "list").where("a_key < b_key and a_component <> b_component").where(fits).select(F.col("a_key").alias("a"), F.col("b_key").alias("b")).distinct()

@@ -121,11 +121,12 @@ def connected_components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFr
     now = saved(edges)
     if now.isEmpty():
         return now.select(F.col("lo").alias("node"), F.col("hi").alias("component"))
+    before = None
     while True:
         # large star: neighbours above a node move to the smallest node next to it
-        both = saved(now.select(F.col("lo").alias("n"), F.col("hi").alias("m")).unionByName(now.select(F.col("hi").alias("n"), F.col("lo").alias("m"))))
+        both = now.select(F.col("lo").alias("n"), F.col("hi").alias("m")).unionByName(now.select(F.col("hi").alias("n"), F.col("lo").alias("m")))
         least = saved(both.groupBy("n").agg(F.least(F.min("m"), F.col("n")).alias("least"), F.count("*").alias("rows")))
-        large = join_unique(both, least, "n", "rows", both.count()).where("m > n").select(F.col("least").alias("lo"), F.col("m").alias("hi")).where("lo < hi").distinct()
+        large = join_unique(both, least, "n", "rows", 2 * now.count()).where("m > n").select(F.col("least").alias("lo"), F.col("m").alias("hi")).where("lo < hi").distinct()
         # small star: a node and its lower neighbours move to the smallest of them
         large = saved(large)
         least = saved(large.groupBy("hi").agg(F.min("lo").alias("least"), F.count("*").alias("rows")))
@@ -134,10 +135,10 @@ def connected_components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFr
             .select(F.explode(F.array(F.struct(F.col("least").alias("lo"), F.col("lo").alias("hi")), F.struct(F.col("least").alias("lo"), F.col("hi")))).alias("e"))
             .select("e.lo", "e.hi").where("lo < hi").distinct()
         )
-        new = saved(small)
-        sums = [df.agg(F.count("*"), F.sum(F.xxhash64("lo", "hi").cast("decimal(20,0)"))).first() for df in (now, new)]
-        now = new
-        if sums[0] == sums[1]:
+        now = saved(small)
+        after = now.agg(F.count("*"), F.sum(F.xxhash64("lo", "hi").cast("decimal(20,0)"))).first()
+        if after == before:
             return now.select(F.col("hi").alias("node"), F.col("lo").alias("component")).unionByName(
                 now.select(F.col("lo").alias("node"), F.col("lo").alias("component")).distinct()
             )
+        before = after
