@@ -1,0 +1,13 @@
+"""Session settings that the operators rely on."""
+
+from __future__ import annotations
+
+from pyspark.sql import SparkSession
+
+
+def get_session(app: str = "fieldloom", **conf: str) -> SparkSession:
+    """A session in UTC with adaptive execution; further settings as keyword arguments with _ for dots."""
+    builder = SparkSession.builder.appName(app).config("spark.sql.session.timeZone", "UTC").config("spark.sql.adaptive.enabled", "true")
+    for key, value in conf.items():
+        builder = builder.config(key.replace("_", "."), value)
+    return builder.getOrCreate()
