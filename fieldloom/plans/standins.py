@@ -8,7 +8,7 @@ VIEWS = {
     "ix": """SELECT '100mN' || CAST(l_suppkey % 40 AS STRING) || 'E' || CAST(l_orderkey % 50 AS STRING) AS grid_id,
         l_suppkey % 40 AS n, l_orderkey % 50 AS e, l_partkey AS src_id, p_type AS formation, p_brand AS code,
         CASE l_returnflag || l_linestatus WHEN 'AF' THEN 'A' WHEN 'AO' THEN 'B' WHEN 'NF' THEN 'C' WHEN 'NO' THEN 'K' WHEN 'RF' THEN 'A' END AS status,
-        year(l_shipdate) AS mapping_year, l_quantity * 10 AS area
+        CAST(year(l_shipdate) AS BIGINT) AS mapping_year, l_quantity * 10 AS area
         FROM {lineitem} JOIN {part} ON l_partkey = p_partkey""",
     "source": """SELECT o_orderkey AS id, CASE WHEN o_orderkey % 7 = 0 THEN NULL ELSE 'http://x/' || CAST(o_orderkey AS STRING) || '.wav' END AS audio,
         (o_orderkey % 180) - 90 AS lat, o_custkey AS cust, o_orderstatus AS sound_status, o_orderpriority AS photo_status, o_totalprice AS price
