@@ -94,6 +94,12 @@ def in_bitmap(bitmap: np.ndarray, cells: np.ndarray) -> np.ndarray:
     return (bitmap[cells >> np.uint64(3)] >> (cells & np.uint64(7)).astype(np.uint8)) & 1 == 1
 
 
+def maybe_in(df: DataFrame, cell, blocks: DataFrame) -> DataFrame:
+    """``df`` with ``_maybe``: whether the cell (from 1 on) is set in the bitmap of ``blocks``, which is bounded and broadcast."""
+    tested = df.withColumn("_cell", cell).withColumn("block", F.bitmap_bucket_number("_cell")).join(F.broadcast(blocks), "block", "left")
+    return tested.withColumn("_maybe", bit_is_set("bits", "_cell")).drop("block", "bits", "_cell")
+
+
 def without(df: DataFrame, dropped: DataFrame, key: str, rows: int) -> DataFrame:
     """The rows of ``df`` whose ``key`` is not in ``dropped``; ``rows``: about how many ``df`` has.
 
@@ -104,8 +110,7 @@ def without(df: DataFrame, dropped: DataFrame, key: str, rows: int) -> DataFrame
     cell = F.pmod(F.xxhash64(key), F.lit(bits)) + 1
     dropped = dropped.select(key).where(F.col(key).isNotNull()).distinct()
     blocks = saved(bitmap_blocks(dropped.select(cell.alias("_cell")), "_cell"))
-    tested = df.withColumn("_cell", cell).withColumn("block", F.bitmap_bucket_number("_cell")).join(F.broadcast(blocks), "block", "left")
-    tested = tested.withColumn("_maybe", bit_is_set("bits", "_cell"))
+    tested = maybe_in(df, cell, blocks)
     passed = tested.where(~F.col("_maybe")).select(*df.columns)
     return passed.unionByName(tested.where("_maybe").select(*df.columns).join(dropped.hint("merge"), key, "left_anti"))
 
