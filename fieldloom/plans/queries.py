@@ -269,8 +269,8 @@ def file_compact(spark, sf_dir):
 @query("""+ f AS (SELECT *, row_number() OVER (ORDER BY id, name) AS o FROM files),
     t AS (SELECT id, name, unnest(string_split_regex(issues, '[|;]')) AS raw, unnest(range(1, 9)) AS pos FROM f WHERE issues <> ''),
     u AS (SELECT id, name, pos, lower(trim(regexp_replace(split_part(raw, ':', 1), '[^A-Za-z0-9_.-]+', '_', 'g'), '_')) AS token FROM t WHERE raw IS NOT NULL),
-    v AS (SELECT id, token, min(name || '/' || CAST(pos AS VARCHAR)) AS at FROM u WHERE token <> '' GROUP BY ALL)
-    SELECT id, string_agg(token, '|' ORDER BY at, token) AS codes FROM v GROUP BY id""", "files")
+    v AS (SELECT id, token, min(name || '/' || CAST(pos AS VARCHAR)) AS place FROM u WHERE token <> '' GROUP BY ALL)
+    SELECT id, string_agg(token, '|' ORDER BY place, token) AS codes FROM v GROUP BY id""", "files")
 def issue_rollup(spark, sf_dir):
     return inventory.issue_rollup(view(spark, sf_dir, "files"), "id", "issues", "name")
 
