@@ -31,19 +31,18 @@ def leaf(tokens: Column) -> Column:
     return F.xxhash64(F.size(tokens), F.slice(tokens, 1, DEPTH))
 
 
-def recurring_lines(docs: DataFrame, n_docs: int, min_docs: int = MIN_DOCS, fixed_percent: int = FIXED_PERCENT) -> DataFrame:
+def recurring_lines(docs: DataFrame, hashed: DataFrame, n_docs: int, min_docs: int = MIN_DOCS, fixed_percent: int = FIXED_PERCENT) -> DataFrame:
     """(line, check): two hashes of the tokens of each line whose template recurs.
 
     Within a leaf a token is fixed at its position if lines of ``min_docs`` documents have it
     there (a line counts once for each of its documents); all others are variable. A template
     recurs when ``fixed_percent`` of its tokens are fixed and its lines have ``min_docs`` documents.
-    Hashes of the lines are counted first, so that only lines of leaves with enough documents,
+    ``hashed`` has the hashes of all lines. They are counted first, so that only lines of leaves with enough documents,
     as a bounded bitmap tells, are shuffled with their tokens.
     """
     bits = bits_for(n_docs, BITS_PER_ROW)
     cell = F.pmod("leaf", F.lit(bits)) + 1
-    hashed = with_lines(docs).select("doc_id", leaf(F.col("tokens")).alias("leaf"), F.xxhash64("tokens").alias("line")).distinct()
-    leaves = hashed.groupBy("leaf").agg(F.count("*").alias("docs")).where(F.col("docs") >= min_docs)
+    leaves = hashed.select("doc_id", "leaf", "line").distinct().groupBy("leaf").agg(F.count("*").alias("docs")).where(F.col("docs") >= min_docs)
     blocks = saved(bitmap_blocks(leaves.select(cell.alias("_cell")), "_cell"))
     lines = with_lines(docs).withColumn("leaf", leaf(F.col("tokens")))
     lines = maybe_in(lines, cell, blocks).where("_maybe").select("doc_id", "leaf", "tokens").distinct()
@@ -67,11 +66,11 @@ def line_dedup(docs: DataFrame, min_docs: int = MIN_DOCS, fixed_percent: int = F
     docs = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
     n_docs = docs.count()
     bits = bits_for(n_docs, BITS_PER_ROW)
-    dropped = saved(recurring_lines(docs, n_docs, min_docs, fixed_percent))
+    hashed = saved(with_lines(docs).select("doc_id", "pos", leaf(F.col("tokens")).alias("leaf"), F.xxhash64("tokens").alias("line"), F.xxhash64(F.lit(1), "tokens").alias("check")))
+    dropped = saved(recurring_lines(docs, hashed, n_docs, min_docs, fixed_percent))
     line_cell, doc_cell = F.pmod("line", F.lit(bits)) + 1, F.pmod(F.xxhash64("doc_id"), F.lit(bits)) + 1
     blocks = saved(bitmap_blocks(dropped.select(line_cell.alias("_cell")), "_cell"))
-    lines = with_lines(docs).select("doc_id", "pos", F.xxhash64("tokens").alias("line"), F.xxhash64(F.lit(1), "tokens").alias("check"))
-    maybe = maybe_in(lines, line_cell, blocks).where("_maybe")
+    maybe = maybe_in(hashed.drop("leaf"), line_cell, blocks).where("_maybe")
     # a recurring line is a large part of all lines: its documents are gathered before the join
     packed = maybe.groupBy("line", "check", F.pmod(F.xxhash64("doc_id"), F.lit(64)).alias("salt")).agg(F.collect_list(F.struct("doc_id", "pos")).alias("at"))
     found = packed.join(dropped, ["line", "check"], "left_semi").select(F.explode("at").alias("at"))
