@@ -8,7 +8,7 @@ import numpy as np
 import pyarrow as pa
 
 #: Batches are cut into pieces of about this many bytes, so memory does not follow the texts' sizes.
-PIECE_BYTES = 2_000_000
+PIECE_BYTES = 1_000_000
 _U = np.uint64
 _BASE = _U(0x9E3779B97F4A7C15 | 1)
 _powers: list[np.ndarray] = []
@@ -25,7 +25,7 @@ def mix(x: np.ndarray) -> np.ndarray:
 def powers(n: int) -> tuple[np.ndarray, np.ndarray]:
     """The first n powers of the base and of its inverse, modulo 2^64."""
     if not _powers or len(_powers[0]) < n:
-        size = max(n, 2 * PIECE_BYTES)
+        size = max(n + n // 4, PIECE_BYTES)
         inverse = _U(pow(int(_BASE), -1, 1 << 64))
         _powers[:] = []
         with np.errstate(over="ignore"):
