@@ -309,9 +309,9 @@ def series_qc(spark, sf_dir):
 
 
 @query("""+ q AS (SELECT var, x, y, month(ts) AS "month", quantile_cont(value, 0.1) AS a, quantile_cont(value, 0.5) AS b, quantile_cont(value, 0.9) AS c FROM cube GROUP BY ALL)
-    SELECT var, x, y, "month", CAST(round_even(a * 100, 0) AS INT) AS p10, CAST(round_even(b * 100, 0) AS INT) AS p50, CAST(round_even(c * 100, 0) AS INT) AS p90 FROM q""", "cube")
+    SELECT var, x, y, "month", CAST(round_even(a * 1000, 0) AS INT) AS p10, CAST(round_even(b * 1000, 0) AS INT) AS p50, CAST(round_even(c * 1000, 0) AS INT) AS p90 FROM q""", "cube")
 def monthly_quantiles(spark, sf_dir):
-    return cube.monthly_quantiles(view(spark, sf_dir, "cube"), [0.1, 0.5, 0.9], 100, -9999)
+    return cube.monthly_quantiles(view(spark, sf_dir, "cube"), [0.1, 0.5, 0.9], 1000, -9999)
 
 
 @query("""+ c AS (SELECT var, x, y, date_trunc('hour', ts) AS hour, round(sum(value), 3) AS value FROM cube GROUP BY ALL), p AS (SELECT event_id, user_id % 5 AS px, user_id % 3 AS py, date_trunc('hour', ts) AS hour FROM events)
