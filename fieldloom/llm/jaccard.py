@@ -6,7 +6,7 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from .shared import bits_for, collect_bitmap, connected_components, in_bitmap, join_unique, saved, shuffle_partitions, table
@@ -19,6 +19,8 @@ PERCENT = 75
 LONG_SHARE = 1 / 500
 #: Pairs of different components for each member of a list that are checked without a leader.
 OPEN_PAIRS = 16
+#: Leaders of a list in one turn, at most; further ones follow in the next turns.
+MAX_LEADERS = 256
 #: Bits of a filter for each document; its size is bounded by shared.MAX_BITS.
 BITS_PER_ROW = 64
 _U = np.uint64
@@ -266,38 +268,49 @@ def verified(pairs: DataFrame, sets: DataFrame, long_, percent: int) -> DataFram
 def linked_keys(lists: DataFrame, sets: DataFrame, long_, percent: int) -> DataFrame:
     """(node, component) of the sets that link to another one.
 
-    Each list's members are checked against one of them, the leader, which joins groups of near
-    copies with one pair per member. What lists still hold of different components is checked
-    against a new leader as long as there are many more pairs than members; then all that is left.
+    Each list's members are checked against some of them, the leaders, each of another component;
+    one leader joins a group of near copies with one pair per member. A leader has then met its
+    whole list and leaves it. Lists that still hold many more pairs of different components than
+    members get more leaders, four times as many each turn; then all that is left is checked.
     """
-    sizes = sets.select("key", "n")
-    members = saved(lists.join(sizes, "key"))
     fits = f"least(a_n, b_n) * 100 >= {percent} * greatest(a_n, b_n)"
-    edges = component = tested = None
+    members = saved(lists.join(sets.select("key", "n"), "key").select("list", "key", "n", F.col("key").alias("component")))
     total = members.count()
-    for turn in range(1_000_000):
-        lead = F.xxhash64(F.lit(turn), "key")
-        leaders = members.groupBy("list").agg(F.min(F.struct(lead.alias("o"), "key", "n", *(["component"] if turn else []))).alias("l"), F.count("*").alias("rows"))
-        joined = join_unique(members, saved(leaders), "list", "rows", members.count())
-        joined = joined.select(F.col("l.key").alias("a"), F.col("key").alias("b"), F.col("l.n").alias("a_n"), F.col("n").alias("b_n"), (F.col("component") != F.col("l.component") if turn else F.lit(True)).alias("apart"))
-        pairs = joined.where("apart").where("a <> b").where(fits).select("a", "b").distinct()
-        good = verified(pairs if tested is None else pairs.join(tested, ["a", "b"], "left_anti"), sets, long_, percent)
-        edges = good if edges is None else edges.unionByName(good)
-        tested = saved(pairs) if tested is None else saved(tested.unionByName(pairs).distinct())
-        component = connected_components(edges)
-        members = members.drop("component").join(component.withColumnRenamed("node", "key"), "key", "left").withColumn("component", F.coalesce("component", "key"))
-        per = members.groupBy("list", "component").agg(F.count("*").alias("c"))
-        open_lists = per.groupBy("list").agg(F.sum("c").alias("n_all"), F.sum(F.col("c") * F.col("c")).alias("squares"), F.count("*").alias("parts")).where("parts > 1")
-        open_lists = saved(open_lists.select("list", (F.col("n_all") * F.col("n_all") - F.col("squares")).alias("twice")))
-        members = saved(members.join(open_lists, "list", "left_semi").select("list", "key", "n", "component"))
+    edges = tested = None
+    n_leaders = 1
+    while True:
+        per = saved(members.groupBy("list", "component").agg(F.min(F.struct(F.xxhash64("key").alias("o"), "key", "n")).alias("lead"), F.count("*").alias("c")))
+        open_lists = per.groupBy("list").agg(F.sum("c").alias("rows"), F.sum(F.col("c") * F.col("c")).alias("squares"), F.count("*").alias("parts")).where("parts > 1")
+        open_lists = saved(open_lists.select("list", "rows", (F.col("rows") * F.col("rows") - F.col("squares")).alias("twice")))
         left = open_lists.agg(F.sum("twice")).first()[0] or 0
-        if not left:
-            return component
         if left <= OPEN_PAIRS * total:
             break
-    a, b = (members.select("list", *[F.col(c).alias(f"{x}{c}") for c in ("key", "n", "component")]) for x in ("a_", "b_"))
-    rest = a.join(b, "list").where("a_key < b_key and a_component <> b_component").where(fits).select(F.col("a_key").alias("a"), F.col("b_key").alias("b")).distinct()
-    return connected_components(edges.unionByName(verified(rest, sets, long_, percent)))
+        rank = F.row_number().over(Window.partitionBy("list").orderBy("lead.o", "lead.key"))
+        leaders = per.withColumn("rank", rank).where(F.col("rank") <= n_leaders)
+        leaders = leaders.groupBy("list").agg(F.collect_list(F.struct("lead.key", "lead.n", "component")).alias("leaders"))
+        leaders = saved(leaders.join(open_lists.select("list", "rows"), "list"))
+        joined = saved(join_unique(members, leaders, "list", "rows", total))
+        met = joined.select(F.col("key").alias("b"), F.col("n").alias("b_n"), "component", F.explode("leaders").alias("l"))
+        met = met.select(F.col("l.key").alias("a"), F.col("l.n").alias("a_n"), "b", "b_n").where("component <> l.component").where(fits)
+        pairs = saved(met.select("a", "b").distinct())
+        good = verified(pairs if tested is None else pairs.join(tested, ["a", "b"], "left_anti"), sets, long_, percent)
+        tested = pairs if tested is None else tested.unionByName(pairs)
+        members = joined.where(~F.array_contains("leaders.key", F.col("key"))).select("list", "key", "n", "component")
+        found = not good.isEmpty()
+        edges = good if edges is None else edges.unionByName(good) if found else edges
+        if found:
+            component = connected_components(edges)
+            edges = component.where("node <> component").select(F.col("node").alias("a"), F.col("component").alias("b"))
+            members = members.drop("component").join(component.withColumnRenamed("node", "key"), "key", "left").withColumn("component", F.coalesce("component", "key"))
+        members = saved(members.select("list", "key", "n", "component"))
+        n_leaders = min(MAX_LEADERS, 4 * n_leaders)
+    if left:
+        members = members.join(open_lists, "list", "left_semi")
+        a, b = (members.select("list", *[F.col(c).alias(f"{x}{c}") for c in ("key", "n", "component")]) for x in ("a_", "b_"))
+        rest = a.join(b, "list").where("a_key < b_key and a_component <> b_component").where(fits).select(F.col("a_key").alias("a"), F.col("b_key").alias("b")).distinct()
+        good = verified(rest, sets, long_, percent)
+        edges = good if edges is None else edges.unionByName(good)
+    return connected_components(edges)
 
 
 def jaccard_components(docs: DataFrame, size: int = SHINGLE, percent: int = PERCENT) -> DataFrame:
