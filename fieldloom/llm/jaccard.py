@@ -18,7 +18,7 @@ PERCENT = 75
 #: A shingle that this share of the near-duplicate candidates have is long-listed.
 LONG_SHARE = 1 / 500
 #: Pairs of different components for each member of a list that are checked without a leader.
-OPEN_PAIRS = 16
+OPEN_PAIRS = 64
 #: Leaders of a list in one turn, at most; further ones follow in the next turns.
 MAX_LEADERS = 256
 #: Bits of a filter for each document; its size is bounded by shared.MAX_BITS.
