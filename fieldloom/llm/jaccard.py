@@ -2,14 +2,14 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterator
+from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .shared import bits_for, collect_bitmap, connected_components, in_bitmap, join_unique, saved, shuffle_partitions, table
+from .shared import bitmap_blocks, bits_for, connected_components, join_unique, maybe_in, saved, shuffle_partitions, table
 from .text import Words, as_bytes, as_long, mix, pieces, powers, rolling
 
 SHINGLE = 5
@@ -77,7 +77,7 @@ def document_rows(docs: DataFrame, size: int) -> DataFrame:
 
 def packed(h: np.ndarray, key: np.ndarray, buckets: int) -> pa.RecordBatch:
     """Postings (shingle, set key) dealt to buckets by shingle, one row for each bucket."""
-    at = (h % _U(buckets)).astype(np.int64)
+    at = (h % _U(buckets)).astype(np.uint16 if buckets <= 1 << 16 else np.int64)
     order = np.argsort(at, kind="stable")
     h, key, cut = h[order], key[order], np.searchsorted(at[order], np.arange(buckets + 1))
     full = np.flatnonzero(np.diff(cut))
@@ -87,30 +87,25 @@ def packed(h: np.ndarray, key: np.ndarray, buckets: int) -> pa.RecordBatch:
     )
 
 
-def postings(docs: DataFrame, size: int, buckets: int, take: Callable[[np.ndarray], np.ndarray], chosen=None) -> DataFrame:
-    """Packed postings of what ``take`` leaves of each distinct set, of the sets whose key is in the filter ``chosen``."""
+def postings(docs: DataFrame, size: int, buckets: int) -> DataFrame:
+    """Packed postings of the distinct sets, under the upper half of their keys."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             texts = as_bytes(batch["text"])
             for i, j in pieces(texts, 16_000_000):
                 sets = {set_keys(s)[0]: s for s in shingle_sets(texts[i:j], size) if len(s)}
-                if chosen is not None and sets:
-                    bitmap, bits = chosen
-                    hit = in_bitmap(bitmap.value, np.fromiter(sets, _U, len(sets)) % _U(bits))
-                    sets = {k: s for (k, s), x in zip(sets.items(), hit) if x}
                 if sets:
-                    kept = [take(s) for s in sets.values()]
-                    key = np.repeat((np.fromiter(sets, _U, len(sets)) >> _U(32)).astype(np.uint32), [len(x) for x in kept])
-                    yield packed(np.concatenate(kept), key, buckets)
+                    key = np.repeat((np.fromiter(sets, _U, len(sets)) >> _U(32)).astype(np.uint32), [len(s) for s in sets.values()])
+                    yield packed(np.concatenate(list(sets.values())), key, buckets)
 
     return docs.select("text").mapInArrow(run, "bucket int, h binary, key binary")
 
 
-def repeated(t: pa.Table, key_type: type) -> tuple[np.ndarray, np.ndarray]:
+def repeated(t: pa.Table) -> tuple[np.ndarray, np.ndarray]:
     """A bucket's postings whose shingle has two keys or more, sorted and distinct."""
     h = np.frombuffer(b"".join(t["h"].to_pylist()), _U)
-    key = np.frombuffer(b"".join(t["key"].to_pylist()), key_type)
+    key = np.frombuffer(b"".join(t["key"].to_pylist()), _U)
     order = np.lexsort((key, h))
     h, key = h[order], key[order]
     new = np.ones(len(h), bool)
@@ -122,51 +117,55 @@ def repeated(t: pa.Table, key_type: type) -> tuple[np.ndarray, np.ndarray]:
     return h[shared], key[shared]
 
 
-def key_filter(keys: DataFrame, rows: int):
-    """A bitmap of the keys on every executor, bounded by shared.MAX_BITS."""
-    bits = bits_for(rows, BITS_PER_ROW)
-    found = collect_bitmap(keys.select(F.col("key").bitwiseAND(bits - 1).alias("cell")), "cell", bits)
-    return keys.sparkSession.sparkContext.broadcast(found), bits
+def shared_keys(t: pa.Table) -> np.ndarray:
+    """The keys of a bucket's postings whose shingle has two keys or more; equal postings are not merged."""
+    h = np.frombuffer(b"".join(t["h"].to_pylist()), _U)
+    key = np.frombuffer(b"".join(t["key"].to_pylist()), np.uint32)
+    order = np.argsort(h)
+    h, key = h[order], key[order]
+    first = np.flatnonzero(np.concatenate(([True], h[1:] != h[:-1])))
+    several = np.minimum.reduceat(key, first) != np.maximum.reduceat(key, first)
+    return key[np.repeat(several, np.diff(np.append(first, len(h))))]
+
+
+def documents_of(docs: DataFrame, reps: DataFrame, n_docs: int) -> DataFrame:
+    """text of the documents whose id is in ``rep``, and of a few others; the filter is bounded by shared.MAX_BITS."""
+    bits = bits_for(n_docs, BITS_PER_ROW)
+    cell = lambda name: F.pmod(F.xxhash64(name), F.lit(bits)) + 1
+    blocks = saved(bitmap_blocks(reps.select(cell("rep").alias("_cell")), "_cell"))
+    return maybe_in(docs.select("doc_id", "text"), cell("doc_id"), blocks).where("_maybe").select("text")
 
 
 def candidate_sets(docs: DataFrame, classes: DataFrame, n_docs: int, size: int, percent: int) -> DataFrame:
-    """(key, n, shingles) of the sets that can link to another one, told by two filters that lose none.
+    """(key, n, shingles) of the sets that can link to another one.
 
-    1. Of two linked sets, the first n - needed(n) + 1 shingles by hash value share one.
-    2. needed(n) of a linked set's shingles occur in another set that passed the first filter.
+    needed(n) of a linked set's shingles occur in other sets; sets with fewer such shingles
+    are left out. Only one document of each class of equal sets is cut into shingles.
     """
     buckets = shuffle_partitions(docs.sparkSession)
-    prefix = lambda s: s[: len(s) - int(needed(np.int64(len(s)), percent)) + 1]
-
-    def half_keys(t: pa.Table) -> pa.Table:
-        return pa.table({"half": np.unique(repeated(t, np.uint32)[1]).astype(np.int64)})
 
     def half_counts(t: pa.Table) -> pa.Table:
-        half, n = np.unique(repeated(t, np.uint32)[1], return_counts=True)
+        half, n = np.unique(shared_keys(t), return_counts=True)
         return pa.table({"half": half.astype(np.int64), "n_repeated": n.astype(np.int64)})
 
     half = F.shiftrightunsigned("key", 32).alias("half")
-    first = saved(postings(docs, size, buckets, prefix).groupBy("bucket").applyInArrow(half_keys, "half long").distinct())
-    keys = saved(classes.select("key", "n", half).join(first, "half", "left_semi"))
-    chosen = key_filter(keys, n_docs)
-    counts = postings(docs, size, buckets, lambda s: s, chosen).groupBy("bucket").applyInArrow(half_counts, "half long, n_repeated long")
-    counts = saved(counts.groupBy("half").agg(F.sum("n_repeated").alias("n_repeated")))
-    keys = saved(keys.join(counts, "half").where(f"100 * n_repeated >= {percent} * n").select("key"))
-    chosen = key_filter(keys, n_docs)
+    found = postings(documents_of(docs, classes, n_docs), size, buckets)
+    counts = found.groupBy("bucket").applyInArrow(half_counts, "half long, n_repeated long").groupBy("half").agg(F.sum("n_repeated").alias("n_repeated"))
+    keys = classes.select("key", "n", "rep", half).join(counts.hint("merge"), "half")
+    keys = saved(keys.where(f"100 * n_repeated >= {percent} * n").select("key", "rep"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        bitmap, bits = chosen
         for batch in batches:
             texts = as_bytes(batch["text"])
             for i, j in pieces(texts, 16_000_000):
                 sets = {set_keys(s)[0]: s for s in shingle_sets(texts[i:j], size) if len(s)}
                 if sets:
-                    keys = np.fromiter(sets, _U, len(sets))
-                    hit = in_bitmap(bitmap.value, keys % _U(bits))
-                    kept = [s for s, x in zip(sets.values(), hit) if x]
-                    yield pa.RecordBatch.from_arrays([as_long(keys[hit]), pa.array([len(s) for s in kept], pa.int64()), pa.array([s.tobytes() for s in kept], pa.binary())], ["key", "n", "shingles"])
+                    yield pa.RecordBatch.from_arrays(
+                        [as_long(np.fromiter(sets, _U, len(sets))), pa.array([len(s) for s in sets.values()], pa.int64()), pa.array([s.tobytes() for s in sets.values()], pa.binary())],
+                        ["key", "n", "shingles"],
+                    )
 
-    sets = docs.select("text").mapInArrow(run, "key long, n long, shingles binary")
+    sets = documents_of(docs, keys, n_docs).mapInArrow(run, "key long, n long, shingles binary")
     return saved(sets.join(keys, "key", "left_semi").groupBy("key").agg(F.first("n").alias("n"), F.first("shingles").alias("shingles")))
 
 
@@ -188,7 +187,7 @@ def short_lists(sets: DataFrame, n_sets: int, percent: int) -> tuple[DataFrame,
                 yield packed(np.concatenate(kept), np.repeat(batch["key"].to_numpy().view(_U), [len(x) for x in kept]), buckets)
 
     def long_ones(t: pa.Table) -> pa.Table:
-        h, n = np.unique(repeated(t, _U)[0], return_counts=True)
+        h, n = np.unique(repeated(t)[0], return_counts=True)
         return pa.table({"h": h[n >= limit].view(np.int64), "n": n[n >= limit].astype(np.int64)})
 
     # at most 1 / LONG_SHARE times the mean number of shingles in a set
@@ -208,7 +207,7 @@ def short_lists(sets: DataFrame, n_sets: int, percent: int) -> tuple[DataFrame,
                 yield packed(np.concatenate(kept), np.repeat(batch["key"].to_numpy().view(_U), [len(x) for x in kept]), buckets)
 
     def lists(t: pa.Table) -> pa.Table:
-        h, key = repeated(t, _U)
+        h, key = repeated(t)
         first = np.flatnonzero(np.concatenate(([True], h[1:] != h[:-1]))) if len(h) else np.zeros(0, np.int64)
         count = np.diff(np.append(first, len(h)))
         with np.errstate(over="ignore"):
@@ -231,16 +230,16 @@ def by_length(s: np.ndarray, long_: tuple[np.ndarray, np.ndarray]) -> np.ndarray
     return np.concatenate((s[~is_long], s[is_long][np.argsort(n[at[is_long]], kind="stable")]))
 
 
-def overlaps(a: np.ndarray, b: np.ndarray, short: int, long_: tuple[np.ndarray, np.ndarray], least: int) -> bool:
+def overlaps(ordered: np.ndarray, short: int, b: np.ndarray, least: int) -> bool:
     """Whether two sets share ``least`` shingles: merge the short lists, then probe the long ones.
 
-    Merging tells how many of a's ``short`` first shingles b has; the rest are looked up in b
-    by binary search, unless they cannot be enough any more.
+    ``ordered`` is one set by the length of its lists. Merging tells how many of its ``short``
+    first shingles b has; the rest are looked up in b by binary search, unless they cannot be
+    enough any more.
     """
-    ordered = by_length(a, long_)
     have = lambda x: int((b[np.minimum(np.searchsorted(b, x), len(b) - 1)] == x).sum())
     found = have(ordered[:short])
-    return found + len(a) - short >= least and found + have(ordered[short:]) >= least
+    return found + len(ordered) - short >= least and found + have(ordered[short:]) >= least
 
 
 def verified(pairs: DataFrame, sets: DataFrame, long_, percent: int) -> DataFrame:
@@ -254,11 +253,13 @@ def verified(pairs: DataFrame, sets: DataFrame, long_, percent: int) -> DataFram
 
     def run(batches):
         for batch in batches:
-            good = []
+            good, last = [], None
             for x, y in zip(batch["a_set"].to_pylist(), batch["b_set"].to_pylist()):
-                x, y = np.frombuffer(x, _U), np.frombuffer(y, _U)
-                least = -(-percent * (len(x) + len(y)) // (100 + percent))
-                good.append(overlaps(x, y, len(x) - int(needed(np.int64(len(x)), percent)) + 1, long_.value, least))
+                if y != last:  # rows come by b
+                    last, ordered = y, by_length(np.frombuffer(y, _U), long_.value)
+                    short = len(ordered) - int(needed(np.int64(len(ordered)), percent)) + 1
+                x = np.frombuffer(x, _U)
+                good.append(overlaps(ordered, short, x, -(-percent * (len(x) + len(ordered)) // (100 + percent))))
             keep = pa.array(good, pa.bool_())
             yield pa.RecordBatch.from_arrays([batch["a"].filter(keep), batch["b"].filter(keep)], ["a", "b"])
 

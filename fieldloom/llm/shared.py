@@ -83,10 +83,11 @@ def collect_bitmap(df: DataFrame, cell: str, bits: int) -> np.ndarray:
     """Cells 0 .. bits-1 as a byte array of bits / 8 bytes, at most MAX_BITS / 8."""
     out = np.zeros(bits // 8, dtype=np.uint8)
     # bitmap_bucket_number counts from 1 for the cells 1 .. BLOCK_BITS, so cells are moved up by one
-    for row in bitmap_blocks(df.select((F.col(cell) + 1).alias(cell)), cell).toLocalIterator():
-        at = (row["block"] - 1) * BLOCK_BITS // 8
-        part = np.frombuffer(row["bits"], dtype=np.uint8)[: len(out) - at]
-        out[at : at + len(part)] |= part
+    for batch in bitmap_blocks(df.select((F.col(cell) + 1).alias(cell)), cell).toArrow().to_batches():
+        for block, bits_of in zip(batch["block"].to_pylist(), batch["bits"]):
+            at = (block - 1) * BLOCK_BITS // 8
+            part = np.frombuffer(bits_of.as_buffer(), dtype=np.uint8)[: len(out) - at]
+            out[at : at + len(part)] |= part
     return out
 
 
