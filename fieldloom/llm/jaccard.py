@@ -280,20 +280,20 @@ def linked_keys(lists: DataFrame, sets: DataFrame, long_, percent: int) -> DataF
     edges = tested = None
     n_leaders = 1
     while True:
-        per = saved(members.groupBy("list", "component").agg(F.min(F.struct(F.xxhash64("key").alias("o"), "key", "n")).alias("lead"), F.count("*").alias("c")))
+        per = saved(members.groupBy("list", "component").agg(F.min(F.struct(F.xxhash64("key").alias("o"), "key", "n")).alias("lead"), F.count("*").alias("c")), total)
         open_lists = per.groupBy("list").agg(F.sum("c").alias("rows"), F.sum(F.col("c") * F.col("c")).alias("squares"), F.count("*").alias("parts")).where("parts > 1")
-        open_lists = saved(open_lists.select("list", "rows", (F.col("rows") * F.col("rows") - F.col("squares")).alias("twice")))
+        open_lists = saved(open_lists.select("list", "rows", (F.col("rows") * F.col("rows") - F.col("squares")).alias("twice")), total)
         left = open_lists.agg(F.sum("twice")).first()[0] or 0
         if left <= OPEN_PAIRS * total:
             break
         rank = F.row_number().over(Window.partitionBy("list").orderBy("lead.o", "lead.key"))
         leaders = per.withColumn("rank", rank).where(F.col("rank") <= n_leaders)
         leaders = leaders.groupBy("list").agg(F.collect_list(F.struct("lead.key", "lead.n", "component")).alias("leaders"))
-        leaders = saved(leaders.join(open_lists.select("list", "rows"), "list"))
+        leaders = saved(leaders.join(open_lists.select("list", "rows"), "list"), total)
         joined = saved(join_unique(members, leaders, "list", "rows", total))
         met = joined.select(F.col("key").alias("b"), F.col("n").alias("b_n"), "component", F.explode("leaders").alias("l"))
         met = met.select(F.col("l.key").alias("a"), F.col("l.n").alias("a_n"), "b", "b_n").where("component <> l.component").where(fits)
-        pairs = saved(met.select("a", "b").distinct())
+        pairs = saved(met.select("a", "b").distinct(), total * n_leaders)
         good = verified(pairs if tested is None else pairs.join(tested, ["a", "b"], "left_anti"), sets, long_, percent)
         tested = pairs if tested is None else tested.unionByName(pairs)
         members = joined.where(~F.array_contains("leaders.key", F.col("key"))).select("list", "key", "n", "component")
@@ -303,7 +303,7 @@ def linked_keys(lists: DataFrame, sets: DataFrame, long_, percent: int) -> DataF
             component = connected_components(edges)
             edges = component.where("node <> component").select(F.col("node").alias("a"), F.col("component").alias("b"))
             members = members.drop("component").join(component.withColumnRenamed("node", "key"), "key", "left").withColumn("component", F.coalesce("component", "key"))
-        members = saved(members.select("list", "key", "n", "component"))
+        members = saved(members.select("list", "key", "n", "component"), total)
         n_leaders = min(MAX_LEADERS, 4 * n_leaders)
     if left:
         members = members.join(open_lists, "list", "left_semi")

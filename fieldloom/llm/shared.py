@@ -15,6 +15,8 @@ HOT_SHARE = 1 / 500
 BLOCK_BITS = 32768
 #: Upper bound of a bitmap's size, and so of what a bitmap costs to broadcast (128 MB).
 MAX_BITS = 1 << 30
+#: Narrow rows of a file, at least, where saved() knows how many there are.
+ROWS_PER_FILE = 20_000
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -32,9 +34,14 @@ def scratch_path(spark: SparkSession) -> str:
     return f"{base.rstrip('/')}/{uuid.uuid4().hex}"
 
 
-def saved(df: DataFrame) -> DataFrame:
-    """The rows of ``df`` as a written table: cuts lineage and survives lost executors."""
+def saved(df: DataFrame, rows: int | None = None) -> DataFrame:
+    """The rows of ``df`` as a written table: cuts lineage and survives lost executors.
+
+    ``rows``: about how many there are at most, if known; few rows are then written as few files.
+    """
     path = scratch_path(df.sparkSession)
+    if rows is not None and (files := -(-rows // ROWS_PER_FILE)) < shuffle_partitions(df.sparkSession):
+        df = df.coalesce(max(1, files))
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
@@ -125,26 +132,27 @@ def connected_components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFr
     """
     edges = edges.select(F.least(a, b).alias("lo"), F.greatest(a, b).alias("hi")).where("lo < hi").distinct()
     now = saved(edges)
-    if now.isEmpty():
+    n = now.count()
+    if not n:
         return now.select(F.col("lo").alias("node"), F.col("hi").alias("component"))
     before = None
     while True:
         # large star: neighbours above a node move to the smallest node next to it
         both = now.select(F.col("lo").alias("n"), F.col("hi").alias("m")).unionByName(now.select(F.col("hi").alias("n"), F.col("lo").alias("m")))
-        least = saved(both.groupBy("n").agg(F.least(F.min("m"), F.col("n")).alias("least"), F.count("*").alias("rows")))
-        large = join_unique(both, least, "n", "rows", 2 * now.count()).where("m > n").select(F.col("least").alias("lo"), F.col("m").alias("hi")).where("lo < hi").distinct()
+        least = saved(both.groupBy("n").agg(F.least(F.min("m"), F.col("n")).alias("least"), F.count("*").alias("rows")), 2 * n)
+        large = join_unique(both, least, "n", "rows", 2 * n).where("m > n").select(F.col("least").alias("lo"), F.col("m").alias("hi")).where("lo < hi").distinct()
         # small star: a node and its lower neighbours move to the smallest of them
-        large = saved(large)
-        least = saved(large.groupBy("hi").agg(F.min("lo").alias("least"), F.count("*").alias("rows")))
+        large = saved(large, n)
+        least = saved(large.groupBy("hi").agg(F.min("lo").alias("least"), F.count("*").alias("rows")), n)
         small = (
-            join_unique(large, least, "hi", "rows", large.count())
+            join_unique(large, least, "hi", "rows", n)
             .select(F.explode(F.array(F.struct(F.col("least").alias("lo"), F.col("lo").alias("hi")), F.struct(F.col("least").alias("lo"), F.col("hi")))).alias("e"))
             .select("e.lo", "e.hi").where("lo < hi").distinct()
         )
-        now = saved(small)
+        now = saved(small, n)
         after = now.agg(F.count("*"), F.sum(F.xxhash64("lo", "hi").cast("decimal(20,0)"))).first()
         if after == before:
             return now.select(F.col("hi").alias("node"), F.col("lo").alias("component")).unionByName(
                 now.select(F.col("lo").alias("node"), F.col("lo").alias("component")).distinct()
             )
-        before = after
+        before, n = after, after[0]
