@@ -17,8 +17,10 @@ from .text import Words, as_bytes, as_long, pieces, rolling
 WINDOW = 50
 #: Words of an anchor. A window's anchor is its run of so many words with the least hash.
 ANCHOR = 8
-#: Reference words of a shard, about.
+#: Words of a shard, about: passages and the spans that are matched against them.
 SHARD_WORDS = 40_000
+#: A passage is cut into blocks of a shard's words divided by this, so that a block's copies stay small beside its spans.
+BLOCKS_PER_SHARD = 10
 #: Bits of a filter for each document; its size is bounded by shared.MAX_BITS.
 BITS_PER_ROW = 256
 
@@ -120,50 +122,77 @@ def window_rows(docs: DataFrame, window: int, size: int, bits: int, bitmap) -> D
     return docs.select("doc_id", "text").mapInArrow(run, "h long, doc_id long, pos int")
 
 
-def runs(pos: np.ndarray, owner: np.ndarray) -> Iterator[tuple[int, int, int]]:
-    """(first, last, owner) of runs of consecutive windows with the same owner."""
+def runs(pos: np.ndarray, owner: np.ndarray, block: np.ndarray, most: int) -> Iterator[tuple[int, int, int, int]]:
+    """(first, last, owner, block) of runs of at most ``most`` consecutive windows with the same owner and block."""
     if len(pos):
-        cut = np.flatnonzero((np.diff(pos) != 1) | (owner[1:] != owner[:-1])) + 1
+        cut = np.flatnonzero((np.diff(pos) != 1) | (owner[1:] != owner[:-1]) | (block[1:] != block[:-1])) + 1
         for a, b in zip(np.append(0, cut), np.append(cut, len(pos))):
-            yield int(pos[a]), int(pos[b - 1]), int(owner[a])
+            for i in range(a, b, most):
+                yield int(pos[i]), int(pos[min(i + most, b) - 1]), int(owner[a]), int(block[a])
 
 
-def spans_of(docs: DataFrame, hits: DataFrame, window: int) -> DataFrame:
-    """(doc_id, start, owner, span, words): reference passages (owner is the document) and spans that an owner has."""
+def joined(found: Iterator[tuple[int, int, int, int]], doc_id: int, window: int) -> list[tuple[int, int, int, int]]:
+    """Runs, those of a document's own passages made one where their words overlap within a block."""
+    out: list[tuple[int, int, int, int]] = []
+    for first, last, owner, block in found:
+        if owner == doc_id and out and out[-1][2:] == (owner, block) and first < out[-1][1] + window:
+            first = out.pop()[0]
+        out.append((first, last, owner, block))
+    return out
+
+
+def spans_of(docs: DataFrame, hits: DataFrame, window: int, most: int) -> DataFrame:
+    """(doc_id, start, owner, block, span, n, words): reference passages (owner is the document) and spans that an owner has."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for doc_id, text, pos, owner in zip(batch["doc_id"].to_pylist(), as_bytes(batch["text"]), batch["pos"], batch["owner"]):
+            for doc_id, text, *at in zip(batch["doc_id"].to_pylist(), as_bytes(batch["text"]), batch["pos"], batch["owner"], batch["block"]):
                 words, rows = text.split(), []
-                p, o = (np.array(x.values) for x in (pos, owner))
+                p, o, b = (np.array(x.values) for x in at)
                 order = np.argsort(p, kind="stable")
-                for first, last, who in runs(p[order], o[order]):
+                for first, last, who, block in joined(runs(p[order], o[order], b[order], most), doc_id, window):
                     span = b" ".join(words[first : last + window])
-                    rows.append((doc_id, first, who, signed(int.from_bytes(hashlib.blake2b(span, digest_size=8).digest(), "big")), span.decode("utf-8", "replace")))
-                yield pa.RecordBatch.from_pylist([dict(zip(("doc_id", "start", "owner", "span", "words"), r)) for r in rows], SPANS)
+                    rows.append((doc_id, first, who, block, signed(int.from_bytes(hashlib.blake2b(span, digest_size=8).digest(), "big")), last + window - first, span.decode("utf-8", "replace")))
+                yield pa.RecordBatch.from_pylist([dict(zip(SPANS.names, r)) for r in rows], SPANS)
+
+    return docs.join(hits, "doc_id").select("doc_id", "text", "pos", "owner", "block").mapInArrow(run, "doc_id long, start int, owner long, block int, span long, n int, words string")
 
-    return docs.join(hits, "doc_id").select("doc_id", "text", "pos", "owner").mapInArrow(run, "doc_id long, start int, owner long, span long, words string")
 
+SPANS = pa.schema([("doc_id", pa.int64()), ("start", pa.int32()), ("owner", pa.int64()), ("block", pa.int32()), ("span", pa.int64()), ("n", pa.int32()), ("words", pa.string())])
+RANGES = pa.schema([("owner", pa.int64()), ("block", pa.int32()), ("span", pa.int64()), ("first", pa.list_(pa.int32())), ("last", pa.list_(pa.int32()))])
 
-SPANS = pa.schema([("doc_id", pa.int64()), ("start", pa.int32()), ("owner", pa.int64()), ("span", pa.int64()), ("words", pa.string())])
-RANGES = pa.schema([("owner", pa.int64()), ("span", pa.int64()), ("first", pa.list_(pa.int32())), ("last", pa.list_(pa.int32()))])
+
+def with_shards(reference: DataFrame, distinct: DataFrame, shards: int, unit: int) -> DataFrame:
+    """(owner, block, salt, reference, span, words, shard): spans dealt over as many salts as their block's words need, ``unit`` each.
+
+    A block's passages, fewer words than a unit but for the last window, go to each of its salts. Only blocks with two or
+    more salts are broadcast: there are at most as many as all spans have units.
+    """
+    load = distinct.groupBy("owner", "block").agg(F.ceil(F.sum("n") / unit).cast("int").alias("salts"))
+    many = F.broadcast(saved(load.where("salts > 1")))
+    n_salts = F.coalesce("salts", F.lit(1))
+    copies = reference.join(many, ["owner", "block"], "left").withColumn("salt", F.explode(F.sequence(F.lit(0), n_salts - 1)))
+    dealt = distinct.join(many, ["owner", "block"], "left").withColumn("salt", F.pmod("span", n_salts).cast("int"))
+    both = [x.select("owner", "block", "salt", F.lit(ref).alias("reference"), "span", "words") for x, ref in ((copies, True), (dealt, False))]
+    return both[0].unionByName(both[1]).withColumn("shard", F.pmod(F.xxhash64("owner", "block", "salt"), F.lit(shards)))
 
 
 def match_shard(t: pa.Table, window: int) -> pa.Table:
-    """Matching statistics of a shard's distinct spans against the automaton of its reference passages."""
-    automata: dict[int, Automaton] = {}
+    """Matching statistics of a shard's distinct spans against the automaton of their block's reference passages."""
+    automata: dict[tuple, Automaton] = {}
     out = []
-    rows = sorted(zip(t["owner"].to_pylist(), t["reference"].to_pylist(), t["span"].to_pylist(), t["words"].to_pylist()), key=lambda r: (r[0], not r[1]))
-    for owner, reference, span, words in rows:
-        if owner not in automata:
-            automata = {owner: Automaton()}  # spans are sent to one owner, so others' passages need not be kept
+    rows = sorted(zip(*(t[c].to_pylist() for c in ("owner", "block", "salt", "reference", "span", "words"))), key=lambda r: (*r[:3], not r[3]))
+    for *key, reference, span, words in rows:
+        key = tuple(key)
+        if key not in automata:
+            automata = {key: Automaton()}  # spans are sent to one block, so others' passages need not be kept
         if reference:
             for word in words.split(" "):
-                automata[owner].add(word)
-            automata[owner].add(None)
+                automata[key].add(word)
+            automata[key].add(None)
         else:
-            found = automata[owner].covered(words.split(" "), window)
-            out.append({"owner": owner, "span": span, "first": [a for a, _ in found], "last": [b for _, b in found]})
+            found = automata[key].covered(words.split(" "), window)
+            out.append({"owner": key[0], "block": key[1], "span": span, "first": [a for a, _ in found], "last": [b for _, b in found]})
     return pa.Table.from_pylist(out, RANGES)
 
 
@@ -172,10 +201,13 @@ def substring_dedup(docs: DataFrame, window: int = WINDOW, anchor: int = ANCHOR)
 
     1. Windows with the same words have the same anchor. A bounded bitmap of anchors that two or more
        documents have leaves the windows to look at; false positives only cost a row.
-    2. Of equal windows, by hash, the document with the smallest id is the owner.
-    3. Owners' passages are the reference, in shards of about SHARD_WORDS words, each with its suffix
-       automata. The other documents' spans stream to the owner's shard, equal ones once, and matching
-       statistics against the words themselves give the maximal spans of ``window`` words or more.
+    2. Of equal windows, by hash, the document with the smallest id is the owner, and one of its
+       places is the window's place, in blocks of consecutive places.
+    3. Owners' passages are the reference, cut at the blocks, each with its suffix automaton. The other
+       documents' spans, cut where the owner's block changes, stream to shards of about SHARD_WORDS words:
+       equal ones once, an owner's many over several shards that each have the block's passages. Matching
+       statistics against the words themselves give the maximal spans of ``window`` words or more. Every
+       window lies whole in a span and in its block, so cutting loses none.
     4. Words that spans cover go. Windows are judged on the input.
 
     Null and empty texts have no words. A window that only repeats within one document stays. An id stands for one text.
@@ -187,22 +219,25 @@ def substring_dedup(docs: DataFrame, window: int = WINDOW, anchor: int = ANCHOR)
     cells = anchor_rows(docs, window, anchor, bits).groupBy("cell").agg(F.min("doc_id").alias("lo"), F.max("doc_id").alias("hi")).where("lo < hi")
     bitmap = spark.sparkContext.broadcast(collect_bitmap(cells.select("cell"), "cell", bits))
     rows = window_rows(docs, window, anchor, bits, bitmap)
-    owners = saved(rows.groupBy("h").agg(F.min("doc_id").alias("owner"), F.max("doc_id").alias("hi"), F.count("*").alias("rows")).where("owner < hi").drop("hi"))
+    owners = saved(rows.groupBy("h").agg(F.min("doc_id").alias("owner"), F.min_by("pos", "doc_id").alias("at"), F.max("doc_id").alias("hi"), F.count("*").alias("rows")).where("owner < hi").drop("hi"))
     total = owners.agg(F.sum("rows")).first()[0] or 0
     owned = join_unique(rows, owners, "h", "rows", total)
-    hits = saved(owned.groupBy("doc_id").agg(F.collect_list(F.struct("pos", "owner")).alias("at")).select("doc_id", "at.pos", "at.owner"))
-    spans = saved(spans_of(docs, hits, window))
-    reference = spans.where("doc_id = owner").select("owner", F.lit(True).alias("reference"), "span", "words")
+    most = max(window, SHARD_WORDS // BLOCKS_PER_SHARD)
+    # of an owner's equal windows only the one at the window's place is reference
+    owned = owned.where("doc_id <> owner OR pos = at").select("doc_id", F.struct("pos", "owner", F.floor(F.col("at") / most).cast("int").alias("block")).alias("at"))
+    hits = saved(owned.groupBy("doc_id").agg(F.collect_list("at").alias("at")).select("doc_id", "at.pos", "at.owner", "at.block"))
+    spans = saved(spans_of(docs, hits, window, most))
+    reference = spans.where("doc_id = owner")
     foreign = spans.where("doc_id <> owner")
-    distinct = foreign.groupBy("owner", "span").agg(F.first("words").alias("words"), F.count("*").alias("rows"))
+    distinct = foreign.groupBy("owner", "block", "span").agg(F.first("words").alias("words"), F.first("n").alias("n"), F.count("*").alias("rows"))
     distinct = saved(distinct)
-    n_words = reference.agg(F.sum(F.size(F.split("words", " ")))).first()[0] or 0
+    n_words = sum(x.agg(F.sum("n")).first()[0] or 0 for x in (reference, distinct))
     shards = max(shuffle_partitions(spark), -(-n_words // SHARD_WORDS))
-    both = reference.unionByName(distinct.select("owner", F.lit(False).alias("reference"), "span", "words"))
-    both = both.withColumn("shard", F.pmod(F.xxhash64("owner"), F.lit(shards)))
-    ranges = both.groupBy("shard").applyInArrow(lambda t: match_shard(t, window), "owner long, span long, first array<int>, last array<int>")
-    name = F.concat_ws(":", "owner", "span").alias("name")
-    ranges = saved(ranges.where(F.size("first") > 0).join(distinct.select("owner", "span", "rows"), ["owner", "span"]).select(name, "first", "last", "rows"))
+    both = with_shards(reference, distinct, shards, max(most, n_words // shards))
+    ranges = both.groupBy("shard").applyInArrow(lambda t: match_shard(t, window), "owner long, block int, span long, first array<int>, last array<int>")
+    key = ["owner", "block", "span"]
+    name = F.concat_ws(":", *key).alias("name")
+    ranges = saved(ranges.where(F.size("first") > 0).join(distinct.select(*key, "rows"), key).select(name, "first", "last", "rows"))
     placed = join_unique(foreign.select("doc_id", "start", name), ranges, "name", "rows", foreign.count())
     cuts = placed.groupBy("doc_id").agg(F.collect_list(F.struct("start", "first", "last")).alias("cuts"))
     cuts = saved(cuts.select("doc_id", F.flatten(F.transform("cuts", lambda c: F.transform(c["first"], lambda x: x + c["start"]))).alias("first"), F.flatten(F.transform("cuts", lambda c: F.transform(c["last"], lambda x: x + c["start"]))).alias("last")))

@@ -1,5 +1,6 @@
 import hashlib
 import random
+import uuid
 from collections import defaultdict
 
 import numpy as np
@@ -78,6 +79,39 @@ def test_substrings_match_brute_force(spark, texts):
         assert (r["n_words"], r["n_removed"], r["kept"]) == (len(w), len(gone), " ".join(x for i, x in enumerate(w) if i not in gone))
 
 
+def test_an_owner_of_many_spans_is_spread_over_shards(spark, tmp_path, monkeypatch):
+    rng = random.Random(5)
+    base = [f"w{rng.randrange(5000)}" for _ in range(3000)]
+    base[2000:2200] = base[300:500]
+    words = [base]
+    for _ in range(40):
+        words.append(list(base))
+        for at in rng.sample(range(3000), 8):
+            words[-1][at] = f"edit{rng.random()}"
+    words += [["own"] * 60 + base[1100:1400] * 2, base[:70]]
+    real = substrings.match_shard
+
+    def recorded(t, window):
+        (tmp_path / str(uuid.uuid4())).write_text(str(sum(len(w.split()) for w in t["words"].to_pylist())))
+        return real(t, window)
+
+    monkeypatch.setattr(substrings, "match_shard", recorded)
+    monkeypatch.setattr(substrings, "SHARD_WORDS", 2000)
+    first = {}
+    for i, w in enumerate(words):
+        for k in range(len(w) - 49):
+            first.setdefault(tuple(w[k : k + 50]), i)
+    got = substrings.substring_dedup(documents(spark, [" ".join(w) for w in words])).collect()
+    for r in got:
+        w, gone = words[r["doc_id"]], set()
+        for k in range(len(w) - 49):
+            if first[tuple(w[k : k + 50])] < r["doc_id"]:
+                gone |= set(range(k, k + 50))
+        assert (r["n_removed"], r["kept"]) == (len(gone), " ".join(x for i, x in enumerate(w) if i not in gone))
+    largest = max(int(f.read_text()) for f in tmp_path.iterdir())
+    assert len(got) == len(words) and largest < 8 * 2000
+
+
 def test_exact_dedup(spark, texts):
     groups = defaultdict(list)
     for i, t in enumerate(texts):
