@@ -9,7 +9,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .shared import bitmap_blocks, bits_for, connected_components, join_unique, maybe_in, saved, shuffle_partitions, table
+from .shared import HOT_SHARE, bitmap_blocks, bits_for, connected_components, join_unique, maybe_in, saved, shuffle_partitions, table
 from .text import Words, as_bytes, as_long, mix, pieces, powers, rolling
 
 SHINGLE = 5
@@ -246,9 +246,14 @@ def verified(pairs: DataFrame, sets: DataFrame, long_, percent: int) -> DataFram
     """The (a, b) of ``pairs`` that link."""
     pairs = saved(pairs)
     total = pairs.count()
-    count = pairs.groupBy("a").agg(F.count("*").alias("rows"))
-    left = saved(sets.select(F.col("key").alias("a"), F.col("shingles").alias("a_set")).join(count, "a"))
-    with_a = join_unique(pairs, left, "a", "rows", total)
+    # a set of many pairs goes to several tasks; sets are not broadcast, as their bytes have no bound
+    most = max(MAX_LEADERS, int(total * HOT_SHARE))
+    many = pairs.groupBy("a").agg(F.ceil(F.count("*") / most).cast("int").alias("salts")).where("salts > 1")
+    many, n_salts = F.broadcast(saved(many)), F.coalesce("salts", F.lit(1))
+    dealt = pairs.join(many, "a", "left").withColumn("salt", F.pmod(F.xxhash64("b"), n_salts).cast("int")).drop("salts")
+    left = sets.select(F.col("key").alias("a"), F.col("shingles").alias("a_set")).join(pairs.select("a").distinct(), "a", "left_semi")
+    left = left.join(many, "a", "left").withColumn("salt", F.explode(F.sequence(F.lit(0), n_salts - 1))).drop("salts")
+    with_a = dealt.join(left.hint("merge"), ["a", "salt"])
     with_both = with_a.join(sets.select(F.col("key").alias("b"), F.col("shingles").alias("b_set")).hint("merge"), "b")
 
     def run(batches):
@@ -266,6 +271,20 @@ def verified(pairs: DataFrame, sets: DataFrame, long_, percent: int) -> DataFram
     return saved(with_both.select("a", "b", "a_set", "b_set").mapInArrow(run, "a long, b long"))
 
 
+def open_pairs(members: DataFrame, fits: str, most: int = MAX_LEADERS) -> DataFrame:
+    """(a, b): the pairs of different components within each list of ``rows`` members, each pair once.
+
+    A list is dealt into blocks of about ``most`` members and two blocks meet at a time, so no key
+    of the join has more pairs than two blocks have, however long the list.
+    """
+    blocks = F.ceil(F.col("rows") / most).cast("int")
+    members = members.select("list", "key", "n", "component", blocks.alias("blocks"), F.pmod(F.xxhash64("key"), blocks).cast("int").alias("own"))
+    a = members.select("list", F.col("own").alias("i"), F.explode(F.sequence("own", F.col("blocks") - 1)).alias("j"), *[F.col(c).alias(f"a_{c}") for c in ("key", "n", "component")])
+    b = members.select("list", F.explode(F.sequence(F.lit(0), "own")).alias("i"), F.col("own").alias("j"), *[F.col(c).alias(f"b_{c}") for c in ("key", "n", "component")])
+    met = a.join(b, ["list", "i", "j"]).where("(i < j or a_key < b_key) and a_component <> b_component").where(fits)
+    return met.select(F.least("a_key", "b_key").alias("a"), F.greatest("a_key", "b_key").alias("b")).distinct()
+
+
 def linked_keys(lists: DataFrame, sets: DataFrame, long_, percent: int) -> DataFrame:
     """(node, component) of the sets that link to another one.
 
@@ -306,10 +325,7 @@ def linked_keys(lists: DataFrame, sets: DataFrame, long_, percent: int) -> DataF
         members = saved(members.select("list", "key", "n", "component"), total)
         n_leaders = min(MAX_LEADERS, 4 * n_leaders)
     if left:
-        members = members.join(open_lists, "list", "left_semi")
-        a, b = (members.select("list", *[F.col(c).alias(f"{x}{c}") for c in ("key", "n", "component")]) for x in ("a_", "b_"))
-        rest = a.join(b, "list").where("a_key < b_key and a_component <> b_component").where(fits).select(F.col("a_key").alias("a"), F.col("b_key").alias("b")).distinct()
-        good = verified(rest, sets, long_, percent)
+        good = verified(open_pairs(members.join(open_lists.select("list", "rows"), "list"), fits), sets, long_, percent)
         edges = good if edges is None else edges.unionByName(good)
     return connected_components(edges)
 

@@ -1,5 +1,6 @@
 import hashlib
 import random
+import re
 import uuid
 from collections import defaultdict
 
@@ -64,6 +65,37 @@ def test_jaccard_matches_brute_force(spark, texts):
     assert got == {i: (len(s), want[i]) for i, s in enumerate(sets)}
 
 
+def test_jaccard_long_lists_meet_in_blocks(spark):
+    """Of a list of 600 sets in one component each, no join key may hold all the pairs."""
+    rows = [(1, k, 10 + k % 7, k, 600) for k in range(600)] + [(2, k, 10, k // 2, 4) for k in range(4)]
+    fits = "least(a_n, b_n) * 100 >= 75 * greatest(a_n, b_n)"
+    members = spark.createDataFrame(rows, "list long, key long, n long, component long, rows long")
+    want = {(i, j) for j in range(600) for i in range(j) if 100 * min(10 + i % 7, 10 + j % 7) >= 75 * max(10 + i % 7, 10 + j % 7)}
+    want |= {(0, 2), (0, 3), (1, 2), (1, 3)}
+    got = list(map(tuple, jaccard.open_pairs(members, fits, most=50).collect()))
+    assert len(got) == len(want) and set(got) == want
+    plan = jaccard.open_pairs(members, fits)._jdf.queryExecution().optimizedPlan().toString()
+    assert re.search(r"Join Inner, .*\(i#.*\(j#", plan)
+
+
+def test_jaccard_sets_of_leaders_are_not_broadcast(spark, monkeypatch):
+    """The broadcast side of a join of sets has no set in it."""
+    rng = random.Random(6)
+    base = [f"w{i}" for i in range(60)]
+    body = [" ".join(w for w in base[:55] + [f"own{rng.random()}" for _ in range(3)]) for _ in range(700)]
+    plans, real = [], jaccard.saved
+
+    def recorded(df, rows=None):
+        plans.append(df._jdf.queryExecution().optimizedPlan().toString())
+        return real(df, rows)
+
+    monkeypatch.setattr(jaccard, "saved", recorded)
+    got = jaccard.jaccard_components(documents(spark, body)).collect()
+    assert {r["component_id"] for r in got} == {0}
+    checked = [p for p in plans if "a_set" in p and "b_set" in p]
+    assert checked and not any(re.search(r"a_set.*strategy=broadcast", p) or "_hot_key" in p for p in checked)
+
+
 def test_substrings_match_brute_force(spark, texts):
     first = {}
     words = [(t or "").split() for t in texts]
