@@ -1,4 +1,8 @@
-"""N-gram Jaccard join: documents whose sets of word shingles overlap, by T-occurrence search with DivideSkip."""
+"""N-gram Jaccard join: documents whose sets of word shingles overlap, by prefix filtering with leaders.
+
+This stands in place of T-occurrence search with DivideSkip: occurrences are not counted over merged
+lists. Links within a component that is joined already are not looked for.
+"""
 
 from __future__ import annotations
 
@@ -174,7 +178,7 @@ def short_lists(sets: DataFrame, n_sets: int, percent: int) -> tuple[DataFrame,
 
     The order of shingles puts the long lists last. Of linked sets, the first
     n - needed(n) + 1 shingles in any common order share one, so the needed(n) - 1 last ones,
-    the longest lists, are left to be probed. Lists with the same members are given once.
+    the longest lists, are left out. Lists with the same members are given once.
     """
     spark = sets.sparkSession
     buckets = shuffle_partitions(spark)
@@ -231,11 +235,10 @@ def by_length(s: np.ndarray, long_: tuple[np.ndarray, np.ndarray]) -> np.ndarray
 
 
 def overlaps(ordered: np.ndarray, short: int, b: np.ndarray, least: int) -> bool:
-    """Whether two sets share ``least`` shingles: merge the short lists, then probe the long ones.
+    """Whether two sets share ``least`` shingles, by binary search in b.
 
-    ``ordered`` is one set by the length of its lists. Merging tells how many of its ``short``
-    first shingles b has; the rest are looked up in b by binary search, unless they cannot be
-    enough any more.
+    ``ordered`` is one set by the length of its lists. Its ``short`` first shingles are looked up
+    in b first; the rest, those of the longest lists, only if they can still be enough.
     """
     have = lambda x: int((b[np.minimum(np.searchsorted(b, x), len(b) - 1)] == x).sum())
     found = have(ordered[:short])
