@@ -1,4 +1,4 @@
-"""Exact duplicates by two passes over a bitmap filter of text hashes."""
+"""Exact duplicates by a bitmap filter of text hashes whose cells are counted exactly."""
 
 from __future__ import annotations
 
@@ -19,9 +19,9 @@ def digests(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") ->
 
 
 def repeated_cells(hashed: DataFrame, bits: int) -> DataFrame:
-    """The filter after both passes over the hashes: cells that two or more rows have set.
+    """The filter: cells that two or more rows have set, counted exactly before the bitmap is made.
 
-    Each hash sets one cell of 2^k. The rows of a pair of equal texts meet in a cell, so a
+    Each hash sets one cell of 2^k, and the cells of all rows shuffle, one number a row. The rows of a pair of equal texts meet in a cell, so a
     hash whose cell was set once cannot be repeated.
     """
     twice = hashed.groupBy("cell").agg(F.count("*").alias("n")).where("n > 1")
@@ -32,10 +32,10 @@ def exact_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     """One row per document: doc_id, keep_id, group_size, kept, text_sha256.
 
     Texts are equal when identical after lower-casing A-Z only; null counts as empty. Of equal
-    texts the row with the largest id stays. The first pass fills the bitmap filter, the second
-    tests each row against it: rows whose cell was set once pass straight through, the others
-    shuffle by digest. False positives only cost a shuffled row. Rows that repeat an id are rows
-    of their own. An empty table gives no rows; other columns are ignored.
+    texts the row with the largest id stays. A count of the cells of all rows, which shuffles one
+    number a row, gives the bitmap filter, and each row is tested against it: digests whose cell was
+    set once pass straight through, the others shuffle. False positives only cost a shuffled row. Rows that repeat an id are rows
+    of their own: if they have the text of the id that stays, all of them stay, as in OP8_SQL. An empty table gives no rows; other columns are ignored.
     """
     rows = saved(digests(docs, id_col, text_col))
     total = rows.count()
