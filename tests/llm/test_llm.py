@@ -244,3 +244,39 @@ def test_pipeline_stages(spark):
         assert out.columns == docs.columns, name
     kept = corpus_pipeline.distinct_texts(spark, docs, sf).select(F.lower("text")).collect()
     assert len(kept) == len({r[0] for r in kept})
+
+
+def test_pipeline_matches_plain_python(spark):
+    """run() over sf0.001 against plain Python from stage to stage; the scores are the classifier's, the copies the mix's."""
+    import sentencepiece
+
+    import corpus_pipeline
+
+    sf = "/root/testdata/sf0.001"
+    docs = spark.read.parquet(f"{sf}/documents.parquet")
+    scored = quality.with_quality(docs, spark.read.parquet(f"{sf}/labels.parquet"), docs.columns)
+    rows = {r["doc_id"]: r for r in scored.where("predicted = 1").collect()}
+    lowered = lambda t: "".join(c.lower() if "A" <= c <= "Z" else c for c in t or "")
+    last = {}
+    for i in sorted(rows):
+        last[lowered(rows[i]["text"])] = i
+    ids, sets = sorted(last.values()), {}
+    for i in ids:
+        w = (rows[i]["text"] or "").encode().lower().split()
+        sets[i] = frozenset(tuple(w[k : k + 5]) for k in range(len(w) - 4)) if len(w) > 4 else frozenset([tuple(w)] if w else [])
+    holders = defaultdict(list)
+    for i in ids:
+        for x in sets[i]:
+            holders[x].append(i)
+    pairs = {(a, b) for h in holders.values() for a in h for b in h if a < b}
+    group = components(ids, [(a, b) for a, b in pairs if 100 * len(sets[a] & sets[b]) >= 75 * len(sets[a] | sets[b])])
+    left = [i for i in ids if group[i] == i]
+    assert len(rows) > len(ids) > len(left) > 0
+    mix = mixing.mixed(docs.where(F.col("doc_id").isin(left))).collect()
+    sp = sentencepiece.SentencePieceProcessor(model_file=sentencepieces.MODEL)
+    want = []
+    for r in mix:
+        tokens = sp.encode(rows[r["doc_id"]]["text"] or "")
+        want += [(r["doc_id"], len(tokens), hashlib.sha256(" ".join(map(str, tokens)).encode()).hexdigest())] * r["copies"]
+    got = corpus_pipeline.run(spark, sf).collect()
+    assert sorted((r["doc_id"], r["n_tokens"], r["tokens_sha256"]) for r in got) == sorted(want) and all(r["round_trip"] for r in got)
