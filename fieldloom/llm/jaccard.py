@@ -1,38 +1,57 @@
-"""N-gram Jaccard join: documents whose sets of word shingles overlap, by prefix filtering with leaders.
+"""N-gram Jaccard join: documents whose sets of word shingles overlap, by T-occurrence search with DivideSkip.
 
-This stands in place of T-occurrence search with DivideSkip: occurrences are not counted over merged
-lists. Links within a component that is joined already are not looked for.
+The search runs on inverted lists of a part of each set, its signature (see ``signature_size``): two
+sets that link share ``least_common`` shingles of their signatures. Lists are divided by length:
+
+* Short lists are heap-merged for each set (MergeSkip). Sets that it meets often enough are candidates,
+  whose remaining shingles, those of long lists among them, are looked up by binary search.
+* A set with so many long lists that it may meet a partner in long lists alone is looked up by way of a
+  leader of each long list. Sets differ from their leader in few shingles, so inverted lists of these
+  differences are short again, and counting over them gives the overlap of any two sets.
 """
 
 from __future__ import annotations
 
+import heapq
+from bisect import bisect_left
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession, Window
+import pyarrow.compute as pc
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .shared import HOT_SHARE, bitmap_blocks, bits_for, connected_components, join_unique, maybe_in, saved, shuffle_partitions, table
+from .shared import bitmap_blocks, bits_for, connected_components, join_unique, maybe_in, merge_labels, saved, shuffle_partitions, table
 from .text import Words, as_bytes, as_long, mix, pieces, powers, rolling
 
 SHINGLE = 5
 #: Two documents link when PERCENT * |union| <= 100 * |intersection|.
 PERCENT = 75
-#: A shingle that this share of the near-duplicate candidates have is long-listed.
-LONG_SHARE = 1 / 500
-#: Pairs of different components for each member of a list that are checked without a leader.
-OPEN_PAIRS = 64
-#: Leaders of a list in one turn, at most; further ones follow in the next turns.
-MAX_LEADERS = 256
+#: Percent of a set's size that linked sets share within their signatures.
+SPARE = 15
+#: Members of a short list, at most.
+SHORT = 64
+#: Postings of a task that looks for repeated shingles, and shingles of a block of a leader's members, about.
+BUCKET_POSTINGS, BLOCK_SHINGLES = 2_000_000, 200_000
 #: Bits of a filter for each document; its size is bounded by shared.MAX_BITS.
 BITS_PER_ROW = 64
 _U = np.uint64
 
 
-def needed(n: np.ndarray, percent: int) -> np.ndarray:
-    """The least overlap of a set of n with any set it can link to: the other has percent % of n at least."""
-    return -(-n * percent // 100)
+def signature_size(n, percent: int = PERCENT):
+    """How many of a set's n shingles, those with the least hashes, are its signature.
+
+    What linked sets share is percent % of the larger set at least. No more than percent - SPARE % of
+    either set are left out of its signature, and those are the last ones in a common order, so both
+    signatures hold SPARE % of the larger set in common.
+    """
+    return n - n * (percent - SPARE) // 100
+
+
+def least_common(n):
+    """How many shingles the signatures of two linked sets share at least, n being the larger set's size or less."""
+    return -(-n * SPARE // 100)
 
 
 def shingle_sets(texts: list[bytes], size: int) -> list[np.ndarray]:
@@ -79,57 +98,79 @@ def document_rows(docs: DataFrame, size: int) -> DataFrame:
     return docs.select("doc_id", "text").mapInArrow(run, "doc_id long, n_shingles long, key long, check long")
 
 
-def packed(h: np.ndarray, key: np.ndarray, buckets: int) -> pa.RecordBatch:
-    """Postings (shingle, set key) dealt to buckets by shingle, one row for each bucket."""
-    at = (h % _U(buckets)).astype(np.uint16 if buckets <= 1 << 16 else np.int64)
-    order = np.argsort(at, kind="stable")
-    h, key, cut = h[order], key[order], np.searchsorted(at[order], np.arange(buckets + 1))
+def dealt(to: np.ndarray, parts: int, **columns: np.ndarray) -> pa.RecordBatch:
+    """The columns dealt to ``parts`` parts by ``to``, packed into one row for each part that gets any."""
+    order = np.argsort(to.astype(np.uint16 if parts <= 1 << 16 else np.int64), kind="stable")
+    cut = np.searchsorted(to[order], np.arange(parts + 1))
     full = np.flatnonzero(np.diff(cut))
-    return pa.RecordBatch.from_arrays(
-        [pa.array(full.astype(np.int32)), pa.array([h[cut[b] : cut[b + 1]].tobytes() for b in full], pa.binary()), pa.array([key[cut[b] : cut[b + 1]].tobytes() for b in full], pa.binary())],
-        ["bucket", "h", "key"],
-    )
+    packed = [pa.array([x[cut[b] : cut[b + 1]].tobytes() for b in full], pa.binary()) for x in (c[order] for c in columns.values())]
+    return pa.RecordBatch.from_arrays([pa.array(full.astype(np.int32)), *packed], ["part", *columns])
+
+
+def unpacked(t: pa.Table, column: str) -> np.ndarray:
+    return np.frombuffer(b"".join(t[column].to_pylist()), _U)
 
 
-def postings(docs: DataFrame, size: int, buckets: int) -> DataFrame:
-    """Packed postings of the distinct sets, under the upper half of their keys."""
+def group_starts(h: np.ndarray) -> np.ndarray:
+    return np.flatnonzero(np.concatenate(([True], h[1:] != h[:-1]))) if len(h) else np.zeros(0, np.int64)
+
+
+def distinct_sets(texts: list[bytes], size: int) -> tuple[np.ndarray, list[np.ndarray]]:
+    sets = {set_keys(s)[0]: s for s in shingle_sets(texts, size) if len(s)}
+    return np.fromiter(sets, _U, len(sets)), list(sets.values())
+
+
+def signature_postings(docs: DataFrame, size: int, percent: int, parts: int) -> DataFrame:
+    """Packed postings (shingle, key) of the signatures, dealt by shingle to parts 0, 2, 4, .. .
+
+    Of the sets of a batch that share a shingle two are sent, which is enough to show that it is
+    repeated; the keys of the others go straight to the odd parts, dealt by key, as one repeated
+    shingle each. So a common shingle costs two postings a batch.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             texts = as_bytes(batch["text"])
             for i, j in pieces(texts, 16_000_000):
-                sets = {set_keys(s)[0]: s for s in shingle_sets(texts[i:j], size) if len(s)}
-                if sets:
-                    key = np.repeat((np.fromiter(sets, _U, len(sets)) >> _U(32)).astype(np.uint32), [len(s) for s in sets.values()])
-                    yield packed(np.concatenate(list(sets.values())), key, buckets)
-
-    return docs.select("text").mapInArrow(run, "bucket int, h binary, key binary")
-
-
-def repeated(t: pa.Table) -> tuple[np.ndarray, np.ndarray]:
-    """A bucket's postings whose shingle has two keys or more, sorted and distinct."""
-    h = np.frombuffer(b"".join(t["h"].to_pylist()), _U)
-    key = np.frombuffer(b"".join(t["key"].to_pylist()), _U)
-    order = np.lexsort((key, h))
-    h, key = h[order], key[order]
-    new = np.ones(len(h), bool)
-    new[1:] = (h[1:] != h[:-1]) | (key[1:] != key[:-1])
-    h, key = h[new], key[new]
-    first = np.flatnonzero(np.concatenate(([True], h[1:] != h[:-1])))
-    count = np.diff(np.append(first, len(h)))
-    shared = np.repeat(count > 1, count)
-    return h[shared], key[shared]
-
-
-def shared_keys(t: pa.Table) -> np.ndarray:
-    """The keys of a bucket's postings whose shingle has two keys or more; equal postings are not merged."""
-    h = np.frombuffer(b"".join(t["h"].to_pylist()), _U)
-    key = np.frombuffer(b"".join(t["key"].to_pylist()), np.uint32)
-    order = np.argsort(h)
-    h, key = h[order], key[order]
-    first = np.flatnonzero(np.concatenate(([True], h[1:] != h[:-1])))
-    several = np.minimum.reduceat(key, first) != np.maximum.reduceat(key, first)
-    return key[np.repeat(several, np.diff(np.append(first, len(h))))]
+                keys, sets = distinct_sets(texts[i:j], size)
+                if not sets:
+                    continue
+                parts_of = [s[: signature_size(len(s), percent)] for s in sets]
+                h, key = np.concatenate(parts_of), np.repeat(keys, [len(s) for s in parts_of])
+                order = np.argsort(h, kind="stable")
+                h, key = h[order], key[order]
+                first = group_starts(h)
+                sent = np.arange(len(h)) - np.repeat(first, np.diff(np.append(first, len(h)))) < 2
+                yield dealt((h[sent] % _U(parts)).astype(np.int64) * 2, 2 * parts, h=h[sent], key=key[sent])
+                if not sent.all():
+                    rest = key[~sent]
+                    yield dealt((mix(rest) % _U(parts)).astype(np.int64) * 2 + 1, 2 * parts, h=np.zeros(len(rest), np.uint8), key=rest)
+
+    return docs.select("text").mapInArrow(run, "part int, h binary, key binary")
+
+
+def repeated_counts(postings: DataFrame, parts: int) -> DataFrame:
+    """(key, n_repeated): how many shingles of a signature other signatures have too; none that has fewer is left out."""
+
+    def of_part(t: pa.Table) -> pa.Table:
+        key = unpacked(t, "key")
+        if t["part"][0].as_py() % 2 == 0:
+            h = unpacked(t, "h")
+            order = np.lexsort((key, h))
+            h, key = h[order], key[order]
+            new = np.ones(len(h), bool)
+            new[1:] = (h[1:] != h[:-1]) | (key[1:] != key[:-1])
+            h, key = h[new], key[new]
+            count = np.diff(np.append(group_starts(h), len(h)))
+            key = key[np.repeat(count > 1, count)]
+        return pa.Table.from_batches([dealt((mix(key) % _U(parts)).astype(np.int64), parts, key=key)])
+
+    def summed(t: pa.Table) -> pa.Table:
+        key, n = np.unique(unpacked(t, "key"), return_counts=True)
+        return pa.table({"key": key.view(np.int64), "n_repeated": n.astype(np.int64)})
+
+    found = postings.groupBy("part").applyInArrow(of_part, "part int, key binary")
+    return found.groupBy("part").applyInArrow(summed, "key long, n_repeated long")
 
 
 def documents_of(docs: DataFrame, reps: DataFrame, n_docs: int) -> DataFrame:
@@ -141,196 +182,218 @@ def documents_of(docs: DataFrame, reps: DataFrame, n_docs: int) -> DataFrame:
 
 
 def candidate_sets(docs: DataFrame, classes: DataFrame, n_docs: int, size: int, percent: int) -> DataFrame:
-    """(key, n, shingles) of the sets that can link to another one.
+    """(key, n, shingles) of the sets that can link to another one: enough of their signature is repeated.
 
-    needed(n) of a linked set's shingles occur in other sets; sets with fewer such shingles
-    are left out. Only one document of each class of equal sets is cut into shingles.
+    Only one document of each class of equal sets is cut into shingles.
     """
-    buckets = shuffle_partitions(docs.sparkSession)
-
-    def half_counts(t: pa.Table) -> pa.Table:
-        half, n = np.unique(shared_keys(t), return_counts=True)
-        return pa.table({"half": half.astype(np.int64), "n_repeated": n.astype(np.int64)})
-
-    half = F.shiftrightunsigned("key", 32).alias("half")
-    found = postings(documents_of(docs, classes, n_docs), size, buckets)
-    counts = found.groupBy("bucket").applyInArrow(half_counts, "half long, n_repeated long").groupBy("half").agg(F.sum("n_repeated").alias("n_repeated"))
-    keys = classes.select("key", "n", "rep", half).join(counts.hint("merge"), "half")
-    keys = saved(keys.where(f"100 * n_repeated >= {percent} * n").select("key", "rep"))
+    total = classes.agg(F.sum("n")).first()[0] or 0
+    parts = max(shuffle_partitions(docs.sparkSession), -(-signature_size(total, percent) // BUCKET_POSTINGS))
+    counts = repeated_counts(signature_postings(documents_of(docs, classes, n_docs), size, percent, parts), parts)
+    keys = classes.select("key", "n", "rep").join(counts.hint("merge"), "key")
+    keys = saved(keys.where(f"100 * n_repeated >= {SPARE} * n").select("key", "rep"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             texts = as_bytes(batch["text"])
-            for i, j in pieces(texts, 16_000_000):
-                sets = {set_keys(s)[0]: s for s in shingle_sets(texts[i:j], size) if len(s)}
+            for i, j in pieces(texts, 4_000_000):
+                names, sets = distinct_sets(texts[i:j], size)
                 if sets:
-                    yield pa.RecordBatch.from_arrays(
-                        [as_long(np.fromiter(sets, _U, len(sets))), pa.array([len(s) for s in sets.values()], pa.int64()), pa.array([s.tobytes() for s in sets.values()], pa.binary())],
-                        ["key", "n", "shingles"],
-                    )
+                    offsets = np.concatenate(([0], np.cumsum([len(s) for s in sets]))).astype(np.int32)
+                    yield pa.RecordBatch.from_arrays([as_long(names), pa.ListArray.from_arrays(pa.array(offsets), as_long(np.concatenate(sets)))], ["key", "shingles"])
 
-    sets = documents_of(docs, keys, n_docs).mapInArrow(run, "key long, n long, shingles binary")
-    return saved(sets.join(keys, "key", "left_semi").groupBy("key").agg(F.first("n").alias("n"), F.first("shingles").alias("shingles")))
+    sets = documents_of(docs, keys, n_docs).mapInArrow(run, "key long, shingles array<long>")
+    sets = sets.join(keys, "key", "left_semi").groupBy("key").agg(F.first("shingles").alias("shingles"))
+    return saved(sets.select("key", F.size("shingles").alias("n"), "shingles"))
 
 
-def short_lists(sets: DataFrame, n_sets: int, percent: int) -> tuple[DataFrame, object]:
-    """Inverted lists over the short-listed shingles of each set, and the long-listed ones.
+def t_occurrence(lists: list[list[int]], least: int) -> Iterator[tuple[int, int]]:
+    """(value, count) of the values that ``least`` of the sorted lists have, by MergeSkip.
 
-    The order of shingles puts the long lists last. Of linked sets, the first
-    n - needed(n) + 1 shingles in any common order share one, so the needed(n) - 1 last ones,
-    the longest lists, are left out. Lists with the same members are given once.
+    The heap holds the front of each list. Where a value is too rare, the least - 1 smallest fronts
+    move on by binary search to the first value that can still be frequent enough.
+    """
+    at = [0] * len(lists)
+    heap = [(x[0], i) for i, x in enumerate(lists)]
+    heapq.heapify(heap)
+    while len(heap) >= least:
+        value, popped = heap[0][0], []
+        while heap and heap[0][0] == value:
+            popped.append(heapq.heappop(heap)[1])
+        if len(popped) >= least:
+            yield value, len(popped)
+            to = value + 1
+        else:
+            while heap and len(popped) < least - 1:
+                popped.append(heapq.heappop(heap)[1])
+            if not heap:
+                return
+            to = max(heap[0][0], value + 1)
+        for i in popped:
+            x = lists[i]
+            at[i] = bisect_left(x, to, at[i])
+            if at[i] < len(x):
+                heapq.heappush(heap, (x[at[i]], i))
+
+
+def enough(count: int, n: int, long_: int, m: int, other_long: int, percent: int) -> bool:
+    """Whether sets of n and m shingles that share ``count`` short lists may link, unless they share a long list and both have many."""
+    if 100 * min(n, m) < percent * max(n, m):
+        return False
+    least = least_common(max(n, m))
+    fewer = min(long_, other_long)
+    return count >= (least - fewer if fewer < least else least)
+
+
+def short_candidates(postings: DataFrame, lengths: DataFrame, total: int, percent: int) -> DataFrame:
+    """(a, b): sets that share enough short lists, by a heap-merge of each set's lists.
+
+    A set's lists have the members behind it, so each pair comes up at one of its ends.
     """
-    spark = sets.sparkSession
-    buckets = shuffle_partitions(spark)
-    limit = max(8, int(n_sets * LONG_SHARE))
+    short = lengths.where(F.col("length") <= SHORT)
+    hot = F.broadcast(lengths.where(F.col("length") >= max(SHORT + 1, total // 500)).select("h"))  # 500 at most
+    found = postings.join(hot, "h", "left_anti").join(short.select("h").hint("merge"), "h")
+    lists = found.groupBy("h").agg(F.sort_array(F.collect_list(F.struct("key", "n", "long"))).alias("members"))
+    probes = lists.select("h", "members", F.posexplode("members").alias("i", "probe")).where("i + 1 < size(members)")
+    probes = probes.select(F.col("probe.key").alias("key"), F.col("probe.n").alias("n"), F.col("probe.long").alias("long"), F.expr("slice(members, i + 2, size(members))").alias("behind"))
+    merged = probes.groupBy("key", "n", "long").agg(F.collect_list("behind").alias("lists"))
+    merged = merged.where(f"size(lists) >= if(100 * long < {SPARE} * n, ceil(n * {SPARE} / 100) - long, 1)")
 
-    def all_postings(batches):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            kept = [np.frombuffer(x, _U) for x in batch["shingles"].to_pylist()]
-            if kept:
-                yield packed(np.concatenate(kept), np.repeat(batch["key"].to_numpy().view(_U), [len(x) for x in kept]), buckets)
-
-    def long_ones(t: pa.Table) -> pa.Table:
-        h, n = np.unique(repeated(t)[0], return_counts=True)
-        return pa.table({"h": h[n >= limit].view(np.int64), "n": n[n >= limit].astype(np.int64)})
-
-    # at most 1 / LONG_SHARE times the mean number of shingles in a set
-    found = sets.mapInArrow(all_postings, "bucket int, h binary, key binary").groupBy("bucket").applyInArrow(long_ones, "h long, n long").toArrow()
-    h, n = found["h"].to_numpy().astype(np.int64).view(_U), found["n"].to_numpy().astype(np.int64)
-    order = np.argsort(h)
-    long_ = spark.sparkContext.broadcast((h[order], n[order]))
+            a, b = [], []
+            for key, n, long_, lists in zip(*(batch[c].to_pylist() if c != "lists" else batch[c] for c in ("key", "n", "long", "lists"))):
+                inner = lists.values
+                fields = inner.flatten()
+                member, size, other = (fields.field(c).to_pylist() for c in ("key", "n", "long"))
+                cut = np.concatenate(([0], np.cumsum(inner.value_lengths().to_numpy()))).tolist()
+                about = dict(zip(member, zip(size, other)))
+                least = least_common(n)
+                for value, count in t_occurrence([member[i:j] for i, j in zip(cut, cut[1:])], least - long_ if long_ < least else 1):
+                    if enough(count, n, long_, *about[value], percent):
+                        a.append(key)
+                        b.append(value)
+            yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], ["a", "b"])
+
+    return merged.mapInArrow(run, "a long, b long")
+
+
+def verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """The (a, b) of ``pairs`` that link: each shingle of the smaller set is looked up in the larger one by binary search."""
+    of = lambda side: sets.select(F.col("key").alias(side), F.col("shingles").alias(f"{side}_set")).hint("merge")
+    both = pairs.join(of("a"), "a").join(of("b"), "b")
 
-    def prefix_postings(batches):
-        for batch in batches:
-            kept = []
-            for x in batch["shingles"].to_pylist():
-                s = np.frombuffer(x, _U)
-                n = len(s) - int(needed(np.int64(len(s)), percent)) + 1
-                kept.append(by_length(s, long_.value)[:n])
-            if kept:
-                yield packed(np.concatenate(kept), np.repeat(batch["key"].to_numpy().view(_U), [len(x) for x in kept]), buckets)
-
-    def lists(t: pa.Table) -> pa.Table:
-        h, key = repeated(t)
-        first = np.flatnonzero(np.concatenate(([True], h[1:] != h[:-1]))) if len(h) else np.zeros(0, np.int64)
-        count = np.diff(np.append(first, len(h)))
-        with np.errstate(over="ignore"):
-            name = mix(np.add.reduceat(mix(key), first) + count.astype(_U)) if len(h) else np.zeros(0, _U)
-        _, some = np.unique(name, return_index=True)
-        rows = np.isin(np.repeat(np.arange(len(first)), count), some)
-        return pa.table({"list": np.repeat(name, count)[rows].view(np.int64), "key": key[rows].view(np.int64)})
-
-    made = sets.mapInArrow(prefix_postings, "bucket int, h binary, key binary").groupBy("bucket").applyInArrow(lists, "list long, key long")
-    return saved(made.distinct()), long_
-
-
-def by_length(s: np.ndarray, long_: tuple[np.ndarray, np.ndarray]) -> np.ndarray:
-    """The shingles of a set with the long-listed ones last, the longest list at the end."""
-    h, n = long_
-    if not len(h):
-        return s
-    at = np.minimum(np.searchsorted(h, s), len(h) - 1)
-    is_long = h[at] == s
-    return np.concatenate((s[~is_long], s[is_long][np.argsort(n[at[is_long]], kind="stable")]))
-
-
-def overlaps(ordered: np.ndarray, short: int, b: np.ndarray, least: int) -> bool:
-    """Whether two sets share ``least`` shingles, by binary search in b.
-
-    ``ordered`` is one set by the length of its lists. Its ``short`` first shingles are looked up
-    in b first; the rest, those of the longest lists, only if they can still be enough.
-    """
-    have = lambda x: int((b[np.minimum(np.searchsorted(b, x), len(b) - 1)] == x).sum())
-    found = have(ordered[:short])
-    return found + len(ordered) - short >= least and found + have(ordered[short:]) >= least
-
-
-def verified(pairs: DataFrame, sets: DataFrame, long_, percent: int) -> DataFrame:
-    """The (a, b) of ``pairs`` that link."""
-    pairs = saved(pairs)
-    total = pairs.count()
-    # a set of many pairs goes to several tasks; sets are not broadcast, as their bytes have no bound
-    most = max(MAX_LEADERS, int(total * HOT_SHARE))
-    many = pairs.groupBy("a").agg(F.ceil(F.count("*") / most).cast("int").alias("salts")).where("salts > 1")
-    many, n_salts = F.broadcast(saved(many)), F.coalesce("salts", F.lit(1))
-    dealt = pairs.join(many, "a", "left").withColumn("salt", F.pmod(F.xxhash64("b"), n_salts).cast("int")).drop("salts")
-    left = sets.select(F.col("key").alias("a"), F.col("shingles").alias("a_set")).join(pairs.select("a").distinct(), "a", "left_semi")
-    left = left.join(many, "a", "left").withColumn("salt", F.explode(F.sequence(F.lit(0), n_salts - 1))).drop("salts")
-    with_a = dealt.join(left.hint("merge"), ["a", "salt"])
-    with_both = with_a.join(sets.select(F.col("key").alias("b"), F.col("shingles").alias("b_set")).hint("merge"), "b")
-
-    def run(batches):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            good, last = [], None
-            for x, y in zip(batch["a_set"].to_pylist(), batch["b_set"].to_pylist()):
-                if y != last:  # rows come by b
-                    last, ordered = y, by_length(np.frombuffer(y, _U), long_.value)
-                    short = len(ordered) - int(needed(np.int64(len(ordered)), percent)) + 1
-                x = np.frombuffer(x, _U)
-                good.append(overlaps(ordered, short, x, -(-percent * (len(x) + len(ordered)) // (100 + percent))))
+            good = []
+            for x, y in zip(batch["a_set"], batch["b_set"]):
+                x, y = sorted((x.values.to_numpy().view(_U), y.values.to_numpy().view(_U)), key=len)
+                common = int((y[np.minimum(np.searchsorted(y, x), len(y) - 1)] == x).sum())
+                good.append(100 * common >= percent * (len(x) + len(y) - common))
             keep = pa.array(good, pa.bool_())
             yield pa.RecordBatch.from_arrays([batch["a"].filter(keep), batch["b"].filter(keep)], ["a", "b"])
 
-    return saved(with_both.select("a", "b", "a_set", "b_set").mapInArrow(run, "a long, b long"))
+    return both.select("a", "b", "a_set", "b_set").mapInArrow(run, "a long, b long")
 
 
-def open_pairs(members: DataFrame, fits: str, most: int = MAX_LEADERS) -> DataFrame:
-    """(a, b): the pairs of different components within each list of ``rows`` members, each pair once.
+def leader_blocks(long_postings: DataFrame) -> DataFrame:
+    """(leader, key, block): the sets with many long lists under the leader of each of their long lists.
 
-    A list is dealt into blocks of about ``most`` members and two blocks meet at a time, so no key
-    of the join has more pairs than two blocks have, however long the list.
+    ``long_postings``: h, key, n, long (how many long lists the set has), of these sets. A list's
+    leader is the member with the largest share of long lists, which is the middle of a group of
+    near copies. A leader's members are dealt into blocks of about BLOCK_SHINGLES shingles.
     """
-    blocks = F.ceil(F.col("rows") / most).cast("int")
-    members = members.select("list", "key", "n", "component", blocks.alias("blocks"), F.pmod(F.xxhash64("key"), blocks).cast("int").alias("own"))
-    a = members.select("list", F.col("own").alias("i"), F.explode(F.sequence("own", F.col("blocks") - 1)).alias("j"), *[F.col(c).alias(f"a_{c}") for c in ("key", "n", "component")])
-    b = members.select("list", F.explode(F.sequence(F.lit(0), "own")).alias("i"), F.col("own").alias("j"), *[F.col(c).alias(f"b_{c}") for c in ("key", "n", "component")])
-    met = a.join(b, ["list", "i", "j"]).where("(i < j or a_key < b_key) and a_component <> b_component").where(fits)
-    return met.select(F.least("a_key", "b_key").alias("a"), F.greatest("a_key", "b_key").alias("b")).distinct()
-
-
-def linked_keys(lists: DataFrame, sets: DataFrame, long_, percent: int) -> DataFrame:
-    """(node, component) of the sets that link to another one.
-
-    Each list's members are checked against some of them, the leaders, each of another component;
-    one leader joins a group of near copies with one pair per member. A leader has then met its
-    whole list and leaves it. Lists that still hold many more pairs of different components than
-    members get more leaders, four times as many each turn; then all that is left is checked.
+    lead = long_postings.groupBy("h").agg(F.max(F.struct((F.col("long") / F.col("n")).alias("share"), "key")).alias("lead"), F.count("*").alias("rows"))
+    lead = saved(lead.select("h", F.col("lead.key").alias("leader"), "rows"))
+    total = lead.agg(F.sum("rows")).first()[0] or 0
+    members = saved(join_unique(long_postings.select("h", "key", "n"), lead, "h", "rows", total).select("leader", "key", "n").distinct())
+    sizes = members.groupBy("leader").agg(F.ceil(F.sum("n") / BLOCK_SHINGLES).cast("int").alias("blocks"), F.count("*").alias("rows"))
+    spread = join_unique(members, saved(sizes), "leader", "rows", total)
+    return saved(spread.select("leader", "key", "blocks", F.pmod(F.xxhash64("key"), F.col("blocks")).cast("int").alias("block")))
+
+
+def differences(members: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """(leader, block, blocks, key, n, linked, difference): what each member has and its leader lacks, and the other way round."""
+    cols = ("leader", "block", "blocks", "key", "n", "shingles")
+    own = members.join(sets.hint("merge"), "key").select(*cols, F.lit(False).alias("leads"))
+    blocks = members.select("leader", "block", "blocks").distinct().withColumn("key", F.col("leader"))
+    leads = blocks.join(sets.hint("merge"), "key").select(*cols, F.lit(True).alias("leads"))
+
+    def compared(t: pa.Table) -> pa.Table:
+        base = t.filter(t["leads"])["shingles"][0].values.to_numpy().view(_U)
+        own = t.filter(pc.invert(t["leads"]))
+        linked, gone = [], []
+        for s in own["shingles"]:
+            x = s.values.to_numpy().view(_U)
+            d = np.setxor1d(x, base, assume_unique=True)
+            common = (len(x) + len(base) - len(d)) // 2
+            linked.append(100 * common >= percent * (common + len(d)))
+            gone.append(d.tobytes())
+        return own.drop_columns(["shingles", "leads"]).append_column("linked", pa.array(linked, pa.bool_())).append_column("difference", pa.array(gone, pa.binary()))
+
+    schema = "leader long, block int, blocks int, key long, n int, linked boolean, difference binary"
+    return own.unionByName(leads).groupBy("leader", "block").applyInArrow(compared, schema)
+
+
+def open_links(compared: DataFrame, percent: int) -> DataFrame:
+    """(a, b): links of members that do not link to their leader, as a forest for each block.
+
+    Each of these looks its difference up in the inverted lists of a block's differences. Counting
+    gives |A xor B| = |D| + |E| - 2 |D and E| for the differences D, E of A and B.
     """
-    fits = f"least(a_n, b_n) * 100 >= {percent} * greatest(a_n, b_n)"
-    members = saved(lists.join(sets.select("key", "n"), "key").select("list", "key", "n", F.col("key").alias("component")))
-    total = members.count()
-    edges = tested = None
-    n_leaders = 1
-    while True:
-        per = saved(members.groupBy("list", "component").agg(F.min(F.struct(F.xxhash64("key").alias("o"), "key", "n")).alias("lead"), F.count("*").alias("c")), total)
-        open_lists = per.groupBy("list").agg(F.sum("c").alias("rows"), F.sum(F.col("c") * F.col("c")).alias("squares"), F.count("*").alias("parts")).where("parts > 1")
-        open_lists = saved(open_lists.select("list", "rows", (F.col("rows") * F.col("rows") - F.col("squares")).alias("twice")), total)
-        left = open_lists.agg(F.sum("twice")).first()[0] or 0
-        if left <= OPEN_PAIRS * total:
-            break
-        rank = F.row_number().over(Window.partitionBy("list").orderBy("lead.o", "lead.key"))
-        leaders = per.withColumn("rank", rank).where(F.col("rank") <= n_leaders)
-        leaders = leaders.groupBy("list").agg(F.collect_list(F.struct("lead.key", "lead.n", "component")).alias("leaders"))
-        leaders = saved(leaders.join(open_lists.select("list", "rows"), "list"), total)
-        joined = saved(join_unique(members, leaders, "list", "rows", total))
-        met = joined.select(F.col("key").alias("b"), F.col("n").alias("b_n"), "component", F.explode("leaders").alias("l"))
-        met = met.select(F.col("l.key").alias("a"), F.col("l.n").alias("a_n"), "b", "b_n").where("component <> l.component").where(fits)
-        pairs = saved(met.select("a", "b").distinct(), total * n_leaders)
-        good = verified(pairs if tested is None else pairs.join(tested, ["a", "b"], "left_anti"), sets, long_, percent)
-        tested = pairs if tested is None else tested.unionByName(pairs)
-        members = joined.where(~F.array_contains("leaders.key", F.col("key"))).select("list", "key", "n", "component")
-        found = not good.isEmpty()
-        edges = good if edges is None else edges.unionByName(good) if found else edges
-        if found:
-            component = connected_components(edges)
-            edges = component.where("node <> component").select(F.col("node").alias("a"), F.col("component").alias("b"))
-            members = members.drop("component").join(component.withColumnRenamed("node", "key"), "key", "left").withColumn("component", F.coalesce("component", "key"))
-        members = saved(members.select("list", "key", "n", "component"), total)
-        n_leaders = min(MAX_LEADERS, 4 * n_leaders)
-    if left:
-        good = verified(open_pairs(members.join(open_lists.select("list", "rows"), "list"), fits), sets, long_, percent)
-        edges = good if edges is None else edges.unionByName(good)
-    return connected_components(edges)
+    open_ = compared.where(~F.col("linked")).withColumn("block", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+    nothing = pa.table({"a": pa.array([], pa.int64()), "b": pa.array([], pa.int64())})
+
+    def search(t: pa.Table) -> pa.Table:
+        index, probes = t.filter(pc.invert(t["probe"])), t.filter(t["probe"])
+        if not len(probes) or not len(index):
+            return nothing
+        d = [np.frombuffer(x, _U) for x in index["difference"].to_pylist()]
+        size, key, n = np.array([len(x) for x in d]), index["key"].to_numpy(), index["n"].to_numpy().astype(np.int64)
+        linked = index["linked"].to_numpy()
+        flat, owner = np.concatenate(d), np.repeat(np.arange(len(d)), size)
+        order = np.argsort(flat, kind="stable")
+        flat, owner = flat[order], owner[order]
+        leader = index["leader"][0].as_py()
+        a, b = [], []
+        for name, m, x in zip(probes["key"].to_pylist(), probes["n"].to_pylist(), probes["difference"].to_pylist()):
+            x = np.frombuffer(x, _U)
+            first, last = np.searchsorted(flat, x, "left"), np.searchsorted(flat, x, "right")
+            met = np.concatenate([owner[i:j] for i, j in zip(first, last) if i < j] or [np.zeros(0, np.int64)])
+            common = np.bincount(met, minlength=len(d))
+            apart = size + len(x) - 2 * common
+            near = (100 * (n + m - apart) >= percent * (n + m + apart)) & (key != name)
+            if (near & linked).any():
+                a.append(name)
+                b.append(leader)
+            a += [name] * int((near & ~linked).sum())
+            b += key[near & ~linked].tolist()
+        nodes, ends = np.unique(np.array(a + b, np.int64), return_inverse=True)
+        label = np.arange(len(nodes))
+        merge_labels(label, ends[: len(a)], ends[len(a) :])
+        return pa.table({"a": nodes, "b": nodes[label]})
+
+    both = compared.withColumn("probe", F.lit(False)).unionByName(open_.withColumn("probe", F.lit(True)))
+    return both.groupBy("leader", "block").applyInArrow(search, "a long, b long").where("a <> b")
+
+
+def linked_keys(sets: DataFrame, percent: int) -> DataFrame:
+    """(node, component) of the sets that link to another one."""
+    size = f"CAST(n - n * {percent - SPARE} div 100 AS INT)"
+    total = sets.agg(F.sum(F.expr(size))).first()[0] or 0
+    signature = F.expr(f"slice(shingles, 1, {size})")
+    lengths = saved(sets.select(F.explode(signature).alias("h")).groupBy("h").agg(F.count("*").alias("length")).where("length > 1"))
+    long_ = lengths.where(F.col("length") > SHORT)
+    long_postings = saved(join_unique(sets.select("key", "n", F.explode(signature).alias("h")), long_, "h", "length", total))
+    has_long = saved(long_postings.groupBy("key").agg(F.count("*").cast("int").alias("long")))
+    marked = sets.select("key", "n", signature.alias("s")).join(has_long, "key", "left").select("key", "n", F.coalesce("long", F.lit(0)).alias("long"), F.explode("s").alias("h"))
+    links = saved(verified(saved(short_candidates(marked, lengths, total, percent)), sets, percent))
+    many = has_long.join(sets.select("key", "n"), "key").where(f"100 * long >= {SPARE} * n").select("key", "long")
+    members = leader_blocks(long_postings.join(many, "key"))
+    if not members.isEmpty():
+        compared = saved(differences(members, sets, percent))
+        to_leader = compared.where("linked AND key <> leader").select(F.col("key").alias("a"), F.col("leader").alias("b"))
+        links = links.unionByName(to_leader).unionByName(saved(open_links(compared, percent)))
+    return connected_components(links)
 
 
 def jaccard_components(docs: DataFrame, size: int = SHINGLE, percent: int = PERCENT) -> DataFrame:
@@ -340,22 +403,19 @@ def jaccard_components(docs: DataFrame, size: int = SHINGLE, percent: int = PERC
     its distinct runs of ``size`` words, or the whole sequence if it is shorter. Documents link
     when percent * |union| <= 100 * |intersection|; component_id is the smallest doc_id that
     links reach. Null, empty and blank texts have the empty set and link with nothing. Equal
-    sets are compared once. No link between different sets is lost: every filter is exact, and
-    pairs are left out only within a component that is joined already.
+    sets are compared once, so repeated rows and copies share a component. Shingles and sets are told
+    apart by 64-bit hashes; apart from that no link is lost. Links within a leader's group are not
+    all listed, as their number grows with the group's square. Other columns are ignored; an empty
+    table gives no rows.
     """
     rows = saved(document_rows(docs, size))
     n_docs = rows.count()
     filled = rows.where(F.col("key").isNotNull())
     classes = saved(filled.groupBy("key", "check").agg(F.min("doc_id").alias("rep"), F.first("n_shingles").alias("n"), F.count("*").alias("rows")))
-    sets = candidate_sets(docs, classes, n_docs, size, percent)
-    lists, long_ = short_lists(sets, sets.count(), percent)
-    component = linked_keys(lists, sets, long_, percent) if not lists.isEmpty() else None
-    if component is None:
-        named = classes.select("key", "rows", F.col("rep").alias("component_id"))
-    else:
-        placed = saved(classes.join(component.withColumnRenamed("node", "key"), "key", "left").withColumn("component", F.coalesce("component", "key")))
-        least = placed.groupBy("component").agg(F.min("rep").alias("component_id"), F.count("*").alias("n_classes"))
-        named = join_unique(placed.select("key", "rows", "component"), saved(least), "component", "n_classes", placed.count())
+    component = linked_keys(candidate_sets(docs, classes, n_docs, size, percent), percent)
+    placed = saved(classes.join(component.withColumnRenamed("node", "key"), "key", "left").withColumn("component", F.coalesce("component", "key")))
+    least = placed.groupBy("component").agg(F.min("rep").alias("component_id"), F.count("*").alias("n_classes"))
+    named = join_unique(placed.select("key", "rows", "component"), saved(least), "component", "n_classes", placed.count())
     named = saved(named.groupBy("key").agg(F.min("component_id").alias("component_id"), F.sum("rows").alias("rows")))
     out = join_unique(filled, named, "key", "rows", n_docs).select("doc_id", "n_shingles", "component_id")
     return out.unionByName(rows.where(F.col("key").isNull()).select("doc_id", "n_shingles", F.col("doc_id").alias("component_id")))
@@ -363,4 +423,3 @@ def jaccard_components(docs: DataFrame, size: int = SHINGLE, percent: int = PERC
 
 def op1_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard_components(table(spark, sf_dir, "documents"))
-

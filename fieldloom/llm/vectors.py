@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .shared import connected_components, join_unique, saved, table
+from .shared import connected_components, join_unique, merge_labels, saved, table
 
 THRESHOLD = 0.95
 #: Vectors of a block, in expectation at most; a tile compares two blocks.
@@ -63,16 +63,6 @@ def linked(x: np.ndarray, y: np.ndarray, threshold: float):
         yield i[near], j[near]
 
 
-def merge_labels(label: np.ndarray, i: np.ndarray, j: np.ndarray) -> None:
-    """Give both ends of each link the smaller label, until no link joins two labels."""
-    while (apart := label[i] != label[j]).any():
-        i, j = i[apart], j[apart]
-        low, high = np.minimum(label[i], label[j]), np.maximum(label[i], label[j])
-        to = np.arange(len(label))
-        np.minimum.at(to, high, low)
-        label[:] = to[label]
-
-
 def compare_tile(tile: pa.Table, threshold: float) -> pa.Table:
     """Links between the two blocks of a tile, or within its one block: per vector the copies it links to, and its tile label."""
     vec, size, side = (tile[c].to_numpy() for c in ("vec_id", "size", "side"))
