@@ -22,7 +22,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .shared import bitmap_blocks, bits_for, connected_components, join_unique, maybe_in, merge_labels, saved, shuffle_partitions, table
+from .shared import HOT_SHARE, bitmap_blocks, bits_for, connected_components, dealt, hot_keys, join_unique, maybe_in, merge_labels, saved, shuffle_partitions, table, unpacked
 from .text import Words, as_bytes, as_long, mix, pieces, powers, rolling
 
 SHINGLE = 5
@@ -33,7 +33,7 @@ SPARE = 15
 #: Members of a short list, at most.
 SHORT = 64
 #: Postings of a task that looks for repeated shingles, and shingles of a block of a leader's members, about.
-BUCKET_POSTINGS, BLOCK_SHINGLES = 2_000_000, 200_000
+BUCKET_POSTINGS, BLOCK_SHINGLES = 2_000_000, 50_000
 #: Bits of a filter for each document; its size is bounded by shared.MAX_BITS.
 BITS_PER_ROW = 64
 _U = np.uint64
@@ -98,19 +98,6 @@ def document_rows(docs: DataFrame, size: int) -> DataFrame:
     return docs.select("doc_id", "text").mapInArrow(run, "doc_id long, n_shingles long, key long, check long")
 
 
-def dealt(to: np.ndarray, parts: int, **columns: np.ndarray) -> pa.RecordBatch:
-    """The columns dealt to ``parts`` parts by ``to``, packed into one row for each part that gets any."""
-    order = np.argsort(to.astype(np.uint16 if parts <= 1 << 16 else np.int64), kind="stable")
-    cut = np.searchsorted(to[order], np.arange(parts + 1))
-    full = np.flatnonzero(np.diff(cut))
-    packed = [pa.array([x[cut[b] : cut[b + 1]].tobytes() for b in full], pa.binary()) for x in (c[order] for c in columns.values())]
-    return pa.RecordBatch.from_arrays([pa.array(full.astype(np.int32)), *packed], ["part", *columns])
-
-
-def unpacked(t: pa.Table, column: str) -> np.ndarray:
-    return np.frombuffer(b"".join(t[column].to_pylist()), _U)
-
-
 def group_starts(h: np.ndarray) -> np.ndarray:
     return np.flatnonzero(np.concatenate(([True], h[1:] != h[:-1]))) if len(h) else np.zeros(0, np.int64)
 
@@ -131,7 +118,7 @@ def signature_postings(docs: DataFrame, size: int, percent: int, parts: int) ->
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             texts = as_bytes(batch["text"])
-            for i, j in pieces(texts, 16_000_000):
+            for i, j in pieces(texts, 8_000_000):
                 keys, sets = distinct_sets(texts[i:j], size)
                 if not sets:
                     continue
@@ -250,8 +237,8 @@ def short_candidates(postings: DataFrame, lengths: DataFrame, total: int, percen
     A set's lists have the members behind it, so each pair comes up at one of its ends.
     """
     short = lengths.where(F.col("length") <= SHORT)
-    hot = F.broadcast(lengths.where(F.col("length") >= max(SHORT + 1, total // 500)).select("h"))  # 500 at most
-    found = postings.join(hot, "h", "left_anti").join(short.select("h").hint("merge"), "h")
+    hot = hot_keys(lengths, "h", "length", max(SHORT + 1, int(total * HOT_SHARE)))
+    found = postings.where(~F.col("h").isin(hot)).join(short.select("h").hint("merge"), "h")
     lists = found.groupBy("h").agg(F.sort_array(F.collect_list(F.struct("key", "n", "long"))).alias("members"))
     probes = lists.select("h", "members", F.posexplode("members").alias("i", "probe")).where("i + 1 < size(members)")
     probes = probes.select(F.col("probe.key").alias("key"), F.col("probe.n").alias("n"), F.col("probe.long").alias("long"), F.expr("slice(members, i + 2, size(members))").alias("behind"))

@@ -66,10 +66,14 @@ def mixed(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", sourc
     return joined.withColumn("source_size", F.col("_size")).withColumn("target", F.col("_target")).withColumn("copies", copies.cast("long")).drop("_source", "_size", "_target")
 
 
-def emit(docs: DataFrame, **options) -> DataFrame:
-    """The mix itself: the rows of ``docs``, each as often as the mix takes it, with its columns."""
-    out = mixed(docs, **options).where("copies > 0")
-    return out.withColumn("_copy", F.explode(F.array_repeat(F.lit(0), F.col("copies").cast("int")))).select(*docs.columns)
+def emit(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", **options) -> DataFrame:
+    """The mix itself: the rows of ``docs``, each as often as the mix takes it, with its own columns, whatever their names.
+
+    Null texts and sources are taken as in mixed(), repeated rows each by itself; an empty table gives no rows.
+    """
+    packed = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"), F.col(source_col).alias("source"))
+    out = mixed(packed, **options).where("copies > 0")
+    return out.select("row", F.explode(F.array_repeat(F.lit(0), F.col("copies").cast("int")))).select("row.*")
 
 
 def op6_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import numpy as np
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .linear import Features, Ftrl, ngrams, sample_features, score_texts, shapes, sigmoid
@@ -43,13 +43,14 @@ def train(sample: list[tuple], passes: int = PASSES) -> tuple[np.ndarray, float]
     return model.weights(), bias
 
 
-def with_quality(docs: DataFrame, labels: DataFrame, keep: list[str], sample_rows: int = SAMPLE_ROWS, threshold: float = THRESHOLD) -> DataFrame:
-    """The columns ``keep`` of ``docs`` with score (0 to 1, higher: label 1 likelier) and predicted (1: score >= threshold).
+def quality_scores(docs: DataFrame, labels: DataFrame, sample_rows: int = SAMPLE_ROWS, threshold: float = THRESHOLD, key: Column | None = None) -> DataFrame:
+    """One row per document: doc_id, held_out, score (0 to 1, higher: label 1 likelier), predicted (1: score >= threshold).
 
-    Learns from at most ``sample_rows`` labelled documents whose crc32(doc_id) mod 5 is not 0
-    and whose quality is not null; the score depends on the text alone. Null and empty texts,
-    which have no features, get the score of the bias. Without labels every score is 0.5.
-    A null doc_id is never learnt from. Columns named score or predicted are replaced.
+    Learns from at most ``sample_rows`` labelled documents whose crc32(doc_id) mod 5 is not 0 (the others,
+    those with a null id not among them, are held_out) and whose quality is not null; the score depends on
+    the text alone, so equal texts tie. Null and empty texts, which have no features, get the score of the
+    bias. Without labels every score is 0.5. Repeated rows are scored each. Other columns are ignored, and
+    only the text goes through Python. ``key``: what stands for a row instead of doc_id, under that name.
     """
     fold = F.crc32(F.col("doc_id").cast("string")) % 5
     known = labels.where((fold != 0) & F.col("quality").isNotNull()).select("doc_id", F.col("quality").cast("int").alias("label"))
@@ -59,14 +60,8 @@ def with_quality(docs: DataFrame, labels: DataFrame, keep: list[str], sample_row
         score = sigmoid(dots + bias)
         return {"score": score, "predicted": (score >= threshold).astype(np.int32)}
 
-    keep = [c for c in keep if c not in ("score", "predicted")]
-    return score_texts(docs, features, weights, finish, "score double, predicted int", keep)
-
-
-def quality_scores(docs: DataFrame, labels: DataFrame, sample_rows: int = SAMPLE_ROWS, threshold: float = THRESHOLD) -> DataFrame:
-    """One row per document: doc_id, held_out (crc32(doc_id) mod 5 is 0; false for a null id), score, predicted."""
-    held_out = F.coalesce(F.crc32(F.col("doc_id").cast("string")) % 5 == 0, F.lit(False))
-    return with_quality(docs.select("doc_id", "text", held_out.alias("held_out")), labels, ["doc_id", "held_out"], sample_rows, threshold)
+    rows = docs.select((F.col("doc_id") if key is None else key).alias("doc_id"), "text", F.coalesce(fold == 0, F.lit(False)).alias("held_out"))
+    return score_texts(rows, features, weights, finish, "score double, predicted int", ["doc_id", "held_out"])
 
 
 def op9_quality(spark: SparkSession, sf_dir: str) -> DataFrame:

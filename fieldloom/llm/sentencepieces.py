@@ -15,11 +15,11 @@ from .text import as_bytes, mix, pieces, powers
 
 MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 SPACE = "▁".encode()
-#: Texts are taken in pieces of about this many bytes.
-PIECE_BYTES = 1_000_000
+#: Texts are taken in pieces of about this many bytes; a longer text is alone.
+PIECE_BYTES = 300_000
 START, NOWHERE = -1, -2
-#: Distinct cuts that a worker remembers before it starts afresh, some 20 MB.
-MEMORY = 400_000
+#: Distinct cuts that a worker remembers before it starts afresh, some 10 MB.
+MEMORY = 200_000
 
 
 def spread(first: np.ndarray, count: np.ndarray) -> np.ndarray:
@@ -276,39 +276,48 @@ def loaded(model: bytes) -> Pieces:
     return _loaded[key]
 
 
+def broadcast_model(spark: SparkSession, model_path: str):
+    with open(model_path, "rb") as f:
+        return spark.sparkContext.broadcast(f.read())
+
+
+def encoded_batches(batches: Iterator[pa.RecordBatch], model: Pieces) -> Iterator[tuple[pa.RecordBatch, np.ndarray, np.ndarray]]:
+    """Slices of the batches with their tokens, one text after the other, and how many each text has."""
+    for batch in batches:
+        texts = as_bytes(batch["text"])
+        for i, j in pieces(texts, PIECE_BYTES):
+            yield batch.slice(i, j - i), *model.encode(texts[i:j])
+
+
+def as_lists(tokens: np.ndarray, counts: np.ndarray) -> pa.ListArray:
+    return pa.ListArray.from_arrays(pa.array(np.concatenate(([0], np.cumsum(counts))).astype(np.int32)), pa.array(tokens.astype(np.int32)))
+
+
 def encode(docs: DataFrame, model_path: str = MODEL) -> DataFrame:
     """(doc_id, text, tokens): the whole text's piece ids, as merging by rank gives them.
 
-    Null and empty texts have no tokens. Characters without a piece become one token a byte.
-    Batches are cut to a few MB, so very long texts are taken whole without much memory.
+    Null and empty texts have no tokens. Characters without a piece become one token a byte. Texts are
+    taken in pieces of PIECE_BYTES, a longer one alone, so a task's memory follows its longest text.
     """
-    with open(model_path, "rb") as f:
-        shared = docs.sparkSession.sparkContext.broadcast(f.read())
+    shared = broadcast_model(docs.sparkSession, model_path)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        model = loaded(shared.value)
-        for batch in batches:
-            texts = as_bytes(batch["text"])
-            for i, j in pieces(texts, PIECE_BYTES):
-                tokens, counts = model.encode(texts[i:j])
-                offsets = np.concatenate(([0], np.cumsum(counts))).astype(np.int32)
-                found = pa.ListArray.from_arrays(pa.array(offsets), pa.array(tokens.astype(np.int32)))
-                yield pa.RecordBatch.from_arrays([batch["doc_id"][i:j], batch["text"][i:j], found], ["doc_id", "text", "tokens"])
+        for part, tokens, counts in encoded_batches(batches, loaded(shared.value)):
+            yield pa.RecordBatch.from_arrays([part["doc_id"], part["text"], as_lists(tokens, counts)], ["doc_id", "text", "tokens"])
 
     return docs.select("doc_id", "text").mapInArrow(run, "doc_id long, text string, tokens array<int>")
 
 
 def decode(encoded: DataFrame, model_path: str = MODEL) -> DataFrame:
     """``encoded`` with ``decoded``, the text of its tokens. A text that holds U+2581 itself comes back with a space there."""
-    with open(model_path, "rb") as f:
-        shared = encoded.sparkSession.sparkContext.broadcast(f.read())
+    shared = broadcast_model(encoded.sparkSession, model_path)
     schema = T.StructType([*encoded.schema.fields, T.StructField("decoded", T.StringType())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model = loaded(shared.value)
         for batch in batches:
-            for i in range(0, batch.num_rows, 1000):
-                part = batch.slice(i, 1000)
+            for i in range(0, batch.num_rows, 200):
+                part = batch.slice(i, 200)
                 tokens = part["tokens"].fill_null([]) if part["tokens"].null_count else part["tokens"]
                 counts = tokens.value_lengths().to_numpy(zero_copy_only=False)
                 texts = [t.decode("utf-8", "replace") for t in model.decode(tokens.flatten().to_numpy(zero_copy_only=False).astype(np.int64), counts)]
@@ -317,15 +326,29 @@ def decode(encoded: DataFrame, model_path: str = MODEL) -> DataFrame:
     return encoded.mapInArrow(run, schema)
 
 
+def round_trips(docs: DataFrame, model_path: str = MODEL) -> DataFrame:
+    """(doc_id, tokens, round_trip): each text's tokens, and whether decoding them gives the text again.
+
+    As decode(encode(docs)), but the text and its tokens do not go through Spark in between. Null counts as empty.
+    """
+    shared = broadcast_model(docs.sparkSession, model_path)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        model = loaded(shared.value)
+        for part, tokens, counts in encoded_batches(batches, model):
+            same = [a == b for a, b in zip(as_bytes(part["text"]), model.decode(tokens, counts))]
+            yield pa.RecordBatch.from_arrays([part["doc_id"], as_lists(tokens, counts), pa.array(same, pa.bool_())], ["doc_id", "tokens", "round_trip"])
+
+    return docs.select("doc_id", "text").mapInArrow(run, "doc_id long, tokens array<int>, round_trip boolean")
+
+
 def token_digests(docs: DataFrame, model_path: str = MODEL) -> DataFrame:
-    """doc_id, n_tokens, tokens_sha256 (of the ids joined by spaces), round_trip (decoding gives the text again)."""
-    both = decode(encode(docs, model_path), model_path)
-    return both.select(
-        "doc_id",
-        F.size("tokens").cast("long").alias("n_tokens"),
-        F.sha2(F.array_join(F.col("tokens").cast("array<string>"), " ").cast("binary"), 256).alias("tokens_sha256"),
-        (F.col("decoded") == F.coalesce("text", F.lit(""))).alias("round_trip"),
-    )
+    """doc_id, n_tokens, tokens_sha256 (of the ids joined by spaces), round_trip (decoding gives the text again).
+
+    One row for each row of ``docs``, repeated ids too; null and empty texts have no tokens. Other columns are ignored.
+    """
+    ids = F.array_join(F.col("tokens").cast("array<string>"), " ").cast("binary")
+    return round_trips(docs, model_path).select("doc_id", F.size("tokens").cast("long").alias("n_tokens"), F.sha2(ids, 256).alias("tokens_sha256"), "round_trip")
 
 
 def op7_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -6,6 +6,7 @@ import tempfile
 import uuid
 
 import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -51,20 +52,25 @@ def shuffle_partitions(spark: SparkSession) -> int:
 
 
 def join_unique(left: DataFrame, right: DataFrame, key: str, count: str, total: int, how: str = "inner") -> DataFrame:
-    """Join ``left`` to ``right``, whose ``key`` is unique and whose ``count`` says how many left rows it meets.
+    """Join ``left`` to ``right``, a saved table whose ``key`` is unique and whose ``count`` says how many left rows it meets.
 
     Keys that hold at least HOT_SHARE of ``total`` rows go by broadcast: there are at most
     1 / HOT_SHARE of them, whatever the input's size. All others are shuffled, and no task
     then gets more than that share from one key. Null keys match nothing.
     """
     limit = max(2, int(total * HOT_SHARE))
-    hot = right.where(F.col(count) >= limit)
+    hot = hot_keys(right, key, count, limit)
     cold = right.where(F.col(count) < limit).drop(count)
-    flags = hot.select(F.col(key).alias("_hot_key"))
-    marked = left.join(F.broadcast(flags), F.col(key) == F.col("_hot_key"), "left")
-    hot_rows = marked.where(F.col("_hot_key").isNotNull()).drop("_hot_key").join(F.broadcast(hot.drop(count)), key)
-    cold_rows = marked.where(F.col("_hot_key").isNull()).drop("_hot_key").join(cold.hint("merge"), key, how)
-    return cold_rows.unionByName(hot_rows)
+    if not hot:
+        return left.join(cold.hint("merge"), key, how)
+    is_hot = F.coalesce(F.col(key).isin(hot), F.lit(False))
+    hot_rows = left.where(is_hot).join(F.broadcast(right.where(F.col(count) >= limit).drop(count)), key)
+    return left.where(~is_hot).join(cold.hint("merge"), key, how).unionByName(hot_rows)
+
+
+def hot_keys(counts: DataFrame, key: str, count: str, limit: int) -> list:
+    """The keys that are met ``limit`` times or more: as many as all rows over ``limit``, at most."""
+    return [r[0] for r in counts.where(F.col(count) >= limit).select(key).collect()]
 
 
 def bits_for(rows: int, per_row: int) -> int:
@@ -98,6 +104,19 @@ def collect_bitmap(df: DataFrame, cell: str, bits: int) -> np.ndarray:
     return out
 
 
+def dealt(to: np.ndarray, parts: int, **columns: np.ndarray) -> pa.RecordBatch:
+    """The columns dealt to ``parts`` parts by ``to``, packed into one row for each part that gets any."""
+    order = np.argsort(to.astype(np.uint16 if parts <= 1 << 16 else np.int64), kind="stable")
+    cut = np.searchsorted(to[order], np.arange(parts + 1))
+    full = np.flatnonzero(np.diff(cut))
+    packed = [pa.array([x[cut[b] : cut[b + 1]].tobytes() for b in full], pa.binary()) for x in (c[order] for c in columns.values())]
+    return pa.RecordBatch.from_arrays([pa.array(full.astype(np.int32)), *packed], ["part", *columns])
+
+
+def unpacked(t: pa.Table, column: str, kind=np.uint64) -> np.ndarray:
+    return np.frombuffer(b"".join(t[column].to_pylist()), kind)
+
+
 def in_bitmap(bitmap: np.ndarray, cells: np.ndarray) -> np.ndarray:
     return (bitmap[cells >> np.uint64(3)] >> (cells & np.uint64(7)).astype(np.uint8)) & 1 == 1
 
@@ -108,19 +127,32 @@ def maybe_in(df: DataFrame, cell, blocks: DataFrame) -> DataFrame:
     return tested.withColumn("_maybe", bit_is_set("bits", "_cell")).drop("block", "bits", "_cell")
 
 
-def without(df: DataFrame, dropped: DataFrame, key: str, rows: int) -> DataFrame:
-    """The rows of ``df`` whose ``key`` is not in ``dropped``; ``rows``: about how many ``df`` has.
+def row_key(id_col: str = "doc_id", text_col: str = "text"):
+    """What tells the rows of a table of documents apart: their id with two hashes of their text."""
+    text = F.col(text_col)
+    return F.concat_ws(":", F.col(id_col).cast("string"), F.hex(F.xxhash64(text)), F.hex(F.xxhash64(F.lit(1), text)))
+
+
+def parted(df: DataFrame, marked: DataFrame, key, rows: int) -> tuple[DataFrame, DataFrame]:
+    """The rows of ``df`` whose ``key`` is not in ``marked``, a table of one column, and those whose key is.
 
-    A bitmap of hashed keys, bounded by MAX_BITS, tells which rows may be dropped; only those
-    shuffle, all others pass straight through. A null key is never dropped.
+    A bitmap of hashed keys, bounded by MAX_BITS, tells which rows may be marked; only those shuffle,
+    all others pass straight through. A null key is never marked. ``rows``: about how many rows ``df``
+    has. Its columns may have any names.
     """
     bits = bits_for(rows, 64)
-    cell = F.pmod(F.xxhash64(key), F.lit(bits)) + 1
-    dropped = dropped.select(key).where(F.col(key).isNotNull()).distinct()
-    blocks = saved(bitmap_blocks(dropped.select(cell.alias("_cell")), "_cell"))
-    tested = maybe_in(df, cell, blocks)
-    passed = tested.where(~F.col("_maybe")).select(*df.columns)
-    return passed.unionByName(tested.where("_maybe").select(*df.columns).join(dropped.hint("merge"), key, "left_anti"))
+    cell = F.pmod(F.xxhash64("key"), F.lit(bits)) + 1
+    marked = marked.toDF("key").where(F.col("key").isNotNull()).distinct()
+    blocks = saved(bitmap_blocks(marked.select(cell.alias("_cell")), "_cell"))
+    packed = df.select(F.struct(*[F.col(f"`{c}`") for c in df.columns]).alias("row"), (F.col(key) if isinstance(key, str) else key).alias("key"))
+    tested = maybe_in(packed, cell, blocks)
+    passed, maybe = tested.where(~F.col("_maybe")).select("row.*"), tested.where("_maybe").select("row", "key")
+    return passed.unionByName(maybe.join(marked.hint("merge"), "key", "left_anti").select("row.*")), maybe.join(marked.hint("merge"), "key", "left_semi").select("row.*")
+
+
+def without(df: DataFrame, dropped: DataFrame, key, rows: int) -> DataFrame:
+    """The rows of ``df`` whose ``key`` is not in ``dropped``, see parted()."""
+    return parted(df, dropped, key, rows)[0]
 
 
 def merge_labels(label: np.ndarray, i: np.ndarray, j: np.ndarray) -> None:

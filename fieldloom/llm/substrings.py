@@ -1,8 +1,7 @@
-"""Substring dedup: spans of many words that an earlier document has, found by suffix automata of reference shards."""
+"""Substring dedup: spans of many words that an earlier document has, found by suffix automata of reference passages."""
 
 from __future__ import annotations
 
-import hashlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -10,34 +9,36 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .jaccard import signed
-from .shared import bits_for, collect_bitmap, in_bitmap, join_unique, saved, shuffle_partitions, table
-from .text import Words, as_bytes, as_long, pieces, rolling
+from .shared import bitmap_blocks, bits_for, collect_bitmap, in_bitmap, join_unique, maybe_in, saved, table, without
+from .text import Words, as_bytes, as_long, mix, pieces, rolling
 
 WINDOW = 50
 #: Words of an anchor. A window's anchor is its run of so many words with the least hash.
 ANCHOR = 8
-#: Words of a shard, about: passages and the spans that are matched against them.
-SHARD_WORDS = 40_000
-#: A passage is cut into blocks of a shard's words divided by this, so that a block's copies stay small beside its spans.
-BLOCKS_PER_SHARD = 10
 #: Bits of a filter for each document; its size is bounded by shared.MAX_BITS.
 BITS_PER_ROW = 256
+#: Turns in which windows go by an anchor; in the last turn they go by all of their words.
+ANCHOR_TURNS = 2
+#: A reference passage of more bytes is not broadcast, however many passages it is matched against.
+BROADCAST_BYTES = 20_000
+NO_ANCHOR = np.uint64(0xFFFFFFFFFFFFFFFF)
 
 
 class Automaton:
-    """A suffix automaton of word sequences; a separator that no text has keeps sequences apart."""
+    """A suffix automaton of a word sequence."""
 
-    def __init__(self) -> None:
+    def __init__(self, words: list) -> None:
         self.next: list[dict] = [{}]
-        self.link, self.length, self.last = [-1], [0], 0
+        self.link, self.length, last = [-1], [0], 0
+        for word in words:
+            last = self._add(word, last)
 
-    def add(self, word) -> None:
+    def _add(self, word, last: int) -> int:
         cur = len(self.next)
         self.next.append({})
-        self.length.append(self.length[self.last] + 1)
+        self.length.append(self.length[last] + 1)
         self.link.append(0)
-        p = self.last
+        p = last
         while p >= 0 and word not in self.next[p]:
             self.next[p][word] = cur
             p = self.link[p]
@@ -54,209 +55,255 @@ class Automaton:
                     p = self.link[p]
                 q = clone
             self.link[cur] = q
-        self.last = cur
+        return cur
 
-    def covered(self, words: list, least: int) -> list[tuple[int, int]]:
-        """Maximal ranges of ``words`` that matches of ``least`` words or more cover."""
-        out: list[tuple[int, int]] = []
-        state = length = 0
-        for i, word in enumerate(words):
+    def statistics(self, words: list) -> list[int]:
+        """Matching statistics: for each word the length of the longest run that ends there and occurs in the automaton."""
+        out, state, length = [], 0, 0
+        for word in words:
             while state and word not in self.next[state]:
                 state = self.link[state]
                 length = self.length[state]
             if word in self.next[state]:
                 state, length = self.next[state][word], length + 1
-            if length >= least:
-                first = i + 1 - length
-                if out and first <= out[-1][1]:
-                    first = min(first, out.pop()[0])
-                out.append((first, i + 1))
+            out.append(length)
         return out
 
 
-def anchors(h: np.ndarray, window: int, size: int) -> tuple[np.ndarray, np.ndarray]:
-    """For each window of a sequence of word hashes the hash and the position of its anchor."""
-    g = rolling(h, size)
-    at = np.lib.stride_tricks.sliding_window_view(g, window - size + 1).argmin(axis=1) + np.arange(len(h) - window + 1)
-    return g[at], at
+def least_at(g: np.ndarray, width: int) -> np.ndarray:
+    """Where the least of each ``width`` consecutive values stands, the first of equals, by doubling."""
+    at, step = np.arange(len(g)), 1
+    while step < width:
+        to = min(step, width - step)
+        left, right = at[: len(at) - to], at[to:]
+        at = np.where(g[left] <= g[right], left, right)
+        step += to
+    return at
 
 
-def anchor_rows(docs: DataFrame, window: int, size: int, bits: int) -> DataFrame:
-    """(cell, doc_id): the cell of each distinct anchor of a document."""
+def stretches(key: np.ndarray, at: np.ndarray, text_of: np.ndarray, judged: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(first, last): runs of consecutive judged windows of one text with the same anchor at the same place."""
+    new = np.ones(len(judged), bool)
+    new[1:] = ~judged[:-1] | (at[1:] != at[:-1]) | (key[1:] != key[:-1]) | (text_of[1:] != text_of[:-1])
+    first = np.flatnonzero(new & judged)
+    ends = np.ones(len(judged), bool)
+    ends[:-1] = new[1:] | ~judged[1:]
+    return first, np.flatnonzero(ends & judged)
+
+
+def anchored(words: Words, window: int, anchor: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(key, first, last) of each run of windows with the same anchor in some texts; windows are told by their first word."""
+    if len(words.start) < window:
+        return np.zeros(0, np.uint64), np.zeros(0, np.int64), np.zeros(0, np.int64)
+    g = rolling(words.hashes(), anchor)
+    at = least_at(g, window - anchor + 1)
+    n = len(words.start) - window + 1
+    text = words.text_of[:n]
+    first, last = stretches(g[at], at, text, text == words.text_of[window - 1 :])
+    return g[at[first]], first, last
+
+
+def anchor_rows(docs: DataFrame, window: int, anchor: int, bits: int) -> DataFrame:
+    """(cell, doc_id): the cell of each anchor of a document."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             ids, texts = batch["doc_id"].to_numpy(zero_copy_only=False), as_bytes(batch["text"])
             for i, j in pieces(texts):
                 words = Words(texts[i:j])
-                h, cells, owner = words.hashes(), [], []
-                for k, (first, n) in enumerate(zip(words.first, words.count)):
-                    if n >= window:
-                        cells.append(np.unique(anchors(h[first : first + n], window, size)[0] % np.uint64(bits)))
-                        owner.append(np.full(len(cells[-1]), ids[i + k]))
-                if cells:
-                    yield pa.RecordBatch.from_arrays([as_long(np.concatenate(cells)), pa.array(np.concatenate(owner))], ["cell", "doc_id"])
+                key, first, _ = anchored(words, window, anchor)
+                yield pa.RecordBatch.from_arrays([as_long(key % np.uint64(bits)), pa.array(ids[i:j][words.text_of[first]])], ["cell", "doc_id"])
 
     return docs.select("doc_id", "text").mapInArrow(run, "cell long, doc_id long")
 
 
-def window_rows(docs: DataFrame, window: int, size: int, bits: int, bitmap) -> DataFrame:
-    """(h, doc_id, pos): the windows whose anchor may occur in another document."""
+STRETCH = "key long, doc_id long, start int, words string, first int, last int"
+
+
+def stretch_rows(docs: DataFrame, window: int, anchor: int, bits: int, bitmap) -> DataFrame:
+    """STRETCH: for each anchor that another document may have, the words of its windows.
+
+    ``start`` is the place of the first word in the document; the windows to judge begin at the
+    words ``first`` to ``last`` of ``words``.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             ids, texts = batch["doc_id"].to_numpy(zero_copy_only=False), as_bytes(batch["text"])
             for i, j in pieces(texts):
                 words = Words(texts[i:j])
-                h, found = words.hashes(), []
-                whole = rolling(h, window)
-                for k, (first, n) in enumerate(zip(words.first, words.count)):
-                    if n >= window:
-                        hit = np.flatnonzero(in_bitmap(bitmap.value, anchors(h[first : first + n], window, size)[0] % np.uint64(bits)))
-                        if len(hit):
-                            found.append((whole[first + hit], np.full(len(hit), ids[i + k]), hit.astype(np.int32)))
-                if found:
-                    a, b, c = (np.concatenate(x) for x in zip(*found))
-                    yield pa.RecordBatch.from_arrays([as_long(a), pa.array(b), pa.array(c)], ["h", "doc_id", "pos"])
-
-    return docs.select("doc_id", "text").mapInArrow(run, "h long, doc_id long, pos int")
-
-
-def runs(pos: np.ndarray, owner: np.ndarray, block: np.ndarray, most: int) -> Iterator[tuple[int, int, int, int]]:
-    """(first, last, owner, block) of runs of at most ``most`` consecutive windows with the same owner and block."""
-    if len(pos):
-        cut = np.flatnonzero((np.diff(pos) != 1) | (owner[1:] != owner[:-1]) | (block[1:] != block[:-1])) + 1
-        for a, b in zip(np.append(0, cut), np.append(cut, len(pos))):
-            for i in range(a, b, most):
-                yield int(pos[i]), int(pos[min(i + most, b) - 1]), int(owner[a]), int(block[a])
-
-
-def joined(found: Iterator[tuple[int, int, int, int]], doc_id: int, window: int) -> list[tuple[int, int, int, int]]:
-    """Runs, those of a document's own passages made one where their words overlap within a block."""
-    out: list[tuple[int, int, int, int]] = []
-    for first, last, owner, block in found:
-        if owner == doc_id and out and out[-1][2:] == (owner, block) and first < out[-1][1] + window:
-            first = out.pop()[0]
-        out.append((first, last, owner, block))
-    return out
+                key, first, last = anchored(words, window, anchor)
+                hit = in_bitmap(bitmap.value, key % np.uint64(bits))
+                key, first, last = key[hit], first[hit], last[hit]
+                text = words.text_of[first]
+                cut = [b" ".join(words.buf[a:b].tobytes().split()) for a, b in zip(words.start[first], words.end[last + window - 1])]
+                yield pa.RecordBatch.from_arrays(
+                    [as_long(key), pa.array(ids[i:j][text]), pa.array((first - words.first[text]).astype(np.int32)), pa.array(cut, pa.binary()).cast(pa.string()),
+                     pa.array(np.zeros(len(key), np.int32)), pa.array((last - first).astype(np.int32))],
+                    ["key", "doc_id", "start", "words", "first", "last"],
+                )
 
+    return docs.select("doc_id", "text").mapInArrow(run, STRETCH)
 
-def spans_of(docs: DataFrame, hits: DataFrame, window: int, most: int) -> DataFrame:
-    """(doc_id, start, owner, block, span, n, words): reference passages (owner is the document) and spans that an owner has."""
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for doc_id, text, *at in zip(batch["doc_id"].to_pylist(), as_bytes(batch["text"]), batch["pos"], batch["owner"], batch["block"]):
-                words, rows = text.split(), []
-                p, o, b = (np.array(x.values) for x in at)
-                order = np.argsort(p, kind="stable")
-                for first, last, who, block in joined(runs(p[order], o[order], b[order], most), doc_id, window):
-                    span = b" ".join(words[first : last + window])
-                    rows.append((doc_id, first, who, block, signed(int.from_bytes(hashlib.blake2b(span, digest_size=8).digest(), "big")), last + window - first, span.decode("utf-8", "replace")))
-                yield pa.RecordBatch.from_pylist([dict(zip(SPANS.names, r)) for r in rows], SPANS)
+def references(rows: DataFrame) -> DataFrame:
+    """(key, base_doc, base, rows): the stretch of the smallest document of each key that several documents have."""
+    least = F.min_by(F.struct("doc_id", "words"), F.struct("doc_id", "start", "first")).alias("least")
+    found = rows.groupBy("key").agg(least, F.max("doc_id").alias("hi"), F.count("*").alias("rows")).where("least.doc_id < hi")
+    # a passage of many bytes counts as met by none, so that it is not broadcast
+    return found.select("key", F.col("least.doc_id").alias("base_doc"), F.col("least.words").alias("base"), F.when(F.octet_length("least.words") <= BROADCAST_BYTES, F.col("rows")).otherwise(0).alias("rows"))
 
-    return docs.join(hits, "doc_id").select("doc_id", "text", "pos", "owner", "block").mapInArrow(run, "doc_id long, start int, owner long, block int, span long, n int, words string")
 
+def next_keys(rows: list[tuple], todo: list[np.ndarray], window: int, anchor: int, whole: bool) -> list[list[tuple[int, int, int]]]:
+    """(key, first, last) of the windows that are left of each row, by anchors that its reference does not have.
 
-SPANS = pa.schema([("doc_id", pa.int64()), ("start", pa.int32()), ("owner", pa.int64()), ("block", pa.int32()), ("span", pa.int64()), ("n", pa.int32()), ("words", pa.string())])
-RANGES = pa.schema([("owner", pa.int64()), ("block", pa.int32()), ("span", pa.int64()), ("first", pa.list_(pa.int32())), ("last", pa.list_(pa.int32()))])
+    Equal windows of one key have the same reference and so get the same new key. A window without
+    such an anchor goes by all of its words, as all windows do if ``whole``.
+    """
+    words, base = Words([r[3] for r in rows]), Words([r[6] for r in rows])
+    h = words.hashes()
+    of_window = rolling(h, window)
+    n = len(of_window)
+    judged = np.zeros(n, bool)
+    for first, w in zip(words.first, todo):
+        judged[first + w] = True
+    key, at = of_window.copy(), np.arange(n)
+    if not whole:
+        g = rolling(h, anchor)
+        row = lambda x, of: mix(x + of[: len(x)].astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15))  # noqa: E731  a run, told apart by rows
+        known = np.isin(row(g, words.text_of), row(rolling(base.hashes(), anchor), base.text_of))
+        g = np.where(known, NO_ANCHOR, g)
+        least = least_at(g, window - anchor + 1)
+        free = g[least] != NO_ANCHOR
+        key, at = np.where(free, g[least], key), np.where(free, least, at + n)
+    with np.errstate(over="ignore"):
+        old = np.array([r[0] for r in rows], np.int64).view(np.uint64)
+        key = mix(key + old[words.text_of[:n]] * np.uint64(0xBF58476D1CE4E5B9))
+    first, last = stretches(key, at, words.text_of[:n], judged)
+    out: list[list[tuple[int, int, int]]] = [[] for _ in rows]
+    for k, t, a, b in zip(key[first].view(np.int64).tolist(), words.text_of[first].tolist(), first.tolist(), last.tolist()):
+        out[t].append((k, a - int(words.first[t]), b - int(words.first[t])))
+    return out
 
 
-def with_shards(reference: DataFrame, distinct: DataFrame, shards: int, unit: int) -> DataFrame:
-    """(owner, block, salt, reference, span, words, shard): spans dealt over as many salts as their block's words need, ``unit`` each.
+def matched(rows: DataFrame, window: int, anchor: int, turn: int) -> DataFrame:
+    """(doc_id, start, words, cut, todo): what of each stretch its reference has, and the windows that are left.
 
-    A block's passages, fewer words than a unit but for the last window, go to each of its salts. Only blocks with two or
-    more salts are broadcast: there are at most as many as all spans have units.
+    ``cut`` holds the ranges of words that go, ``todo`` the new keys of windows that are left (without
+    any, words are null). The reference's automaton gives the matching statistics.
     """
-    load = distinct.groupBy("owner", "block").agg(F.ceil(F.sum("n") / unit).cast("int").alias("salts"))
-    many = F.broadcast(saved(load.where("salts > 1")))
-    n_salts = F.coalesce("salts", F.lit(1))
-    copies = reference.join(many, ["owner", "block"], "left").withColumn("salt", F.explode(F.sequence(F.lit(0), n_salts - 1)))
-    dealt = distinct.join(many, ["owner", "block"], "left").withColumn("salt", F.pmod("span", n_salts).cast("int"))
-    both = [x.select("owner", "block", "salt", F.lit(ref).alias("reference"), "span", "words") for x, ref in ((copies, True), (dealt, False))]
-    return both[0].unionByName(both[1]).withColumn("shard", F.pmod(F.xxhash64("owner", "block", "salt"), F.lit(shards)))
-
-
-def match_shard(t: pa.Table, window: int) -> pa.Table:
-    """Matching statistics of a shard's distinct spans against the automaton of their block's reference passages."""
-    automata: dict[tuple, Automaton] = {}
-    out = []
-    rows = sorted(zip(*(t[c].to_pylist() for c in ("owner", "block", "salt", "reference", "span", "words"))), key=lambda r: (*r[:3], not r[3]))
-    for *key, reference, span, words in rows:
-        key = tuple(key)
-        if key not in automata:
-            automata = {key: Automaton()}  # spans are sent to one block, so others' passages need not be kept
-        if reference:
-            for word in words.split(" "):
-                automata[key].add(word)
-            automata[key].add(None)
-        else:
-            found = automata[key].covered(words.split(" "), window)
-            out.append({"owner": key[0], "block": key[1], "span": span, "first": [a for a, _ in found], "last": [b for _, b in found]})
-    return pa.Table.from_pylist(out, RANGES)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        key = automaton = None
+        for batch in batches:
+            texts, bases = as_bytes(batch["words"]), as_bytes(batch["base"])
+            all_rows = list(zip(*(batch[c].to_pylist() for c in ("key", "doc_id", "start")), texts, *(batch[c].to_pylist() for c in ("first", "last")), bases, batch["base_doc"].to_pylist()))
+            for i, j in pieces(texts):
+                rows, cuts, left = [], [], []
+                for r in all_rows[i:j]:
+                    k, doc, start, text, first, last, base, base_doc = r
+                    if text == base:
+                        found, rest = range(first, last + 1) if doc > base_doc else (), np.zeros(0, np.int64)
+                    else:
+                        if (k, base) != key:
+                            key, automaton = (k, base), Automaton(base.split(b" "))
+                        stats = np.array(automaton.statistics(text.split(b" ")))
+                        has = stats[window - 1 :][first : last + 1] >= window
+                        found, rest = first + np.flatnonzero(has) if doc > base_doc else (), first + np.flatnonzero(~has)
+                    spans: list[list[int]] = []
+                    for w in found:
+                        if spans and w <= spans[-1][1] - start:
+                            spans[-1][1] = start + int(w) + window
+                        else:
+                            spans.append([start + int(w), start + int(w) + window])
+                    if spans or (len(rest) and turn <= ANCHOR_TURNS):
+                        rows.append(r)
+                        cuts.append(spans)
+                        left.append(rest)
+                todo = next_keys(rows, left, window, anchor, turn == ANCHOR_TURNS) if rows and turn <= ANCHOR_TURNS else [[] for _ in rows]
+                out = [
+                    {"doc_id": r[1], "start": r[2], "words": r[3].decode() if t else None, "cut": [{"first": a, "last": b} for a, b in c], "todo": [{"key": k, "first": a, "last": b} for k, a, b in t]}
+                    for r, c, t in zip(rows, cuts, todo)
+                ]
+                yield pa.RecordBatch.from_pylist(out, MATCHED)
+
+    return rows.mapInArrow(run, "doc_id long, start int, words string, cut array<struct<first: int, last: int>>, todo array<struct<key: long, first: int, last: int>>")
+
+
+RANGE = [pa.field("first", pa.int32()), pa.field("last", pa.int32())]
+MATCHED = pa.schema(
+    [("doc_id", pa.int64()), ("start", pa.int32()), ("words", pa.string()), ("cut", pa.list_(pa.struct(RANGE))), ("todo", pa.list_(pa.struct([pa.field("key", pa.int64()), *RANGE])))]
+)
+
+
+def repeated_texts(docs: DataFrame) -> DataFrame:
+    """doc_id of the documents whose whole text a document with a smaller id has."""
+    rows = saved(docs.where(F.col("text").isNotNull()).select("doc_id", F.xxhash64("text").alias("h"), F.xxhash64(F.lit(1), "text").alias("check")))
+    groups = rows.groupBy("h", "check").agg(F.min("doc_id").alias("lo"), F.count("*").alias("rows")).where("rows > 1").withColumnRenamed("check", "group_check")
+    return join_unique(rows, saved(groups), "h", "rows", rows.count()).where("check = group_check AND doc_id > lo").select("doc_id")
 
 
 def substring_dedup(docs: DataFrame, window: int = WINDOW, anchor: int = ANCHOR) -> DataFrame:
     """(doc_id, n_words, n_removed, kept): each document without the words of windows that a document with a smaller id has.
 
-    1. Windows with the same words have the same anchor. A bounded bitmap of anchors that two or more
+    1. Of equal texts the smallest id stands for all; the others' windows, if they have any, all go.
+    2. Windows with the same words have the same anchor. A bounded bitmap of anchors that two or more
        documents have leaves the windows to look at; false positives only cost a row.
-    2. Of equal windows, by hash, the document with the smallest id is the owner, and one of its
-       places is the window's place, in blocks of consecutive places.
-    3. Owners' passages are the reference, cut at the blocks, each with its suffix automaton. The other
-       documents' spans, cut where the owner's block changes, stream to shards of about SHARD_WORDS words:
-       equal ones once, an owner's many over several shards that each have the block's passages. Matching
-       statistics against the words themselves give the maximal spans of ``window`` words or more. Every
-       window lies whole in a span and in its block, so cutting loses none.
-    4. Words that spans cover go. Windows are judged on the input.
-
-    Null and empty texts have no words. A window that only repeats within one document stays. An id stands for one text.
+    3. The passage of the smallest document with an anchor is its reference. The others' passages stream
+       past its suffix automaton: matching statistics of ``window`` words or more give the spans that go.
+    4. Windows that the reference does not have go by another anchor, one that the reference does not
+       have either, so copies with the same edit meet; what is then left goes by all of its words.
+       References of anchors that a large share of the passages have are broadcast, 500 at most.
+
+    Null and empty texts have no words. A window that only repeats within one document stays. Windows are
+    judged on the input. An id stands for one text: of a repeated id the windows of all its texts count as
+    its own. Other columns are ignored; an empty table gives no rows.
     """
     spark = docs.sparkSession
     docs = docs.select("doc_id", "text")
     n_docs = docs.count()
     bits = bits_for(n_docs, BITS_PER_ROW)
-    cells = anchor_rows(docs, window, anchor, bits).groupBy("cell").agg(F.min("doc_id").alias("lo"), F.max("doc_id").alias("hi")).where("lo < hi")
+    copies = saved(repeated_texts(docs))
+    firsts = without(docs, copies, "doc_id", n_docs)
+    cells = anchor_rows(firsts, window, anchor, bits).groupBy("cell").agg(F.min("doc_id").alias("lo"), F.max("doc_id").alias("hi")).where("lo < hi")
     bitmap = spark.sparkContext.broadcast(collect_bitmap(cells.select("cell"), "cell", bits))
-    rows = window_rows(docs, window, anchor, bits, bitmap)
-    owners = saved(rows.groupBy("h").agg(F.min("doc_id").alias("owner"), F.min_by("pos", "doc_id").alias("at"), F.max("doc_id").alias("hi"), F.count("*").alias("rows")).where("owner < hi").drop("hi"))
-    total = owners.agg(F.sum("rows")).first()[0] or 0
-    owned = join_unique(rows, owners, "h", "rows", total)
-    most = max(window, SHARD_WORDS // BLOCKS_PER_SHARD)
-    # of an owner's equal windows only the one at the window's place is reference
-    owned = owned.where("doc_id <> owner OR pos = at").select("doc_id", F.struct("pos", "owner", F.floor(F.col("at") / most).cast("int").alias("block")).alias("at"))
-    hits = saved(owned.groupBy("doc_id").agg(F.collect_list("at").alias("at")).select("doc_id", "at.pos", "at.owner", "at.block"))
-    spans = saved(spans_of(docs, hits, window, most))
-    reference = spans.where("doc_id = owner")
-    foreign = spans.where("doc_id <> owner")
-    distinct = foreign.groupBy("owner", "block", "span").agg(F.first("words").alias("words"), F.first("n").alias("n"), F.count("*").alias("rows"))
-    distinct = saved(distinct)
-    n_words = sum(x.agg(F.sum("n")).first()[0] or 0 for x in (reference, distinct))
-    shards = max(shuffle_partitions(spark), -(-n_words // SHARD_WORDS))
-    both = with_shards(reference, distinct, shards, max(most, n_words // shards))
-    ranges = both.groupBy("shard").applyInArrow(lambda t: match_shard(t, window), "owner long, block int, span long, first array<int>, last array<int>")
-    key = ["owner", "block", "span"]
-    name = F.concat_ws(":", *key).alias("name")
-    ranges = saved(ranges.where(F.size("first") > 0).join(distinct.select(*key, "rows"), key).select(name, "first", "last", "rows"))
-    placed = join_unique(foreign.select("doc_id", "start", name), ranges, "name", "rows", foreign.count())
-    cuts = placed.groupBy("doc_id").agg(F.collect_list(F.struct("start", "first", "last")).alias("cuts"))
-    cuts = saved(cuts.select("doc_id", F.flatten(F.transform("cuts", lambda c: F.transform(c["first"], lambda x: x + c["start"]))).alias("first"), F.flatten(F.transform("cuts", lambda c: F.transform(c["last"], lambda x: x + c["start"]))).alias("last")))
+    rows = saved(stretch_rows(firsts, window, anchor, bits, bitmap))
+    cuts = []
+    for turn in range(1, ANCHOR_TURNS + 2):
+        found = saved(matched(join_unique(rows, saved(references(rows)), "key", "rows", rows.count()), window, anchor, turn))
+        cuts.append(found.select("doc_id", F.explode("cut").alias("c")).select("doc_id", "c.first", "c.last"))
+        if turn > ANCHOR_TURNS:
+            break
+        left = found.where("words IS NOT NULL")
+        keys = left.select("doc_id", F.explode("todo.key").alias("key")).groupBy("key").agg(F.min("doc_id").alias("lo"), F.max("doc_id").alias("hi")).where("lo < hi")
+        cell = F.pmod("key", F.lit(bits)) + 1
+        several = saved(bitmap_blocks(keys.select(cell.alias("_cell")), "_cell"))
+        todo = left.select("doc_id", "start", "words", F.explode("todo").alias("t")).select("t.key", "doc_id", "start", "words", "t.first", "t.last")
+        rows = saved(maybe_in(todo, cell, several).where("_maybe").drop("_maybe"))
+    gone = cuts[0].unionByName(cuts[1]).unionByName(cuts[2]).groupBy("doc_id").agg(F.collect_list(F.struct("first", "last")).alias("cut"))
+    gone = saved(gone.select("doc_id", "cut.first", "cut.last", F.lit(False).alias("copy")).unionByName(copies.distinct().select("doc_id", F.lit(None).cast("array<int>").alias("first"), F.lit(None).cast("array<int>").alias("last"), F.lit(True).alias("copy"))))
 
     def cut_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             kept, sizes, gone_sizes = [], [], []
-            for text, first, last in zip(as_bytes(batch["text"]), batch["first"], batch["last"]):
+            for text, first, last, copy in zip(as_bytes(batch["text"]), batch["first"], batch["last"], batch["copy"].to_pylist()):
                 words = text.split()
                 gone = np.zeros(len(words), bool)
-                if first.is_valid:
+                if copy and len(words) >= window:
+                    gone[:] = True
+                elif first.is_valid:
                     for a, b in zip(first.as_py(), last.as_py()):
                         gone[a:b] = True
                 sizes.append(len(words))
                 gone_sizes.append(int(gone.sum()))
                 kept.append(b" ".join(w for w, g in zip(words, gone) if not g) if gone.any() else b" ".join(words))
-            yield pa.RecordBatch.from_arrays([batch["doc_id"], pa.array(sizes, pa.int64()), pa.array(gone_sizes, pa.int64()), pa.array([k.decode("utf-8", "replace") for k in kept], pa.string())], ["doc_id", "n_words", "n_removed", "kept"])
+            yield pa.RecordBatch.from_arrays([batch["doc_id"], pa.array(sizes, pa.int64()), pa.array(gone_sizes, pa.int64()), pa.array(kept, pa.binary()).cast(pa.string())], ["doc_id", "n_words", "n_removed", "kept"])
 
-    return docs.join(cuts.hint("merge"), "doc_id", "left").select("doc_id", "text", "first", "last").mapInArrow(cut_words, "doc_id long, n_words long, n_removed long, kept string")
+    doc_cell = F.pmod(F.xxhash64("doc_id"), F.lit(bits)) + 1
+    tested = maybe_in(docs, doc_cell, saved(bitmap_blocks(gone.select(doc_cell.alias("_cell")), "_cell")))
+    whole = tested.where(~F.col("_maybe")).select("doc_id", "text", F.lit(None).cast("array<int>").alias("first"), F.lit(None).cast("array<int>").alias("last"), F.lit(False).alias("copy"))
+    cut = tested.where("_maybe").select("doc_id", "text").join(gone.hint("merge"), "doc_id", "left").select("doc_id", "text", "first", "last", F.coalesce("copy", F.lit(False)).alias("copy"))
+    return whole.unionByName(cut).mapInArrow(cut_words, "doc_id long, n_words long, n_removed long, kept string")
 
 
 def op3_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
