@@ -1,40 +1,51 @@
 """A corpus pipeline: quality filter, exact and near dedup, mixing, and encoding, each over all its predecessor kept.
 
-Part of the subpackage fieldloom.llm.
+Part of the subpackage fieldloom.llm. Rows are told apart by their id and text, so a row that is dropped
+takes none with it that has only its id. Columns may have any names; all but the last stage keep them.
+Null and empty texts are documents like others: the classifier scores them, all of them are equal to each
+other, they link with nothing else, take no words of the mix and have no tokens. An empty table gives no rows.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from fieldloom.llm.exact_dedup import exact_dedup
+from fieldloom.llm.exact_dedup import exact_dedup, text_digest
 from fieldloom.llm.jaccard import jaccard_components
 from fieldloom.llm.mixing import emit
-from fieldloom.llm.quality import with_quality
+from fieldloom.llm.quality import quality_scores
 from fieldloom.llm.sentencepieces import token_digests
-from fieldloom.llm.shared import saved, table, without
+from fieldloom.llm.shared import parted, row_key, saved, table, without
 
 
 def good_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the quality classifier does not reject."""
-    scored = with_quality(docs, table(spark, sf_dir, "labels"), docs.columns)
-    return scored.where("predicted = 1").select(*docs.columns)
+    scored = saved(quality_scores(docs, table(spark, sf_dir, "labels"), key=row_key()))
+    return without(docs, scored.where("predicted = 0").select("doc_id"), row_key(), scored.count())
 
 
 def distinct_texts(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of equal texts, the document with the largest id."""
-    dropped = exact_dedup(docs).where("not kept")
-    return without(docs, dropped, "doc_id", docs.count())
+    """Of equal texts, the document with the largest id; of rows that repeat it with its text, one."""
+    key = F.concat_ws(":", "doc_id", "text_sha256").alias("key")
+    found = saved(exact_dedup(docs).select(key, "kept"))
+    n = found.count()
+    own = F.concat_ws(":", F.col("doc_id").cast("string"), text_digest("text"))
+    left = without(docs, found.where("NOT kept").select("key"), own, n)
+    again = saved(found.where("kept").groupBy("key").agg(F.count("*").alias("n")).where("n > 1").select("key"))
+    once, more = parted(left, again, own, n)
+    packed = more.select(F.struct(*[F.col(f"`{c}`") for c in more.columns]).alias("row"), own.alias("key"))
+    return once.unionByName(packed.dropDuplicates(["key"]).select("row.*"))
 
 
 def distinct_groups(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of documents that links join, the one with the smallest id."""
-    dropped = jaccard_components(docs).where("doc_id <> component_id")
-    return without(docs, dropped, "doc_id", docs.count())
+    """Of documents that links join, the one with the smallest id; rows that share an id go together."""
+    found = saved(jaccard_components(docs).select("doc_id", "component_id"))
+    return without(docs, found.where("doc_id <> component_id").select("doc_id"), "doc_id", found.count())
 
 
 def mixture(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents as often as the mix of the sources takes them."""
+    """Documents as often as the mix of the sources takes them; rows that share an id are taken alike."""
     return emit(docs)
 
 
