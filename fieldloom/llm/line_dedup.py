@@ -5,12 +5,14 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .shared import bitmap_blocks, bits_for, maybe_in, saved, table
+from .shared import bitmap_blocks, bits_for, join_unique, maybe_in, saved, table
 
 #: Leading tokens that, with the number of tokens, lead to a leaf of the tree.
 DEPTH = 3
 #: A template that so many documents have is recurring.
 MIN_DOCS = 5
+#: A token is fixed at its place if so many percent of its leaf's documents have it there.
+FIELD_PERCENT = 25
 #: Share of a template's tokens that must be fixed, in percent.
 FIXED_PERCENT = 60
 #: Bits of a filter for each document; its size is bounded by shared.MAX_BITS.
@@ -19,11 +21,14 @@ VARIABLE = "<*>"
 
 
 def with_lines(docs: DataFrame) -> DataFrame:
-    """(doc_id, pos, tokens): the lines that have words; words with a digit are variable."""
+    """(doc_id, pos, masked, tokens): the lines that have words, one space between those; words with a digit are variable."""
     lines = docs.select("doc_id", F.posexplode(F.split("text", "\n")).alias("pos", "line"))
-    words = F.regexp_extract_all("line", F.lit(r"[^\x20\x09-\x0D]+"), F.lit(0))
-    masked = F.transform(words, lambda w: F.when(w.rlike("[0-9]"), VARIABLE).otherwise(w))
-    return lines.select("doc_id", "pos", masked.alias("tokens")).where(F.size("tokens") > 0)
+    bare = F.btrim("line", F.lit(" \t\n\x0b\x0c\r"))
+    lines = lines.select("doc_id", "pos", bare.alias("line")).where("line <> ''")
+    word = r"[^\x20\x09-\x0D]*[0-9][^\x20\x09-\x0D]*"
+    masked = F.when(F.col("line").rlike("[0-9]"), F.regexp_replace("line", word, VARIABLE)).otherwise(F.col("line"))
+    tokens = F.split(masked, r"[\x20\x09-\x0D]+")
+    return lines.select("doc_id", "pos", tokens.alias("tokens")).select("doc_id", "pos", "tokens", F.array_join("tokens", " ").alias("masked"))
 
 
 def leaf(tokens: Column) -> Column:
@@ -31,50 +36,73 @@ def leaf(tokens: Column) -> Column:
     return F.xxhash64(F.size(tokens), F.slice(tokens, 1, DEPTH))
 
 
-def recurring_lines(docs: DataFrame, hashed: DataFrame, n_docs: int, min_docs: int = MIN_DOCS, fixed_percent: int = FIXED_PERCENT) -> DataFrame:
+def with_documents(lines: DataFrame, own: DataFrame, shared: DataFrame, keys: list[str]) -> DataFrame:
+    """(keys, docs): how many documents have each of the keys that ``lines`` (leaf, line, keys) give to their lines.
+
+    ``own`` (leaf, line, docs) counts documents with no other line in the leaf, so that these add up;
+    ``shared`` (leaf, line, doc_id) has the others, which are counted once each.
+    """
+    single = lines.join(own, ["leaf", "line"]).groupBy(*keys).agg(F.sum("docs").alias("docs"))
+    several = lines.join(shared, ["leaf", "line"]).select(*keys, "doc_id").distinct().groupBy(*keys).agg(F.count("*").alias("docs"))
+    return single.unionByName(several).groupBy(*keys).agg(F.sum("docs").alias("docs"))
+
+
+def recurring_lines(hashed: DataFrame, n_docs: int, min_docs: int = MIN_DOCS, fixed_percent: int = FIXED_PERCENT, field_percent: int = FIELD_PERCENT) -> DataFrame:
     """(line, check): two hashes of the tokens of each line whose template recurs.
 
-    Within a leaf a token is fixed at its position if lines of ``min_docs`` documents have it
-    there (a line counts once for each of its documents); all others are variable. A template
-    recurs when ``fixed_percent`` of its tokens are fixed and its lines have ``min_docs`` documents.
-    ``hashed`` has the hashes of all lines. They are counted first, so that only lines of leaves with enough documents,
-    as a bounded bitmap tells, are shuffled with their tokens.
+    Within a leaf a token is fixed at its place if ``field_percent`` of the leaf's documents have it there,
+    however many these are; all others are variable fields. A template recurs when ``fixed_percent`` of
+    its tokens are fixed and ``min_docs`` documents have a line of it. So does a line itself that
+    ``min_docs`` documents have, of whose tokens that many have no digit. Documents count once each.
+    ``hashed``: doc_id, leaf, line, check, masked of all lines. Leaves are counted first, so that only lines
+    of leaves with enough documents, as a bounded bitmap tells, shuffle with their tokens.
     """
     bits = bits_for(n_docs, BITS_PER_ROW)
     cell = F.pmod("leaf", F.lit(bits)) + 1
-    leaves = hashed.select("doc_id", "leaf", "line").distinct().groupBy("leaf").agg(F.count("*").alias("docs")).where(F.col("docs") >= min_docs)
+    of_doc = hashed.groupBy("doc_id", "leaf").agg(F.collect_set("line").alias("lines"))
+    leaves = saved(of_doc.groupBy("leaf").agg(F.count("*").alias("leaf_docs")).where(F.col("leaf_docs") >= min_docs))
     blocks = saved(bitmap_blocks(leaves.select(cell.alias("_cell")), "_cell"))
-    lines = with_lines(docs).withColumn("leaf", leaf(F.col("tokens")))
-    lines = maybe_in(lines, cell, blocks).where("_maybe").select("doc_id", "leaf", "tokens").distinct()
-    distinct = saved(lines.groupBy("leaf", "tokens").agg(F.count("*").alias("docs")).withColumn("line", F.xxhash64("tokens")).withColumn("check", F.xxhash64(F.lit(1), "tokens")))
-    words = distinct.select("leaf", "line", "check", "docs", F.posexplode("tokens").alias("at", "token"))
-    fixed = words.groupBy("leaf", "at", "token").agg(F.sum("docs").alias("n")).where((F.col("n") >= min_docs) & (F.col("token") != VARIABLE)).drop("n")
-    marked = words.join(fixed, ["leaf", "at", "token"]).groupBy("leaf", "line", "check", "docs").agg(F.count("*").alias("n_fixed"), F.sum(F.xxhash64("at", "token").cast("decimal(38,0)")).alias("template"))
-    sizes = distinct.select("line", "check", F.size("tokens").alias("n"))
-    templates = saved(marked.join(sizes, ["line", "check"]).where(F.col("n_fixed") * 100 >= F.col("n") * fixed_percent))
-    many = templates.groupBy("leaf", "template").agg(F.sum("docs").alias("all_docs")).where(F.col("all_docs") >= min_docs)
-    return templates.join(many, ["leaf", "template"], "left_semi").select("line", "check")
-
-
-def line_dedup(docs: DataFrame, min_docs: int = MIN_DOCS, fixed_percent: int = FIXED_PERCENT) -> DataFrame:
+    of_doc = saved(maybe_in(of_doc, cell, blocks).where("_maybe").select("doc_id", "leaf", "lines"))
+    own = saved(of_doc.where("size(lines) = 1").groupBy("leaf", F.col("lines")[0].alias("line")).agg(F.count("*").alias("docs")))
+    shared = saved(of_doc.where("size(lines) > 1").select("doc_id", "leaf", F.explode("lines").alias("line")))
+    distinct = maybe_in(hashed.select("leaf", "line", "check", "masked"), cell, blocks).where("_maybe").groupBy("leaf", "line", "check").agg(F.min("masked").alias("masked"), F.count("*").alias("rows"))
+    distinct = saved(distinct.join(leaves, "leaf"))
+    words = distinct.select("leaf", "line", "check", "leaf_docs", F.posexplode(F.split("masked", " ")).alias("at", "token"))
+    plain = words.where(F.col("token") != VARIABLE)
+    places = with_documents(plain.select("leaf", "line", "leaf_docs", "at", "token"), own, shared, ["leaf", "leaf_docs", "at", "token"])
+    fixed = places.where(F.col("docs") * 100 >= F.col("leaf_docs") * field_percent).select("leaf", "at", "token")
+    sizes = words.groupBy("leaf", "line", "check").agg(F.count("*").alias("n"), F.count_if(F.col("token") != VARIABLE).alias("n_plain"))
+    marked = plain.join(fixed, ["leaf", "at", "token"]).groupBy("leaf", "line", "check").agg(F.count("*").alias("n_fixed"), F.sum(F.xxhash64("at", "token").cast("decimal(38,0)")).alias("template"))
+    templates = saved(sizes.join(marked, ["leaf", "line", "check"], "left"))
+    wide = templates.where(F.col("n_fixed") * 100 >= F.col("n") * fixed_percent)
+    many = with_documents(wide.select("leaf", "line", "template"), own, shared, ["leaf", "template"]).where(F.col("docs") >= min_docs)
+    general = wide.join(many, ["leaf", "template"], "left_semi").select("line", "check")
+    often = with_documents(templates.select("leaf", "line"), own, shared, ["leaf", "line"]).where(F.col("docs") >= min_docs)
+    alone = templates.where(F.col("n_plain") * 100 >= F.col("n") * fixed_percent).join(often, ["leaf", "line"], "left_semi").select("line", "check")
+    found = saved(general.unionByName(alone).distinct())
+    return distinct.join(found, ["line", "check"], "left_semi").groupBy("line").agg(F.min("check").alias("kind"), F.sum("rows").alias("rows"))
+
+
+def line_dedup(docs: DataFrame, min_docs: int = MIN_DOCS, fixed_percent: int = FIXED_PERCENT, field_percent: int = FIELD_PERCENT) -> DataFrame:
     """(doc_id, n_lines, n_dropped, kept_text): each document without the lines whose template recurs across documents.
 
     All lines of a recurring template go, in every document. Lines are what line feeds part;
     blank ones stay. A null text counts as empty, which is one blank line. Documents without a
-    dropped line pass straight through; a bounded bitmap of ids tells which may have one. An id stands for one text.
+    dropped line pass straight through; a bounded bitmap of ids tells which may have one. Ties do not
+    arise: shares and counts are compared with >=. An id stands for one text; rows that repeat it count as
+    one document, and each loses the lines that recur at the same places. Other columns are ignored.
     """
     docs = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
     n_docs = docs.count()
     bits = bits_for(n_docs, BITS_PER_ROW)
-    hashed = saved(with_lines(docs).select("doc_id", "pos", leaf(F.col("tokens")).alias("leaf"), F.xxhash64("tokens").alias("line"), F.xxhash64(F.lit(1), "tokens").alias("check")))
-    dropped = saved(recurring_lines(docs, hashed, n_docs, min_docs, fixed_percent))
+    hashed = saved(with_lines(docs).select("doc_id", "pos", leaf(F.col("tokens")).alias("leaf"), F.xxhash64("tokens").alias("line"), F.xxhash64(F.lit(1), "tokens").alias("check"), "masked"))
+    dropped = saved(recurring_lines(hashed, n_docs, min_docs, fixed_percent, field_percent))
     line_cell, doc_cell = F.pmod("line", F.lit(bits)) + 1, F.pmod(F.xxhash64("doc_id"), F.lit(bits)) + 1
     blocks = saved(bitmap_blocks(dropped.select(line_cell.alias("_cell")), "_cell"))
-    maybe = maybe_in(hashed.drop("leaf"), line_cell, blocks).where("_maybe")
-    # a recurring line is a large part of all lines: its documents are gathered before the join
-    packed = maybe.groupBy("line", "check", F.pmod(F.xxhash64("doc_id"), F.lit(64)).alias("salt")).agg(F.collect_list(F.struct("doc_id", "pos")).alias("at"))
-    found = packed.join(dropped, ["line", "check"], "left_semi").select(F.explode("at").alias("at"))
-    hits = saved(found.groupBy("at.doc_id").agg(F.collect_set("at.pos").alias("gone")))
+    maybe = maybe_in(hashed.select("doc_id", "pos", "line", "check"), line_cell, blocks).where("_maybe").drop("_maybe")
+    total = dropped.agg(F.sum("rows")).first()[0] or 0
+    found = join_unique(maybe, dropped, "line", "rows", total).where("check = kind").select("doc_id", "pos")
+    hits = saved(found.groupBy("doc_id").agg(F.collect_set("pos").alias("gone")))
     tested = maybe_in(docs, doc_cell, saved(bitmap_blocks(hits.select(doc_cell.alias("_cell")), "_cell")))
     n_lines = F.size(F.split("text", "\n")).cast("long").alias("n_lines")
     none = tested.where(~F.col("_maybe")).select("doc_id", n_lines, F.lit(0).cast("long").alias("n_dropped"), F.col("text").alias("kept_text"))
@@ -94,12 +122,14 @@ WITH s AS (SELECT doc_id, string_split(coalesce(text, ''), chr(10)) AS lines FRO
 e AS (SELECT doc_id, unnest(lines) AS line, unnest(range(len(lines))) AS pos FROM s),
 t AS (SELECT doc_id, pos, line, list_transform(regexp_extract_all(line, '[^\\x20\\x09-\\x0D]+'), lambda w: CASE WHEN regexp_matches(w, '[0-9]') THEN '<*>' ELSE w END) AS tokens FROM e),
 k AS (SELECT doc_id, pos, line, tokens, len(tokens) AS n, array_to_string(tokens, ' ') AS masked, array_to_string(tokens[1:3], ' ') AS lead FROM t),
-u AS (SELECT masked, n, lead, any_value(tokens) AS tokens, count(DISTINCT doc_id) AS docs FROM k WHERE n > 0 GROUP BY masked, n, lead),
-w AS (SELECT masked, n, lead, docs, unnest(tokens) AS token, unnest(range(n)) AS i FROM u),
-f AS (SELECT n, lead, i, token FROM w WHERE token <> '<*>' GROUP BY ALL HAVING sum(docs) >= 5),
-m AS (SELECT w.masked, w.n, w.lead, w.docs, count(*) AS n_fixed, string_agg(CAST(i AS VARCHAR) || '=' || token, ' ' ORDER BY i) AS template FROM w JOIN f USING (n, lead, i, token) GROUP BY ALL),
-g AS (SELECT n, lead, template FROM m WHERE n_fixed * 100 >= n * 60 GROUP BY ALL HAVING sum(docs) >= 5),
-d AS (SELECT masked FROM m JOIN g USING (n, lead, template)),
+l AS (SELECT n, lead, count(DISTINCT doc_id) AS leaf_docs FROM k WHERE n > 0 GROUP BY n, lead),
+w AS (SELECT DISTINCT doc_id, n, lead, masked, unnest(tokens) AS token, unnest(range(n)) AS i FROM k WHERE n > 0),
+f AS (SELECT n, lead, i, token FROM w JOIN l USING (n, lead) WHERE token <> '<*>' AND leaf_docs >= 5 GROUP BY n, lead, i, token, leaf_docs HAVING count(DISTINCT doc_id) * 100 >= leaf_docs * 25),
+p AS (SELECT doc_id, n, lead, masked, count(*) FILTER (WHERE token <> '<*>') AS n_plain FROM w GROUP BY ALL),
+m AS (SELECT w.doc_id, w.n, w.lead, w.masked, count(*) AS n_fixed, string_agg(CAST(i AS VARCHAR) || '=' || token, ' ' ORDER BY i) AS template FROM w JOIN f USING (n, lead, i, token) GROUP BY w.doc_id, w.n, w.lead, w.masked),
+g AS (SELECT n, lead, template FROM m WHERE n_fixed * 100 >= n * 60 GROUP BY ALL HAVING count(DISTINCT doc_id) >= 5),
+d AS (SELECT DISTINCT masked FROM m JOIN g USING (n, lead, template)
+      UNION SELECT masked FROM p WHERE n_plain * 100 >= n * 60 GROUP BY masked HAVING count(DISTINCT doc_id) >= 5),
 x AS (SELECT k.doc_id, k.pos, k.line, d.masked IS NOT NULL AS gone FROM k LEFT JOIN d ON k.masked = d.masked AND k.n > 0)
 SELECT doc_id, count(*) AS n_lines, count(*) FILTER (WHERE gone) AS n_dropped,
        sha256(coalesce(string_agg(line, chr(10) ORDER BY pos) FILTER (WHERE NOT gone), '')) AS kept_sha256

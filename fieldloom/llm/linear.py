@@ -94,11 +94,11 @@ def sample_features(docs: DataFrame, labels: DataFrame, features: Callable[[list
                 total = np.bincount(back, weights=value, minlength=len(key))
                 cut = np.searchsorted(key, np.arange(j - i + 1) * DIMS)
                 at += [(key[a:b] % DIMS).astype(np.int32).tobytes() for a, b in zip(cut, cut[1:])]
-                x += [total[a:b].tobytes() for a, b in zip(cut, cut[1:])]
+                x += [total[a:b].astype(np.float32).tobytes() for a, b in zip(cut, cut[1:])]
             yield pa.RecordBatch.from_arrays([batch["doc_id"], batch["label"].cast(pa.int32()), pa.array(at, pa.binary()), pa.array(x, pa.binary())], ["doc_id", "label", "at", "x"])
 
     got = picked.mapInArrow(extract, "doc_id long, label int, at binary, x binary").withColumn("o", order).toArrow()
-    found = [(r["o"], r["doc_id"], r["label"], np.frombuffer(r["at"], np.int32).astype(np.int64), np.frombuffer(r["x"])) for r in got.to_pylist()]
+    found = [(r["o"], r["doc_id"], r["label"], np.frombuffer(r["at"], np.int32).astype(np.int64), np.frombuffer(r["x"], np.float32).astype(float)) for r in got.to_pylist()]
     return [r[1:] for r in sorted(found, key=lambda r: (r[0], r[1], len(r[3])))]
 
 

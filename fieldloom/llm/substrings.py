@@ -257,14 +257,15 @@ def substring_dedup(docs: DataFrame, window: int = WINDOW, anchor: int = ANCHOR)
 
     Null and empty texts have no words. A window that only repeats within one document stays. Windows are
     judged on the input. An id stands for one text: of a repeated id the windows of all its texts count as
-    its own. Other columns are ignored; an empty table gives no rows.
+    its own. A null id is neither smaller nor larger than others, so such texts stay whole and are no reference.
+    Other columns are ignored; an empty table gives no rows.
     """
     spark = docs.sparkSession
     docs = docs.select("doc_id", "text")
     n_docs = docs.count()
     bits = bits_for(n_docs, BITS_PER_ROW)
     copies = saved(repeated_texts(docs))
-    firsts = without(docs, copies, "doc_id", n_docs)
+    firsts = without(docs.where("doc_id IS NOT NULL"), copies, "doc_id", n_docs)
     cells = anchor_rows(firsts, window, anchor, bits).groupBy("cell").agg(F.min("doc_id").alias("lo"), F.max("doc_id").alias("hi")).where("lo < hi")
     bitmap = spark.sparkContext.broadcast(collect_bitmap(cells.select("cell"), "cell", bits))
     rows = saved(stretch_rows(firsts, window, anchor, bits, bitmap))

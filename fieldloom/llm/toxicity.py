@@ -52,10 +52,12 @@ def telling(sample: list[tuple]) -> np.ndarray:
 def grade(sample: list[tuple], marker: np.ndarray) -> list[tuple]:
     """The sample with severity grades for the 0/1 labels, and with the telling features alone.
 
-    Labels say toxic or not; how severe is read from the number of telling features. Toxic
+    Labels above 1 are grades already. If they say toxic or not, how severe is read from the number of telling features. Toxic
     documents with more of them than a third, or two thirds, of the toxic ones get grade 2 or 3.
     """
     kept = [(i, y, at[marker[at]], x[marker[at]]) for i, y, at, x in sample]
+    if max((y for _, y, _, _ in kept), default=0) > 1:
+        return kept
     steps = np.quantile([len(at) for _, y, at, _ in kept if y > 0] or [0], [1 / 3, 2 / 3])
     return [(i, 1 + int((len(at) > steps).sum()) if y > 0 else 0, at, x) for i, y, at, x in kept]
 
@@ -86,10 +88,14 @@ def toxicity(docs: DataFrame, labels: DataFrame, sample_rows: int = SAMPLE_ROWS,
     ``score`` is the probability that the grade is above 0, ``severity`` the expected grade,
     ``grade`` the likeliest one and ``predicted`` 1 if score reaches the threshold. Learns from
     at most ``sample_rows`` labelled documents whose crc32(doc_id) mod 5 is not 0 and whose toxic
-    is not null. Null and empty texts have no words and get what the thresholds alone say.
+    is not null. Null and empty texts have no words and get what the thresholds alone say; equal texts
+    tie, and repeated rows are scored each. Other columns are ignored; an empty table gives no rows.
+
+    ``toxic`` may hold real grades, 0 to GRADES - 1. Where it is only 0 or 1, grades 2 and 3 are set by the
+    number of telling features (see grade()), so that ``severity`` then says how much of a text is toxic.
     """
     fold = F.crc32(F.col("doc_id").cast("string")) % 5
-    known = labels.where((fold != 0) & F.col("toxic").isNotNull()).select("doc_id", F.col("toxic").cast("int").alias("label"))
+    known = labels.where((fold != 0) & F.col("toxic").isNotNull()).select("doc_id", F.least(F.greatest(F.col("toxic").cast("int"), F.lit(0)), F.lit(GRADES - 1)).alias("label"))
     sample = sample_features(docs, known, features, sample_rows)
     weights, cuts = train(grade(sample, telling(sample)))
 

@@ -15,13 +15,15 @@ THRESHOLD = 0.95
 BLOCK_ROWS = 4000
 #: Pivots, at most; they are picked from a hash-ordered sample and only decide which tiles can be left out.
 MAX_PIVOTS = 128
-#: Rows of a tile that are multiplied at a time.
-STRIP = 512
+#: Rows of a tile that are multiplied at a time, and pairs that are computed in full precision at a time.
+STRIP, PAIRS = 512, 50_000
 #: Slack for rounding in the bounds and angles.
 SLACK = 1e-6
 
 
 def unit(x: np.ndarray) -> np.ndarray:
+    """Vectors of length 1. The largest component is made 1 first, so that squares neither overflow nor vanish."""
+    x = x / np.abs(x).max(axis=1, keepdims=True)
     return x / np.linalg.norm(x, axis=1, keepdims=True)
 
 
@@ -56,11 +58,10 @@ def linked(x: np.ndarray, y: np.ndarray, threshold: float):
         rows = slice(at, min(at + STRIP, len(x)))
         i, j = np.nonzero(a.upper(rows, b) >= threshold)
         i += at
-        if len(i) > 200_000:
-            near = (x[rows] @ y.T)[i - at, j] >= threshold
-        else:
-            near = np.einsum("ij,ij->i", x[i], y[j]) >= threshold
-        yield i[near], j[near]
+        for k in range(0, len(i), PAIRS):
+            a_rows, b_rows = i[k : k + PAIRS], j[k : k + PAIRS]
+            near = np.einsum("ij,ij->i", x[a_rows], y[b_rows]) >= threshold
+            yield a_rows[near], b_rows[near]
 
 
 def compare_tile(tile: pa.Table, threshold: float) -> pa.Table:
