@@ -1,4 +1,7 @@
-"""Polygons and projections as Column expressions. A ring is array<struct<x,y>> without the closing point."""
+"""Polygons and projections as Column expressions.
+
+A ring is array<struct<x,y>> without the closing point; the rings of a polygon are its outer ring and then its holes.
+"""
 
 from __future__ import annotations
 
@@ -27,36 +30,39 @@ def ring_area(ring: Column) -> Column:
     return F.when(F.size(ring) >= 3, F.aggregate(cross, F.lit(0.0), lambda s, v: s + v) / 2).otherwise(0.0)
 
 
-def half_plane(ring: Column, axis: str, bound: Column, sign: int) -> Column:
-    """The part of a ring where sign * (axis - bound) >= 0 (Sutherland-Hodgman)."""
-    depth = lambda p: (p[axis] - bound) * sign
+def area_below(p: Column, q: Column, length: Column, height: Column) -> Column:
+    """Area between 0 and a line from height p to q over ``length``, the line kept within 0 .. ``height``."""
+    upto = lambda t: F.when(t <= 0, F.lit(0.0)).when(t <= height, t * t / 2).otherwise(height * height / 2 + height * (t - height))
+    level = F.least(F.greatest(p, F.lit(0.0)), height)
+    return length * F.when(p == q, level).otherwise((upto(q) - upto(p)) / F.nullif(q - p, F.lit(0.0)))
+
+
+def edge_area(xa: Column, ya: Column, xb: Column, yb: Column, x0: Column, y0: Column, size: Column) -> Column:
+    """What an edge adds to the signed area of its ring within a square cell: the area below it, right to left counts against."""
+    left, right = F.greatest(F.least(xa, xb), x0), F.least(F.greatest(xa, xb), x0 + size)
+    at = lambda x: ya + (yb - ya) * (x - xa) / F.nullif(xb - xa, F.lit(0.0)) - y0
+    return F.when(right > left, area_below(at(left), at(right), right - left, size) * F.signum(xa - xb)).otherwise(0.0)
 
-    def step(a: Column, b: Column) -> Column:
-        da, db = depth(a), depth(b)
-        t = da / F.nullif(da - db, F.lit(0.0))
-        cut = point(a["x"] + t * (b["x"] - a["x"]), a["y"] + t * (b["y"] - a["y"]))
-        crosses = ((da > 0) & (db < 0)) | ((da < 0) & (db > 0))
-        kept = F.when(db >= 0, F.when(crosses, F.array(cut, b)).otherwise(F.array(b)))
-        return kept.otherwise(F.when(crosses, F.array(cut)).otherwise(F.filter(F.array(b), lambda _: F.lit(False))))
 
-    return F.flatten(F.zip_with(ring, following(ring), step))
+def edges_of(rings: Column) -> Column:
+    """array<struct<ring,a,b>>: the edges of all rings with their ring's number."""
+    one = lambda r, i: F.zip_with(r, following(r), lambda a, b: F.struct(i.alias("ring"), a.alias("a"), b.alias("b")))
+    return F.flatten(F.transform(rings, one))
 
 
-def clip_area(df, ring: str, x0: str, y0: str, x1: str, y1: str, out: str):
-    """``df`` with the area of each ring inside its box; one projection per side keeps expressions small."""
-    df = df.withColumn("_r", F.col(ring))
-    for axis, bound, sign in (("x", x0, 1), ("x", x1, -1), ("y", y0, 1), ("y", y1, -1)):
-        df = df.withColumn("_r", half_plane(F.col("_r"), axis, F.col(bound), sign))
-    return df.withColumn(out, F.abs(ring_area(F.col("_r")))).drop("_r")
+def contains(rings: Column, x: Column, y: Column) -> Column:
+    """Whether a point lies strictly inside: an odd number of edges crosses a ray, and no edge holds the point. Holes are further rings."""
+    edges = edges_of(rings)
+    side = lambda e: (e["b"]["x"] - e["a"]["x"]) * (y - e["a"]["y"]) - (e["b"]["y"] - e["a"]["y"]) * (x - e["a"]["x"])
+    crosses = lambda e: ((e["a"]["y"] > y) != (e["b"]["y"] > y)) & ((side(e) > 0) == (e["b"]["y"] > e["a"]["y"]))
+    on_edge = lambda e: (side(e) == 0) & x.between(F.least(e["a"]["x"], e["b"]["x"]), F.greatest(e["a"]["x"], e["b"]["x"])) & y.between(F.least(e["a"]["y"], e["b"]["y"]), F.greatest(e["a"]["y"], e["b"]["y"]))
+    return (F.size(F.filter(edges, crosses)) % 2 == 1) & ~F.exists(edges, on_edge)
 
 
-def contains(ring: Column, x: Column, y: Column) -> Column:
-    """Whether a point lies inside a ring, by the number of edges a ray crosses."""
-    hits = F.zip_with(
-        ring, following(ring),
-        lambda a, b: (((a["y"] > y) != (b["y"] > y)) & (x < (b["x"] - a["x"]) * (y - a["y"]) / F.nullif(b["y"] - a["y"], F.lit(0.0)) + a["x"])).cast("int"),
-    )
-    return F.aggregate(hits, F.lit(0), lambda s, v: s + F.coalesce(v, F.lit(0))) % 2 == 1
+def usable_rings(rings: Column) -> Column:
+    """Rings of three points or more with an area; a polygon without its outer ring has none."""
+    good = lambda r: (F.size(r) >= 3) & (ring_area(r) != 0)
+    return F.when(F.coalesce(good(rings[0]), F.lit(False)), F.filter(rings, lambda r: F.coalesce(good(r), F.lit(False))))
 
 
 def lonlat_to_laea(lon: Column, lat: Column) -> tuple[Column, Column]:
@@ -77,3 +83,44 @@ def lonlat_to_laea(lon: Column, lat: Column) -> tuple[Column, Column]:
     x = b * d * F.cos(beta) * F.sin(dl) + LAEA_X
     y = b / d * (math.cos(b0) * F.sin(beta) - math.sin(b0) * F.cos(beta) * F.cos(dl)) + LAEA_Y
     return x, y
+
+
+#: Standard parallels and origin of the European conformal conic projection (centre, false origin).
+LCC_LAT1, LCC_LAT2, LCC_LAT0, LCC_LON0, LCC_X, LCC_Y = 35.0, 65.0, 52.0, 10.0, 4000000.0, 2800000.0
+
+
+def laea_to_lonlat(x: Column, y: Column) -> tuple[Column, Column]:
+    """Longitude and latitude of easting and northing; the latitude by the series of the authalic one."""
+    e2 = GRS80_F * (2 - GRS80_F)
+    e = math.sqrt(e2)
+    q_of = lambda s: (1 - e2) * (s / (1 - e2 * s * s) - math.log((1 - e * s) / (1 + e * s)) / (2 * e))
+    qp, phi = q_of(1.0), math.radians(LAEA_LAT)
+    b0, rq = math.asin(q_of(math.sin(phi)) / qp), GRS80_A * math.sqrt(qp / 2)
+    d = GRS80_A * (math.cos(phi) / math.sqrt(1 - e2 * math.sin(phi) ** 2)) / (rq * math.cos(b0))
+    dx, dy = (x - LAEA_X) / d, (y - LAEA_Y) * d
+    rho = F.sqrt(dx * dx + dy * dy)
+    c = F.asin(rho / (2 * rq)) * 2
+    beta = F.when(rho == 0, F.lit(b0)).otherwise(F.asin(F.cos(c) * math.sin(b0) + dy * F.sin(c) * math.cos(b0) / F.nullif(rho, F.lit(0.0))))
+    lon = F.atan2(dx * F.sin(c), rho * math.cos(b0) * F.cos(c) - dy * math.sin(b0) * F.sin(c))
+    series = (e2 / 3 + 31 * e2**2 / 180 + 517 * e2**3 / 5040, 23 * e2**2 / 360 + 251 * e2**3 / 3780, 761 * e2**3 / 45360)
+    lat = beta + sum((k * F.sin(beta * (2 * i)) for i, k in enumerate(series, 1)), F.lit(0.0))
+    return F.degrees(lon) + LAEA_LON, F.degrees(lat)
+
+
+def lonlat_to_lcc(lon: Column, lat: Column) -> tuple[Column, Column]:
+    """Easting and northing of the ellipsoidal Lambert conformal conic projection with two standard parallels."""
+    e = math.sqrt(GRS80_F * (2 - GRS80_F))
+    m_of = lambda p: math.cos(p) / math.sqrt(1 - (e * math.sin(p)) ** 2)
+    t_at = lambda p: math.tan(math.pi / 4 - p / 2) / ((1 - e * math.sin(p)) / (1 + e * math.sin(p))) ** (e / 2)
+    p1, p2, p0 = map(math.radians, (LCC_LAT1, LCC_LAT2, LCC_LAT0))
+    n = (math.log(m_of(p1)) - math.log(m_of(p2))) / (math.log(t_at(p1)) - math.log(t_at(p2)))
+    f = m_of(p1) / (n * t_at(p1) ** n)
+    phi = F.radians(lat)
+    t = F.tan(F.lit(math.pi / 4) - phi / 2) / F.pow((1 - F.sin(phi) * e) / (1 + F.sin(phi) * e), F.lit(e / 2))
+    r, theta = F.pow(t, F.lit(n)) * (GRS80_A * f), F.radians(lon - LCC_LON0) * n
+    return r * F.sin(theta) + LCC_X, F.lit(GRS80_A * f * t_at(p0) ** n + LCC_Y) - r * F.cos(theta)
+
+
+def cell_centroid_lonlat(n: Column, e: Column, res: int) -> tuple[Column, Column]:
+    """Longitude and latitude of a grid cell's centre."""
+    return laea_to_lonlat((e + 0.5) * res, (n + 0.5) * res)

@@ -172,3 +172,61 @@ def valid_coordinates(lat: Column, lon: Column) -> Column:
 
 def agreement(a: Column, b: Column) -> Column:
     return F.coalesce(a == b, F.lit(False))
+
+
+def to_instant(wall: Column, tz: str) -> Column:
+    """UTC of a local time: the first of two where it comes twice; a time in a gap moves to the gap's end."""
+    utc = F.to_utc_timestamp(wall, tz)
+    back = F.from_utc_timestamp(utc, tz)
+    return F.when(back == wall, utc).otherwise(F.to_utc_timestamp(F.date_trunc("hour", back), tz))
+
+
+def local_parts(c: Column) -> Column:
+    """struct(local, utc, date, time) of a text: its clock time without the offset, and the instant with it (UTC without one)."""
+    text = F.regexp_replace(F.trim(c), "T", " ")
+    bare = strip_tz(text)
+    local = F.coalesce(*[F.try_to_timestamp(bare, F.lit(f)) for f in ("yyyy-MM-dd HH:mm:ss", "yyyy-MM-dd HH:mm", "yyyy-MM-dd")])
+    sign = F.when(F.regexp_extract(text, r"([+-])\d{2}:?\d{2}$", 1) == "-", -1).otherwise(1)
+    part = lambda i: F.coalesce(F.regexp_extract(text, r"\d[+-](\d{2}):?(\d{2})$", i).try_cast("int"), F.lit(0))
+    has_time = text.rlike(r"\d:\d{2}")
+    shift = F.when(has_time, sign * (part(1) * 3600 + part(2) * 60)).otherwise(0)
+    utc = F.timestamp_seconds(F.unix_timestamp(local) - shift)
+    return F.struct(local.alias("local"), F.date_format(utc, "yyyy-MM-dd'T'HH:mm:ss'Z'").alias("utc"), F.date_format(local, "yyyy-MM-dd").alias("date"), F.date_format(local, "HH:mm:ss").alias("time"))
+
+
+def time_source(preferred: Column, other: Column, names: tuple[str, str], tz: str) -> Column:
+    """struct(wall, source, converted, step): the first of two texts that is a local time, and where it comes from."""
+    first, second = parse_walltime(preferred, tz), parse_walltime(other, tz)
+    by = F.when(first.isNotNull(), names[0]).when(second.isNotNull(), names[1])
+    steps = f"remove_timezone_suffix; interpret_as_{tz}_walltime; format_ISO8601"
+    step = F.when(first.isNotNull(), steps).when(second.isNotNull(), f"fallback_to_{names[1]}; {steps}").otherwise("no_parseable_datetime")
+    return F.struct(F.coalesce(first, second).alias("wall"), by.alias("source"), by.isNotNull().alias("converted"), step.alias("step"))
+
+
+def local_year_month(ts: Column) -> Column:
+    return F.struct(F.year(ts).alias("year"), F.month(ts).alias("month"))
+
+
+def months_spanning(first: Column, last: Column) -> Column:
+    """The distinct months, as yyyy-MM, from one time to another."""
+    return F.transform(F.sequence(F.date_trunc("month", first), F.date_trunc("month", last), F.expr("INTERVAL 1 MONTH")), lambda m: F.date_format(m, "yyyy-MM"))
+
+
+def duration_issue(c: Column, target: float, tolerance: float) -> Column:
+    """A coded message if a duration is positive but not near the target; else null."""
+    text = F.format_string(f"duration_not_{target:g}s:observed=%.6fs,allowed={target - tolerance:g}-{target + tolerance:g}s", c.cast("double"))
+    return F.when((c > 0) & ~duration_ok(c, target, tolerance), text)
+
+
+def valid_timestamp(local: Column, utc: Column) -> Column:
+    return local.isNotNull() & utc.isNotNull()
+
+
+def id_shard(c: Column, n: int) -> Column:
+    """Shard of a numeric id; ids that are not numbers go by hash."""
+    return F.coalesce(F.pmod(c.try_cast("bigint"), F.lit(n)).cast("int"), hash_shard(c, n))
+
+
+def coded(*codes: tuple[Column, str]) -> Column:
+    """The codes whose condition holds, in order, joined by |."""
+    return F.array_join(F.array_compact(F.array(*[F.when(c, F.lit(code)) for c, code in codes])), "|")

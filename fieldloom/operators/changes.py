@@ -17,8 +17,13 @@ def changed_ids(current: DataFrame, previous: DataFrame, key: str, fingerprint:
     return c.join(p, key, "full_outer").select(key, change.alias("change")).where("change IS NOT NULL")
 
 
-def upsert_by_id(existing: DataFrame, replacement: DataFrame, ids: DataFrame, key: str) -> DataFrame:
-    """Rows of the given ids give way to the replacement's; all other rows stay."""
+def upsert_by_id(existing: DataFrame, replacement: DataFrame, ids: DataFrame, key: str, order: list[Column] | None = None) -> DataFrame:
+    """Rows of the given ids give way to the replacement's; all other rows stay.
+
+    With ``order`` only the first row of each id in the replacement counts, the latest one say.
+    """
+    if order is not None:
+        replacement = dedupe(replacement, [key], order)
     return existing.join(ids.select(key).distinct(), key, "left_anti").unionByName(replacement, allowMissingColumns=True)
 
 

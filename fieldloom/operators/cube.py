@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..functions.scalars import coded
+
 
 def sample_cube(points: DataFrame, cube: DataFrame, res: float, key: str) -> DataFrame:
     """Values of the nearest node of a regular lattice at each point's hour."""
@@ -14,20 +16,78 @@ def sample_cube(points: DataFrame, cube: DataFrame, res: float, key: str) -> Dat
     return p.join(c, ["ix", "iy", "hour"], "left").select(key, "hour", "var", "value")
 
 
-def monthly_quantiles(cube: DataFrame, probabilities: list[float], scale: int, nodata: int) -> DataFrame:
-    """Scaled quantiles by variable, node and month; a month without values is nodata."""
-    q = F.percentile("value", F.array(*[F.lit(p) for p in probabilities]))
-    out = cube.groupBy("var", "x", "y", F.month("ts").alias("month")).agg(q.alias("q"))
-    scaled = [F.coalesce(F.rint(F.col("q")[i] * scale), F.lit(nodata)).cast("int").alias(f"p{round(p * 100)}") for i, p in enumerate(probabilities)]
+def interpolated(ordered: Column, p: float) -> Column:
+    """The quantile of a sorted array: between the two nearest values, counted from the nearer one."""
+    at = (F.size(ordered) - 1) * F.lit(p)
+    low = F.floor(at).cast("int")
+    a, b, t = F.get(ordered, low), F.coalesce(F.get(ordered, low + 1), F.get(ordered, low)), at - low
+    return F.when(t < 0.5, a + (b - a) * t).otherwise(b - (b - a) * (1 - t))
+
+
+def monthly_quantiles(cube: DataFrame, probabilities: list[float], scale: int, nodata: int, accuracy: int | None = None) -> DataFrame:
+    """Scaled quantiles of the finite values by variable, node and month, as 16-bit numbers; a month without values is nodata.
+
+    Exact, from all values of a month; with ``accuracy`` from a bounded sketch of them, for cubes of many years.
+    """
+    v = F.when(F.abs("value") < float("inf"), F.col("value"))
+    groups = cube.groupBy("var", "x", "y", F.month("ts").alias("month"))
+    if accuracy is None:
+        out = groups.agg(F.sort_array(F.collect_list(v)).alias("q"))
+        quantiles = [interpolated(F.col("q"), p) for p in probabilities]
+    else:
+        out = groups.agg(F.percentile_approx(v, F.array(*[F.lit(p) for p in probabilities]), accuracy).alias("q"))
+        quantiles = [F.col("q")[i] for i in range(len(probabilities))]
+    kept = lambda q: F.when(q.isNotNull(), F.least(F.greatest(F.rint(q * scale), F.lit(-32768.0)), F.lit(32767.0)))
+    scaled = [F.coalesce(kept(q), F.lit(float(nodata))).cast("short").alias(f"p{round(p * 100)}") for q, p in zip(quantiles, probabilities)]
     return out.select("var", "x", "y", "month", *scaled)
 
 
+def resample_to_grid(nodes: DataFrame, cells: DataFrame, x0: float, y0: float, step: float, keys: list[str]) -> DataFrame:
+    """``cells`` (x, y and others) with the bilinear mean of the four lattice nodes around them for each of ``keys``.
+
+    ``nodes``: keys, i, j, value. Null and missing nodes leave the mean to the others by their weights.
+    """
+    u, v = (F.col("x") - x0) / step, (F.col("y") - y0) / step
+    corner = F.struct(F.col("_d.i").alias("i"), F.col("_d.j").alias("j"))
+    offsets = F.array(*[F.struct(F.lit(i).alias("i"), F.lit(j).alias("j")) for i in (0, 1) for j in (0, 1)])
+    around = cells.withColumn("_u", u).withColumn("_v", v).withColumn("_d", F.explode(offsets)).withColumn("_c", corner)
+    around = around.withColumn("i", F.floor("_u") + F.col("_c.i")).withColumn("j", F.floor("_v") + F.col("_c.j"))
+    weight = (1 - F.abs(F.col("_u") - F.col("i"))) * (1 - F.abs(F.col("_v") - F.col("j")))
+    met = around.withColumn("_w", weight).join(nodes.where(F.col("value").isNotNull()), ["i", "j"])
+    out = met.groupBy(*keys, *cells.columns).agg(F.sum(F.col("value") * F.col("_w")).alias("_s"), F.sum("_w").alias("_t"))
+    return out.where("_t > 0").withColumn("value", F.col("_s") / F.col("_t")).drop("_s", "_t")
+
+
+def tile_layout(bounds: DataFrame, tile: float) -> DataFrame:
+    """(tx, ty, xmin, ymin): the tiles that cover the bounds (one row), by stable numbers from the origin."""
+    span = lambda a, b: F.explode(F.sequence(F.floor(F.col(a) / tile), F.greatest(F.ceil(F.col(b) / tile) - 1, F.floor(F.col(a) / tile))))
+    out = bounds.withColumn("tx", span("xmin", "xmax")).withColumn("ty", span("ymin", "ymax"))
+    return out.select("tx", "ty", (F.col("tx") * tile).alias("xmin"), (F.col("ty") * tile).alias("ymin"))
+
+
 def band_stats(pixels: DataFrame, nodata: float) -> DataFrame:
-    v = F.when(F.col("value") != nodata, F.col("value"))
+    v = F.when((F.col("value") != nodata) & ~F.isnan("value"), F.col("value"))
     out = pixels.groupBy("file", "band").agg(F.count(v).alias("n_valid"), F.count_if(v.isNull()).alias("n_invalid"), F.min(v).alias("min"), F.max(v).alias("max"), F.avg(v).alias("mean"), F.stddev_pop(v).alias("std"))
     return out.withColumn("status", F.when(F.col("n_valid") == 0, "all_nodata").when(F.col("min") == F.col("max"), "constant").otherwise("ok"))
 
 
+def raster_stats(pixels: DataFrame, nodata: float, bands: int | None = None, max_nodata: float = 1.0) -> DataFrame:
+    """Per file: bands, values, nodata, NaN and infinite ones, the share without a finite value, extremes and issue codes."""
+    is_nodata = F.col("value").isNull() | (F.col("value") == nodata)
+    nan, inf = ~is_nodata & F.isnan("value"), ~is_nodata & (F.abs("value") == float("inf"))
+    v = F.when(~is_nodata & ~F.isnan("value") & (F.abs("value") < float("inf")), F.col("value"))
+    out = pixels.groupBy("file").agg(
+        F.count_distinct("band").alias("n_bands"), F.count("*").alias("n_values"), F.count_if(is_nodata).alias("n_nodata"), F.count_if(nan).alias("n_nan"), F.count_if(inf).alias("n_inf"),
+        F.count(v).alias("n_finite"), F.min(v).alias("min"), F.max(v).alias("max"),
+    )
+    out = out.withColumn("empty_fraction", 1 - F.col("n_finite") / F.col("n_values"))
+    codes = coded(
+        (F.lit(False) if bands is None else F.col("n_bands") != bands, "unexpected_band_count"), (F.col("n_finite") == 0, "all_nodata"), (F.col("n_nan") > 0, "nan_values"), (F.col("n_inf") > 0, "infinite_values"),
+        ((F.col("n_finite") > 0) & (F.col("empty_fraction") > max_nodata), "too_much_nodata"), (F.col("min") == F.col("max"), "constant"),
+    )
+    return out.withColumn("codes", codes)
+
+
 def constant_lines(pixels: DataFrame, nodata: float) -> DataFrame:
     """Rows and columns of each band that are constant or hold no data."""
     v = F.when(F.col("value") != nodata, F.col("value"))

@@ -5,8 +5,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions.scalars import centi_percent, classify_prefix
-from .ranking import dedupe, rank_in, share_of_total
+from ..functions.geo import contains, edge_area, edges_of, laea_to_lonlat, usable_rings
+from ..functions.scalars import centi_percent, classify_prefix, parse_grid_id, rank_of
+from .ranking import dedupe, rank_in, sample_examples, share_of_total
 
 
 def class_area(ix: DataFrame, cell: str, cls: str, area: str, cell_area: float) -> DataFrame:
@@ -85,14 +86,69 @@ def matrix_summary(matrix: DataFrame, cell: str, cls: str, value: str = "value",
     return majority(totals, cell, cls, "total", threshold).join(n, cell)
 
 
-def coarsen(cells: DataFrame, x: str, y: str, cls: str, resolutions: list[int]) -> DataFrame:
-    """Cells by class on coarser grids, all resolutions in one job; the class with most cells wins, ties by name."""
+def wide_matrix(ix: DataFrame, cell: str, cls: str, code: str, status: str, area: str, cell_area: float, classes: list[str], codes: list[str], threshold: int = 200) -> DataFrame:
+    """The whole matrix, one row per cell: a column for each class and each code, how many of each are above 0,
+    the majority class with its status, the second value, the difference, and whether it is within the threshold.
+
+    Values are hundredths of a percent by class (or code) and status, added up; ``classes`` and ``codes`` name
+    the columns. The status is the one with the largest value in the majority class, ties to the better one.
+    """
+    by_class, by_code = (status_matrix(ix, cell, c, status, area, cell_area) for c in (cls, code))
+    summary = matrix_summary(by_class, cell, cls, threshold=threshold)
+    best = by_class.join(summary.select(cell, F.col("majority").alias(cls)), [cell, cls]).where("value > 0")
+    best = dedupe(best, [cell], [F.desc("value"), F.desc(rank_of(F.col(status))), F.asc(status)]).select(cell, F.col(status).alias("majority_status"))
+    wide = [pivot_share(m, cell, c, "value", names) for m, c, names in ((by_class, cls, classes), (by_code, code, codes))]
+    n_codes = by_code.where("value > 0").groupBy(cell).agg(F.count_distinct(code).alias("n_codes"))
+    return summary.join(n_codes, cell, "left").join(best, cell, "left").join(wide[0], cell).join(wide[1], cell, "left").na.fill(0, [*codes, "n_codes"])
+
+
+def coarsen(cells: DataFrame, x: str, y: str, cls: str, resolutions: list[int], modes: list[str] = []) -> DataFrame:
+    """Cells by class on coarser grids, all resolutions in one job; the class with most cells wins, ties by name.
+
+    ``modes``: columns whose most frequent value in the coarse cell is given as mode_<column>, ties to the smallest.
+    cx and cy are the coarse cell's centre.
+    """
     many = cells.withColumn("res", F.explode(F.array(*[F.lit(r) for r in resolutions])))
     many = many.withColumn("gx", F.floor(F.col(x) / F.col("res"))).withColumn("gy", F.floor(F.col(y) / F.col("res")))
     keys = ["res", "gx", "gy"]
     counts = many.groupBy(*keys, cls).agg(F.count("*").alias("n"))
     counts = counts.withColumn("n_cells", F.sum("n").over(Window.partitionBy(*keys)))
-    return dedupe(counts, keys, [F.desc("n"), F.asc_nulls_last(cls)])
+    out = dedupe(counts, keys, [F.desc("n"), F.asc_nulls_last(cls)])
+    for c in modes:
+        most = dedupe(many.where(F.col(c).isNotNull()).groupBy(*keys, c).agg(F.count("*").alias("_n")), keys, [F.desc("_n"), F.asc(c)])
+        out = out.join(most.select(*keys, F.col(c).alias(f"mode_{c}")), keys, "left")
+    return out.withColumn("cx", (F.col("gx") + 0.5) * F.col("res")).withColumn("cy", (F.col("gy") + 0.5) * F.col("res"))
+
+
+def majority_grid(cells: DataFrame, summary: DataFrame, cell: str, columns: list[str]) -> DataFrame:
+    """Cells with a majority: the summary's columns, south-west corner, centre, and the centre's longitude and latitude."""
+    out = cells.select(cell, *columns).join(summary.where(F.col("majority").isNotNull()), cell)
+    part = parse_grid_id(F.col(cell))
+    out = out.withColumn("_g", part)
+    res, n, e = (F.col(f"_g.{c}") for c in ("res", "n", "e"))
+    out = out.withColumns({"x0": e * res, "y0": n * res, "cx": (e + 0.5) * res, "cy": (n + 0.5) * res})
+    lon, lat = laea_to_lonlat(F.col("cx"), F.col("cy"))
+    return out.withColumn("lon", lon).withColumn("lat", lat).drop("_g")
+
+
+def matrix_stats(wide: DataFrame, classes: list[str], threshold: int = 200) -> DataFrame:
+    """One row: cells, the largest value, flags that are true, and how many flags, class counts and differences do not follow from the class columns."""
+    ordered = F.sort_array(F.array(*[F.coalesce(F.col(c), F.lit(0)) for c in classes], F.lit(0)), asc=False)
+    above = sum(((F.coalesce(F.col(c), F.lit(0)) > 0).cast("int") for c in classes), F.lit(0))
+    return wide.agg(
+        F.count("*").alias("n_rows"), F.max(ordered[0]).alias("max_value"), F.count_if("disputed").alias("flag_true"), F.count_if(F.col("disputed") != (F.col("delta") <= threshold)).alias("flag_errors"),
+        F.count_if(F.col("n_classes") != above).alias("count_errors"), F.count_if(F.col("delta") != ordered[0] - ordered[1]).alias("delta_errors"),
+    )
+
+
+def drop_bad(polygons: DataFrame, rings: str) -> DataFrame:
+    """Polygons without an outer ring of three points or more and an area go, and so do such holes. Rings that cross themselves are not mended."""
+    return polygons.withColumn(rings, usable_rings(F.col(rings))).where(F.col(rings).isNotNull())
+
+
+def explode_parts(polygons: DataFrame, parts: str, rings: str) -> DataFrame:
+    """One row for each part of a multipolygon, whose rings are each element of ``parts``."""
+    return polygons.select("*", F.posexplode(parts).alias("part", rings)).drop(parts)
 
 
 def class_share(cells: DataFrame, cls: str) -> DataFrame:
@@ -118,13 +174,20 @@ def definition_crosstab(df: DataFrame, code: str, stored: str, rules: list[tuple
     return out.withColumn("share", F.col("n") / F.sum("n").over(Window.partitionBy("stored")))
 
 
+def definition_changes(df: DataFrame, code: str, stored: str, rules: list[tuple[str, str]], current: list[tuple[str, str]], critical: float = 0.0) -> DataFrame:
+    """Per code: rows, its class by two sets of rules, how many are stored as another class than the first says, and whether that is critical."""
+    named = df.withColumn("expected", classify_prefix(F.col(code), rules, "other")).withColumn("current", classify_prefix(F.col(code), current, "other"))
+    out = named.groupBy(F.col(code).alias("code"), "expected", "current").agg(F.count("*").alias("n"), F.count_if(~F.col(stored).eqNullSafe(F.col("expected"))).alias("n_mismatch"))
+    return out.withColumn("mismatch_share", F.col("n_mismatch") / F.col("n")).withColumn("critical", (F.col("mismatch_share") > critical) | (F.col("expected") != F.col("current")))
+
+
 def flag_correction(df: DataFrame, delta: str, flag: str, threshold: float) -> DataFrame:
     new = F.col(delta) <= threshold
     return df.agg(F.count_if(F.col(flag)).alias("old_true"), F.count_if(new).alias("new_true"), F.count_if(new != F.col(flag)).alias("changed"))
 
 
-def validate_matrix(df: DataFrame, limit: int = 10000, threshold: int = 200) -> DataFrame:
-    """Counts of rows that break a rule of the matrix."""
+def matrix_rules(limit: int, threshold: int, wide: bool) -> dict:
+    """Counters of validate_matrix() and what breaks each rule."""
     rules = {
         "value_above_limit": F.col("majority_value") > limit,
         "delta_above_limit": F.col("delta") > limit,
@@ -133,38 +196,82 @@ def validate_matrix(df: DataFrame, limit: int = 10000, threshold: int = 200) ->
         "second_above_majority": F.col("second_value") > F.col("majority_value"),
         "no_classes": F.col("n_classes") < 1,
     }
+    return rules | ({"no_codes": F.col("n_codes") < 1, "no_status": F.col("majority_status").isNull()} if wide else {})
+
+
+def validate_matrix(df: DataFrame, limit: int = 10000, threshold: int = 200) -> DataFrame:
+    """Counts of rows that break a rule of the matrix; of wide_matrix() also those without a code or a status."""
+    rules = matrix_rules(limit, threshold, "n_codes" in df.columns)
     return df.agg(F.count("*").alias("n_rows"), *[F.count_if(c).alias(k) for k, c in rules.items()])
 
 
-def overlay(polygons: DataFrame, ring: str, res: int) -> DataFrame:
-    """Area of each polygon in each cell it touches: cells of its bounding box, then exact clipping."""
-    from ..functions.geo import clip_area
+def matrix_examples(df: DataFrame, cell: str, n: int, limit: int = 10000, threshold: int = 200) -> DataFrame:
+    """(rule, cell): the first ``n`` cells that break each rule of validate_matrix()."""
+    rules = matrix_rules(limit, threshold, "n_codes" in df.columns)
+    broken = df.select(cell, F.explode(F.array_compact(F.array(*[F.when(c, F.lit(k)) for k, c in rules.items()]))).alias("rule"))
+    return sample_examples(broken, "rule", cell, n)
+
 
-    low = lambda a: F.floor(F.array_min(F.transform(ring, lambda p: p[a])) / res)
-    high = lambda a: F.floor(F.array_max(F.transform(ring, lambda p: p[a])) / res)
-    cells = polygons.withColumn("e", F.explode(F.sequence(low("x"), high("x")))).withColumn("n", F.explode(F.sequence(low("y"), high("y"))))
-    for c, of, add in (("_x0", "e", 0), ("_y0", "n", 0), ("_x1", "e", 1), ("_y1", "n", 1)):
-        cells = cells.withColumn(c, ((F.col(of) + add) * res).cast("double"))
-    return clip_area(cells, ring, "_x0", "_y0", "_x1", "_y1", "area").drop("_x0", "_y0", "_x1", "_y1").where("area > 0")
+def edges(polygons: DataFrame, keys: list[str], rings: str) -> DataFrame:
+    """One row per edge of each polygon: ring (0 is the outer one), xa, ya, xb, yb, and the ring's lowest y."""
+    least = F.array_min(F.transform(F.flatten(rings), lambda p: p["y"]))
+    out = polygons.select(*keys, least.alias("low"), F.explode(edges_of(F.col(rings))).alias("_e"))
+    return out.select(*keys, "low", F.col("_e.ring").alias("ring"), *[F.col(f"_e.{p}.{c}").alias(f"{c}{p}") for p in "ab" for c in "xy"])
 
 
-def assign_polygons(points: DataFrame, polygons: DataFrame, ring: str, tile: int) -> DataFrame:
-    """All polygons that hold a point: equal tiles, then the exact test."""
-    from ..functions.geo import contains
+def overlay(polygons: DataFrame, keys: list[str], rings: str, res: int) -> DataFrame:
+    """(keys, e, n, area): exact area of each polygon in each cell that it covers; ``keys`` tell polygons apart.
 
-    low = lambda a: F.floor(F.array_min(F.transform(ring, lambda p: p[a])) / tile)
-    high = lambda a: F.floor(F.array_max(F.transform(ring, lambda p: p[a])) / tile)
+    Each edge goes to the cells that lie below it within the polygon's extent and adds the area between
+    it and the cell's bottom; edges of the other direction count against. So it is plain arithmetic and
+    one sum by ring and cell. Holes are taken off.
+    """
+    cells = edges(polygons, keys, rings).where("xa <> xb")
+    steps = lambda a, b: F.explode(F.sequence(F.floor(a / res), F.ceil(b / res) - 1))
+    cells = cells.withColumn("e", steps(F.least("xa", "xb"), F.greatest("xa", "xb")))
+    cells = cells.withColumn("n", F.explode(F.sequence(F.floor(F.col("low") / res), F.greatest(F.ceil(F.greatest("ya", "yb") / res) - 1, F.floor(F.col("low") / res)))))
+    part = edge_area(*[F.col(c) for c in ("xa", "ya", "xb", "yb")], F.col("e") * res, F.col("n") * res, F.lit(float(res)))
+    ring_sums = cells.groupBy(*keys, "ring", "e", "n").agg(F.abs(F.sum(part)).alias("part"))
+    out = ring_sums.groupBy(*keys, "e", "n").agg(F.sum(F.when(F.col("ring") == 0, F.col("part")).otherwise(-F.col("part"))).alias("area"))
+    return out.where(F.col("area") > res * res * 1e-9)  # what rounding leaves is no area
+
+
+def micro_cells(polygons: DataFrame, keys: list[str], rings: str, res: int) -> DataFrame:
+    """(keys, e, n): cells whose centre lies in the polygon, row by row between the crossings of its edges."""
+    rows = edges(polygons, keys, rings).where("ya <> yb")
+    low, high = F.least("ya", "yb"), F.greatest("ya", "yb")
+    rows = rows.withColumn("n", F.explode(F.filter(F.sequence(F.floor(low / res) - 1, F.ceil(high / res)), lambda n: ((n + 0.5) * res >= low) & ((n + 0.5) * res < high))))
+    x = F.col("xa") + (F.col("xb") - F.col("xa")) * ((F.col("n") + 0.5) * res - F.col("ya")) / (F.col("yb") - F.col("ya"))
+    spans = rows.groupBy(*keys, "n").agg(F.sort_array(F.collect_list(x)).alias("_x"))
+    pairs = spans.select(*keys, "n", F.explode(F.expr("transform(sequence(0, size(_x) div 2 - 1), i -> struct(_x[2 * i] AS a, _x[2 * i + 1] AS b))")).alias("_p"))
+    first, last = F.ceil(F.col("_p.a") / res - 0.5), F.ceil(F.col("_p.b") / res - 0.5) - 1
+    return pairs.where(first <= last).select(*keys, F.explode(F.sequence(first, last)).alias("e"), "n")
+
+
+def assign_polygons(points: DataFrame, polygons: DataFrame, rings: str, tile: int) -> DataFrame:
+    """All polygons that hold a point strictly inside: equal tiles, then the exact test."""
+    low = lambda a: F.floor(F.array_min(F.transform(F.flatten(rings), lambda p: p[a])) / tile)
+    high = lambda a: F.floor(F.array_max(F.transform(F.flatten(rings), lambda p: p[a])) / tile)
     tiled = polygons.withColumn("_tx", F.explode(F.sequence(low("x"), high("x")))).withColumn("_ty", F.explode(F.sequence(low("y"), high("y"))))
     keyed = points.withColumn("_tx", F.floor(F.col("x") / tile)).withColumn("_ty", F.floor(F.col("y") / tile))
-    return keyed.join(tiled, ["_tx", "_ty"]).where(contains(F.col(ring), F.col("x"), F.col("y"))).drop("_tx", "_ty", ring).distinct()
+    return keyed.join(tiled, ["_tx", "_ty"]).where(contains(F.col(rings), F.col("x"), F.col("y"))).drop("_tx", "_ty", rings).distinct()
 
 
 def match_summary(matches: DataFrame, key: str, columns: list[str]) -> DataFrame:
+    """Per point: matches, how many values of each column, those values joined, and that it is inside."""
     joined = lambda c: F.array_join(F.sort_array(F.collect_set(F.col(c).cast("string"))), "|")
-    return matches.groupBy(key).agg(F.count("*").alias("n_matches"), *[F.count_distinct(c).alias(f"n_{c}") for c in columns], *[joined(c).alias(f"all_{c}") for c in columns])
+    out = matches.groupBy(key).agg(F.count("*").alias("n_matches"), *[F.count_distinct(c).alias(f"n_{c}") for c in columns], *[joined(c).alias(f"all_{c}") for c in columns])
+    return out.withColumn("inside", F.lit(True))
 
 
-def resolve_overlaps(polygons: DataFrame, cls: str, res: int, ring: str, order: list) -> DataFrame:
-    """Area of each polygon that is left when better ones take the cells they share, by cells of ``res``."""
-    pieces = overlay(polygons, ring, res)
-    return dedupe(pieces, [cls, "e", "n"], order)
+def resolve_overlaps(polygons: DataFrame, keys: list[str], cls: str, year: str, status: str, src: str, rings: str, res: int) -> DataFrame:
+    """(keys, area): what is left of each polygon when better ones of its class take what both cover.
+
+    The newer year wins, then the better status, then the smaller source id. Overlaps are resolved on
+    micro-cells of ``res``, so an area is exact up to its perimeter times ``res``; a polygon that loses
+    all its cells goes. ``keys`` tell polygons apart and hold the other columns.
+    """
+    cells = micro_cells(polygons, list(dict.fromkeys([*keys, cls, year, status, src])), rings, res)
+    order = F.struct(F.coalesce(F.col(year).cast("long"), F.lit(-1)).alias("y"), rank_of(F.col(status)).alias("s"), (-F.col(src)).alias("i"))
+    best = cells.groupBy(cls, "e", "n").agg(F.max_by(F.struct(*keys), order).alias("best"))
+    return best.groupBy("best").agg((F.count("*") * float(res * res)).alias("area")).select("best.*", "area")

@@ -34,3 +34,13 @@ def top2_across(df: DataFrame, columns: list[str]) -> DataFrame:
 def value_counts(df: DataFrame, column: str, k: int) -> DataFrame:
     value = F.coalesce(F.col(column).cast("string"), F.lit("missing")).alias("value")
     return df.groupBy(value).agg(F.count("*").alias("n")).orderBy(F.desc("n"), "value").limit(k)
+
+
+def sample_examples(df: DataFrame, group: str, order: str, n: int) -> DataFrame:
+    """The first ``n`` rows of each group."""
+    return top_k(df, [group], [F.asc(order)], n, "_rn").drop("_rn")
+
+
+def sort_numeric_id(df: DataFrame, key: str) -> DataFrame:
+    """Rows by the number that an id stands for; ids that are not numbers come last, by name. For the final write only."""
+    return df.orderBy(F.col(key).try_cast("bigint").asc_nulls_last(), F.asc(key))

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from ..functions import scalars as S
 from ..functions.geo import point
 from ..operators import changes, cube, inventory, landcover, master, ranking, species
+from ..sources import tables
 from .standins import view, with_views
 
 CELL_AREA = 10_000.0
@@ -142,13 +143,16 @@ def top2_across(spark, sf_dir):
     return ranking.top2_across(pivot_of(spark, sf_dir), ["a", "b", "c", "k"]).select("grid_id", "top", "second", "delta")
 
 
-@query("""+ many AS (SELECT res, CAST(floor(e * 100 / res) AS BIGINT) AS gx, CAST(floor(n * 100 / res) AS BIGINT) AS gy, formation FROM ix CROSS JOIN (SELECT unnest([1000, 5000, 10000]) AS res) AS rr),
+@query("""+ many AS (SELECT res, CAST(floor(e * 100 / res) AS BIGINT) AS gx, CAST(floor(n * 100 / res) AS BIGINT) AS gy, formation, mapping_year FROM ix CROSS JOIN (SELECT unnest([1000, 5000, 10000]) AS res) AS rr),
     c AS (SELECT res, gx, gy, formation, count(*) AS n FROM many GROUP BY ALL),
-    s AS (SELECT *, CAST(sum(n) OVER (PARTITION BY res, gx, gy) AS BIGINT) AS n_cells FROM c)
-    SELECT * FROM s QUALIFY row_number() OVER (PARTITION BY res, gx, gy ORDER BY n DESC, formation) = 1""", "ix")
+    z AS (SELECT res, gx, gy, mapping_year AS mode_mapping_year, count(*) AS k FROM many GROUP BY ALL),
+    y AS (SELECT * FROM z QUALIFY row_number() OVER (PARTITION BY res, gx, gy ORDER BY k DESC, mode_mapping_year) = 1),
+    s AS (SELECT *, CAST(sum(n) OVER (PARTITION BY res, gx, gy) AS BIGINT) AS n_cells FROM c),
+    t AS (SELECT * FROM s QUALIFY row_number() OVER (PARTITION BY res, gx, gy ORDER BY n DESC, formation) = 1)
+    SELECT t.*, y.mode_mapping_year, (gx + 0.5::DOUBLE) * res AS cx, (gy + 0.5::DOUBLE) * res AS cy FROM t JOIN y USING (res, gx, gy)""", "ix")
 def coarsen_grids(spark, sf_dir):
-    ix = view(spark, sf_dir, "ix").select((F.col("e") * 100).alias("x"), (F.col("n") * 100).alias("y"), "formation")
-    return landcover.coarsen(ix, "x", "y", "formation", [1000, 5000, 10000])
+    ix = view(spark, sf_dir, "ix").select((F.col("e") * 100).alias("x"), (F.col("n") * 100).alias("y"), "formation", "mapping_year")
+    return landcover.coarsen(ix, "x", "y", "formation", [1000, 5000, 10000], ["mapping_year"])
 
 
 @query("SELECT formation, count(*) AS n, count(*) / (SELECT CAST(count(*) AS DOUBLE) FROM ix) AS share FROM ix GROUP BY formation", "ix")
@@ -170,20 +174,20 @@ def definition_crosstab(spark, sf_dir):
     return landcover.definition_crosstab(view(spark, sf_dir, "ix"), "code", "formation", [("Brand#1", "first"), ("Brand#2", "second")])
 
 
-def ring_of_box():
-    return F.array(point(F.col("x0"), F.col("y0")), point(F.col("x1"), F.col("y0")), point(F.col("x1"), F.col("y1")), point(F.col("x0"), F.col("y1")))
+def rings_of_box():
+    return F.array(F.array(point(F.col("x0"), F.col("y0")), point(F.col("x1"), F.col("y0")), point(F.col("x1"), F.col("y1")), point(F.col("x0"), F.col("y1"))))
 
 
 @query("""+ c AS (SELECT *, unnest(range(CAST(floor(x0 / 100) AS BIGINT), CAST(floor(x1 / 100) AS BIGINT) + 1)) AS e FROM polys),
     d AS (SELECT *, unnest(range(CAST(floor(y0 / 100) AS BIGINT), CAST(floor(y1 / 100) AS BIGINT) + 1)) AS n FROM c),
     a AS (SELECT poly, e, n, (least(x1, e * 100 + 100) - greatest(x0, e * 100)) * (least(y1, n * 100 + 100) - greatest(y0, n * 100)) AS area FROM d) SELECT * FROM a WHERE area > 0""", "polys")
 def overlay_boxes(spark, sf_dir):
-    return landcover.overlay(view(spark, sf_dir, "polys").select("poly", ring_of_box().alias("ring")), "ring", 100).select("poly", "e", "n", "area")
+    return landcover.overlay(view(spark, sf_dir, "polys").select("poly", rings_of_box().alias("rings")), ["poly"], "rings", 100)
 
 
 def matches_of(spark, sf_dir):
-    polys = view(spark, sf_dir, "polys").select("poly", "formation", "code", ring_of_box().alias("ring"))
-    return landcover.assign_polygons(view(spark, sf_dir, "points"), polys, "ring", 200)
+    polys = view(spark, sf_dir, "polys").select("poly", "formation", "code", rings_of_box().alias("rings"))
+    return landcover.assign_polygons(view(spark, sf_dir, "points"), polys, "rings", 200)
 
 
 @query("SELECT id, poly, formation FROM points JOIN polys ON x > x0 AND x < x1 AND y > y0 AND y < y1", "points", "polys")
@@ -192,20 +196,21 @@ def points_in_polygons(spark, sf_dir):
 
 
 @query("""SELECT id, count(*) AS n_matches, count(DISTINCT formation) AS n_formation, count(DISTINCT code) AS n_code,
-    string_agg(DISTINCT formation, '|' ORDER BY formation) AS all_formation, string_agg(DISTINCT code, '|' ORDER BY code) AS all_code
+    string_agg(DISTINCT formation, '|' ORDER BY formation) AS all_formation, string_agg(DISTINCT code, '|' ORDER BY code) AS all_code, TRUE AS inside
     FROM points JOIN polys ON x > x0 AND x < x1 AND y > y0 AND y < y1 GROUP BY id""", "points", "polys")
 def match_summary(spark, sf_dir):
     return landcover.match_summary(matches_of(spark, sf_dir), "id", ["formation", "code"])
 
 
-@query("""+ c AS (SELECT *, unnest(range(CAST(floor(x0 / 100) AS BIGINT), CAST(floor(x1 / 100) AS BIGINT) + 1)) AS e FROM polys),
-    d AS (SELECT *, unnest(range(CAST(floor(y0 / 100) AS BIGINT), CAST(floor(y1 / 100) AS BIGINT) + 1)) AS n FROM c),
-    a AS (SELECT formation, mapping_year, poly, e, n, (least(x1, e * 100 + 100) - greatest(x0, e * 100)) * (least(y1, n * 100 + 100) - greatest(y0, n * 100)) AS area FROM d)
-    SELECT * FROM a WHERE area > 0 QUALIFY row_number() OVER (PARTITION BY formation, e, n ORDER BY mapping_year DESC, poly) = 1""", "polys")
+@query("""+ c AS (SELECT *, unnest(range(CAST(ceil(x0 / 20 - 0.5) AS BIGINT), CAST(ceil(x1 / 20 - 0.5) AS BIGINT))) AS e FROM polys),
+    d AS (SELECT *, unnest(range(CAST(ceil(y0 / 20 - 0.5) AS BIGINT), CAST(ceil(y1 / 20 - 0.5) AS BIGINT))) AS n FROM c),
+    w AS (SELECT formation, e, n, max(mapping_year::BIGINT * 1000000000 + (CASE status WHEN 'A' THEN 4 WHEN 'B' THEN 3 WHEN 'C' THEN 2 ELSE 1 END) * 100000000 - poly) AS best FROM d GROUP BY ALL),
+    o AS (SELECT d.poly, d.formation, d.mapping_year, count(*) AS k FROM d JOIN w ON d.formation = w.formation AND d.e = w.e AND d.n = w.n
+          AND d.mapping_year::BIGINT * 1000000000 + (CASE d.status WHEN 'A' THEN 4 WHEN 'B' THEN 3 WHEN 'C' THEN 2 ELSE 1 END) * 100000000 - d.poly = w.best GROUP BY ALL)
+    SELECT formation, mapping_year, poly, k * 400.0::DOUBLE AS area FROM o""", "polys")
 def resolve_overlaps(spark, sf_dir):
-    polys = view(spark, sf_dir, "polys").select("poly", "formation", "mapping_year", ring_of_box().alias("ring"))
-    out = landcover.resolve_overlaps(polys, "formation", 100, "ring", [F.desc("mapping_year"), F.asc("poly")])
-    return out.select("formation", "mapping_year", "poly", "e", "n", "area")
+    polys = view(spark, sf_dir, "polys").select("poly", "formation", "mapping_year", "status", rings_of_box().alias("rings"))
+    return landcover.resolve_overlaps(polys, ["poly", "formation", "mapping_year"], "formation", "mapping_year", "status", "poly", "rings", 20)
 
 
 @query("""SELECT DISTINCT id, CAST(id AS VARCHAR) AS nid, CASE WHEN lower(sound_status) IN ('true', '1', 'yes', 'y') THEN TRUE ELSE FALSE END AS truth,
@@ -234,10 +239,13 @@ def changed_ids(spark, sf_dir):
     return changes.changed_ids(fingerprints_of(spark, sf_dir, "source"), fingerprints_of(spark, sf_dir, "source_prev"), "id", "fp")
 
 
-@query("SELECT id, lat FROM source_prev WHERE id % 13 <> 0 UNION ALL SELECT id, lat FROM source WHERE id % 13 = 0", "source", "source_prev")
+@query(f"""+ c AS (SELECT id, lat, {FP} AS fp FROM source), p AS (SELECT id, lat, {FP} AS fp FROM source_prev)
+    SELECT coalesce(c.id, p.id) AS id, CASE WHEN c.id IS NULL THEN p.lat ELSE c.lat END AS lat FROM c FULL JOIN p ON c.id = p.id""", "source", "source_prev")
 def upsert(spark, sf_dir):
-    new = view(spark, sf_dir, "source").where("id % 13 = 0").select("id", "lat")
-    return changes.upsert_by_id(view(spark, sf_dir, "source_prev").select("id", "lat"), new, new, "id")
+    now, before = fingerprints_of(spark, sf_dir, "source"), fingerprints_of(spark, sf_dir, "source_prev")
+    ids = changes.changed_ids(now, before, "id", "fp").where("change <> 'deleted'")
+    rows = changes.restrict_to_ids(now.select("id", "lat"), ids, "id")
+    return changes.upsert_by_id(before.select("id", "lat"), rows, ids, "id", [F.asc("lat")])
 
 
 @query("""+ j AS (SELECT coalesce(c.id, p.id) AS id, c.id IS NOT NULL AS inc, p.id IS NOT NULL AS inp, coalesce(p.sound_status, '') AS ps, coalesce(c.sound_status, '') AS cs,
@@ -261,31 +269,37 @@ def compare_tables(spark, sf_dir):
     return changes.compare_tables(view(spark, sf_dir, "source"), view(spark, sf_dir, "source_prev"), "id", ["lat", "audio"])
 
 
-@query("""SELECT id, bool_or(file_exists) AS "exists", bool_or(has_issues) AS has_issues, count(*) AS n_files, min(CASE WHEN file_exists THEN name END) AS first_file FROM files GROUP BY id""", "files")
-def file_compact(spark, sf_dir):
-    return inventory.compact(view(spark, sf_dir, "files"), "id", "file_exists", "has_issues", "name")
+ROLLUP = """+ t AS (SELECT id, name, unnest(string_split_regex(issues, '[|;]')) AS raw, unnest(range(1, 9)) AS pos FROM files WHERE issues <> ''),
+    u AS (SELECT id, name, pos, lower(trim(regexp_replace(split_part(raw, ':', 1), '[^A-Za-z0-9_.-]+', '_', 'g'), '_')) AS token FROM t WHERE raw IS NOT NULL),
+    v AS (SELECT id, token, min(name || '/' || CAST(pos AS VARCHAR)) AS place FROM u WHERE token <> '' GROUP BY ALL),
+    ro AS (SELECT id, string_agg(token, '|' ORDER BY place, token) AS codes FROM v GROUP BY id) """
 
 
-@query("""+ f AS (SELECT *, row_number() OVER (ORDER BY id, name) AS o FROM files),
-    t AS (SELECT id, name, unnest(string_split_regex(issues, '[|;]')) AS raw, unnest(range(1, 9)) AS pos FROM f WHERE issues <> ''),
-    u AS (SELECT id, name, pos, lower(trim(regexp_replace(split_part(raw, ':', 1), '[^A-Za-z0-9_.-]+', '_', 'g'), '_')) AS token FROM t WHERE raw IS NOT NULL),
-    v AS (SELECT id, token, min(name || '/' || CAST(pos AS VARCHAR)) AS place FROM u WHERE token <> '' GROUP BY ALL)
-    SELECT id, string_agg(token, '|' ORDER BY place, token) AS codes FROM v GROUP BY id""", "files")
+@query(ROLLUP + "SELECT * FROM ro", "files")
 def issue_rollup(spark, sf_dir):
     return inventory.issue_rollup(view(spark, sf_dir, "files"), "id", "issues", "name")
 
 
+@query(ROLLUP + """, c AS (SELECT id, bool_or(file_exists) AS "exists", bool_or(has_issues) AS has_issues, count(*) AS n_files, min(CASE WHEN file_exists THEN name END) AS first_file FROM files GROUP BY id)
+    SELECT c.*, coalesce(codes, '') AS codes FROM c LEFT JOIN ro USING (id)""", "files")
+def file_compact(spark, sf_dir):
+    return inventory.compact(view(spark, sf_dir, "files"), "id", "file_exists", "has_issues", "name", "issues")
+
+
 @query("""+ g AS (SELECT id, count(*) AS n_rows, count(*) FILTER (WHERE score IS NULL) AS n_missing, count(*) FILTER (WHERE score NOT BETWEEN 0 AND 1) AS n_out_of_range, max(CASE WHEN score BETWEEN 0 AND 1 THEN score END) AS score FROM scores GROUP BY id)
     SELECT *, concat_ws('|', CASE WHEN n_rows > 1 THEN 'duplicate_score' END, CASE WHEN n_missing > 0 THEN 'missing_score' END, CASE WHEN n_out_of_range > 0 THEN 'score_out_of_range' END) AS codes FROM g""", "scores")
 def score_rollup(spark, sf_dir):
     return inventory.score_rollup(view(spark, sf_dir, "scores"), "id", "score")
 
 
-@query("""+ f AS (SELECT id, count(*) AS n FROM files GROUP BY id), s AS (SELECT id, count(*) AS m FROM scores GROUP BY id)
-    SELECT coalesce(f.id, s.id) AS id, n, m, CASE WHEN f.id IS NULL THEN 'missing_file' WHEN s.id IS NULL THEN 'missing_score' ELSE '' END AS issue FROM f FULL JOIN s ON f.id = s.id""", "files", "scores")
+@query(ROLLUP + """, f AS (SELECT id, count(*) AS n FROM files GROUP BY id), s AS (SELECT id, count(*) AS m FROM scores GROUP BY id),
+    j AS (SELECT coalesce(f.id, s.id) AS id, n, m, ro.codes, f.id IS NULL AS no_file, s.id IS NULL AS no_score FROM f FULL JOIN s ON f.id = s.id LEFT JOIN ro ON ro.id = f.id)
+    SELECT id, n, m, CASE WHEN no_file THEN 'missing_file' ELSE concat_ws('|', codes, CASE WHEN no_score THEN 'missing_score' END) END AS issue, CASE WHEN no_file THEN 'score_only' ELSE 'file' END AS record_type FROM j""", "files", "scores")
 def merge_scores(spark, sf_dir):
-    f, s = (view(spark, sf_dir, v).groupBy("id").agg(F.count("*").alias(c)) for v, c in (("files", "n"), ("scores", "m")))
-    return inventory.merge_scores(f, s, "id")
+    f = inventory.issue_rollup(view(spark, sf_dir, "files"), "id", "issues", "name").withColumnRenamed("codes", "issues")
+    f = view(spark, sf_dir, "files").groupBy("id").agg(F.count("*").alias("n")).join(f, "id", "left")
+    s = view(spark, sf_dir, "scores").groupBy("id").agg(F.count("*").alias("m"))
+    return inventory.merge_scores(f, s, "id").select("id", "n", "m", "issue", "record_type")
 
 
 @query("""SELECT count(*) FILTER (WHERE file_exists) AS present, count(*) FILTER (WHERE NOT file_exists) AS missing, count(*) FILTER (WHERE has_issues) AS issues,
@@ -300,18 +314,29 @@ def value_counts(spark, sf_dir):
 
 
 @query("""+ g AS (SELECT *, epoch(ts) - epoch(lag(ts) OVER (PARTITION BY id ORDER BY ts)) AS gap FROM series),
-    a AS (SELECT id, count(*) AS n_rows, count(*) FILTER (WHERE value IS NULL) AS n_null, count(*) FILTER (WHERE gap = 0) AS n_duplicate, count(*) FILTER (WHERE gap <> 3600 AND gap <> 0) AS n_wrong_step,
-    count(*) FILTER (WHERE value < 0 OR value > 250) AS n_out_of_range FROM g GROUP BY id)
-    SELECT *, concat_ws('|', CASE WHEN n_rows <> 264 THEN 'unexpected_row_count' END, CASE WHEN n_null > 0 THEN 'missing_values' END, CASE WHEN n_duplicate > 0 THEN 'duplicate_datetime' END,
-    CASE WHEN n_wrong_step > 0 THEN 'unexpected_time_interval' END, CASE WHEN n_out_of_range > 0 THEN 'value_out_of_range' END) AS codes FROM a""", "series")
+    a AS (SELECT id, count(*) AS n_rows, greatest(0.0, avg(CASE WHEN value IS NULL THEN 1.0 ELSE 0.0 END)) AS null_fraction, CAST(0 AS BIGINT) AS n_unparsable, count(*) FILTER (WHERE gap = 0) AS n_duplicate,
+    count(*) FILTER (WHERE gap <> 3600) AS n_wrong_step, count(*) FILTER (WHERE value < 0 OR value > 250) AS n_out_of_range, min(ts) AS first_ts, max(ts) AS last_ts FROM g GROUP BY id)
+    SELECT * EXCLUDE (null_fraction), round(null_fraction, 9) AS null_fraction, concat_ws('|', CASE WHEN n_rows <> 264 THEN 'unexpected_row_count' END, 'missing_required_column', CASE WHEN null_fraction > 0 THEN 'missing_value' END, CASE WHEN n_duplicate > 0 THEN 'duplicate_datetime' END,
+    CASE WHEN n_wrong_step > 0 THEN 'unexpected_time_interval' END, CASE WHEN date_trunc('day', last_ts) - INTERVAL 10 DAY <> first_ts OR date_trunc('day', last_ts) + INTERVAL 23 HOUR <> last_ts THEN 'unexpected_time_window' END,
+    CASE WHEN n_out_of_range > 0 THEN 'implausible_value' END) AS codes FROM a""", "series")
 def series_qc(spark, sf_dir):
-    return inventory.series_qc(view(spark, sf_dir, "series"), "id", "ts", "value", 264, 3600, 0, 250)
+    series = view(spark, sf_dir, "series")
+    window = series.groupBy("id").agg(S.expected_window(F.max("ts"), 10).alias("w")).select("id", "w.*")
+    out = inventory.series_qc(series, "id", "ts", {"value": (0, 250), "humidity": (0, 100)}, 264, 3600, window)
+    return out.withColumn("null_fraction", F.round("null_fraction", 9))
+
 
+def quantile_sql(p: float) -> str:
+    """The quantile of the sorted list v: counted from the nearer of the two values next to it."""
+    at, low = f"((len(v) - 1) * {p}::DOUBLE)", f"CAST(floor((len(v) - 1) * {p}::DOUBLE) AS BIGINT)"
+    a, b, t = f"v[{low} + 1]", f"coalesce(v[{low} + 2], v[{low} + 1])", f"({at} - {low})"
+    return f"CAST(least(greatest(round_even((CASE WHEN {t} < 0.5 THEN {a} + ({b} - {a}) * {t} ELSE {b} - ({b} - {a}) * (1 - {t}) END) * 100, 0), -32768), 32767) AS SMALLINT) AS p{round(p * 100)}"
 
-@query("""+ q AS (SELECT var, x, y, month(ts) AS "month", quantile_cont(value, 0.1) AS a, quantile_cont(value, 0.5) AS b, quantile_cont(value, 0.9) AS c FROM cube GROUP BY ALL)
-    SELECT var, x, y, "month", CAST(round_even(a * 1000, 0) AS INT) AS p10, CAST(round_even(b * 1000, 0) AS INT) AS p50, CAST(round_even(c * 1000, 0) AS INT) AS p90 FROM q""", "cube")
+
+@query(f"""+ q AS (SELECT var, x, y, month(ts) AS "month", list_sort(list(value)) AS v FROM cube WHERE value IS NOT NULL GROUP BY ALL)
+    SELECT var, x, y, "month", {quantile_sql(0.1)}, {quantile_sql(0.5)}, {quantile_sql(0.9)} FROM q""", "cube")
 def monthly_quantiles(spark, sf_dir):
-    return cube.monthly_quantiles(view(spark, sf_dir, "cube"), [0.1, 0.5, 0.9], 1000, -9999)
+    return cube.monthly_quantiles(view(spark, sf_dir, "cube"), [0.1, 0.5, 0.9], 100, -9999)
 
 
 @query("""+ c AS (SELECT var, x, y, date_trunc('hour', ts) AS hour, round(sum(value), 3) AS value FROM cube GROUP BY ALL), p AS (SELECT event_id, user_id % 5 AS px, user_id % 3 AS py, date_trunc('hour', ts) AS hour FROM events)
@@ -349,10 +374,10 @@ def plausible_of(spark, sf_dir):
 
 
 PLAUSIBLE = """+ pm AS (SELECT *, id % 12 + 1 AS month FROM preds),
-    pl AS (SELECT pm.*, CASE WHEN accepted_name IS NULL THEN 'not_evaluated' WHEN NOT present OR NOT (CASE WHEN start_month <= end_month THEN month BETWEEN start_month AND end_month ELSE month >= start_month OR month <= end_month END) THEN 'flagged' ELSE 'accepted' END AS status
+    pl AS (SELECT pm.*, accepted_name, taxon_group, CASE WHEN accepted_name IS NULL THEN 'not_evaluated' WHEN NOT present OR NOT (CASE WHEN start_month <= end_month THEN month BETWEEN start_month AND end_month ELSE month >= start_month OR month <= end_month END) THEN 'flagged' ELSE 'accepted' END AS status
     FROM pm LEFT JOIN allow USING (species)),
-    bm AS (SELECT id, species, model, max(score) AS score, count(DISTINCT segment) AS segments FROM pl WHERE status <> 'flagged' GROUP BY ALL),
-    cs AS (SELECT id, species, count(DISTINCT model) AS support, max(score) AS score, CAST(sum(segments) AS BIGINT) AS segments FROM bm GROUP BY ALL),
+    bm AS (SELECT id, coalesce(accepted_name, species) AS species, model, max(score) AS score, count(DISTINCT segment) AS segments, min(taxon_group) AS taxon_group FROM pl WHERE status <> 'flagged' GROUP BY id, coalesce(accepted_name, species), model),
+    cs AS (SELECT id, species, count(DISTINCT model) AS support, max(score) AS score, CAST(sum(segments) AS BIGINT) AS segments, min(taxon_group) AS taxon_group FROM bm GROUP BY ALL),
     rk AS (SELECT *, row_number() OVER (PARTITION BY id ORDER BY support DESC, score DESC, segments DESC, species) AS rank FROM cs) """
 
 
@@ -366,7 +391,7 @@ def consensus(spark, sf_dir):
     return species.consensus(plausible_of(spark, sf_dir).where("status <> 'flagged'"), "id")
 
 
-@query(PLAUSIBLE + "SELECT id, count(*) AS n_species, max(score) AS max_score, max(species) FILTER (WHERE rank = 1) AS top_species, max(support) FILTER (WHERE rank = 1) AS top_support FROM rk GROUP BY id", "preds", "allow")
+@query(PLAUSIBLE + "SELECT id, count(*) AS n_species, count(*) FILTER (WHERE coalesce(taxon_group LIKE '%bird%', FALSE)) AS n_birds, count(*) FILTER (WHERE NOT coalesce(taxon_group LIKE '%bird%', FALSE)) AS n_others, max(score) AS max_score, max(species) FILTER (WHERE rank = 1) AS top_species, max(support) FILTER (WHERE rank = 1) AS top_support FROM rk GROUP BY id", "preds", "allow")
 def recording_summary(spark, sf_dir):
     return species.recording_summary(species.consensus(plausible_of(spark, sf_dir).where("status <> 'flagged'"), "id"), "id")
 
@@ -385,20 +410,54 @@ def worklist(spark, sf_dir):
     return work_of(spark, sf_dir).select("id", "model", "work_key")
 
 
-@query(WORK + """SELECT id, count(*) AS n_expected, count(*) FILTER (WHERE done) AS n_done, CASE WHEN count(*) = count(*) FILTER (WHERE done) THEN 'validated' WHEN bool_or(done) THEN 'partial' ELSE 'failed' END AS status
-    FROM wd WHERE model IN ('click', 'purchase') GROUP BY id""", "source", "preds")
+FAILED = "(id % 7 = 0 AND model = 'click')"
+
+
+def failed_of(spark, sf_dir):
+    return work_of(spark, sf_dir).where("id % 7 = 0 AND model = 'click'").select("id", "model", F.lit("E: stopped").alias("error"))
+
+
+@query(WORK + f""", g AS (SELECT id, string_agg(model, '|' ORDER BY model) AS models_expected, coalesce(string_agg(model, '|' ORDER BY model) FILTER (WHERE done), '') AS models_complete,
+    count(*) FILTER (WHERE done AND model IN ('click', 'purchase')) = 2 AS required_complete, bool_or({FAILED}) AS f, bool_or(done) AS any_done FROM wd GROUP BY id),
+    h AS (SELECT *, concat_ws('|', CASE WHEN NOT required_complete THEN 'required_models_incomplete' END, CASE WHEN f THEN 'model_inference_failed' END) AS codes FROM g)
+    SELECT id, models_expected, models_complete, required_complete, codes, codes <> '' AS has_issues, CASE WHEN codes = '' THEN 'validated' WHEN any_done THEN 'partial' ELSE 'failed' END AS status FROM h""", "source", "preds")
 def completion_qc(spark, sf_dir):
-    return species.completion_qc(work_of(spark, sf_dir), view(spark, sf_dir, "preds"), "id", ["click", "purchase"])
+    return species.completion_qc(work_of(spark, sf_dir), view(spark, sf_dir, "preds"), "id", ["click", "purchase"], failed_of(spark, sf_dir))
+
+
+@query(WORK + f"SELECT id, model, TRUE AS expected, model IN ('click', 'purchase') AS required, done AS complete, CASE WHEN {FAILED} THEN 'E: stopped' ELSE '' END AS error FROM wd", "source", "preds")
+def completion_detail(spark, sf_dir):
+    return species.completion_detail(work_of(spark, sf_dir), view(spark, sf_dir, "preds"), "id", ["click", "purchase"], failed_of(spark, sf_dir))
+
+
+SHARD = "CAST(('0x' || substr(sha256(CAST(id AS VARCHAR)), 1, 16))::UBIGINT % 16 AS INT)"
 
 
-@query()
+@query(WORK + f""", k AS (SELECT *, {SHARD} AS shard FROM wd), e AS (SELECT model, shard, count(*) AS n_expected, count(*) FILTER (WHERE NOT done) AS n_missing FROM k GROUP BY ALL),
+    st AS (SELECT model, shard, CASE WHEN shard % 5 = 0 THEN 'running' ELSE 'complete' END AS s, CASE WHEN shard % 7 = 3 THEN 2 ELSE 0 END AS f, CASE WHEN shard = 8 THEN 12 ELSE 16 END AS c FROM e WHERE shard <> 4),
+    j AS (SELECT e.*, concat_ws('|', CASE WHEN st.s IS NULL THEN 'missing_state' END, CASE WHEN s <> 'complete' THEN 'non_complete_state' END, CASE WHEN f > 0 THEN 'failed_ids' END, CASE WHEN c <> 16 THEN 'shard_count_mismatch' END,
+    CASE WHEN st.s IS NOT NULL AND n_missing > 0 THEN 'missing_work_key' END) AS codes FROM e LEFT JOIN st ON e.model = st.model AND e.shard = st.shard)
+    SELECT *, codes = '' AS complete, codes <> '' AND model IN ('click', 'purchase') AS blocking FROM j""", "source", "preds")
 def shard_verification(spark, sf_dir):
-    return species.shard_verification(work_of(spark, sf_dir), view(spark, sf_dir, "preds"), "id")
+    work = work_of(spark, sf_dir)
+    done = work.join(view(spark, sf_dir, "preds").select("id", "model").distinct(), ["id", "model"], "left_semi")
+    states = work.select("model", "shard").distinct().where("shard <> 4").select(
+        "model", "shard", F.when(F.col("shard") % 5 == 0, "running").otherwise("complete").alias("status"), F.when(F.col("shard") % 7 == 3, 2).otherwise(0).alias("n_failed"), F.when(F.col("shard") == 8, 12).otherwise(16).alias("shard_count")
+    )
+    return species.shard_verification(work, done, "id", ["click", "purchase"], states, 16)
 
 
-@query()
+@query(WORK + "SELECT work_key, CASE WHEN work_key NOT LIKE '000%' THEN length(model) / 10.0::DOUBLE END AS score, CASE WHEN work_key LIKE '000%' THEN 'ValueError: no sound' END AS error FROM wd WHERE NOT done", "source", "preds")
 def batch_score(spark, sf_dir):
-    return species.batch_score(work_of(spark, sf_dir).select("id", "model", "work_key"), lambda pdf: pdf["model"].str.len() / 10, "work_key")
+    def scorer(pdf):
+        if pdf["work_key"].str.startswith("000").any():
+            raise ValueError("no sound")
+        return pdf["model"].str.len() / 10
+
+    done = view(spark, sf_dir, "preds").select("id", "model").distinct()
+    work = work_of(spark, sf_dir).select("id", "model", "work_key")
+    finished = work.join(done, ["id", "model"], "left_semi").select("work_key")
+    return species.batch_score(changes.pending(work, finished, "work_key"), scorer, "work_key")
 
 
 READY = """+ s AS (SELECT id, CASE WHEN audio IS NULL THEN 'missing' WHEN id % 11 = 0 THEN 'has_issues' ELSE 'validated' END AS audio_status,
@@ -437,11 +496,384 @@ def all_any(spark, sf_dir):
     return master.all_any(view(spark, sf_dir, "source").select("cust", (F.col("lat") > 0).alias("north")), ["cust"], ["north"])
 
 
-@query("""SELECT cust, count(*) AS n_runs, arg_max(sound_status, lpad(CAST(id AS VARCHAR), 12, '0')) AS latest_status FROM source GROUP BY cust""", "source")
+@query("""+ g AS (SELECT cust, sound_status AS s, count(*) AS n FROM source GROUP BY ALL), m AS (SELECT cust, '{' || string_agg('"' || s || '":' || CAST(n AS VARCHAR), ',' ORDER BY s) || '}' AS statuses FROM g GROUP BY cust)
+    SELECT cust, count(*) AS n_runs, arg_max(sound_status, lpad(CAST(id AS VARCHAR), 12, '0')) AS latest_status, any_value(statuses) AS statuses FROM source JOIN m USING (cust) GROUP BY cust""", "source")
 def latest_per_group(spark, sf_dir):
-    return master.latest_per_group(view(spark, sf_dir, "source"), "cust", "id", "sound_status")
+    return master.latest_per_group(view(spark, sf_dir, "source"), "cust", "id", "sound_status").withColumn("statuses", F.to_json("statuses"))
 
 
 @query("""SELECT count(*) FILTER (WHERE audio IS NULL) AS has_audio, count(*) FILTER (WHERE NOT (lat BETWEEN -80 AND 80)) AS lat_range, CAST(count(*) - count(DISTINCT id) AS BIGINT) AS duplicate_keys FROM source""", "source")
 def validate_rows(spark, sf_dir):
     return master.validate_rows(view(spark, sf_dir, "source"), {"has_audio": F.col("audio").isNotNull(), "lat_range": F.col("lat").between(-80, 80)}, "id")
+
+
+# The master table and what is made of it.
+
+MASTER = ROLLUP.replace("FROM files", "FROM media") + """, rt AS (SELECT id, attempts, unnest(string_split_regex(last_error, '[|;]')) AS raw, unnest(range(1, 9)) AS pos FROM retries WHERE last_error <> ''),
+    ru AS (SELECT id, 'sound_' || lower(trim(regexp_replace(split_part(raw, ':', 1), '[^A-Za-z0-9_.-]+', '_', 'g'), '_')) AS token, min(lpad(CAST(attempts AS VARCHAR), 9, '0') || lpad(CAST(pos AS VARCHAR), 3, '0')) AS place FROM rt WHERE raw IS NOT NULL GROUP BY ALL),
+    rr AS (SELECT id, string_agg(token, '|' ORDER BY place, token) AS codes FROM ru GROUP BY id),
+    si AS (SELECT id, bool_or(issues <> '') AS h FROM media GROUP BY id),
+    wi AS (SELECT id, count(*) % 2 = 0 AS h FROM series GROUP BY id),
+    se AS (SELECT id, max(score) AS score, count(*) FILTER (WHERE score IS NULL) > 2 AS h FROM scores GROUP BY id),
+    raw AS (SELECT m.*, try_cast(replace(regexp_replace(stamp, '(Z|[+-][0-9]{2}:[0-9]{2})$', ''), 'T', ' ') AS TIMESTAMP) AS wall FROM meta m),
+    b AS (SELECT raw.*, strftime(wall - CASE WHEN stamp LIKE '%+02:00' THEN INTERVAL 2 HOUR ELSE INTERVAL 0 HOUR END, '%Y-%m-%dT%H:%M:%SZ') AS datetime_utc, wall IS NOT NULL AS vt, lat BETWEEN -90 AND 90 AND lon BETWEEN -180 AND 180 AS vc FROM raw),
+    c AS (SELECT b.*, si.id IS NOT NULL AS se_, concat_ws('|', CASE WHEN si.id IS NULL THEN 'missing_file' END, ro.codes, rr.codes) AS sc, coalesce(si.h, TRUE) AS sh,
+        wi.id IS NOT NULL AS we, CASE WHEN wi.id IS NULL THEN 'missing_file' WHEN wi.h THEN 'odd_rows' ELSE '' END AS wc,
+        se.id IS NOT NULL AS ne, CASE WHEN se.id IS NULL THEN 'missing_file' ELSE '' END AS nc, coalesce(se.h, TRUE) AS nh, se.score,
+        ma.majority AS f1, ma.majority_value AS v1, ma.delta AS d1, mb.majority AS f2, qc.status AS qs, qc.required_complete AS qr
+        FROM b LEFT JOIN si ON si.id = b.id LEFT JOIN ro ON ro.id = b.id LEFT JOIN rr ON rr.id = b.id LEFT JOIN wi ON wi.id = b.id LEFT JOIN se ON se.id = b.id
+        LEFT JOIN mm ma ON ma.grid_id = b.cell LEFT JOIN mm mb ON mb.grid_id = b.fine LEFT JOIN qc ON qc.id = b.id),
+    d AS (SELECT *, CASE WHEN vt AND vc THEN 'validated' ELSE 'has_issues' END AS metadata_status, CASE WHEN NOT se_ THEN 'missing' WHEN sh OR sc <> '' THEN 'has_issues' ELSE 'validated' END AS sound_status,
+        CASE WHEN NOT we THEN 'missing' WHEN wc <> '' THEN 'has_issues' ELSE 'validated' END AS weather_point_status, CASE WHEN NOT ne THEN 'missing' WHEN nh OR nc <> '' THEN 'has_issues' ELSE 'validated' END AS sentinel_status,
+        CASE WHEN f1 IS NULL THEN 'has_issues' ELSE 'validated' END AS formation_100m_status, CASE WHEN fine IS NULL THEN 'missing' WHEN f2 IS NULL THEN 'has_issues' ELSE 'validated' END AS formation_10m_status FROM c),
+    g AS (SELECT *, metadata_status = 'validated' AND sound_status = 'validated' AND weather_point_status = 'validated' AND sentinel_status = 'validated' AS gen FROM d),
+    mt AS (SELECT id, datetime_utc, strftime(wall, '%Y-%m-%d') AS date_local, sc AS sound_issue_codes, wc AS weather_point_issue_codes, 'missing_file|inventory_not_run' AS photo_issue_codes, score AS sentinel_quality_score, f1 AS majority_formation_100m, v1 AS majority_value_100m,
+        v1 - d1 AS second_value_100m, f2 AS majority_formation_10m, coalesce(f1 = f2, FALSE) AS formation_100m_10m_agree, coalesce(qs, 'not_started') AS bioacoustic_status, metadata_status, sound_status, weather_point_status, sentinel_status, formation_100m_status, formation_10m_status,
+        id % 4 AS lrt_polygon_count, gen AS ready_for_general_analysis, gen AND f1 IS NOT NULL AS ready_for_formation_analysis_100m, gen AND id % 4 > 0 AS ready_for_direct_lrt_analysis, FALSE AS ready_for_formation_weather_raster_analysis_100m,
+        gen AND f2 IS NOT NULL AS ready_for_formation_analysis_10m, FALSE AS ready_for_multimodal_analysis, sound_status = 'validated' AND coalesce(qs = 'validated', FALSE) AND coalesce(qr, FALSE) AS ready_for_bioacoustic_analysis,
+        concat_ws('|', CASE WHEN NOT vt THEN 'timestamp_missing_or_invalid' END, CASE WHEN NOT vc THEN 'coordinates_missing_or_invalid' END, CASE sound_status WHEN 'missing' THEN 'sound_missing' WHEN 'has_issues' THEN 'sound_issue' END,
+        CASE weather_point_status WHEN 'missing' THEN 'weather_point_missing' WHEN 'has_issues' THEN 'weather_point_issue' END, CASE sentinel_status WHEN 'missing' THEN 'sentinel_missing' WHEN 'has_issues' THEN 'sentinel_issue' END, 'photo_missing',
+        CASE WHEN f1 IS NULL THEN 'grid_100m_missing_majority_formation' END, CASE WHEN f2 IS NULL THEN 'grid_10m_missing_majority_formation' END) AS record_blocking_issue_codes,
+        CASE WHEN metadata_status <> 'validated' AND sound_status <> 'validated' AND weather_point_status <> 'validated' AND sentinel_status <> 'validated' THEN 'has_issues' WHEN gen AND f1 IS NOT NULL AND f2 IS NOT NULL THEN 'validated' ELSE 'partial' END AS record_status,
+        'all_nodata|raster_structure_warning' AS weather_raster_100m_issue_codes FROM g),
+    mx AS (SELECT *, CASE WHEN id % 37 = 0 AND id % 17 <> 0 THEN 'approved' WHEN record_status = 'validated' THEN 'manual_review_required' ELSE 'not_started' END AS release_status FROM mt) """
+MASTER_COLUMNS = """id datetime_utc date_local sound_issue_codes weather_point_issue_codes photo_issue_codes sentinel_quality_score majority_formation_100m majority_value_100m second_value_100m majority_formation_10m
+    formation_100m_10m_agree bioacoustic_status metadata_status sound_status weather_point_status sentinel_status formation_100m_status formation_10m_status lrt_polygon_count ready_for_general_analysis
+    ready_for_formation_analysis_100m ready_for_direct_lrt_analysis ready_for_formation_weather_raster_analysis_100m ready_for_formation_analysis_10m ready_for_multimodal_analysis ready_for_bioacoustic_analysis
+    record_blocking_issue_codes record_status weather_raster_100m_issue_codes release_status""".split()
+QC = f""", qw AS (SELECT id, model, TRUE AS w FROM source CROSS JOIN (SELECT DISTINCT model FROM preds) AS m), qn AS (SELECT DISTINCT id, model FROM preds),
+    qg AS (SELECT qw.id, count(*) FILTER (WHERE qn.id IS NOT NULL AND qw.model IN ('click', 'purchase')) = 2 AS required_complete, bool_or(qn.id IS NOT NULL) AS any_done, qw.id % 7 = 0 AS f FROM qw LEFT JOIN qn ON qn.id = qw.id AND qn.model = qw.model GROUP BY qw.id),
+    qc AS (SELECT *, CASE WHEN required_complete AND NOT f THEN 'validated' WHEN any_done THEN 'partial' ELSE 'failed' END AS status FROM qg) """
+MASTER_VIEWS = ("ix", "media", "retries", "series", "scores", "meta", "source", "source_prev", "preds")
+MASTER_SQL = MATRIX + ", " + ROLLUP.replace("FROM files", "FROM media").lstrip().lstrip("+") + QC + MASTER[len(ROLLUP.replace("FROM files", "FROM media")):]
+
+
+def master_frame(spark, sf_dir):
+    media, retries, series, scores = (view(spark, sf_dir, v) for v in ("media", "retries", "series", "scores"))
+    meta = view(spark, sf_dir, "meta")
+    sound = media.groupBy("id").agg(F.lit(True).alias("exists"), F.bool_or(F.col("issues") != "").alias("has_issues"), F.lit("").alias("codes"))
+    details = inventory.issue_rollup(media, "id", "issues", "name")
+    tries = inventory.issue_rollup(retries, "id", "last_error", "attempts", "sound_")
+    weather = series.groupBy("id").agg(F.lit("yes").alias("weather_exists"), (F.count("*") % 2 == 0).alias("has_issues"))
+    weather = weather.withColumn("issue_codes", F.when(F.col("has_issues"), "Odd rows").otherwise(""))
+    sentinel = scores.groupBy("id").agg(F.lit(True).alias("exists"), (F.count_if(F.col("score").isNull()) > 2).alias("has_issues"), F.lit("").alias("codes"), F.max("score").alias("best"))
+    summary = landcover.matrix_summary(matrix_of(spark, sf_dir), "grid_id", "formation")
+    qc = species.completion_qc(work_of(spark, sf_dir), view(spark, sf_dir, "preds"), "id", ["click", "purchase"], failed_of(spark, sf_dir))
+    stats = cube.band_stats(view(spark, sf_dir, "pixels"), -9999)
+    lines = cube.constant_lines(view(spark, sf_dir, "pixels"), -9999).where("axis = 'row'").groupBy("file", "band").agg(F.count("*").alias("nodata_rows"))
+    quality = stats.join(lines, ["file", "band"], "left").select(F.when(F.col("nodata_rows") > 0, "only_nodata").otherwise("ok").alias("status"), F.lit(True).alias("square"), F.lit(0).alias("constant_rows"), F.lit(0).alias("constant_cols"), "nodata_rows", F.lit(0).alias("nodata_cols"))
+    cells = {"cell": "grid_id", "majority": "majority", "value": "majority_value", "delta": "delta", "disputed": "disputed"}
+    inside = meta.select("id", (F.col("id") % 4).alias("n_polygons"), (F.col("id") % 4 > 0).alias("inside_polygon"))
+    base = master.base_table(meta, "id", "stamp", "lat", "lon").join(meta.select("id", "cell", "fine"), "id")
+    attach = [
+        lambda df: master.attach_inventory(df, sound, "id", "sound", [details, tries]),
+        lambda df: master.attach_series_status(df, weather, "id", "weather_point"),
+        lambda df: master.attach_inventory(df, sentinel, "id", "sentinel", extra={"sentinel_quality_score": "best"}),
+        lambda df: master.attach_inventory(df, None, "id", "photo"),
+        lambda df: master.attach_completion(df, qc, "id", []),
+        lambda df: master.attach_raster_status(df, quality, True, "weather_raster_100m"),
+        lambda df: master.attach_cell_class(df, summary, "cell", "100m", cells),
+        lambda df: master.attach_cell_class(df, summary, "fine", "10m", cells),
+        lambda df: master.attach_points(df, inside, "id"),
+    ]
+    before = view(spark, sf_dir, "source_prev").select("id", F.when(F.col("id") % 37 == 0, "Approved").otherwise("not_started").alias("release_status"))
+    return master.master_table(base, attach, "id", MASTER_COLUMNS, before)
+
+
+@query(MASTER_SQL + f"SELECT {', '.join(MASTER_COLUMNS)} FROM mx", *MASTER_VIEWS)
+def master_table(spark, sf_dir):
+    return master_frame(spark, sf_dir)
+
+
+@query(MASTER_SQL + "SELECT record_status, release_status, record_blocking_issue_codes, count(*) AS n FROM mx GROUP BY ALL", *MASTER_VIEWS)
+def blocking_codes(spark, sf_dir):
+    return master_frame(spark, sf_dir).groupBy("record_status", "release_status", "record_blocking_issue_codes").agg(F.count("*").alias("n"))
+
+
+VARIANTS = """+ v AS (SELECT id, 'now' AS variant, TRUE AS is_primary, 'a.gpkg' AS file, lat > 0 AS north, price > 100000 AS dear, CASE WHEN id % 9 > 0 THEN 2020 + id % 4 END AS year FROM source
+    UNION ALL SELECT id, 'before', FALSE, 'b.gpkg', lat > 0, price > 100000, CASE WHEN id % 9 > 0 THEN 2020 + id % 4 END FROM source_prev) """
+
+
+def variants_of(spark, sf_dir):
+    year = F.when(F.col("id") % 9 > 0, 2020 + F.col("id") % 4)
+    one = lambda v, f: view(spark, sf_dir, v).select("id", F.lit(f).alias("file"), (F.col("lat") > 0).alias("north"), (F.col("price") > 100000).alias("dear"), year.alias("year"))
+    return changes.stack_variants({"now": one("source", "a.gpkg"), "before": one("source_prev", "b.gpkg")}, "variant", "now")
+
+
+@query(VARIANTS + "SELECT variant, count(id) AS row_count, count(DISTINCT id) AS recording_count, max(file) AS file, bool_or(is_primary) AS is_primary, count(*) FILTER (WHERE north) AS recordings_north, count(*) FILTER (WHERE dear) AS recordings_dear FROM v GROUP BY variant", "source", "source_prev")
+def variant_summary(spark, sf_dir):
+    return master.variant_summary(variants_of(spark, sf_dir), "variant", "id", ["file", "is_primary"], ["north", "dear"])
+
+
+@query(VARIANTS + "SELECT year, variant, count(DISTINCT id) AS recording_count, count(*) FILTER (WHERE north) AS recordings_north, count(*) FILTER (WHERE dear) AS recordings_dear FROM v WHERE year IS NOT NULL GROUP BY ALL", "source", "source_prev")
+def temporal_summary(spark, sf_dir):
+    return master.temporal_summary(variants_of(spark, sf_dir), "year", "variant", "id", ["north", "dear"])
+
+
+@query(MATRIX + """, ms2 AS (SELECT id, count(*) AS n_matches, count(DISTINCT formation) AS n_formation, string_agg(DISTINCT formation, '|' ORDER BY formation) AS all_formation FROM points JOIN polys ON x > x0 AND x < x1 AND y > y0 AND y < y1 GROUP BY id),
+    p AS (SELECT id, x AS lat, y AS lon, CASE WHEN id % 6 > 0 THEN '100mN' || CAST(id % 60 AS VARCHAR) || 'E' || CAST(id % 50 AS VARCHAR) END AS grid_id FROM points),
+    q AS (SELECT p.* EXCLUDE (grid_id), mm.grid_id, majority, coalesce(n_matches, 0) AS n_matches, coalesce(n_formation, 0) AS n_formation, all_formation FROM p LEFT JOIN mm ON mm.grid_id = p.grid_id LEFT JOIN ms2 ON ms2.id = p.id)
+    SELECT id, grid_id, majority, n_matches, n_formation, all_formation, grid_id IS NOT NULL AS inside_majority_grid, n_matches > 0 AS inside_polygon,
+    CASE WHEN n_matches > 0 THEN 'inside_lrt_polygon' WHEN grid_id IS NULL THEN 'outside_majority_grid' ELSE 'inside_majority_grid_outside_lrt' END AS processing_status FROM q""", "ix", "points", "polys")
+def point_table(spark, sf_dir):
+    summary = landcover.matrix_summary(matrix_of(spark, sf_dir), "grid_id", "formation").select("grid_id", "majority")
+    cell = F.when(F.col("id") % 6 > 0, F.concat(F.lit("100mN"), (F.col("id") % 60).cast("string"), F.lit("E"), (F.col("id") % 50).cast("string")))
+    points = view(spark, sf_dir, "points").select("id", F.col("x").alias("lat"), F.col("y").alias("lon"), cell.alias("_cell"))
+    points = points.join(summary.select(F.col("grid_id").alias("_cell"), "grid_id"), "_cell", "left").drop("_cell")
+    matches = landcover.match_summary(matches_of(spark, sf_dir), "id", ["formation"]).drop("inside")
+    out = master.point_table(points, summary, matches, "id", "grid_id", ["n_matches", "n_formation"])
+    return out.select("id", "grid_id", "majority", "n_matches", "n_formation", "all_formation", "inside_majority_grid", "inside_polygon", "processing_status")
+
+
+# Queries of single rules over whole tables.
+
+
+@query("""+ n AS (SELECT n, e, grid_id FROM ix GROUP BY ALL) SELECT grid_id, 100 AS res, n, e, '1000mN' || CAST(CAST(floor(n * 100 / 1000.0) AS BIGINT) AS VARCHAR) || 'E' || CAST(CAST(floor(e * 100 / 1000.0) AS BIGINT) AS VARCHAR) AS parent FROM n""", "ix")
+def grid_ids(spark, sf_dir):
+    cells = view(spark, sf_dir, "ix").select("grid_id").distinct().withColumn("g", S.parse_grid_id(F.col("grid_id")))
+    return cells.select("grid_id", "g.res", "g.n", "g.e", S.grid_id_of(F.col("g.e") * 100, F.col("g.n") * 100, 1000).alias("parent"))
+
+
+@query("""SELECT code, src_id, CASE WHEN code LIKE 'Brand#1%' THEN 'first' WHEN code LIKE 'Brand#2%' THEN 'second' ELSE 'other' END AS class, CASE status WHEN 'A' THEN 4 WHEN 'B' THEN 3 WHEN 'C' THEN 2 WHEN 'K' THEN 1 ELSE 0 END AS rank,
+    count(*) AS n FROM ix GROUP BY ALL""", "ix")
+def classify_codes(spark, sf_dir):
+    ix = view(spark, sf_dir, "ix")
+    named = ix.select("code", "src_id", S.classify_prefix(F.col("code"), [("Brand#1", "first"), ("Brand#2", "second")], "other").alias("class"), S.rank_of(F.col("status")).alias("rank"))
+    return named.groupBy("code", "src_id", "class", "rank").agg(F.count("*").alias("n"))
+
+
+@query(r"""SELECT c_custkey AS id, CAST(c_custkey AS VARCHAR) AS nid, CASE WHEN lower(trim(c_mktsegment)) IN ('', 'nan', 'none', 'null', '<na>') THEN NULL ELSE regexp_replace(trim(c_mktsegment), '\s+', '', 'g') END AS code,
+    nullif(trim(c_name), '') AS name, nullif(regexp_extract(c_name, '(\d+)$', 1), '') AS digits, lower(trim(regexp_replace(trim(c_name), '[^A-Za-z0-9_.-]+', '_', 'g'), '_')) AS slug,
+    regexp_replace(trim(coalesce(c_mktsegment, '')), '\s+', ' ', 'g') AS label, CAST(c_custkey % 16 AS INT) AS shard, lower('.WAV') AS extension FROM customer""")
+def normalise_ids(spark, sf_dir):
+    c = spark.read.parquet(f"{sf_dir}/customer.parquet")
+    return c.select(
+        F.col("c_custkey").alias("id"), S.normalise_id(F.concat(F.col("c_custkey").cast("string"), F.lit(".0 "))).alias("nid"), S.normalise_code(F.col("c_mktsegment")).alias("code"), S.clean_text(F.col("c_name")).alias("name"),
+        S.id_from_name(F.col("c_name"), r"(\d+)$").alias("digits"), F.lower(S.slug(F.col("c_name"))).alias("slug"), S.clean_label(F.col("c_mktsegment")).alias("label"), S.id_shard(F.col("c_custkey").cast("string"), 16).alias("shard"),
+        S.url_extension(F.concat(F.lit("http://x/"), F.col("c_custkey").cast("string"), F.lit(".WAV?q=1")), ".bin").alias("extension"),
+    )
+
+
+@query(ROLLUP + "SELECT token, count(*) AS n FROM u WHERE token <> '' GROUP BY token", "files")
+def split_issue_tokens(spark, sf_dir):
+    return view(spark, sf_dir, "files").select(F.explode(S.split_issues(F.col("issues"))).alias("token")).groupBy("token").agg(F.count("*").alias("n"))
+
+
+TIMES = """+ p AS (SELECT id, stamp, user_id, try_cast(replace(regexp_replace(stamp, '(Z|[+-]\\d{2}:?\\d{2})$', ''), 'T', ' ') AS TIMESTAMP) AS wall, stamp LIKE '%+02:00' AS east FROM times) """
+
+
+def stamps_of(spark, sf_dir):
+    return view(spark, sf_dir, "times").withColumn("stamp", F.regexp_replace("stamp", r"\.\d+", ""))
+
+
+@query(TIMES.replace("stamp LIKE", "stamp LIKE") + """SELECT id, strftime(date_trunc('second', wall) - CASE WHEN east THEN INTERVAL 2 HOUR ELSE INTERVAL 0 HOUR END, '%Y-%m-%dT%H:%M:%SZ') AS utc, strftime(wall, '%Y-%m-%d') AS date, strftime(wall, '%H:%M:%S') AS "time",
+    CAST(year(wall) AS INT) AS year, CAST(month(wall) AS INT) AS month, wall IS NOT NULL AS good FROM p""", "times")
+def local_parts(spark, sf_dir):
+    out = stamps_of(spark, sf_dir).select("id", S.local_parts(F.col("stamp")).alias("t"))
+    ym = S.local_year_month(F.col("t.local"))
+    return out.select("id", "t.utc", "t.date", "t.time", ym["year"].alias("year"), ym["month"].alias("month"), S.valid_timestamp(F.col("t.local"), F.col("t.utc")).alias("good"))
+
+
+@query(TIMES + """SELECT id, CASE WHEN wall IS NOT NULL THEN 'stamp' ELSE 'other' END AS source, strftime(coalesce(date_trunc('second', wall), TIMESTAMP '2024-05-01 04:30:00'), '%Y-%m-%dT%H:%M:%S') AS wall,
+    CASE WHEN wall IS NULL THEN 'fallback_to_other; ' ELSE '' END || 'remove_timezone_suffix; interpret_as_UTC_walltime; format_ISO8601' AS step FROM p""", "times")
+def clean_times(spark, sf_dir):
+    t = stamps_of(spark, sf_dir).select("id", S.time_source(F.col("stamp"), F.lit("2024-05-01T04:30:00+02:00"), ("stamp", "other"), "UTC").alias("t"))
+    return t.select("id", "t.source", F.date_format("t.wall", "yyyy-MM-dd'T'HH:mm:ss").alias("wall"), "t.step")
+
+
+@query("""SELECT id, sha256('id=' || CAST(id AS VARCHAR) || chr(31) || 'audio=' || coalesce(audio, '')) AS fingerprint, sha256(CAST(id AS VARCHAR) || chr(31) || sound_status) AS work_key,
+    CAST(('0x' || substr(sha256(CAST(id AS VARCHAR)), 1, 16))::UBIGINT % 64 AS INT) AS shard, sha256('{"id":"' || CAST(id AS VARCHAR) || '","sound_status":"' || sound_status || '"}') AS state FROM source""", "source")
+def fingerprints(spark, sf_dir):
+    c = {k: F.col(k) for k in ("id", "audio", "sound_status")}
+    return view(spark, sf_dir, "source").select(
+        "id", S.row_fingerprint({"id": c["id"], "audio": c["audio"]}).alias("fingerprint"), S.work_key(c["id"].cast("string"), c["sound_status"]).alias("work_key"), S.hash_shard(c["id"].cast("string"), 64).alias("shard"),
+        S.json_fingerprint({"sound_status": c["sound_status"], "id": c["id"]}).alias("state"),
+    )
+
+
+@query("SELECT c.id, c.audio, c.lat FROM source c JOIN source_prev p ON c.id = p.id WHERE c.audio IS NOT DISTINCT FROM p.audio AND c.lat IS NOT DISTINCT FROM p.lat AND p.sound_status IS NOT NULL", "source", "source_prev")
+def reusable_rows(spark, sf_dir):
+    before = view(spark, sf_dir, "source_prev").withColumn("clean", F.col("sound_status").isNotNull())
+    return inventory.reusable_rows(view(spark, sf_dir, "source").select("id", "audio", "lat"), before, "id", ["audio", "lat"], "clean")
+
+
+@query("""+ h AS (SELECT id, bool_or(file_exists) AS e, bool_or(file_exists AND NOT has_issues) AS g, bool_or(has_issues) AS i FROM files GROUP BY id),
+    j AS (SELECT s.id, trim(coalesce(s.audio, '')) AS audio, coalesce(e, FALSE) AS e, coalesce(g, FALSE) AND NOT coalesce(i, TRUE) AS good, s.id % 29 = 0 AS asked, r.audio = trim(coalesce(s.audio, '')) AS same, r.attempts AS a, r.terminal AS t
+          FROM source s LEFT JOIN h ON h.id = s.id LEFT JOIN retries r ON r.id = s.id),
+    k AS (SELECT *, CASE WHEN coalesce(same, FALSE) THEN coalesce(a, 0) ELSE 0 END AS attempts FROM j WHERE asked OR NOT good)
+    SELECT id, audio, CASE WHEN NOT e THEN 'missing' WHEN NOT good THEN 'has_issues' ELSE 'requested' END AS reason, attempts FROM k WHERE attempts < 4 AND NOT (coalesce(same, FALSE) AND coalesce(t, FALSE))""", "source", "files", "retries")
+def needs_download(spark, sf_dir):
+    s, files = view(spark, sf_dir, "source"), view(spark, sf_dir, "files").withColumnRenamed("file_exists", "exists")
+    return inventory.needs_download(s.select("id", "audio"), files, view(spark, sf_dir, "retries"), "id", "audio", 4, requested=s.where("id % 29 = 0"))
+
+
+@query("SELECT id FROM source WHERE audio IS NOT NULL AND id NOT IN (SELECT id FROM files)", "source", "files")
+def expected_media(spark, sf_dir):
+    return inventory.expected_media_ids(view(spark, sf_dir, "source").withColumn("audio", F.coalesce("audio", F.lit(" "))), "id", "audio", view(spark, sf_dir, "files"))
+
+
+@query("""+ w AS (SELECT id, date_trunc('day', max(ts)) - INTERVAL 2 DAY AS first, date_trunc('day', max(ts)) + INTERVAL 23 HOUR AS last FROM series GROUP BY id)
+    SELECT id, unnest(generate_series(first, last, INTERVAL 1 HOUR)) AS hour FROM w""", "series")
+def hour_windows(spark, sf_dir):
+    w = view(spark, sf_dir, "series").groupBy("id").agg(S.expected_window(F.max("ts"), 2).alias("w"))
+    return w.select("id", F.explode(S.hour_series(F.col("w.first"), F.col("w.last"))).alias("hour"))
+
+
+@query("""+ v AS (SELECT *, value = -9999 AS nd FROM pixels), g AS (SELECT file, count(DISTINCT band) AS n_bands, count(*) AS n_values, count(*) FILTER (WHERE nd) AS n_nodata, CAST(0 AS BIGINT) AS n_nan, CAST(0 AS BIGINT) AS n_inf,
+    count(*) FILTER (WHERE NOT nd) AS n_finite, min(CASE WHEN NOT nd THEN value END) AS "min", max(CASE WHEN NOT nd THEN value END) AS "max" FROM v GROUP BY file)
+    SELECT *, round(1 - CAST(n_finite AS DOUBLE) / n_values, 9) AS empty_fraction, concat_ws('|', CASE WHEN n_bands <> 4 THEN 'unexpected_band_count' END, CASE WHEN n_finite = 0 THEN 'all_nodata' END,
+    CASE WHEN n_finite > 0 AND 1 - CAST(n_finite AS DOUBLE) / n_values > 0.215 THEN 'too_much_nodata' END, CASE WHEN "min" = "max" THEN 'constant' END) AS codes FROM g""", "pixels")
+def raster_stats(spark, sf_dir):
+    return cube.raster_stats(view(spark, sf_dir, "pixels"), -9999, 4, 0.215).withColumn("empty_fraction", F.round("empty_fraction", 9))
+
+
+@query("""+ m AS (SELECT id, label, unnest(embedding) AS score, unnest(range(len(embedding))) AS i FROM raw_scores)
+    SELECT id, CAST(i // 8 AS VARCHAR) AS segment, 's' || CAST(i % 8 AS VARCHAR) AS label, score FROM m""", "raw_scores")
+def melt_scores(spark, sf_dir):
+    raw = view(spark, sf_dir, "raw_scores")
+    part = lambda s: F.map_from_entries(F.transform(F.sequence(F.lit(0), F.lit(7)), lambda j: F.struct(F.concat(F.lit("s"), j.cast("string")), F.get("embedding", s * 8 + j))))
+    n = (F.size("embedding") / 8).cast("int") - 1
+    maps = raw.select("id", F.map_from_entries(F.transform(F.sequence(F.lit(0), n), lambda s: F.struct(s.cast("string"), part(s)))).alias("scores"))
+    return species.melt_scores(maps, ["id"], "scores")
+
+
+@query("""SELECT label AS id, count(*) AS n_segments, count(*) FILTER (WHERE len(embedding) <> 64) AS n_wrong_dim, count(*) FILTER (WHERE len(embedding) <> 64) = 0 AS valid FROM raw_scores GROUP BY label""", "raw_scores")
+def embedding_shape(spark, sf_dir):
+    raw = view(spark, sf_dir, "raw_scores").select(F.col("label").alias("id"), F.array("embedding").alias("vectors"))
+    return species.embedding_shape(species.melt_embeddings(raw, ["id"], "vectors", 3.0), "id", 64)
+
+
+@query("""+ k AS (SELECT *, probe_ok AND decode_ok AND duration_ok AND issues = '' AS ok FROM media), r AS (SELECT *, row_number() OVER (PARTITION BY id, ok ORDER BY mtime DESC, name) AS rn FROM k)
+    SELECT id, name, CASE WHEN ok AND rn = 1 THEN 'accepted' ELSE 'rejected' END AS eligibility, CASE WHEN NOT ok THEN CASE WHEN issues = '' THEN 'inventory_issue' ELSE issues END WHEN rn > 1 THEN 'duplicate_valid_file_for_id' ELSE '' END AS eligibility_codes FROM r""", "media")
+def eligible_files(spark, sf_dir):
+    return inventory.eligible_files(view(spark, sf_dir, "media"), "id", ["probe_ok", "decode_ok", "duration_ok"], "issues", "mtime", "name").select("id", "name", "eligibility", "eligibility_codes")
+
+
+@query("SELECT id, name, row_number() OVER (PARTITION BY id ORDER BY name) > 1 AS is_repeat, count(*) OVER (PARTITION BY id) > 1 AS is_shared FROM media", "media")
+def mark_duplicates(spark, sf_dir):
+    return inventory.mark_duplicates(view(spark, sf_dir, "media").select("id", "name"), "id", [F.asc("name")])
+
+
+@query("SELECT count(*) AS n_rows, min(x0) AS xmin, min(y0) AS ymin, max(x0) AS xmax, max(y0) AS ymax FROM polys", "polys")
+def extent(spark, sf_dir):
+    return inventory.extent(view(spark, sf_dir, "polys"), "x0", "y0")
+
+
+@query("""+ b AS (SELECT min(x0) AS xmin, min(y0) AS ymin, max(x0) AS xmax, max(y0) AS ymax FROM polys WHERE poly > 50) SELECT p.id, p.x, p.y FROM points p, b WHERE x BETWEEN xmin - 20 AND xmax + 20 AND y BETWEEN ymin - 20 AND ymax + 20""", "points", "polys")
+def in_extent(spark, sf_dir):
+    bounds = inventory.extent(view(spark, sf_dir, "polys").where("poly > 50"), "x0", "y0")
+    return inventory.in_extent(view(spark, sf_dir, "points").select("id", "x", "y"), bounds, "x", "y", 20.0)
+
+
+@query("""+ b AS (SELECT min(x0) AS x0, min(y0) AS y0, max(x1) AS x1, max(y1) AS y1 FROM polys), t AS (SELECT unnest(range(CAST(floor(x0 / 250) AS BIGINT), CAST(ceil(x1 / 250) AS BIGINT))) AS tx, y0, y1 FROM b),
+    u AS (SELECT tx, unnest(range(CAST(floor(y0 / 250) AS BIGINT), CAST(ceil(y1 / 250) AS BIGINT))) AS ty FROM t) SELECT tx, ty, tx * 250.0::DOUBLE AS xmin, ty * 250.0::DOUBLE AS ymin FROM u""", "polys")
+def tile_layout(spark, sf_dir):
+    bounds = view(spark, sf_dir, "polys").agg(F.min("x0").alias("xmin"), F.min("y0").alias("ymin"), F.max("x1").alias("xmax"), F.max("y1").alias("ymax"))
+    return cube.tile_layout(bounds, 250.0)
+
+
+NODES = """nodes AS (SELECT CAST(s_suppkey % 38 AS BIGINT) AS i, CAST(s_suppkey % 37 AS BIGINT) AS j, CAST(floor(max(s_acctbal)) AS DOUBLE) AS value FROM supplier GROUP BY ALL) """
+
+
+@query("+ " + NODES + """, a AS (SELECT id, x, y, x / 100 AS u, y / 100 AS v FROM points), d AS (SELECT a.*, CAST(floor(u) AS BIGINT) + di AS i, CAST(floor(v) AS BIGINT) + dj AS j FROM a, (VALUES (0, 0), (0, 1), (1, 0), (1, 1)) AS o(di, dj)),
+    m AS (SELECT id, x, y, sum(value * (1 - abs(u - d.i)) * (1 - abs(v - d.j))) AS s, sum((1 - abs(u - d.i)) * (1 - abs(v - d.j))) AS t FROM d JOIN nodes n ON n.i = d.i AND n.j = d.j GROUP BY ALL)
+    SELECT id, x, y, round(s / t, 3) AS value FROM m WHERE t > 0""", "points")
+def resample_grid(spark, sf_dir):
+    s = spark.read.parquet(f"{sf_dir}/supplier.parquet")
+    nodes = s.groupBy((F.col("s_suppkey") % 38).cast("long").alias("i"), (F.col("s_suppkey") % 37).cast("long").alias("j")).agg(F.floor(F.max("s_acctbal")).cast("double").alias("value"))
+    points = view(spark, sf_dir, "points").select("id", F.col("x").cast("double").alias("x"), F.col("y").cast("double").alias("y"))
+    return cube.resample_to_grid(nodes, points, 0.0, 0.0, 100.0, []).withColumn("value", F.round("value", 3))
+
+
+CODES = ["Brand#11", "Brand#22", "Brand#33", "Brand#44", "Brand#55"]
+
+
+def wide_of(spark, sf_dir):
+    ix = view(spark, sf_dir, "ix").withColumn("kind", F.split("formation", " ")[0])
+    out = landcover.wide_matrix(ix, "grid_id", "kind", "code", "status", "area", CELL_AREA, KINDS, CODES)
+    return out.withColumnsRenamed({c: c.lower().replace("#", "_") for c in [*KINDS, *CODES]})
+
+
+KINDS = ["ECONOMY", "LARGE", "MEDIUM", "PROMO", "SMALL", "STANDARD"]
+WIDE = """+ x AS (SELECT *, split_part(formation, ' ', 1) AS kind FROM ix), mk AS (SELECT grid_id, kind, status, CAST(least(greatest(round_even(sum(area) / 10000.0 * 10000, 0), 0), 65535) AS INT) AS value FROM x WHERE status IS NOT NULL GROUP BY ALL),
+    mc AS (SELECT grid_id, code, status, CAST(least(greatest(round_even(sum(area) / 10000.0 * 10000, 0), 0), 65535) AS INT) AS value FROM x WHERE status IS NOT NULL GROUP BY ALL),
+    tk AS (SELECT grid_id, kind, sum(value) AS total FROM mk GROUP BY ALL HAVING sum(value) > 0), rk AS (SELECT *, row_number() OVER (PARTITION BY grid_id ORDER BY total DESC, kind) AS rn FROM tk),
+    sk AS (SELECT grid_id, max(kind) FILTER (WHERE rn = 1) AS majority, CAST(max(total) FILTER (WHERE rn = 1) AS BIGINT) AS majority_value, max(kind) FILTER (WHERE rn = 2) AS second,
+           CAST(coalesce(max(total) FILTER (WHERE rn = 2), 0) AS BIGINT) AS second_value, count(*) AS n_classes FROM rk GROUP BY grid_id),
+    ck AS (SELECT grid_id, count(DISTINCT code) AS n_codes FROM mc WHERE value > 0 GROUP BY grid_id),
+    bs AS (SELECT mk.grid_id, mk.status AS majority_status FROM mk JOIN sk ON mk.grid_id = sk.grid_id AND mk.kind = sk.majority WHERE value > 0 QUALIFY row_number() OVER (PARTITION BY mk.grid_id ORDER BY value DESC, mk.status) = 1),
+    pk AS (SELECT grid_id, """ + ", ".join(f"CAST(coalesce(sum(value) FILTER (WHERE kind = '{k}'), 0) AS BIGINT) AS {k.lower()}" for k in KINDS) + """ FROM mk GROUP BY grid_id),
+    pc AS (SELECT grid_id, """ + ", ".join(f"CAST(coalesce(sum(value) FILTER (WHERE code = '{k}'), 0) AS BIGINT) AS {k.lower().replace('#', '_')}" for k in CODES) + """ FROM mc GROUP BY grid_id),
+    wide AS (SELECT sk.*, majority_value - second_value AS delta, majority_value - second_value <= 200 AS disputed, coalesce(n_codes, 0) AS n_codes, majority_status, pk.* EXCLUDE (grid_id), pc.* EXCLUDE (grid_id)
+             FROM sk LEFT JOIN ck USING (grid_id) LEFT JOIN bs USING (grid_id) JOIN pk USING (grid_id) LEFT JOIN pc USING (grid_id)) """
+
+
+@query(WIDE + "SELECT * FROM wide", "ix")
+def wide_matrix(spark, sf_dir):
+    return wide_of(spark, sf_dir)
+
+
+@query(WIDE + "SELECT count(*) AS n_rows, max(majority_value) AS max_value, count(*) FILTER (WHERE disputed) AS flag_true, CAST(0 AS BIGINT) AS flag_errors, CAST(0 AS BIGINT) AS count_errors, CAST(0 AS BIGINT) AS delta_errors FROM wide", "ix")
+def matrix_stats(spark, sf_dir):
+    return landcover.matrix_stats(wide_of(spark, sf_dir), [k.lower() for k in KINDS])
+
+
+@query(WIDE + """, b AS (SELECT 'value_above_limit' AS rule, grid_id FROM wide WHERE majority_value > 2000 UNION ALL SELECT 'delta_above_limit', grid_id FROM wide WHERE delta > 2000)
+    SELECT rule, grid_id FROM b QUALIFY row_number() OVER (PARTITION BY rule ORDER BY grid_id) <= 5""", "ix")
+def matrix_examples(spark, sf_dir):
+    return landcover.matrix_examples(wide_of(spark, sf_dir), "grid_id", 5, limit=2000).select("rule", "grid_id")
+
+
+@query(WIDE + ", g AS (SELECT DISTINCT grid_id, n, e FROM ix) SELECT grid_id, majority, delta, e * 100 AS x0, n * 100 AS y0, e * 100 + 50.0::DOUBLE AS cx, n * 100 + 50.0::DOUBLE AS cy FROM g JOIN wide USING (grid_id)", "ix")
+def majority_grid(spark, sf_dir):
+    cells = view(spark, sf_dir, "ix").select("grid_id").distinct()
+    return landcover.majority_grid(cells, wide_of(spark, sf_dir).select("grid_id", "majority", "delta"), "grid_id", []).select("grid_id", "majority", "delta", "x0", "y0", "cx", "cy")
+
+
+@query("""+ x AS (SELECT code, formation, CASE WHEN code LIKE 'Brand#1%' THEN 'first' WHEN code LIKE 'Brand#2%' THEN 'second' ELSE 'other' END AS expected, CASE WHEN code LIKE 'Brand#12%' THEN 'third' WHEN code LIKE 'Brand#1%' THEN 'first' ELSE 'other' END AS "current" FROM ix),
+    g AS (SELECT code, expected, "current", count(*) AS n, count(*) FILTER (WHERE formation <> expected) AS n_mismatch FROM x GROUP BY ALL)
+    SELECT *, CAST(n_mismatch AS DOUBLE) / n AS mismatch_share, CAST(n_mismatch AS DOUBLE) / n > 1 OR expected <> "current" AS critical FROM g""", "ix")
+def definition_changes(spark, sf_dir):
+    rules, now = [("Brand#1", "first"), ("Brand#2", "second")], [("Brand#12", "third"), ("Brand#1", "first")]
+    return landcover.definition_changes(view(spark, sf_dir, "ix"), "code", "formation", rules, now, 1.0)
+
+
+@query("""+ fine AS (SELECT n, e, any_value(formation ORDER BY formation) AS f FROM ix GROUP BY ALL), coarse AS (SELECT CAST(floor(n / 10) AS BIGINT) AS pn, CAST(floor(e / 10) AS BIGINT) AS pe, min(formation) AS cf FROM ix GROUP BY ALL)
+    SELECT cf AS coarse, count(*) AS n_cells, count(*) FILTER (WHERE f = cf) AS n_agree FROM (SELECT n, e, min(formation) AS f FROM ix GROUP BY ALL) AS x JOIN coarse ON pn = floor(n / 10) AND pe = floor(e / 10) GROUP BY cf""", "ix")
+def parent_agreement(spark, sf_dir):
+    ix = view(spark, sf_dir, "ix")
+    fine = ix.groupBy(F.col("n").alias("fine_n"), F.col("e").alias("fine_e")).agg(F.min("formation").alias("f"))
+    coarse = ix.groupBy(F.floor(F.col("n") / 10).alias("n"), F.floor(F.col("e") / 10).alias("e")).agg(F.min("formation").alias("coarse"))
+    out = landcover.parent_join(fine, coarse, "n", "e").withColumn("same", S.agreement(F.col("f"), F.col("coarse")))
+    return out.groupBy("coarse").agg(F.count("*").alias("n_cells"), F.count_if("same").alias("n_agree"))
+
+
+@query("SELECT 'x' AS tag, id, CAST(coalesce(lat, 0) AS DOUBLE) AS lat, FALSE AS flag, audio FROM source", "source")
+def align_schema(spark, sf_dir):
+    from pyspark.sql import types as T
+
+    schema = T.StructType.fromDDL("tag string, id long, lat double, flag boolean")
+    out = tables.align_to_schema(view(spark, sf_dir, "source").select("id", "lat", "audio"), schema)
+    return out.withColumn("tag", F.when(F.col("tag") == "0", "x"))
+
+
+@query("SELECT id, audio FROM source WHERE id IN (SELECT id FROM source_prev WHERE lat > 80)", "source", "source_prev")
+def lookup_rows(spark, sf_dir):
+    return tables.lookup_rows(view(spark, sf_dir, "source"), view(spark, sf_dir, "source_prev").where("lat > 80"), "id", ["audio"])
+
+
+@query("""SELECT DISTINCT id FROM (SELECT id FROM source WHERE lat > 0 INTERSECT SELECT id FROM source_prev WHERE lat < 60 EXCEPT SELECT id FROM source WHERE id % 3 = 0) AS a UNION SELECT id FROM source WHERE lat > 85""", "source", "source_prev")
+def id_sets(spark, sf_dir):
+    s, p = view(spark, sf_dir, "source"), view(spark, sf_dir, "source_prev")
+    both = changes.id_intersect(s.where("lat > 0"), p.where("lat < 60"), "id")
+    return changes.id_union(changes.id_except(both, s.where("id % 3 = 0"), "id"), s.where("lat > 85"), "id")
+
+
+@query("SELECT c.id, coalesce(p.sound_status, c.sound_status) AS sound_status, p.price FROM (SELECT id, sound_status FROM source) c LEFT JOIN source_prev p ON c.id = p.id", "source", "source_prev")
+def preserve_columns(spark, sf_dir):
+    return changes.preserve_columns(view(spark, sf_dir, "source").select("id", "sound_status"), view(spark, sf_dir, "source_prev"), "id", ["sound_status", "price"])
+
+
+@query("""+ m AS (SELECT id, name, mtime FROM media QUALIFY row_number() OVER (PARTITION BY id ORDER BY mtime DESC, name) = 1) SELECT s.id, s.lat, m.name, m.mtime FROM source s LEFT JOIN m ON s.id = m.id""", "source", "media")
+def enrich_left(spark, sf_dir):
+    return changes.enrich_left(view(spark, sf_dir, "source").select("id", "lat"), view(spark, sf_dir, "media"), "id", ["name", "mtime"], [F.desc("mtime"), F.asc("name")])

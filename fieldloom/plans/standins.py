@@ -19,10 +19,11 @@ VIEWS = {
         FROM {orders} WHERE o_orderkey % 17 <> 0""",
     "preds": """SELECT user_id AS id, event_type AS model, event_id % 20 AS segment, 'sp ' || CAST(event_id % 37 AS STRING) AS species, value / 400 AS score, ts
         FROM {events}""",
-    "allow": """SELECT DISTINCT 'sp ' || CAST(event_id % 30 AS STRING) AS species, 'name ' || CAST(event_id % 30 AS STRING) AS accepted_name,
+    "allow": """SELECT DISTINCT 'sp ' || CAST(event_id % 30 AS STRING) AS species, 'name ' || CAST(event_id % 30 % 28 AS STRING) AS accepted_name,
+        CASE WHEN event_id % 30 % 5 = 0 THEN NULL WHEN event_id % 30 % 5 < 3 THEN 'birds' ELSE 'amphibia' END AS taxon_group,
         event_id % 30 % 4 <> 0 AS present, CASE WHEN event_id % 30 % 3 = 0 THEN 10 WHEN event_id % 30 % 3 = 1 THEN 1 ELSE 4 END AS start_month,
         CASE WHEN event_id % 30 % 3 = 0 THEN 2 WHEN event_id % 30 % 3 = 1 THEN 12 ELSE 9 END AS end_month FROM {events}""",
-    "files": """SELECT doc_id // 2 AS id, 'f' || CAST(doc_id AS STRING) AS name, n_chars AS size_bytes, quality IS NOT NULL AS file_exists,
+    "files": """SELECT CAST(floor(doc_id / 2) AS BIGINT) AS id, 'f' || CAST(doc_id AS STRING) AS name, n_chars AS size_bytes, quality IS NOT NULL AS file_exists,
         coalesce(toxic, 0) = 1 AS has_issues, CASE WHEN toxic = 1 THEN 'Bad Tone: x|' || lang || ' ;dup' WHEN quality = 0 THEN 'low_quality;dup' ELSE '' END AS issues, lang
         FROM {documents} LEFT JOIN {labels} USING (doc_id)""",
     "scores": """SELECT user_id AS id, CASE WHEN event_id % 9 = 0 THEN NULL ELSE value / 300 END AS score FROM {events}""",
@@ -31,7 +32,19 @@ VIEWS = {
     "cube": """SELECT event_type AS var, CAST(user_id % 5 AS DOUBLE) AS x, CAST(user_id % 3 AS DOUBLE) AS y, ts, value FROM {events}""",
     "series": """SELECT user_id AS id, date_trunc('hour', ts) AS ts, CASE WHEN event_id % 10 = 0 THEN NULL ELSE value END AS value FROM {events}""",
     "polys": """SELECT p_partkey AS poly, p_type AS formation, p_brand AS code, CAST(p_partkey % 97 * 37 AS DOUBLE) AS x0, CAST(p_partkey % 89 * 41 AS DOUBLE) AS y0,
-        CAST(p_partkey % 97 * 37 + 20 + p_size * 7 AS DOUBLE) AS x1, CAST(p_partkey % 89 * 41 + 30 + p_size * 5 AS DOUBLE) AS y1, p_size AS mapping_year FROM {part}""",
+        CAST(p_partkey % 97 * 37 + 20 + p_size * 7 AS DOUBLE) AS x1, CAST(p_partkey % 89 * 41 + 30 + p_size * 5 AS DOUBLE) AS y1, p_size AS mapping_year,
+        CASE p_partkey % 4 WHEN 0 THEN 'A' WHEN 1 THEN 'B' WHEN 2 THEN 'C' ELSE 'K' END AS status FROM {part}""",
+    "media": """SELECT CAST(floor(doc_id / 3) AS BIGINT) + 1 AS id, 'm' || CAST(doc_id AS STRING) AS name, quality IS NULL OR quality = 1 AS probe_ok, lang <> 'xx' AS decode_ok, n_chars > 40 AS duration_ok,
+        CASE WHEN toxic = 1 THEN 'Bad Tone: x|dup' ELSE '' END AS issues, n_chars AS mtime, n_chars AS size_bytes FROM {documents} LEFT JOIN {labels} USING (doc_id)""",
+    "retries": """SELECT o_orderkey AS id, CASE WHEN o_orderkey % 4 = 0 THEN 'http://old' ELSE 'http://x/' || CAST(o_orderkey AS STRING) || '.wav' END AS audio, CAST(o_orderkey % 6 AS INT) AS attempts,
+        o_orderkey % 23 = 0 AS terminal, CASE WHEN o_orderkey % 5 = 0 THEN 'timeout: 30|http_404' ELSE '' END AS last_error FROM {orders} WHERE o_orderkey % 3 = 0""",
+    "times": """SELECT event_id AS id, CASE WHEN event_id % 17 = 0 THEN 'n/a' ELSE replace(CAST(ts AS STRING), ' ', 'T') || CASE WHEN event_id % 3 = 0 THEN '+02:00' WHEN event_id % 3 = 1 THEN 'Z' ELSE '' END END AS stamp,
+        user_id FROM {events}""",
+    "raw_scores": """SELECT vec_id AS id, label, embedding FROM {embeddings}""",
+    "meta": """SELECT o_orderkey AS id, CAST(o_orderkey % 180 - 85 AS DOUBLE) AS lat, CAST(o_custkey % 400 - 190 AS DOUBLE) AS lon,
+        CASE WHEN o_orderkey % 19 = 0 THEN 'bad' ELSE '2024-05-0' || CAST(1 + o_orderkey % 9 AS STRING) || 'T04:30:00' || CASE WHEN o_orderkey % 2 = 0 THEN '+02:00' ELSE 'Z' END END AS stamp,
+        '100mN' || CAST(o_orderkey % 40 AS STRING) || 'E' || CAST(o_custkey % 50 AS STRING) AS cell, CASE WHEN o_orderkey % 3 > 0 THEN '100mN' || CAST(o_custkey % 40 AS STRING) || 'E' || CAST(o_orderkey % 50 AS STRING) END AS fine
+        FROM {orders}""",
     "points": """SELECT c_custkey AS id, c_custkey % 3600 + 0.5 AS x, c_custkey * 7 % 3700 + 0.25 AS y, c_nationkey AS nation FROM {customer}""",
 }
 TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events", "documents", "embeddings", "pages", "benchmark", "labels", "conversations")
@@ -47,6 +60,6 @@ def with_views(*names: str) -> str:
 
 
 def view(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    text = VIEWS[name].replace("//", "DIV").replace('"row"', "`row`")
+    text = VIEWS[name].replace('"row"', "`row`")
     used = {t: spark.read.parquet(f"{sf_dir}/{t}.parquet") for t in TABLES if "{" + t + "}" in text}
     return spark.sql(text, **used)

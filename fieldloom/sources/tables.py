@@ -9,6 +9,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.errors import AnalysisException
 
+from ..functions.scalars import normalise_id
+
 
 def read_delimited(spark: SparkSession, path: str) -> DataFrame:
     """A CSV file with header whose separator is ; if the header has more of those than commas; all columns are text."""
@@ -28,9 +30,16 @@ def read_optional(spark: SparkSession, path: str, schema: T.StructType) -> DataF
         return spark.createDataFrame([], schema)
 
 
-def read_parts(spark: SparkSession, root: str, columns: list[str]) -> DataFrame:
+def read_parts(spark: SparkSession, root: str, schema: T.StructType) -> DataFrame:
+    """Part files of one table whose columns differ: the schema's columns, null where a part lacks one."""
     df = spark.read.option("mergeSchema", True).parquet(root)
-    return df.select(*[F.col(c) if c in df.columns else F.lit(None).alias(c) for c in columns])
+    return df.select(*[(F.col(f.name) if f.name in df.columns else F.lit(None)).cast(f.dataType).alias(f.name) for f in schema])
+
+
+def read_ids(spark: SparkSession, path: str, aliases: tuple[str, ...] = ("recording_id", "id")) -> DataFrame:
+    """(id): the distinct ids of a delimited list, from the first of the usual column names that it has."""
+    df = harmonise_columns(read_delimited(spark, path), {"id": list(aliases)}, ["id"])
+    return df.select(normalise_id(F.col("id")).alias("id")).where("id <> ''").distinct()
 
 
 def list_files(spark: SparkSession, root: str, glob: str, id_pattern: str) -> DataFrame:
@@ -44,9 +53,10 @@ def read_json_docs(spark: SparkSession, root: str) -> DataFrame:
     return spark.read.option("multiLine", True).option("recursiveFileLookup", True).json(root).withColumn("file", F.col("_metadata.file_path"))
 
 
-def lookup_rows(df: DataFrame, ids: list, key: str, columns: list[str]) -> DataFrame:
-    """Rows of a short list of ids, which goes into the scan as a filter."""
-    return df.where(F.col(key).isin(ids)).select(key, *columns)
+def lookup_rows(df: DataFrame, ids: list | DataFrame, key: str, columns: list[str]) -> DataFrame:
+    """Rows of some ids: a short list goes into the scan as a filter, a table of ids is joined."""
+    found = df.where(F.col(key).isin(ids)) if isinstance(ids, list) else df.join(ids.select(key).distinct(), key, "left_semi")
+    return found.select(key, *columns)
 
 
 def harmonise_columns(df: DataFrame, aliases: dict[str, list[str]], required: list[str]) -> DataFrame:
@@ -59,8 +69,30 @@ def harmonise_columns(df: DataFrame, aliases: dict[str, list[str]], required: li
     return df.select(*[F.col(c).alias(renamed.get(c, c)) for c in df.columns])
 
 
-def union_layers(layers: dict[str, DataFrame], tag: str) -> DataFrame:
-    return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), [df.withColumn(tag, F.lit(name)) for name, df in layers.items()])
+def union_layers(layers: dict[tuple[str, str], DataFrame], required: list[str]) -> DataFrame:
+    """Layers on top of each other with source_file and source_layer; those without the required columns are left out."""
+    usable = {k: df for k, df in layers.items() if set(required) <= set(df.columns)}
+    if not usable:
+        raise ValueError(f"no layer has the columns {required}")
+    tagged = [df.withColumn("source_file", F.lit(f)).withColumn("source_layer", F.lit(name)) for (f, name), df in usable.items()]
+    return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), tagged)
+
+
+def required_columns(df: DataFrame, columns: list[str]) -> list[str]:
+    """The columns that are missing."""
+    return [c for c in columns if c not in df.columns]
+
+
+def schema_equal(a: DataFrame, b: DataFrame, ignore: tuple[str, ...] = ()) -> bool:
+    """Whether two tables have the same columns of the same types, whatever their order."""
+    kinds = lambda df: {f.name: f.dataType for f in df.schema if f.name not in ignore}
+    return kinds(a) == kinds(b)
+
+
+def concat_parts(parts: list[DataFrame], schema: T.StructType | None = None) -> DataFrame:
+    """Parts of one table on top of each other; with a schema its columns come first and are filled."""
+    out = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)
+    return out if schema is None else align_to_schema(out, schema)
 
 
 def align_to_schema(df: DataFrame, schema: T.StructType) -> DataFrame:
@@ -70,9 +102,28 @@ def align_to_schema(df: DataFrame, schema: T.StructType) -> DataFrame:
     return df.select(*own, *[c for c in df.columns if c not in schema.names])
 
 
-def publish(df: DataFrame, path: str) -> None:
-    """Replace a table; Spark's commit shows all of it or nothing."""
-    df.write.mode("overwrite").option("compression", "zstd").parquet(path)
+def versions(spark: SparkSession, path: str) -> list[int]:
+    """The whole versions v=<n> of a published table: those whose write has ended."""
+    hadoop = spark._jvm.org.apache.hadoop.fs
+    root = hadoop.Path(path)
+    fs = root.getFileSystem(spark._jsc.hadoopConfiguration())
+    names = [x.getPath().getName() for x in fs.listStatus(root)] if fs.exists(root) else []
+    return sorted(int(n[2:]) for n in names if n.startswith("v=") and fs.exists(hadoop.Path(f"{path}/{n}/_SUCCESS")))
+
+
+def publish(df: DataFrame, path: str) -> int:
+    """Write a table's next version, a folder v=<n> below ``path``; gives its number.
+
+    Spark's marker of an ended write makes it the current one, so a job that fails leaves the old version.
+    """
+    n = next(iter(versions(df.sparkSession, path)[::-1]), -1) + 1
+    df.write.mode("overwrite").option("compression", "zstd").parquet(f"{path}/v={n}")
+    return n
+
+
+def read_published(spark: SparkSession, path: str) -> DataFrame:
+    """The current version of a table that publish() has written."""
+    return spark.read.parquet(f"{path}/v={versions(spark, path)[-1]}")
 
 
 def publish_partition(df: DataFrame, path: str, key: str) -> None:
@@ -85,5 +136,10 @@ def append_events(df: DataFrame, path: str, run_id: str) -> None:
     publish_partition(df.withColumn("run_id", F.lit(run_id)), path, "run_id")
 
 
-def summary_record(df: DataFrame, flags: list[str]) -> DataFrame:
-    return df.agg(F.to_json(F.struct(F.count("*").alias("rows"), *[F.count_if(F.col(f)).alias(f) for f in flags])).alias("summary"))
+def summary_record(df: DataFrame, flags: list[str], counted: list[str] = []) -> DataFrame:
+    """One JSON record: rows, how many have each flag, and how often each value of the counted columns comes."""
+    one = df.agg(F.count("*").alias("rows"), *[F.count_if(F.col(f)).alias(f) for f in flags])
+    for c in counted:
+        n = df.groupBy(F.coalesce(F.col(c).cast("string"), F.lit("missing")).alias("v")).agg(F.count("*").alias("n"))
+        one = one.crossJoin(n.agg(F.map_from_entries(F.sort_array(F.collect_list(F.struct("v", "n")))).alias(f"{c}_counts")))
+    return one.select(F.to_json(F.struct(*one.columns)).alias("summary"))

@@ -6,26 +6,48 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..operators.changes import upsert_by_id
+from ..operators.changes import status_events, upsert_by_id
 from ..operators.ranking import dedupe
+from ..sources.tables import publish_partition, read_optional
 
 
-def stream_upsert(spark: SparkSession, source: str, schema: T.StructType, target: str, checkpoint: str, key: str, order: str) -> None:
-    """Fold a folder's new files into versions of a target table; the newest row of each key wins.
+def stream_upsert(spark: SparkSession, source: str, schema: T.StructType, target: str, checkpoint: str, key: str, order: str, buckets: int = 64, events: str | None = None, fields: list[str] = []) -> None:
+    """Fold a folder's new files into a target table; the newest row of each key wins.
 
-    A batch writes target/v=<batch>; batch n reads version n - 1, so a repeated batch gives the same version.
+    The target is kept in ``buckets`` by a hash of the key, and each bucket in versions by batch; a batch
+    rewrites only the buckets of its keys, from the versions of earlier batches, so a repeated batch gives
+    the same. read_upserted() reads the newest version of each bucket. ``events``: a path for the
+    changes of ``fields``, one partition a batch.
     """
 
     def fold(batch: DataFrame, number: int) -> None:
-        newest = dedupe(batch, [key], [F.desc(order)])
-        if number:
-            newest = upsert_by_id(spark.read.schema(schema).parquet(f"{target}/v={number - 1}"), newest, newest, key)
-        newest.write.mode("overwrite").parquet(f"{target}/v={number}")
+        newest = dedupe(batch, [key], [F.desc(order)]).withColumn("bucket", bucket_of(key, buckets)).persist()
+        touched = [r["bucket"] for r in newest.select("bucket").distinct().collect()]  # ``buckets`` at most
+        old = read_upserted(spark, target, schema, number).where(F.col("bucket").isin(touched))
+        merged = upsert_by_id(old, newest, newest, key)
+        if events:
+            publish_partition(status_events(old.join(newest.select(key), key, "left_semi"), newest, key, fields).withColumn("batch", F.lit(number)), events, "batch")
+        merged.withColumn("version", F.lit(number)).write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("bucket", "version").parquet(target)
+        newest.unpersist()
 
     stream = spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).parquet(source)
     stream.writeStream.foreachBatch(fold).option("checkpointLocation", checkpoint).trigger(availableNow=True).start().awaitTermination()
 
 
+def bucket_of(key: str, buckets: int):
+    return F.pmod(F.xxhash64(key), F.lit(buckets)).cast("int")
+
+
+def read_upserted(spark: SparkSession, target: str, schema: T.StructType, before: int | None = None) -> DataFrame:
+    """The rows of stream_upsert()'s target with their bucket, as of the batches below ``before`` if that is given."""
+    whole = T.StructType([*schema.fields, T.StructField("bucket", T.IntegerType()), T.StructField("version", T.IntegerType())])
+    rows = read_optional(spark, target, whole)
+    if before is not None:
+        rows = rows.where(F.col("version") < before)
+    newest = rows.groupBy("bucket").agg(F.max("version").alias("version"))
+    return rows.join(F.broadcast(newest), ["bucket", "version"], "left_semi").select(*schema.names, "bucket")
+
+
 def stream_new_files(spark: SparkSession, root: str, glob: str, out: str, checkpoint: str) -> None:
     """Inventory rows of files that have arrived since the last call, each once."""
     files = spark.readStream.format("binaryFile").schema("path string, modificationTime timestamp, length long, content binary").option("pathGlobFilter", glob).load(root)

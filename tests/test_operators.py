@@ -8,10 +8,10 @@ from pyspark.sql import functions as F
 
 from fieldloom.functions import scalars as S
 from fieldloom.functions.geo import lonlat_to_laea, point
-from fieldloom.operators import changes, inventory, landcover, ranking, species
+from fieldloom.operators import changes, cube, inventory, landcover, master, ranking, species
 from fieldloom.plans import queries as plans
 from fieldloom.sources import tables
-from fieldloom.streaming.updates import stream_upsert
+from fieldloom.streaming.updates import read_upserted, stream_new_files, stream_upsert
 
 SF = "/root/testdata/sf0.001"
 
@@ -57,10 +57,127 @@ def test_projection_example(spark):
     assert abs(one(spark, x) - 3962799.451) < 0.01 and abs(one(spark, y) - 2999718.853) < 0.01
 
 
+def ring(*corners):
+    return F.array(*[point(F.lit(x), F.lit(y)) for x, y in corners])
+
+
+def square(x, y, size):
+    return ring((x, y), (x + size, y), (x + size, y + size), (x, y + size))
+
+
 def test_triangle_areas_add_up(spark):
-    ring = F.array(*[point(F.lit(x), F.lit(y)) for x, y in ((10, 10), (290, 40), (120, 280))])
-    got = landcover.overlay(spark.range(1).select(ring.alias("ring")), "ring", 100).agg(F.sum("area")).first()[0]
-    assert abs(got - abs((280 * 270 - 30 * 110) / 2)) < 1e-6
+    rings = F.array(ring((10, 10), (290, 40), (120, 280)))
+    got = landcover.overlay(spark.range(1).select("id", rings.alias("rings")), ["id"], "rings", 100)
+    assert abs(got.agg(F.sum("area")).first()[0] - abs((280 * 270 - 30 * 110) / 2)) < 1e-6
+
+
+def test_overlay_of_any_polygon_matches_small_cells(spark):
+    """Areas by cell against the number of points of a fine lattice inside, with a hole, in either direction of the rings."""
+    outer = [(13.0, 7.0), (305.0, 61.0), (250.0, 180.0), (310.0, 330.0), (40.0, 290.0), (90.0, 150.0)]
+    hole = [(120.0, 110.0), (220.0, 120.0), (180.0, 230.0)]
+    for a, b in ((outer, hole), (outer[::-1], hole), (outer, hole[::-1])):
+        df = spark.range(1).select("id", F.array(ring(*a), ring(*b)).alias("rings"))
+        got = {(r["e"], r["n"]): r["area"] for r in landcover.overlay(df, ["id"], "rings", 100).collect()}
+        cells = landcover.micro_cells(df, ["id"], "rings", 2).groupBy(F.floor(F.col("e") / 50).alias("e"), F.floor(F.col("n") / 50).alias("n")).agg((F.count("*") * 4).alias("area")).collect()
+        assert {(r["e"], r["n"]) for r in cells} <= set(got) and all(abs(got[r["e"], r["n"]] - r["area"]) < 400 for r in cells)
+        area = lambda p: abs(sum(x0 * y1 - x1 * y0 for (x0, y0), (x1, y1) in zip(p, p[1:] + p[:1]))) / 2
+        assert abs(sum(got.values()) - area(a) + area(b)) < 1e-6
+
+
+def test_points_on_borders_and_in_holes_are_outside(spark):
+    rings = F.array(square(0, 0, 100), square(40, 40, 20))
+    polys = spark.range(1).select(F.lit(7).alias("poly"), rings.alias("rings"))
+    points = spark.createDataFrame([(1, 10.0, 10.0), (2, 50.0, 50.0), (3, 0.0, 50.0), (4, 40.0, 50.0), (5, 100.0, 100.0), (6, 99.0, 1.0), (7, 130.0, 50.0)], "id long, x double, y double")
+    assert sorted(r["id"] for r in landcover.assign_polygons(points, polys, "rings", 30).collect()) == [1, 6]
+    bad = spark.range(1).select(F.array(ring((0, 0), (1, 1))).alias("rings"))
+    assert landcover.drop_bad(bad, "rings").count() == 0 and landcover.drop_bad(polys, "rings").count() == 1
+    parts = spark.range(1).select(F.array(F.array(square(0, 0, 1)), F.array(square(5, 5, 1))).alias("parts"))
+    assert landcover.explode_parts(parts, "parts", "rings").count() == 2
+
+
+def test_of_overlapping_polygons_only_the_overlap_goes(spark):
+    rows = [(1, "f", 2020, "B", 0.0), (2, "f", 2021, "C", 50.0), (3, "f", 2021, "A", 80.0), (4, "g", 2000, "C", 0.0)]
+    df = spark.createDataFrame(rows, "poly long, cls string, year int, status string, x double")
+    rings = F.array(F.array(*[point(F.col("x") + dx, F.lit(dy)) for dx, dy in ((0, 0), (100, 0), (100, 100), (0, 100))]))
+    got = landcover.resolve_overlaps(df.withColumn("rings", rings), ["poly"], "cls", "year", "status", "poly", "rings", 10)
+    assert {r["poly"]: r["area"] for r in got.collect()} == {1: 5000.0, 2: 3000.0, 3: 10000.0, 4: 10000.0}
+
+
+def test_projections_go_back_and_forth(spark):
+    from fieldloom.functions.geo import cell_centroid_lonlat, laea_to_lonlat, lonlat_to_lcc
+
+    for lon, lat in ((5.0, 50.0), (10.0, 52.0), (14.2, 47.3), (-8.0, 61.0)):
+        x, y = lonlat_to_laea(F.lit(lon), F.lit(lat))
+        back = laea_to_lonlat(x, y)
+        assert abs(one(spark, back[0]) - lon) < 1e-7 and abs(one(spark, back[1]) - lat) < 1e-7
+    x, y = lonlat_to_lcc(F.lit(10.0), F.lit(52.0))
+    assert abs(one(spark, x) - 4000000) < 1e-6 and abs(one(spark, y) - 2800000) < 1e-6
+    near = [one(spark, c) for c in lonlat_to_lcc(F.lit(10.0), F.lit(52.01))]
+    assert abs(near[0] - 4000000) < 1e-6 and 1060 < near[1] - 2800000 < 1113
+    lon, lat = cell_centroid_lonlat(F.lit(32100), F.lit(43210), 100)
+    assert abs(one(spark, lon) - 10.0007) < 1e-3 and abs(one(spark, lat) - 52.0004) < 1e-3
+
+
+def test_quantiles_between_values(spark):
+    """At 100 parts a value just between two is a tie of rounding, which the nearer neighbour's side decides as numpy does."""
+    import numpy as np
+
+    values = [9.85, 9.96, 1.0, 3.25, 7.125, 2.5]
+    df = spark.createDataFrame([("v", 0.0, 0.0, v) for v in [*values, float("nan"), float("inf")]], "var string, x double, y double, value double").withColumn("ts", F.lit("2024-05-01").cast("timestamp"))
+    got = cube.monthly_quantiles(df, [0.1, 0.5, 0.9], 100, -9999).first()
+    assert [got["p10"], got["p50"], got["p90"]] == [int(np.rint(np.quantile(values, p) * 100)) for p in (0.1, 0.5, 0.9)]
+    assert cube.monthly_quantiles(df, [0.5], 100, -9999, accuracy=1000).first()["p50"] in (250, 325, 713)
+    none = df.where("value > 1e300")
+    assert cube.monthly_quantiles(none, [0.5], 100, -9999).first()["p50"] == -9999
+    pixels = spark.createDataFrame([("f", 1, v) for v in (1.0, float("nan"), -9999.0, float("inf"))], "file string, band int, value double")
+    stats = cube.raster_stats(pixels, -9999, 2).first()
+    assert (stats["n_nan"], stats["n_inf"], stats["n_nodata"], stats["n_finite"]) == (1, 1, 1, 1) and stats["codes"] == "unexpected_band_count|nan_values|infinite_values|constant"
+    assert cube.band_stats(pixels.where("value < 2 or value <> value"), -9999).first()["n_valid"] == 1
+
+
+def test_instants_and_sources_of_times(spark):
+    utc = lambda t: str(one(spark, S.to_instant(F.lit(t).cast("timestamp"), "Europe/Berlin")))
+    assert utc("2024-03-31 02:30:00") == "2024-03-31 01:00:00" and utc("2024-10-27 02:30:00") == "2024-10-27 00:30:00" and utc("2024-07-01 12:00:00") == "2024-07-01 10:00:00"
+    part = one(spark, S.local_parts(F.lit("2024-05-01T04:30:00+02:00")))
+    assert (str(part["local"]), part["utc"], part["date"], part["time"]) == ("2024-05-01 04:30:00", "2024-05-01T02:30:00Z", "2024-05-01", "04:30:00")
+    assert one(spark, S.local_parts(F.lit("nothing")))["utc"] is None and one(spark, S.local_parts(F.lit("2024-05-01")))["time"] == "00:00:00"
+    got = one(spark, S.time_source(F.lit("bad"), F.lit("2024-05-01 04:30"), ("localtimes", "datetime"), "Europe/Berlin"))
+    assert got["source"] == "datetime" and got["step"].startswith("fallback_to_datetime; ")
+    assert one(spark, S.time_source(F.lit(None), F.lit("x"), ("a", "b"), "UTC"))["step"] == "no_parseable_datetime"
+    assert one(spark, S.months_spanning(F.lit("2024-01-30 10:00:00").cast("timestamp"), F.lit("2024-03-01").cast("timestamp"))) == ["2024-01", "2024-02", "2024-03"]
+    assert one(spark, S.duration_issue(F.lit(58.5), 60, 1)) == "duration_not_60s:observed=58.500000s,allowed=59-61s" and one(spark, S.duration_issue(F.lit(60.5), 60, 1)) is None
+
+
+def test_contract_rules_and_artifacts(spark, tmp_path):
+    contract = {"id": {"type": "bigint", "required": True}, "kind": {"enum": ["a", "b"]}, "n": {"minimum": 0, "maximum": 5}, "code": {"pattern": "^[a-z]+$"}}
+    df = spark.createDataFrame([("1", "a", 3, "x"), ("y", "c", 9, "7"), (None, None, None, None)], "id string, kind string, n int, code string")
+    got = master.validate_rows(df, master.contract_rules(contract), "id").first().asDict()
+    assert got == {"id_type": 1, "id_required": 1, "kind_enum": 1, "n_minimum": 0, "n_maximum": 1, "code_pattern": 1, "duplicate_keys": 0}
+    spark.range(3).write.parquet(str(tmp_path / "full"))
+    spark.range(0).write.parquet(str(tmp_path / "empty"))
+    states = master.artifact_check(spark, {str(tmp_path / "full"): True, str(tmp_path / "empty"): True, str(tmp_path / "no"): True, str(tmp_path / "maybe"): False})
+    assert [r["state"] for r in states.collect()] == ["present", "empty", "missing", "optional_missing"]
+
+
+def test_master_update_of_some_ids(spark):
+    base = spark.createDataFrame([(1, 1.0, 2.0, "t", "u"), (2, 95.0, 2.0, None, None)], "id long, lat double, lon double, datetime_local string, datetime_utc string")
+    media = spark.createDataFrame([(1, True, False, ""), (2, True, True, "Bad Tone")], "id long, exists boolean, has_issues boolean, codes string")
+    cells = spark.createDataFrame([("c", "forest", "A", 71.239, 1.5)], "cell string, majority string, status string, pct double, gap double")
+    qc = spark.createDataFrame([(1, "validated", False, "", True)], "id long, status string, has_issues boolean, codes string, required_complete boolean")
+    attach = [lambda df, p=p: master.attach_inventory(df, media, "id", p) for p in master.MEDIA]
+    attach += [lambda df: master.attach_completion(df, qc, "id", []), lambda df: master.attach_points(df, spark.createDataFrame([(1, True, 2)], "id long, inside_polygon boolean, n_polygons long"), "id")]
+    attach += [lambda df: df.withColumn("c1", F.lit("c")).withColumn("c2", F.lit(None).cast("string"))]
+    columns = {"cell": "cell", "majority": "majority", "status": "status", "coverage_pct": "pct", "gap_pct": "gap"}
+    attach += [lambda df: master.attach_cell_class(df, cells, "c1", "100m", columns), lambda df: master.attach_cell_class(df, cells, "c2", "10m", columns)]
+    attach += [lambda df: master.attach_raster_status(df, spark.createDataFrame([], "status string, square boolean, constant_rows int, constant_cols int, nodata_rows int, nodata_cols int"), True, "weather_raster_100m")]
+    keep = ["id", "sound_issue_codes", "majority_value_100m", "second_value_100m", "majority_disputed_100m", "ready_for_general_analysis", "ready_for_bioacoustic_analysis", "ready_for_direct_lrt_analysis", "record_status", "release_status", "weather_raster_100m_issue_codes"]
+    first = master.master_table(base, attach, "id", keep)
+    got = {r["id"]: r.asDict() for r in first.collect()}
+    assert got[1] == dict(zip(keep, [1, "", 7124, 6974, True, True, True, True, "partial", "not_started", "qc_not_run"]))
+    assert got[2]["sound_issue_codes"] == "bad_tone" and got[2]["record_status"] == "has_issues" and not got[2]["ready_for_bioacoustic_analysis"]
+    before = first.withColumn("release_status", F.lit("Approved")).withColumn("record_status", F.lit("old"))
+    later = {r["id"]: (r["record_status"], r["release_status"]) for r in master.master_table(base, attach, "id", keep, before, spark.createDataFrame([(2,)], "id long")).collect()}
+    assert later == {1: ("old", "Approved"), 2: ("has_issues", "approved")}
 
 
 def test_sources_and_sinks(spark, tmp_path):
@@ -88,8 +205,29 @@ def test_top_k_and_failed_rows(spark):
     df = spark.createDataFrame([("A", 0.9), ("B", 0.8), ("C", 0.7), ("D", 0.05)], "species string, score double").withColumn("g", F.lit(1))
     assert [r["species"] for r in species.segment_top_k(df, ["g"], 0.1, 2).orderBy("rank").collect()] == ["A", "B"]
     assert ranking.top_k(df, ["g"], [F.asc("species")], 0).count() == 4
-    got = species.batch_score(df.select("species"), lambda p: 1 / (p["species"] != "C").astype(int).map({1: 1, 0: "x"}), "species").collect()
-    assert sum(r["error"] is not None for r in got) == 1 and len(got) == 4
+
+    def scorer(p):
+        if (p["species"] == "C").any():
+            raise ValueError("no C")
+        return p["species"].map(ord)
+
+    got = {r["species"]: (r["score"], r["error"]) for r in species.batch_score(df.select("species").coalesce(1), scorer, "species").collect()}
+    assert got == {"A": (65.0, None), "B": (66.0, None), "C": (None, "ValueError: no C"), "D": (68.0, None)}
+    ids = spark.createDataFrame([("10",), ("9",), ("x",), ("1",)], "id string")
+    assert [r["id"] for r in ranking.sort_numeric_id(ids, "id").collect()] == ["1", "9", "10", "x"]
+    months = species.with_month(spark.createDataFrame([(1,), (2,), (3,)], "id long"), spark.createDataFrame([(1, "2024-06-30T23:30:00-02:00"), (2, "bad")], "id long, ts string"), "id", "ts")
+    assert {r["id"]: r["month"] for r in months.collect()} == {1: 6, 2: None, 3: None}
+
+
+def test_downloads_forced_or_missing_only(spark):
+    ids = spark.createDataFrame([(1, "u1"), (2, "u2"), (3, "u3"), (4, None)], "id long, url string")
+    have = spark.createDataFrame([(1, True, False), (2, True, True)], "id long, exists boolean, has_issues boolean")
+    retry = spark.createDataFrame([(2, "u2", 5, False), (3, "old", 5, True), (4, "", 1, True)], "id long, url string, attempts int, terminal boolean")
+    run = lambda **o: {r["id"]: (r["reason"], r["attempts"]) for r in inventory.needs_download(ids, have, retry, "id", "url", 5, **o).collect()}
+    assert run() == {3: ("missing", 0)}
+    assert run(forced=True) == {i: ("forced", 0) for i in (1, 2, 3, 4)}
+    assert run(missing_only=True) == {3: ("missing", 0)} and run(missing_only=True, requested=spark.createDataFrame([(1,)], "id long")) == {}
+    assert run(requested=spark.createDataFrame([(1,)], "id long")) == {1: ("requested", 0), 3: ("missing", 0)}
 
 
 def test_complete_year(spark):
@@ -99,8 +237,45 @@ def test_complete_year(spark):
 
 def test_stream_matches_batch(spark, tmp_path):
     schema = "id long, v string, t long"
-    for n, rows in enumerate([[(1, "a", 1), (2, "b", 1)], [(2, "c", 2), (3, "d", 2)]]):
+    for n, rows in enumerate([[(1, "a", 1), (2, "b", 1)], [(2, "c", 2), (3, "d", 2)], [(2, "e", 3)]]):
         spark.createDataFrame(rows, schema).coalesce(1).write.mode("append").parquet(str(tmp_path / "in"))
-    stream_upsert(spark, str(tmp_path / "in"), spark.createDataFrame([], schema).schema, str(tmp_path / "out"), str(tmp_path / "c"), "id", "t")
-    last = sorted(p for p in os.listdir(tmp_path / "out") if p.startswith("v="))[-1]
-    assert sorted((r["id"]) for r in spark.read.parquet(str(tmp_path / "out" / last)).collect()) == [1, 2, 3]
+    kind = spark.createDataFrame([], schema).schema
+    for _ in range(2):  # a second call finds nothing new
+        stream_upsert(spark, str(tmp_path / "in"), kind, str(tmp_path / "out"), str(tmp_path / "c"), "id", "t", 8, str(tmp_path / "events"), ["v"])
+    got = read_upserted(spark, str(tmp_path / "out"), kind)
+    batch = ranking.dedupe(spark.read.parquet(str(tmp_path / "in")), ["id"], [F.desc("t")])
+    assert sorted(map(tuple, got.select("id", "v", "t").collect())) == sorted(map(tuple, batch.select("id", "v", "t").collect()))
+    assert spark.read.parquet(str(tmp_path / "events")).where("field = 'v'").count() >= 1
+
+
+def test_new_files_come_once(spark, tmp_path):
+    (tmp_path / "in").mkdir()
+    for name in ("a.wav", "b.wav", "c.txt"):
+        (tmp_path / "in" / name).write_text("x")
+        stream_new_files(spark, str(tmp_path / "in"), "*.wav", str(tmp_path / "out"), str(tmp_path / "c"))
+    assert sorted(r["path"][-5:] for r in spark.read.parquet(str(tmp_path / "out")).collect()) == ["a.wav", "b.wav"]
+
+
+def test_versions_parts_and_layers(spark, tmp_path):
+    path = str(tmp_path / "t")
+    assert [tables.publish(spark.range(n), path) for n in (1, 2)] == [0, 1] and tables.read_published(spark, path).count() == 2
+    with pytest.raises(Exception):
+        tables.publish(spark.range(3).select(F.raise_error(F.lit("stop")).alias("id")), path)
+    assert tables.read_published(spark, path).count() == 2
+    spark.range(1).write.parquet(str(tmp_path / "p/a"))
+    parts = tables.read_parts(spark, str(tmp_path / "p/a"), spark.createDataFrame([], "id long, name string").schema)
+    parts.write.parquet(str(tmp_path / "q"))
+    assert parts.first().asDict() == {"id": 0, "name": None}
+    (tmp_path / "ids.csv").write_text("ID,x\n7.0,a\nbad,b\n7,c\n")
+    assert [r["id"] for r in tables.read_ids(spark, str(tmp_path / "ids.csv")).collect()] == ["7"]
+    both = tables.union_layers({("f", "a"): spark.range(1), ("f", "b"): spark.range(1).toDF("other")}, ["id"])
+    assert [r.asDict() for r in both.collect()] == [{"id": 0, "source_file": "f", "source_layer": "a"}]
+    assert tables.schema_equal(spark.range(1).withColumn("k", F.lit(1)), spark.range(2), ("k",)) and tables.required_columns(spark.range(1), ["id", "z"]) == ["z"]
+    wide = tables.concat_parts([spark.range(1).select("id"), spark.range(1).withColumn("n", F.lit(2))], spark.createDataFrame([], "n int, id long").schema)
+    assert wide.columns == ["n", "id"] and wide.count() == 2
+    assert tables.lookup_rows(spark.range(9), [2, 3], "id", []).count() == 2
+    flags = spark.createDataFrame([(True, "a"), (False, None)], "ok boolean, kind string")
+    assert tables.summary_record(flags, ["ok"], ["kind"]).first()[0] == '{"rows":2,"ok":1,"kind_counts":{"a":1,"missing":1}}'
+    (tmp_path / "j").mkdir()
+    (tmp_path / "j/x.json").write_text('{"a": 1}')
+    assert tables.read_json_docs(spark, str(tmp_path / "j")).first()["a"] == 1
