@@ -22,7 +22,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .shared import HOT_SHARE, bitmap_blocks, bits_for, connected_components, dealt, hot_keys, join_unique, maybe_in, merge_labels, saved, shuffle_partitions, table, unpacked
+from .shared import HOT_SHARE, bitmap_blocks, bits_for, connected_components, dealt, discard, hot_keys, join_unique, maybe_in, merge_labels, saved, shuffle_partitions, table, unpacked
 from .text import Words, as_bytes, as_long, mix, pieces, powers, rolling
 
 SHINGLE = 5
@@ -373,14 +373,20 @@ def linked_keys(sets: DataFrame, percent: int) -> DataFrame:
     long_postings = saved(join_unique(sets.select("key", "n", F.explode(signature).alias("h")), long_, "h", "length", total))
     has_long = saved(long_postings.groupBy("key").agg(F.count("*").cast("int").alias("long")))
     marked = sets.select("key", "n", signature.alias("s")).join(has_long, "key", "left").select("key", "n", F.coalesce("long", F.lit(0)).alias("long"), F.explode("s").alias("h"))
-    links = saved(verified(saved(short_candidates(marked, lengths, total, percent)), sets, percent))
+    candidates = saved(short_candidates(marked, lengths, total, percent))
+    links = saved(verified(candidates, sets, percent))
+    old = [lengths, long_postings, has_long, candidates, links]
     many = has_long.join(sets.select("key", "n"), "key").where(f"100 * long >= {SPARE} * n").select("key", "long")
     members = leader_blocks(long_postings.join(many, "key"))
     if not members.isEmpty():
         compared = saved(differences(members, sets, percent))
         to_leader = compared.where("linked AND key <> leader").select(F.col("key").alias("a"), F.col("leader").alias("b"))
-        links = links.unionByName(to_leader).unionByName(saved(open_links(compared, percent)))
-    return connected_components(links)
+        further = saved(open_links(compared, percent))
+        links = links.unionByName(to_leader).unionByName(further)
+        old += [compared, further]
+    components = connected_components(links)  # saved, so that nothing else is read any more
+    discard(*old, members)
+    return components
 
 
 def jaccard_components(docs: DataFrame, size: int = SHINGLE, percent: int = PERCENT) -> DataFrame:

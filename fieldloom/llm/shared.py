@@ -44,7 +44,16 @@ def saved(df: DataFrame, rows: int | None = None) -> DataFrame:
     if rows is not None and (files := -(-rows // ROWS_PER_FILE)) < shuffle_partitions(df.sparkSession):
         df = df.coalesce(max(1, files))
     df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    out = df.sparkSession.read.schema(df.schema).parquet(path)
+    out.scratch_path = path
+    return out
+
+
+def discard(*tables: DataFrame) -> None:
+    """Remove saved() tables that nothing reads any more: all that was made of them must be saved itself."""
+    for t in tables:
+        path = t.sparkSession._jvm.org.apache.hadoop.fs.Path(t.scratch_path)
+        path.getFileSystem(t.sparkSession._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def shuffle_partitions(spark: SparkSession) -> int:
@@ -185,13 +194,14 @@ def connected_components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFr
         large = join_unique(both, least, "n", "rows", 2 * n).where("m > n").select(F.col("least").alias("lo"), F.col("m").alias("hi")).where("lo < hi").distinct()
         # small star: a node and its lower neighbours move to the smallest of them
         large = saved(large, n)
-        least = saved(large.groupBy("hi").agg(F.min("lo").alias("least"), F.count("*").alias("rows")), n)
+        lower = saved(large.groupBy("hi").agg(F.min("lo").alias("least"), F.count("*").alias("rows")), n)
         small = (
-            join_unique(large, least, "hi", "rows", n)
+            join_unique(large, lower, "hi", "rows", n)
             .select(F.explode(F.array(F.struct(F.col("least").alias("lo"), F.col("lo").alias("hi")), F.struct(F.col("least").alias("lo"), F.col("hi")))).alias("e"))
             .select("e.lo", "e.hi").where("lo < hi").distinct()
         )
-        now = saved(small, n)
+        last, now = now, saved(small, n)
+        discard(last, least, large, lower)
         after = now.agg(F.count("*"), F.sum(F.xxhash64("lo", "hi").cast("decimal(20,0)"))).first()
         if after == before:
             return now.select(F.col("hi").alias("node"), F.col("lo").alias("component")).unionByName(
