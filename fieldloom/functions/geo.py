@@ -50,9 +50,11 @@ def edges_of(rings: Column) -> Column:
     return F.flatten(F.transform(rings, one))
 
 
-def contains(rings: Column, x: Column, y: Column) -> Column:
-    """Whether a point lies strictly inside: an odd number of edges crosses a ray, and no edge holds the point. Holes are further rings."""
-    edges = edges_of(rings)
+def contains(edges: Column, x: Column, y: Column) -> Column:
+    """Whether a point lies strictly inside a polygon of the given edges_of(): an odd number of them crosses a ray, and none holds the point.
+
+    Holes are further rings, so nothing more is needed for them.
+    """
     side = lambda e: (e["b"]["x"] - e["a"]["x"]) * (y - e["a"]["y"]) - (e["b"]["y"] - e["a"]["y"]) * (x - e["a"]["x"])
     crosses = lambda e: ((e["a"]["y"] > y) != (e["b"]["y"] > y)) & ((side(e) > 0) == (e["b"]["y"] > e["a"]["y"]))
     on_edge = lambda e: (side(e) == 0) & x.between(F.least(e["a"]["x"], e["b"]["x"]), F.greatest(e["a"]["x"], e["b"]["x"])) & y.between(F.least(e["a"]["y"], e["b"]["y"]), F.greatest(e["a"]["y"], e["b"]["y"]))

@@ -249,12 +249,14 @@ def micro_cells(polygons: DataFrame, keys: list[str], rings: str, res: int) -> D
 
 
 def assign_polygons(points: DataFrame, polygons: DataFrame, rings: str, tile: int) -> DataFrame:
-    """All polygons that hold a point strictly inside: equal tiles, then the exact test."""
-    low = lambda a: F.floor(F.array_min(F.transform(F.flatten(rings), lambda p: p[a])) / tile)
-    high = lambda a: F.floor(F.array_max(F.transform(F.flatten(rings), lambda p: p[a])) / tile)
-    tiled = polygons.withColumn("_tx", F.explode(F.sequence(low("x"), high("x")))).withColumn("_ty", F.explode(F.sequence(low("y"), high("y"))))
+    """All polygons that hold a point strictly inside: equal tiles, then their extents, then the exact test."""
+    at = lambda f, a: f(F.transform(F.flatten(rings), lambda p: p[a]))
+    boxed = polygons.withColumns({"_x0": at(F.array_min, "x"), "_x1": at(F.array_max, "x"), "_y0": at(F.array_min, "y"), "_y1": at(F.array_max, "y"), "_edges": edges_of(F.col(rings))})
+    step = lambda a, b: F.explode(F.sequence(F.floor(F.col(a) / tile), F.floor(F.col(b) / tile)))
+    tiled = boxed.drop(rings).withColumn("_tx", step("_x0", "_x1")).withColumn("_ty", step("_y0", "_y1"))
     keyed = points.withColumn("_tx", F.floor(F.col("x") / tile)).withColumn("_ty", F.floor(F.col("y") / tile))
-    return keyed.join(tiled, ["_tx", "_ty"]).where(contains(F.col(rings), F.col("x"), F.col("y"))).drop("_tx", "_ty", rings).distinct()
+    met = keyed.join(tiled, ["_tx", "_ty"]).where("x > _x0 AND x < _x1 AND y > _y0 AND y < _y1")
+    return met.where(contains(F.col("_edges"), F.col("x"), F.col("y"))).drop("_tx", "_ty", "_x0", "_x1", "_y0", "_y1", "_edges").distinct()
 
 
 def match_summary(matches: DataFrame, key: str, columns: list[str]) -> DataFrame:
