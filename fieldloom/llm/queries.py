@@ -7,6 +7,7 @@ from .jaccard import op1_jaccard
 from .language import op4_language_id
 from .line_dedup import OP2_SQL, op2_line_dedup
 from .mixing import OP6_SQL, op6_mixing
+from .negatives import OP13_SQL, op13_hard_negatives
 from .quality import op9_quality
 from .sentencepieces import op7_sentencepiece
 from .substrings import op3_substring_dedup
@@ -24,5 +25,6 @@ QUERIES = {
     "op8_exact_dedup": op8_exact_dedup,
     "op9_quality": op9_quality,
     "op10_toxicity": op10_toxicity,
+    "op13_hard_negatives": op13_hard_negatives,
 }
-SQL = {"op2_line_dedup": OP2_SQL, "op6_mixing": OP6_SQL, "op8_exact_dedup": OP8_SQL}
+SQL = {"op2_line_dedup": OP2_SQL, "op6_mixing": OP6_SQL, "op8_exact_dedup": OP8_SQL, "op13_hard_negatives": OP13_SQL}
