@@ -11,6 +11,7 @@ from .negatives import OP13_SQL, op13_hard_negatives
 from .quality import op9_quality
 from .sentencepieces import op7_sentencepiece
 from .substrings import op3_substring_dedup
+from .token_alignment import op12_token_alignment
 from .token_files import op11_token_files
 from .toxicity import op10_toxicity
 from .vectors import op5_near_vectors
@@ -27,6 +28,7 @@ QUERIES = {
     "op9_quality": op9_quality,
     "op10_toxicity": op10_toxicity,
     "op11_token_files": op11_token_files,
+    "op12_token_alignment": op12_token_alignment,
     "op13_hard_negatives": op13_hard_negatives,
 }
 SQL = {"op2_line_dedup": OP2_SQL, "op6_mixing": OP6_SQL, "op8_exact_dedup": OP8_SQL, "op13_hard_negatives": OP13_SQL}
