@@ -98,3 +98,14 @@ def rolling(h: np.ndarray, k: int) -> np.ndarray:
 
 def as_long(x: np.ndarray) -> pa.Array:
     return pa.array(x.view(np.int64))
+
+
+def coded(lists: pa.ListArray) -> tuple[np.ndarray, np.ndarray, list]:
+    """Of lists of words: each word's number among the distinct ones, how many words each list has, and the distinct ones."""
+    words = lists.flatten().dictionary_encode()
+    return words.indices.to_numpy(), lists.value_lengths().to_numpy().astype(np.int64), words.dictionary.to_pylist()
+
+
+def range_sums(values: np.ndarray, counts: np.ndarray) -> np.ndarray:
+    """Sums of the first counts[0] values, of the next counts[1], .."""
+    return np.diff(np.concatenate(([0], np.cumsum(values)))[np.concatenate(([0], np.cumsum(counts)))])

@@ -2,31 +2,34 @@
 
 from __future__ import annotations
 
+import os
 import re
 import struct
 import uuid
 from collections.abc import Iterator
-from itertools import chain
 from typing import BinaryIO
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import pyarrow.fs
 import xxhash
 import zstandard
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from .sentencepieces import spread
 from .shared import saved, scratch_path, shuffle_partitions, table
-from .text import as_bytes, pieces
+from .text import as_bytes, coded, pieces, range_sums
 
 VOCABULARY, END_ID = "word_bpe_49k.json", 1
 #: Bytes of ids in a frame, at most. A document is cut only if it is longer, so a reader of one needs no other's frames.
 FRAME_BYTES = 1 << 18
 #: Ids of a file, about, at most, as long as there are fewer than MAX_FILES files; files are not made smaller than SMALL_FILE.
 FILE_IDS, MAX_FILES, SMALL_FILE = 1 << 26, 20_000, 1 << 18
-#: Bytes of words and ids that an encoder remembers before it starts afresh, some 200 MB with what holds them.
-MEMORY = 24_000_000
+#: Bytes of words and ids that an encoder remembers before it starts afresh, some 150 MB with what holds them.
+MEMORY = 20_000_000
+PIECE_BYTES = 2_000_000  # of the texts that are taken together
 LEVEL = 3
 
 # Fixed values of the seekable zstandard format: magic numbers of its table and its end, and of the frame with the index.
@@ -46,39 +49,45 @@ def vocabulary_path(name: str = VOCABULARY) -> str:
 class WordEncoder:
     """Ids of texts by a tokenizer that drops white space: each distinct word goes through the library once.
 
-    Such a tokenizer never joins what white space parts, so a text's ids are those of its words. A word of Latin
-    letters with marks behind it is two such units for its pattern; the letters count alike in either case.
+    Such a tokenizer never joins what white space parts, so a text's ids are those of its words. To have fewer of
+    these, marks behind a Latin letter or a digit are parted from it, as the tokenizer's pattern does, and A-Z are
+    lower-cased where that comes to the same: where no accent follows by itself and no special token may appear.
     """
 
-    parted = re.compile("([A-Za-zÀ-ÖØ-öø-ɏ]+)([.,;:!?]+)")
+    marks = re.compile(rb"[.,;:!?](?:(?<=[A-Za-z0-9].)|(?<=[\xc4\xc5][\x80-\xbf].)|(?<=\xc3[\x80-\x96\x98-\xb6\xb8-\xbf].))[.,;:!?]*(?=[ \n]|\Z)")
 
     def __init__(self, model: str):
         from tokenizers import Tokenizer
 
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"  # Spark runs a task a core
         self.library = Tokenizer.from_str(model)
-        self.known: dict[bytes, bytes] = {}
-        self.units: dict[str, bytes] = {}
+        self.kind = np.dtype("<u2") if self.library.get_vocab_size() <= 1 << 16 else IDS
+        self.known: dict[str, bytes] = {}
         self.size = 0
 
-    def learn(self, words: set[bytes]) -> None:
-        split = {}
-        for w in words:
-            s = w.decode()
-            m = self.parted.fullmatch(s)
-            split[w] = (m[1].lower(), m[2]) if m else (s,)
-        new = list(set(chain.from_iterable(split.values())).difference(self.units))
-        for unit, found in zip(new, self.library.encode_batch_fast(new, add_special_tokens=False)):
-            self.units[unit] = np.array(found.ids, IDS).tobytes()
-        self.known |= {w: b"".join([self.units[u] for u in units]) for w, units in split.items()}
-        self.size += sum(2 * len(w) for w in words) + sum(len(self.units[u]) for u in new)
-
-    def encode(self, texts: list[bytes]) -> list[bytes]:
-        """Each text's ids as little-endian unsigned 32-bit integers."""
-        words = [t.split() for t in texts]
+    def words(self, text: bytes) -> bytes:
+        """The text with more white space and fewer capitals, as above."""
+        if not (b"<|" in text or b"\xcc" in text or b"\xcd" in text):
+            text = text.lower()
+        return self.marks.sub(rb" \g<0>", text)
+
+    def learn(self, words: list[str]) -> None:
+        for w, found in zip(words, self.library.encode_batch_fast(words, add_special_tokens=False)):
+            self.known[w] = ids = np.array(found.ids, self.kind).tobytes()
+            self.size += 2 * len(w) + len(ids)
+
+    def encode(self, texts: list[bytes], end_id: int) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of all texts one after the other, with ``end_id`` behind each, and how many each has."""
         if self.size > MEMORY:
-            self.known, self.units, self.size = {}, {}, 0
-        self.learn(set(chain.from_iterable(words)).difference(self.known))
-        return [b"".join(map(self.known.__getitem__, w)) for w in words]
+            self.known, self.size = {}, 0
+        codes, counts, distinct = coded(pc.ascii_split_whitespace(pa.array([self.words(t) for t in texts], pa.binary()).cast(pa.string())))
+        if new := [w for w in distinct if w not in self.known]:
+            self.learn(new)
+        ids = list(map(self.known.__getitem__, distinct))
+        n = np.fromiter(map(len, ids), np.int64, len(ids)) // self.kind.itemsize
+        in_text = range_sums(n[codes], counts)
+        out = np.frombuffer(b"".join(ids), self.kind)[spread((np.cumsum(n) - n)[codes], n[codes])]
+        return np.insert(out, np.cumsum(in_text), end_id), in_text + 1
 
 
 _encoders: dict[int, WordEncoder] = {}
@@ -93,17 +102,18 @@ def encoder(model: str) -> WordEncoder:
 
 
 def encoded(docs: DataFrame, vocabulary: str, end_id: int = END_ID) -> DataFrame:
-    """(doc_id, ids): the whole text's ids, null counting as empty, with ``end_id`` behind them, as bytes."""
+    """(doc_id, ids): the whole text's ids, null counting as empty, with ``end_id`` behind them, as bytes; two an id if that is enough."""
     with open(vocabulary, encoding="utf-8") as f:
         model = docs.sparkSession.sparkContext.broadcast(f.read())
-    end = np.array([end_id], IDS).tobytes()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             texts = as_bytes(batch["text"])
-            for i, j in pieces(texts):
-                ids = [x + end for x in encoder(model.value).encode(texts[i:j])]
-                yield pa.RecordBatch.from_arrays([batch["doc_id"].slice(i, j - i), pa.array(ids, pa.binary())], ["doc_id", "ids"])
+            for i, j in pieces(texts, PIECE_BYTES):
+                ids, counts = encoder(model.value).encode(texts[i:j], end_id)
+                ends = (np.concatenate(([0], np.cumsum(counts))) * ids.itemsize).astype(np.int32)
+                column = pa.Array.from_buffers(pa.binary(), j - i, [None, pa.py_buffer(ends), pa.py_buffer(np.ascontiguousarray(ids))])
+                yield pa.RecordBatch.from_arrays([batch["doc_id"].slice(i, j - i), column], ["doc_id", "ids"])
 
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(run, "doc_id long, ids binary")
 
@@ -229,8 +239,10 @@ def write_tokens(docs: DataFrame, path: str, vocabulary: str | None = None, end_
     so lost executors and repeated tasks leave no row twice. An empty table gives no files; other columns are ignored.
     A task's memory follows its longest text.
     """
-    rows = saved(encoded(docs, vocabulary or vocabulary_path(), end_id).withColumn("tie", F.xxhash64("ids")))
-    total = (rows.agg(F.sum(F.octet_length("ids"))).first()[0] or 0) // IDS.itemsize
+    vocabulary = vocabulary or vocabulary_path()
+    kind = WordEncoder(open(vocabulary, encoding="utf-8").read()).kind
+    rows = saved(encoded(docs, vocabulary, end_id).withColumn("tie", F.xxhash64("ids")))
+    total = (rows.agg(F.sum(F.octet_length("ids"))).first()[0] or 0) // kind.itemsize
     n_files = max(1, min(MAX_FILES, -(-total // file_ids)), min(shuffle_partitions(docs.sparkSession), total // SMALL_FILE))
 
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -242,7 +254,7 @@ def write_tokens(docs: DataFrame, path: str, vocabulary: str | None = None, end_
                 if writer is None:
                     out, tie = system.open_output_stream(f"{folder}/{name}", compression=None), own.as_py()  # else pyarrow would pack it once more
                     writer = Writer(out, frame_bytes)
-                writer.add(doc_id, ids.as_buffer().to_pybytes())
+                writer.add(doc_id, np.frombuffer(ids.as_buffer(), kind).astype(IDS).tobytes())
         if writer:
             writer.close()
             out.close()
