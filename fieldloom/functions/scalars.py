@@ -134,8 +134,10 @@ def url_extension(c: Column, fallback: str) -> Column:
     return F.lower(F.when(ext != "", ext).otherwise(fallback))
 
 
-def slug(c: Column) -> Column:
-    return F.trim(F.regexp_replace(F.trim(c), r"[^A-Za-z0-9_.-]+", "_"), F.lit("_"))
+def slug(c: Column, prefix: str = "") -> Column:
+    """A text as a name for files, with a prefix; of a text without usable characters the prefix is left."""
+    own = F.trim(F.regexp_replace(F.trim(c), r"[^A-Za-z0-9_.-]+", "_"), F.lit("_"))
+    return F.concat(F.lit(prefix), own) if prefix else own
 
 
 def clean_label(c: Column) -> Column:
@@ -148,10 +150,22 @@ def month_in_window(month: Column, start: Column, end: Column) -> Column:
     return F.when(start <= end, month.between(start, end)).otherwise((month >= start) | (month <= end))
 
 
-def expected_window(ts: Column, days: int) -> Column:
-    """struct(first, last): from the day's start some days before to the day's last hour."""
+def expected_window(ts: Column, days: int, tz: str | None = None) -> Column:
+    """struct(first, last): from the day's start some days before to the day's last hour.
+
+    In a zone these are whole days of 24 hours before and 23 after the instant at which the day begins there, as clock times.
+    """
     day = F.date_trunc("day", ts)
-    return F.struct((day - F.expr(f"INTERVAL {days} DAYS")).alias("first"), (day + F.expr("INTERVAL 23 HOURS")).alias("last"))
+    if tz is None:
+        return F.struct((day - F.expr(f"INTERVAL {days} DAYS")).alias("first"), (day + F.expr("INTERVAL 23 HOURS")).alias("last"))
+    utc = window_hours(ts, days, tz)
+    return F.struct(F.from_utc_timestamp(utc["first"], tz).alias("first"), F.from_utc_timestamp(utc["last"], tz).alias("last"))
+
+
+def window_hours(ts: Column, days: int, tz: str) -> Column:
+    """struct(first, last) in UTC: the hours of a clock time's window in a zone, 24 * (days + 1) of them."""
+    day = to_instant(F.date_trunc("day", F.from_utc_timestamp(to_instant(ts, tz), tz)), tz)
+    return F.struct((day - F.expr(f"INTERVAL {24 * days} HOURS")).alias("first"), (day + F.expr("INTERVAL 23 HOURS")).alias("last"))
 
 
 def hour_series(first: Column, last: Column) -> Column:

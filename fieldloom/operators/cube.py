@@ -5,15 +5,53 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.scalars import coded
+from ..functions.scalars import coded, hour_series, window_hours
 
 
-def sample_cube(points: DataFrame, cube: DataFrame, res: float, key: str) -> DataFrame:
-    """Values of the nearest node of a regular lattice at each point's hour."""
-    node = lambda c: F.floor(F.col(c) / res + 0.5)
-    p = points.withColumn("ix", node("x")).withColumn("iy", node("y")).withColumn("hour", F.date_trunc("hour", "ts"))
-    c = cube.select("var", node("x").alias("ix"), node("y").alias("iy"), F.date_trunc("hour", "ts").alias("hour"), "value")
-    return p.join(c, ["ix", "iy", "hour"], "left").select(key, "hour", "var", "value")
+#: Nodes of an axis, at most; axes are broadcast as arrays.
+MAX_AXIS = 1 << 20
+
+
+def axes_of(cube: DataFrame) -> DataFrame:
+    """One row (xs, ys): the sorted coordinates of a cube's nodes."""
+    sized = lambda c: F.when(F.size(c) <= MAX_AXIS, c).otherwise(F.raise_error(F.lit("an axis has too many nodes")))
+    out = cube.agg(*[F.sort_array(F.collect_set(c)).alias(f"{c}s") for c in "xy"])
+    return out.select(*[sized(F.col(c)).alias(c) for c in ("xs", "ys")])
+
+
+def nearest(axis: Column, v: Column) -> Column:
+    """The value of a sorted array that is nearest, by binary search; of two as near, the larger one."""
+    n = F.size(axis)
+    half = lambda s: F.shiftright(s["low"] + s["high"], 1)
+    narrowed = lambda s, _: F.when(s["low"] >= s["high"], s).when(F.try_element_at(axis, half(s)) < v, F.struct((half(s) + 1).alias("low"), s["high"].alias("high"))).otherwise(F.struct(s["low"].alias("low"), half(s).alias("high")))
+    steps = F.sequence(F.lit(1), F.ceil(F.log2(n + 1)).cast("int"))
+    first = F.aggregate(steps, F.struct(F.lit(1).alias("low"), (n + 1).alias("high")), narrowed)["low"]
+    below, above = F.try_element_at(axis, F.greatest(first - 1, F.lit(1))), F.try_element_at(axis, F.greatest(F.least(first, n), F.lit(1)))
+    return F.when((n > 0) & v.isNotNull() & ~F.isnan(v), F.when(v - below < above - v, below).otherwise(above))
+
+
+def sample_cube(points: DataFrame, cube: DataFrame, key: str, variables: list[str], days: int, tz: str, margin: float = 500.0, axes: DataFrame | None = None) -> DataFrame:
+    """(key, var, hour, local, value, inside): each variable at the nearest node for every hour of each point's window.
+
+    ``points``: key, x, y and ts, the local clock time in ``tz``; the window has the day of ts and ``days`` times 24 hours
+    before. ``cube``: var, x, y, ts (UTC), value on any sorted axes, one row a node and hour. ``axes`` is the row of axes_of(), if
+    it is known. A point over ``margin`` outside the axes is not inside and has no values; hours that the cube
+    lacks have none either. Only the hours between the first and the last window are read of the cube.
+    """
+    near_axis = lambda c: F.col(c).between(F.try_element_at(f"{c}s", F.lit(1)) - margin, F.try_element_at(f"{c}s", F.lit(-1)) + margin)
+    inside = F.coalesce(near_axis("x") & near_axis("y"), F.lit(False))
+    window = points.select(key, "x", "y", window_hours(F.col("ts"), days, tz).alias("w"))
+    first, last = window.agg(F.min("w.first"), F.max("w.last")).first()
+    own = window.crossJoin(F.broadcast(axes_of(cube) if axes is None else axes)).withColumn("inside", inside)  # one row
+    nodes = own.select(key, "inside", "w", *[F.when(F.col("inside"), nearest(F.col(f"{c}s"), F.col(c).cast("double"))).alias(f"n{c}") for c in "xy"])
+    asked = nodes.select(key, "inside", "nx", "ny", F.explode(hour_series(F.col("w.first"), F.col("w.last"))).alias("hour"))
+    asked = asked.withColumn("var", F.explode(F.array(*[F.lit(v) for v in variables])))
+    read = cube.where(F.col("var").isin(variables))
+    if first is not None:
+        read = read.where(F.col("ts").between(F.lit(first), F.lit(last)))
+    read = read.select("var", F.col("x").alias("nx"), F.col("y").alias("ny"), F.col("ts").alias("hour"), "value")
+    out = asked.join(read, ["var", "nx", "ny", "hour"], "left")
+    return out.select(key, "var", "hour", F.from_utc_timestamp("hour", tz).alias("local"), "value", "inside")
 
 
 def interpolated(ordered: Column, p: float) -> Column:

@@ -86,20 +86,39 @@ def matrix_summary(matrix: DataFrame, cell: str, cls: str, value: str = "value",
     return majority(totals, cell, cls, "total", threshold).join(n, cell)
 
 
-def wide_matrix(ix: DataFrame, cell: str, cls: str, code: str, status: str, area: str, cell_area: float, classes: list[str], codes: list[str], threshold: int = 200) -> DataFrame:
+def wide_matrix(ix: DataFrame, cell: str, cls: str, code: str, status: str, area: str, cell_area: float, classes: list[str], codes: list[str], threshold: int = 200, statuses: list[str] = [], allowed: tuple[str, ...] = ("A", "B", "C")) -> DataFrame:
     """The whole matrix, one row per cell: a column for each class and each code, how many of each are above 0,
     the majority class with its status, the second value, the difference, and whether it is within the threshold.
 
     Values are hundredths of a percent by class (or code) and status, added up; ``classes`` and ``codes`` name
-    the columns. The status is the one with the largest value in the majority class, ties to the better one.
+    the columns, and with ``statuses`` each has one <name>_<status> for each of these too. The status is the allowed one
+    with the largest value in the majority class, ties to the first; null if none of these has a value.
+    Areas are added up once and then dealt by cell; all that follows needs no further shuffle.
     """
-    by_class, by_code = (status_matrix(ix, cell, c, status, area, cell_area) for c in (cls, code))
-    summary = matrix_summary(by_class, cell, cls, threshold=threshold)
-    best = by_class.join(summary.select(cell, F.col("majority").alias(cls)), [cell, cls]).where("value > 0")
-    best = dedupe(best, [cell], [F.desc("value"), F.desc(rank_of(F.col(status))), F.asc(status)]).select(cell, F.col(status).alias("majority_status"))
-    wide = [pivot_share(m, cell, c, "value", names) for m, c, names in ((by_class, cls, classes), (by_code, code, codes))]
-    n_codes = by_code.where("value > 0").groupBy(cell).agg(F.count_distinct(code).alias("n_codes"))
-    return summary.join(n_codes, cell, "left").join(best, cell, "left").join(wide[0], cell).join(wide[1], cell, "left").na.fill(0, [*codes, "n_codes"])
+    known = ix.where(F.col(status).isNotNull())
+    sums = known.groupBy(cell, cls, code, status).agg(F.sum(area).alias("_area")).repartition(cell)
+
+    def side(name: str) -> DataFrame:
+        """(cell, _e, _s): the names with a value in the cell, largest first, and the values of names and statuses."""
+        values = sums.where(F.col(name).isNotNull()).groupBy(cell, name, status).agg(centi_percent(F.sum("_area"), cell_area).alias("_v"))
+        good = F.col(status).isin(*allowed) & (F.col("_v") > 0)
+        totals = values.groupBy(cell, name).agg(
+            F.sum("_v").alias("_t"), F.min(F.when(good, F.struct((-F.col("_v")).alias("v"), F.col(status).alias("s")))).alias("_b"), F.map_from_entries(F.collect_list(F.struct(status, "_v"))).alias("_m")
+        ).where("_t > 0")
+        entry = F.struct((-F.col("_t")).alias("t"), F.col(name).alias("n"), F.col("_b.s").alias("s"), F.col("_m").alias("m"))
+        keyed = F.map_from_entries(F.collect_list(F.struct(F.col(name), F.struct((-entry["t"]).alias("t"), entry["m"].alias("m")))))
+        order = F.sort_array(F.collect_list(F.struct(entry["t"].alias("t"), entry["n"].alias("n"), entry["s"].alias("s"))))
+        return totals.groupBy(cell).agg(order.alias(f"_{name}"), keyed.alias(f"_{name}_of"))
+
+    out = side(cls).join(side(code), cell, "left")
+    first, second = (F.get(f"_{cls}", i) for i in (0, 1))
+    summary = {"majority": first["n"], "majority_value": -first["t"], "second": second["n"], "second_value": F.coalesce(-second["t"], F.lit(0))}
+    out = out.withColumns(summary | {"n_classes": F.size(f"_{cls}").cast("long"), "n_codes": F.coalesce(F.size(F.col(f"_{code}")).cast("long"), F.lit(0)), "majority_status": first["s"]})
+    out = out.withColumn("delta", F.col("majority_value") - F.col("second_value")).withColumn("disputed", F.col("delta") <= threshold)
+    value = lambda c, n: F.coalesce(F.try_element_at(f"_{c}_of", F.lit(n))["t"], F.lit(0)).alias(n)
+    part = lambda c, n, s: F.coalesce(F.try_element_at(F.try_element_at(f"_{c}_of", F.lit(n))["m"], F.lit(s)), F.lit(0)).alias(f"{n}_{s}")
+    wide = [value(c, n) for c, names in ((cls, classes), (code, codes)) for n in names] + [part(c, n, s) for c, names in ((cls, classes), (code, codes)) for n in names for s in statuses]
+    return out.select(cell, *summary, "delta", "disputed", "n_classes", "n_codes", "majority_status", *wide)
 
 
 def coarsen(cells: DataFrame, x: str, y: str, cls: str, resolutions: list[int], modes: list[str] = []) -> DataFrame:
@@ -186,28 +205,37 @@ def flag_correction(df: DataFrame, delta: str, flag: str, threshold: float) -> D
     return df.agg(F.count_if(F.col(flag)).alias("old_true"), F.count_if(new).alias("new_true"), F.count_if(new != F.col(flag)).alias("changed"))
 
 
-def matrix_rules(limit: int, threshold: int, wide: bool) -> dict:
-    """Counters of validate_matrix() and what breaks each rule."""
-    rules = {
-        "value_above_limit": F.col("majority_value") > limit,
-        "delta_above_limit": F.col("delta") > limit,
-        "disputed_mismatch": F.col("disputed") != (F.col("delta") <= threshold),
-        "delta_mismatch": F.col("delta") != F.col("majority_value") - F.col("second_value"),
-        "second_above_majority": F.col("second_value") > F.col("majority_value"),
-        "no_classes": F.col("n_classes") < 1,
+def matrix_rules(classes: list[str], codes: dict[str, list[str]], limit: int, threshold: int) -> dict:
+    """What breaks each rule of validate_matrix(). Columns that are null count as 0, and stored numbers that are null as wrong."""
+    values = [F.coalesce(F.col(c), F.lit(0)).cast("double") for c in classes]
+    ordered = F.sort_array(F.array(*values, *[F.lit(0.0)] * (len(values) < 2)), asc=False)
+    above = lambda columns: F.exists(F.array(*[F.coalesce(F.col(c), F.lit(0)) for c in columns]), lambda v: v > 0).cast("int")
+    stored, delta = lambda c: F.coalesce(F.col(c), F.lit(-1)), F.coalesce(F.col("delta"), F.lit(0))
+    return {
+        "value_above_limit": ordered[0] > limit,
+        "delta_above_limit": delta > limit,
+        "disputed_mismatch": (delta <= threshold) != F.coalesce(F.col("disputed"), F.lit(False)),
+        "n_classes_mismatch": sum((above([c]) for c in classes), F.lit(0)) != stored("n_classes"),
+        "n_codes_mismatch": sum((above(columns) for columns in codes.values()), F.lit(0)) != stored("n_codes"),
+        "majority_mismatch": stored("majority_value") != F.rint(ordered[0]),
+        "second_mismatch": stored("second_value") != F.rint(ordered[1]),
+        "delta_mismatch": stored("delta") != F.rint(ordered[0] - ordered[1]),
     }
-    return rules | ({"no_codes": F.col("n_codes") < 1, "no_status": F.col("majority_status").isNull()} if wide else {})
 
 
-def validate_matrix(df: DataFrame, limit: int = 10000, threshold: int = 200) -> DataFrame:
-    """Counts of rows that break a rule of the matrix; of wide_matrix() also those without a code or a status."""
-    rules = matrix_rules(limit, threshold, "n_codes" in df.columns)
-    return df.agg(F.count("*").alias("n_rows"), *[F.count_if(c).alias(k) for k, c in rules.items()])
+def validate_matrix(df: DataFrame, classes: list[str], codes: dict[str, list[str]], limit: int = 10000, threshold: int = 200) -> DataFrame:
+    """One row: how many rows of a stored matrix break each rule, and how many rules are broken in all.
+
+    What is stored is compared with what its class columns and, for each code, the columns of its statuses say.
+    """
+    rules = matrix_rules(classes, codes, limit, threshold)
+    out = df.agg(F.count("*").alias("n_rows"), *[F.count_if(c).alias(k) for k, c in rules.items()])
+    return out.withColumn("issues_total", sum((F.col(k) for k in rules), F.lit(0)))
 
 
-def matrix_examples(df: DataFrame, cell: str, n: int, limit: int = 10000, threshold: int = 200) -> DataFrame:
+def matrix_examples(df: DataFrame, cell: str, n: int, classes: list[str], codes: dict[str, list[str]], limit: int = 10000, threshold: int = 200) -> DataFrame:
     """(rule, cell): the first ``n`` cells that break each rule of validate_matrix()."""
-    rules = matrix_rules(limit, threshold, "n_codes" in df.columns)
+    rules = matrix_rules(classes, codes, limit, threshold)
     broken = df.select(cell, F.explode(F.array_compact(F.array(*[F.when(c, F.lit(k)) for k, c in rules.items()]))).alias("rule"))
     return sample_examples(broken, "rule", cell, n)
 

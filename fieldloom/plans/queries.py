@@ -110,13 +110,6 @@ def matrix_summary(spark, sf_dir):
     return landcover.matrix_summary(matrix_of(spark, sf_dir), "grid_id", "formation")
 
 
-@query(MATRIX + """SELECT count(*) AS n_rows, count(*) FILTER (WHERE majority_value > 10000) AS value_above_limit, count(*) FILTER (WHERE delta > 10000) AS delta_above_limit,
-    count(*) FILTER (WHERE disputed <> (delta <= 200)) AS disputed_mismatch, count(*) FILTER (WHERE delta <> majority_value - second_value) AS delta_mismatch,
-    count(*) FILTER (WHERE second_value > majority_value) AS second_above_majority, count(*) FILTER (WHERE n_classes < 1) AS no_classes FROM mm""", "ix")
-def validate_matrix(spark, sf_dir):
-    return landcover.validate_matrix(landcover.matrix_summary(matrix_of(spark, sf_dir), "grid_id", "formation"))
-
-
 @query(MATRIX + "SELECT count(*) FILTER (WHERE disputed) AS old_true, count(*) FILTER (WHERE delta <= 500) AS new_true, count(*) FILTER (WHERE disputed <> (delta <= 500)) AS changed FROM mm", "ix")
 def flag_correction(spark, sf_dir):
     return landcover.flag_correction(landcover.matrix_summary(matrix_of(spark, sf_dir), "grid_id", "formation"), "delta", "disputed", 500)
@@ -339,12 +332,15 @@ def monthly_quantiles(spark, sf_dir):
     return cube.monthly_quantiles(view(spark, sf_dir, "cube"), [0.1, 0.5, 0.9], 100, -9999)
 
 
-@query("""+ c AS (SELECT var, x, y, date_trunc('hour', ts) AS hour, round(sum(value), 3) AS value FROM cube GROUP BY ALL), p AS (SELECT event_id, user_id % 5 AS px, user_id % 3 AS py, date_trunc('hour', ts) AS hour FROM events)
-    SELECT event_id, p.hour, var, value FROM p LEFT JOIN c ON c.x = px AND c.y = py AND c.hour = p.hour""", "cube")
+@query("""+ p AS (SELECT *, TIMESTAMP '2024-01-03' + to_days(CAST(day AS INT)) - INTERVAL 1 HOUR AS midnight FROM visits), xs AS (SELECT DISTINCT x AS nx FROM weather), ys AS (SELECT DISTINCT y AS ny FROM weather),
+    n AS (SELECT id, midnight, nx, ny, (x BETWEEN (SELECT min(nx) - 500 FROM xs) AND (SELECT max(nx) + 500 FROM xs)) AND (y BETWEEN (SELECT min(ny) - 500 FROM ys) AND (SELECT max(ny) + 500 FROM ys)) AS inside
+          FROM p JOIN xs ON TRUE JOIN ys ON TRUE QUALIFY row_number() OVER (PARTITION BY id ORDER BY abs(nx - x), nx DESC, abs(ny - y), ny DESC) = 1),
+    h AS (SELECT id, inside, nx, ny, unnest(generate_series(midnight - INTERVAL 24 HOUR, midnight + INTERVAL 23 HOUR, INTERVAL 1 HOUR)) AS hour FROM n), a AS (SELECT h.*, var FROM h CROSS JOIN (SELECT unnest(['click', 'view', 'absent']) AS var) AS v)
+    SELECT id, a.var, hour, hour + INTERVAL 1 HOUR AS local, CASE WHEN inside THEN value END AS value, inside FROM a LEFT JOIN weather w ON w.var = a.var AND w.x = nx AND w.y = ny AND w.ts = hour""", "weather", "visits")
 def sample_cube(spark, sf_dir):
-    nodes = view(spark, sf_dir, "cube").groupBy("var", "x", "y", F.date_trunc("hour", "ts").alias("ts")).agg(F.round(F.sum("value"), 3).alias("value"))
-    points = spark.read.parquet(f"{sf_dir}/events.parquet").select("event_id", (F.col("user_id") % 5 + 0.3).alias("x"), (F.col("user_id") % 3 - 0.2).alias("y"), "ts")
-    return cube.sample_cube(points, nodes, 1.0, "event_id")
+    visits = view(spark, sf_dir, "visits")
+    ts = F.lit("2024-01-03").cast("timestamp") + F.make_interval(days=F.col("day"), mins=F.col("minute"))
+    return cube.sample_cube(visits.select("id", "x", "y", ts.alias("ts")), view(spark, sf_dir, "weather"), "id", ["click", "view", "absent"], 1, "Europe/Berlin")
 
 
 @query("""+ v AS (SELECT *, CASE WHEN value <> -9999 THEN value END AS v FROM pixels),
@@ -790,8 +786,8 @@ CODES = ["Brand#11", "Brand#22", "Brand#33", "Brand#44", "Brand#55"]
 
 def wide_of(spark, sf_dir):
     ix = view(spark, sf_dir, "ix").withColumn("kind", F.split("formation", " ")[0])
-    out = landcover.wide_matrix(ix, "grid_id", "kind", "code", "status", "area", CELL_AREA, KINDS, CODES)
-    return out.withColumnsRenamed({c: c.lower().replace("#", "_") for c in [*KINDS, *CODES]})
+    out = landcover.wide_matrix(ix, "grid_id", "kind", "code", "status", "area", CELL_AREA, KINDS, CODES, statuses=["A", "B", "C", "K"])
+    return out.withColumnsRenamed({c: c.lower().replace("#", "_") for c in out.columns})
 
 
 KINDS = ["ECONOMY", "LARGE", "MEDIUM", "PROMO", "SMALL", "STANDARD"]
@@ -801,9 +797,9 @@ WIDE = """+ x AS (SELECT *, split_part(formation, ' ', 1) AS kind FROM ix), mk A
     sk AS (SELECT grid_id, max(kind) FILTER (WHERE rn = 1) AS majority, CAST(max(total) FILTER (WHERE rn = 1) AS BIGINT) AS majority_value, max(kind) FILTER (WHERE rn = 2) AS second,
            CAST(coalesce(max(total) FILTER (WHERE rn = 2), 0) AS BIGINT) AS second_value, count(*) AS n_classes FROM rk GROUP BY grid_id),
     ck AS (SELECT grid_id, count(DISTINCT code) AS n_codes FROM mc WHERE value > 0 GROUP BY grid_id),
-    bs AS (SELECT mk.grid_id, mk.status AS majority_status FROM mk JOIN sk ON mk.grid_id = sk.grid_id AND mk.kind = sk.majority WHERE value > 0 QUALIFY row_number() OVER (PARTITION BY mk.grid_id ORDER BY value DESC, mk.status) = 1),
-    pk AS (SELECT grid_id, """ + ", ".join(f"CAST(coalesce(sum(value) FILTER (WHERE kind = '{k}'), 0) AS BIGINT) AS {k.lower()}" for k in KINDS) + """ FROM mk GROUP BY grid_id),
-    pc AS (SELECT grid_id, """ + ", ".join(f"CAST(coalesce(sum(value) FILTER (WHERE code = '{k}'), 0) AS BIGINT) AS {k.lower().replace('#', '_')}" for k in CODES) + """ FROM mc GROUP BY grid_id),
+    bs AS (SELECT mk.grid_id, mk.status AS majority_status FROM mk JOIN sk ON mk.grid_id = sk.grid_id AND mk.kind = sk.majority WHERE value > 0 AND status IN ('A', 'B', 'C') QUALIFY row_number() OVER (PARTITION BY mk.grid_id ORDER BY value DESC, mk.status) = 1),
+    pk AS (SELECT grid_id, """ + ", ".join(f"CAST(coalesce(sum(value) FILTER (WHERE kind = '{k}'), 0) AS BIGINT) AS {k.lower()}" for k in KINDS) + ", " + ", ".join(f"CAST(coalesce(sum(value) FILTER (WHERE kind = '{k}' AND status = '{t}'), 0) AS INT) AS {k.lower()}_{t.lower()}" for k in KINDS for t in STATUSES) + """ FROM mk GROUP BY grid_id),
+    pc AS (SELECT grid_id, """ + ", ".join(f"CAST(coalesce(sum(value) FILTER (WHERE code = '{k}'), 0) AS BIGINT) AS {k.lower().replace('#', '_')}" for k in CODES) + ", " + ", ".join(f"CAST(coalesce(sum(value) FILTER (WHERE code = '{k}' AND status = '{t}'), 0) AS INT) AS {k.lower().replace('#', '_')}_{t.lower()}" for k in CODES for t in STATUSES) + """ FROM mc GROUP BY grid_id),
     wide AS (SELECT sk.*, majority_value - second_value AS delta, majority_value - second_value <= 200 AS disputed, coalesce(n_codes, 0) AS n_codes, majority_status, pk.* EXCLUDE (grid_id), pc.* EXCLUDE (grid_id)
              FROM sk LEFT JOIN ck USING (grid_id) LEFT JOIN bs USING (grid_id) JOIN pk USING (grid_id) LEFT JOIN pc USING (grid_id)) """
 
@@ -813,15 +809,48 @@ def wide_matrix(spark, sf_dir):
     return wide_of(spark, sf_dir)
 
 
-@query(WIDE + "SELECT count(*) AS n_rows, max(majority_value) AS max_value, count(*) FILTER (WHERE disputed) AS flag_true, CAST(0 AS BIGINT) AS flag_errors, CAST(0 AS BIGINT) AS count_errors, CAST(0 AS BIGINT) AS delta_errors FROM wide", "ix")
+#: Columns of a stored matrix in which some cells are broken, by a number from the cell's id.
+BREAKS = {"economy": "CASE WHEN k = 1 THEN 10001 ELSE economy END", "delta": "CASE WHEN k = 2 THEN 10500 WHEN k = 3 THEN delta + 1 WHEN k = 4 THEN NULL ELSE delta END", "disputed": "CASE WHEN k = 5 THEN NOT disputed WHEN k = 6 THEN NULL ELSE disputed END",
+          "n_classes": "CASE WHEN k = 7 THEN n_classes + 1 ELSE n_classes END", "n_codes": "CASE WHEN k = 8 THEN n_codes - 1 ELSE n_codes END", "majority_value": "CASE WHEN k = 9 THEN majority_value + 5 ELSE majority_value END", "second_value": "CASE WHEN k = 10 THEN NULL ELSE second_value END"}
+CODE_COLUMNS = {c: [f"{c.lower().replace('#', '_')}_{t.lower()}" for t in STATUSES] for c in CODES}
+
+
+def codes_above() -> str:
+    return " + ".join("CAST(" + " OR ".join(f"{c} > 0" for c in columns) + " AS INT)" for columns in CODE_COLUMNS.values())
+
+
+# n_codes of the matrix counts all codes; the stored one has those of its columns
+STORED = WIDE + ", listed AS (SELECT * REPLACE (CAST(" + codes_above() + " AS BIGINT) AS n_codes), CAST(regexp_extract(grid_id, 'N(\\d+)', 1) AS BIGINT) * 7 + CAST(regexp_extract(grid_id, 'E(\\d+)', 1) AS BIGINT) AS id FROM (SELECT sk.grid_id, wide.* EXCLUDE (grid_id) FROM sk JOIN wide USING (grid_id))), " + (
+    "st AS (SELECT * REPLACE (" + ", ".join(f"{v} AS {c}" for c, v in BREAKS.items()) + ") FROM (SELECT *, id % 23 AS k FROM listed)), "
+    "li AS (SELECT *, list_reverse_sort([" + ", ".join(f"coalesce({k.lower()}, 0)" for k in KINDS) + "]) AS o, " + " + ".join(f"CAST(coalesce({k.lower()}, 0) > 0 AS INT)" for k in KINDS) + " AS ec, " + codes_above() + " AS ek FROM st), "
+    """br AS (SELECT grid_id, economy, disputed, o, o[1] > 10000 AS value_above_limit, coalesce(delta, 0) > 10000 AS delta_above_limit, (coalesce(delta, 0) <= 200) <> coalesce(disputed, FALSE) AS disputed_mismatch,
+    ec <> coalesce(n_classes, -1) AS n_classes_mismatch, ek <> coalesce(n_codes, -1) AS n_codes_mismatch, coalesce(majority_value, -1) <> o[1] AS majority_mismatch,
+    coalesce(second_value, -1) <> o[2] AS second_mismatch, coalesce(delta, -1) <> o[1] - o[2] AS delta_mismatch, disputed <> (delta <= 200) AS flag_error, n_classes <> ec AS count_error, delta <> o[1] - o[2] AS delta_error FROM li) """)
+RULES = ["value_above_limit", "delta_above_limit", "disputed_mismatch", "n_classes_mismatch", "n_codes_mismatch", "majority_mismatch", "second_mismatch", "delta_mismatch"]
+
+
+def stored_of(spark, sf_dir):
+    """The matrix as a table that has been written by others: some cells are broken."""
+    out = wide_of(spark, sf_dir)
+    listed = sum((F.greatest(*columns) > 0).cast("int") for columns in CODE_COLUMNS.values())
+    part = lambda x: F.regexp_extract("grid_id", x + r"(\d+)", 1).cast("long")
+    out = out.withColumn("n_codes", listed.cast("long")).withColumn("k", (part("N") * 7 + part("E")) % 23)
+    return out.withColumns({c: F.expr(v) for c, v in BREAKS.items()})
+
+
+@query(STORED + "SELECT count(*) AS n_rows, " + ", ".join(f"count(*) FILTER (WHERE {r}) AS {r}" for r in RULES) + ", " + " + ".join(f"count(*) FILTER (WHERE {r})" for r in RULES) + " AS issues_total FROM br", "ix")
+def validate_matrix(spark, sf_dir):
+    return landcover.validate_matrix(stored_of(spark, sf_dir), [k.lower() for k in KINDS], CODE_COLUMNS)
+
+
+@query(STORED + "SELECT count(*) AS n_rows, CAST(max(o[1]) AS BIGINT) AS max_value, count(*) FILTER (WHERE disputed) AS flag_true, count(*) FILTER (WHERE flag_error) AS flag_errors, count(*) FILTER (WHERE count_error) AS count_errors, count(*) FILTER (WHERE delta_error) AS delta_errors FROM br", "ix")
 def matrix_stats(spark, sf_dir):
-    return landcover.matrix_stats(wide_of(spark, sf_dir), [k.lower() for k in KINDS])
+    return landcover.matrix_stats(stored_of(spark, sf_dir), [k.lower() for k in KINDS])
 
 
-@query(WIDE + """, b AS (SELECT 'value_above_limit' AS rule, grid_id FROM wide WHERE majority_value > 2000 UNION ALL SELECT 'delta_above_limit', grid_id FROM wide WHERE delta > 2000)
-    SELECT rule, grid_id FROM b QUALIFY row_number() OVER (PARTITION BY rule ORDER BY grid_id) <= 5""", "ix")
+@query(STORED + ", b AS (" + " UNION ALL ".join(f"SELECT '{r}' AS rule, grid_id FROM br WHERE {r}" for r in RULES) + ") SELECT rule, grid_id FROM b QUALIFY row_number() OVER (PARTITION BY rule ORDER BY grid_id) <= 5", "ix")
 def matrix_examples(spark, sf_dir):
-    return landcover.matrix_examples(wide_of(spark, sf_dir), "grid_id", 5, limit=2000).select("rule", "grid_id")
+    return landcover.matrix_examples(stored_of(spark, sf_dir), "grid_id", 5, [k.lower() for k in KINDS], CODE_COLUMNS).select("rule", "grid_id")
 
 
 @query(WIDE + ", g AS (SELECT DISTINCT grid_id, n, e FROM ix) SELECT grid_id, majority, delta, e * 100 AS x0, n * 100 AS y0, e * 100 + 50.0::DOUBLE AS cx, n * 100 + 50.0::DOUBLE AS cy FROM g JOIN wide USING (grid_id)", "ix")

@@ -5,8 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 VIEWS = {
-    "ix": """SELECT '100mN' || CAST(l_suppkey % 40 AS STRING) || 'E' || CAST(l_orderkey % 50 AS STRING) AS grid_id,
-        l_suppkey % 40 AS n, l_orderkey % 50 AS e, l_partkey AS src_id, p_type AS formation, p_brand AS code,
+    "ix": """SELECT '100mN' || CAST(l_suppkey AS STRING) || 'E' || CAST(l_orderkey % 50 AS STRING) AS grid_id,
+        l_suppkey AS n, l_orderkey % 50 AS e, l_partkey AS src_id, p_type AS formation, p_brand AS code,
         CASE l_returnflag || l_linestatus WHEN 'AF' THEN 'A' WHEN 'AO' THEN 'B' WHEN 'NF' THEN 'C' WHEN 'NO' THEN 'K' WHEN 'RF' THEN 'A' END AS status,
         CAST(year(l_shipdate) AS BIGINT) AS mapping_year, l_quantity * 10 AS area
         FROM {lineitem} JOIN {part} ON l_partkey = p_partkey""",
@@ -30,6 +30,10 @@ VIEWS = {
     "pixels": """SELECT label AS file, vec_id % 4 AS band, vec_id AS "row", i AS col, CAST(CASE WHEN (vec_id + i) % 5 = 0 OR vec_id % 50 = 0 THEN -9999 ELSE (vec_id * 7 + i * 3) % 101 END AS DOUBLE) AS value
         FROM {embeddings} CROSS JOIN (SELECT 0 AS i UNION ALL SELECT 1 UNION ALL SELECT 2 UNION ALL SELECT 3 UNION ALL SELECT 4 UNION ALL SELECT 5) AS p""",
     "cube": """SELECT event_type AS var, CAST(user_id % 5 AS DOUBLE) AS x, CAST(user_id % 3 AS DOUBLE) AS y, ts, value FROM {events}""",
+    "weather": """SELECT event_type AS var, CAST((user_id % 7) * (user_id % 7) AS DOUBLE) * 1000 AS x, CAST((user_id % 5) * (user_id % 5 + 1) AS DOUBLE) * 1000 AS y,
+        date_trunc('hour', ts) AS ts, round(sum(value), 3) AS value FROM {events} GROUP BY 1, 2, 3, 4""",
+    "visits": """SELECT c_custkey AS id, CAST(c_custkey % 77 AS DOUBLE) * 500 - 1000 AS x, CAST(c_custkey % 47 AS DOUBLE) * 500 - 1000 AS y, c_custkey % 26 AS day, c_custkey * 37 % 1440 AS minute
+        FROM {customer}""",
     "series": """SELECT user_id AS id, date_trunc('hour', ts) AS ts, CASE WHEN event_id % 10 = 0 THEN NULL ELSE value END AS value FROM {events}""",
     "polys": """SELECT p_partkey AS poly, p_type AS formation, p_brand AS code, CAST(p_partkey % 97 * 37 AS DOUBLE) AS x0, CAST(p_partkey % 89 * 41 AS DOUBLE) AS y0,
         CAST(p_partkey % 97 * 37 + 20 + p_size * 7 AS DOUBLE) AS x1, CAST(p_partkey % 89 * 41 + 30 + p_size * 5 AS DOUBLE) AS y1, p_size AS mapping_year,

@@ -102,13 +102,28 @@ def align_to_schema(df: DataFrame, schema: T.StructType) -> DataFrame:
     return df.select(*own, *[c for c in df.columns if c not in schema.names])
 
 
+def hadoop_folder(spark: SparkSession, path: str):
+    """The file system of a path, and the path as Hadoop has it."""
+    root = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return root.getFileSystem(spark._jsc.hadoopConfiguration()), root
+
+
+def ended_folders(spark: SparkSession, path: str, prefix: str) -> list[int]:
+    """The numbers n of the folders <prefix><n> below a path whose write has ended."""
+    fs, root = hadoop_folder(spark, path)
+    names = [x.getPath().getName() for x in fs.listStatus(root)] if fs.exists(root) else []
+    whole = lambda n: n.startswith(prefix) and n[len(prefix) :].isdigit() and fs.exists(hadoop_folder(spark, f"{path}/{n}/_SUCCESS")[1])
+    return sorted(int(n[len(prefix) :]) for n in names if whole(n))
+
+
+def remove_folder(spark: SparkSession, path: str) -> None:
+    fs, root = hadoop_folder(spark, path)
+    fs.delete(root, True)
+
+
 def versions(spark: SparkSession, path: str) -> list[int]:
     """The whole versions v=<n> of a published table: those whose write has ended."""
-    hadoop = spark._jvm.org.apache.hadoop.fs
-    root = hadoop.Path(path)
-    fs = root.getFileSystem(spark._jsc.hadoopConfiguration())
-    names = [x.getPath().getName() for x in fs.listStatus(root)] if fs.exists(root) else []
-    return sorted(int(n[2:]) for n in names if n.startswith("v=") and fs.exists(hadoop.Path(f"{path}/{n}/_SUCCESS")))
+    return ended_folders(spark, path, "v=")
 
 
 def publish(df: DataFrame, path: str) -> int:

@@ -1,5 +1,6 @@
 import glob
 import os
+import random
 
 import duckdb
 import pandas as pd
@@ -11,7 +12,7 @@ from fieldloom.functions.geo import lonlat_to_laea, point
 from fieldloom.operators import changes, cube, inventory, landcover, master, ranking, species
 from fieldloom.plans import queries as plans
 from fieldloom.sources import tables
-from fieldloom.streaming.updates import read_upserted, stream_new_files, stream_upsert
+from fieldloom.streaming.updates import fold_batch, read_upserted, stream_new_files, stream_upsert
 
 SF = "/root/testdata/sf0.001"
 
@@ -235,25 +236,66 @@ def test_complete_year(spark):
     assert [tuple(r) for r in inventory.complete_periods(names, "name", r"^(\w+?)_(\d{4})(\d{2})").collect()] == [("tas", 2024)]
 
 
-def test_stream_matches_batch(spark, tmp_path):
-    schema = "id long, v string, t long"
-    for n, rows in enumerate([[(1, "a", 1), (2, "b", 1)], [(2, "c", 2), (3, "d", 2)], [(2, "e", 3)]]):
-        spark.createDataFrame(rows, schema).coalesce(1).write.mode("append").parquet(str(tmp_path / "in"))
-    kind = spark.createDataFrame([], schema).schema
+UPSERTS = "id int, v string, t int"
+
+
+def stream_files(spark, path, batches):
+    for rows in batches:
+        spark.createDataFrame(rows, UPSERTS).coalesce(1).write.mode("append").parquet(path)
+
+
+@pytest.mark.parametrize("seed", [1, 2])
+def test_stream_in_any_order_matches_batch(spark, tmp_path, seed):
+    rng = random.Random(seed)
+    rows = [(rng.randrange(30), rng.choice("abc"), rng.choice([None, *range(12)])) for _ in range(200)]
+    rng.shuffle(rows)
+    batches = [rows[i : i + 20] for i in range(0, 200, 20)]
+    stream_files(spark, str(tmp_path / "in"), batches)
+    kind = spark.createDataFrame([], UPSERTS).schema
+    args = (spark, str(tmp_path / "in"), kind, str(tmp_path / "out"), str(tmp_path / "c"), "id", "t", 4, str(tmp_path / "events"), ["v", "t"], 1, 3)
     for _ in range(2):  # a second call finds nothing new
-        stream_upsert(spark, str(tmp_path / "in"), kind, str(tmp_path / "out"), str(tmp_path / "c"), "id", "t", 8, str(tmp_path / "events"), ["v"])
-    got = read_upserted(spark, str(tmp_path / "out"), kind)
-    batch = ranking.dedupe(spark.read.parquet(str(tmp_path / "in")), ["id"], [F.desc("t")])
-    assert sorted(map(tuple, got.select("id", "v", "t").collect())) == sorted(map(tuple, batch.select("id", "v", "t").collect()))
-    assert spark.read.parquet(str(tmp_path / "events")).where("field = 'v'").count() >= 1
+        stream_upsert(*args)
+    got = read_upserted(spark, str(tmp_path / "out"), kind, "id", "t")
+    best = {}
+    for i, v, t in rows:
+        best[i] = max(best.get(i, (-1, "")), (-1 if t is None else t, v))
+    assert {r["id"]: (-1 if r["t"] is None else r["t"], r["v"]) for r in got.collect()} == best
+    one_id = spark.createDataFrame([(rows[0][0],)], "id int")
+    assert read_upserted(spark, str(tmp_path / "out"), kind, "id", "t", ids=one_id, buckets=4).count() == 1
+    names = os.listdir(tmp_path / "out")
+    assert sum(n.startswith("base-") for n in names) <= 2 and sum(n.startswith("delta-") for n in names) <= 6
+    # the events of all batches lead from nothing to the table
+    told = {}
+    for r in spark.read.parquet(str(tmp_path / "events")).orderBy("batch").collect():
+        assert r["field"] == "record" or told.get((r["id"], r["field"]), r["previous"]) == r["previous"]
+        told[r["id"], r["field"]] = r["current"]
+    assert {i for i, f in told if f == "record"} == set(best)
+    assert all(told[i, "t"] == str(t) for i, (t, _) in best.items() if (i, "t") in told)
+
+
+def test_late_rows_lose_and_batches_can_be_repeated(spark, tmp_path):
+    kind = spark.createDataFrame([], UPSERTS).schema
+    batches = [[(1, "new", 10), (2, "x", 1)], [(1, "old", 3)], [(2, "y", 2)], [(3, "z", 1)]]
+    fold = lambda n: fold_batch(spark.createDataFrame(batches[n], UPSERTS), n, str(tmp_path / "out"), "id", "t", 4, 2, str(tmp_path / "events"), ["v"])
+    for n in (0, 1, 1, 2, 3, 3):
+        fold(n)
+    state = lambda before=None: sorted(map(tuple, read_upserted(spark, str(tmp_path / "out"), kind, "id", "t", before).collect()))
+    assert state() == [(1, "new", 10), (2, "y", 2), (3, "z", 1)] and state(3) == [(1, "new", 10), (2, "y", 2)]
+    events = spark.read.parquet(str(tmp_path / "events"))
+    assert sorted((r["id"], r["field"], r["current"]) for r in events.collect()) == [(1, "record", "added"), (2, "record", "added"), (2, "v", "y"), (3, "record", "added")]
 
 
 def test_new_files_come_once(spark, tmp_path):
     (tmp_path / "in").mkdir()
-    for name in ("a.wav", "b.wav", "c.txt"):
-        (tmp_path / "in" / name).write_text("x")
-        stream_new_files(spark, str(tmp_path / "in"), "*.wav", str(tmp_path / "out"), str(tmp_path / "c"))
-    assert sorted(r["path"][-5:] for r in spark.read.parquet(str(tmp_path / "out")).collect()) == ["a.wav", "b.wav"]
+    known = None
+    for name in ("7_a.wav", "8_b.wav", "c.txt", "9_c.wav"):
+        (tmp_path / "in" / name).write_text("x" * int(name[0]) if name[0].isdigit() else "")
+        if name == "9_c.wav":
+            at = pd.Timestamp(os.stat(tmp_path / "in" / name).st_mtime_ns // 10**6 * 10**6).to_pydatetime()
+            known = spark.createDataFrame([(name, 9, at, True, 5), ("8_b.wav", 8, at, True, 6)], "name string, size_bytes long, modified timestamp, clean boolean, duration int")
+        stream_new_files(spark, str(tmp_path / "in"), "*.wav", str(tmp_path / "out"), str(tmp_path / "c"), known=known)
+    got = spark.read.option("mergeSchema", True).parquet(str(tmp_path / "out")).orderBy("name").collect()
+    assert [(r["id"], r["name"], r["size_bytes"], r["reused"], r["duration"]) for r in got] == [("7", "7_a.wav", 7, None, None), ("8", "8_b.wav", 8, None, None), ("9", "9_c.wav", 9, True, 5)]
 
 
 def test_versions_parts_and_layers(spark, tmp_path):
@@ -279,3 +321,35 @@ def test_versions_parts_and_layers(spark, tmp_path):
     (tmp_path / "j").mkdir()
     (tmp_path / "j/x.json").write_text('{"a": 1}')
     assert tables.read_json_docs(spark, str(tmp_path / "j")).first()["a"] == 1
+
+
+def test_windows_of_a_zone_and_nodes_of_any_axis(spark):
+    """Berlin has 23 hours on 2024-03-31 and 25 on 2024-10-27; windows are whole days of 24 hours before midnight there."""
+    axis = [-3.0, 0.0, 1.0, 10.0]
+    rows = [(i, v) for i, v in enumerate([-9.0, -1.5, -1.6, 0.5, 0.4999, 5.5, 99.0, 1.0, float("nan"), None])]
+    got = spark.createDataFrame(rows, "i int, v double").select("i", cube.nearest(F.array(*map(F.lit, axis)), F.col("v")).alias("x")).orderBy("i")
+    assert [r["x"] for r in got.collect()] == [-3.0, 0.0, -3.0, 1.0, 0.0, 10.0, 10.0, 1.0, None, None]
+    walls = ["2024-03-31 05:30:00", "2024-04-01 00:30:00", "2024-10-27 02:30:00", "2024-10-28 01:00:00"]
+    for wall in walls:
+        own = pd.Timestamp(wall).tz_localize("Europe/Berlin", ambiguous=True, nonexistent="shift_forward").normalize()
+        want = [(t.tz_convert("Europe/Berlin").tz_localize(None), t.tz_convert("UTC").tz_localize(None)) for t in (own - pd.Timedelta(days=2), own + pd.Timedelta(hours=23))]
+        ts = F.lit(wall).cast("timestamp")
+        local, utc = one(spark, S.expected_window(ts, 2, "Europe/Berlin")), one(spark, S.window_hours(ts, 2, "Europe/Berlin"))
+        assert [(a, b) for a, b in zip(local, utc)] == want and (utc["last"] - utc["first"]).total_seconds() == 71 * 3600
+    points = spark.createDataFrame([(1, 5.4, -8.0, pd.Timestamp("2024-03-31 05:30:00").to_pydatetime()), (2, 11.0, 0.0, pd.Timestamp("2024-03-31 05:30:00").to_pydatetime()), (3, None, 0.0, pd.Timestamp("2024-03-31 05:30:00").to_pydatetime())], "id int, x double, y double, ts timestamp")
+    hours = pd.date_range("2024-03-30 20:00", periods=30, freq="1h")
+    nodes = spark.createDataFrame([("t", x, y, h, x + i) for x in (0.0, 1.0, 10.0) for y in (0.0,) for i, h in enumerate(hours.to_pydatetime())], "var string, x double, y double, ts timestamp, value double")
+    got = cube.sample_cube(points, nodes, "id", ["t"], 0, "Europe/Berlin", margin=9.0).orderBy("id", "hour").collect()
+    assert len(got) == 72 and [r["value"] for r in got if r["id"] == 1] == [1.0 + 3 + i for i in range(24)]
+    assert {r["inside"] for r in got if r["id"] < 3} == {True} and [r["inside"] for r in got if r["id"] == 3] == [False] * 24
+    assert all(r["value"] is None for r in got if r["id"] == 3) and cube.sample_cube(points, nodes.limit(0), "id", ["t"], 0, "UTC").where("value IS NOT NULL OR inside").count() == 0
+
+
+def test_status_of_the_majority_is_an_allowed_one(spark):
+    """The largest status of cell a is K and cell b has nothing else; ties go to the first letter."""
+    ix = spark.createDataFrame([("a", "f", "1", "K", 60.0), ("a", "f", "1", "B", 20.0), ("a", "f", "2", "A", 20.0), ("a", "g", "3", "C", 30.0), ("b", "f", "1", "K", 50.0), ("c", None, "1", "A", 5.0), ("d", "f", None, "C", 7.0)], "cell string, cls string, code string, status string, area double")
+    got = {r["cell"]: r for r in landcover.wide_matrix(ix, "cell", "cls", "code", "status", "area", 100.0, ["f", "g", "h"], ["1", "2"], statuses=["A", "K"]).collect()}
+    a, b, d = got["a"], got["b"], got["d"]
+    assert set(got) == {"a", "b", "d"} and (a["majority"], a["majority_status"], a["majority_value"], a["second_value"], a["n_classes"], a["n_codes"]) == ("f", "A", 10000, 3000, 2, 3)
+    assert (b["majority_status"], b["n_codes"], d["n_codes"], d["majority_status"]) == (None, 1, 0, "C")
+    assert (a["f"], a["h"], a["f_K"], a["f_A"], a["1"], a["1_K"], a["2_K"]) == (10000, 0, 6000, 2000, 8000, 6000, 0)
