@@ -45,20 +45,73 @@ def edge_area(xa: Column, ya: Column, xb: Column, yb: Column, x0: Column, y0: Co
 
 
 def edges_of(rings: Column) -> Column:
-    """array<struct<ring,a,b>>: the edges of all rings with their ring's number."""
-    one = lambda r, i: F.zip_with(r, following(r), lambda a, b: F.struct(i.alias("ring"), a.alias("a"), b.alias("b")))
-    return F.flatten(F.transform(rings, one))
+    """array<struct<xa,ya,xb,yb,sign>>: the edges of all rings.
+
+    ``sign`` is how an edge from right to left counts in the polygon's area, whatever the direction of
+    its ring: 1 or -1, and the other way round for holes; 0 in rings without an area.
+    """
+    signed = F.transform(rings, lambda r, i: F.struct(r.alias("r"), (F.signum(ring_area(r)) * F.when(i == 0, 1.0).otherwise(-1.0)).alias("s")))
+    edge = lambda s: lambda a, b: F.struct(a["x"].alias("xa"), a["y"].alias("ya"), b["x"].alias("xb"), b["y"].alias("yb"), s.alias("sign"))
+    return F.flatten(F.transform(signed, lambda x: F.zip_with(x["r"], following(x["r"]), edge(x["s"]))))
+
+
+def side(e: Column, x: Column, y: Column) -> Column:
+    """Above 0 if a point lies left of an edge, seen along it, and 0 if it is on its line."""
+    return (e["xb"] - e["xa"]) * (y - e["ya"]) - (e["yb"] - e["ya"]) * (x - e["xa"])
+
+
+def on_edge(e: Column, x: Column, y: Column) -> Column:
+    return (side(e, x, y) == 0) & x.between(F.least(e["xa"], e["xb"]), F.greatest(e["xa"], e["xb"])) & y.between(F.least(e["ya"], e["yb"]), F.greatest(e["ya"], e["yb"]))
+
+
+def spans(e: Column, axis: str, v: Column) -> Column:
+    return (e[f"{axis}a"] > v) != (e[f"{axis}b"] > v)
+
+
+def is_above(e: Column, x: Column, y: Column) -> Column:
+    """Whether an edge that spans x runs above the point just right of x and just above y, by less than it is right."""
+    s = side(e, x, y) * F.signum(e["xb"] - e["xa"])
+    return (s < 0) | ((s == 0) & ((e["yb"] - e["ya"]) * (e["xb"] - e["xa"]) > 0))
+
+
+def crossings(edges: Column, x0: Column, y0: Column, x: Column, y: Column) -> Column:
+    """How many edges a way crosses that goes up from (x0, y0) to y and then right to x.
+
+    Its ends lie just right of and just above these points, so that edges through them count once or not at all.
+    """
+    up = lambda e: spans(e, "x", x0) & is_above(e, x0, y0) & ~is_above(e, x0, y)
+    right = lambda e: spans(e, "y", y) & (side(e, x0, y) * F.signum(e["yb"] - e["ya"]) > 0) & (side(e, x, y) * F.signum(e["yb"] - e["ya"]) <= 0)
+    return F.size(F.filter(edges, lambda e: up(e) | right(e))) + F.size(F.filter(edges, lambda e: up(e) & right(e)))
+
+
+def cuts_square(e: Column, x0: Column, y0: Column, size: Column) -> Column:
+    """Whether an edge passes through the inside of a square, not only along its border."""
+    corners = [side(e, x, y) for x in (x0, x0 + size) for y in (y0, y0 + size)]
+    beside = lambda axis, v: (F.greatest(e[f"{axis}a"], e[f"{axis}b"]) > v) & (F.least(e[f"{axis}a"], e[f"{axis}b"]) < v + size)
+    return beside("x", x0) & beside("y", y0) & (F.least(*corners) < 0) & (F.greatest(*corners) > 0)
 
 
-def contains(edges: Column, x: Column, y: Column) -> Column:
-    """Whether a point lies strictly inside a polygon of the given edges_of(): an odd number of them crosses a ray, and none holds the point.
+def area_in_square(edges: Column, inside: Column, x0: Column, y0: Column, size: Column) -> Column:
+    """A polygon's area in a square, from the edges that pass through it and whether its lower left corner is inside.
 
-    Holes are further rings, so nothing more is needed for them.
+    What lies below the parts of the edges within the square, and the whole height below the parts of its top that are inside.
     """
-    side = lambda e: (e["b"]["x"] - e["a"]["x"]) * (y - e["a"]["y"]) - (e["b"]["y"] - e["a"]["y"]) * (x - e["a"]["x"])
-    crosses = lambda e: ((e["a"]["y"] > y) != (e["b"]["y"] > y)) & ((side(e) > 0) == (e["b"]["y"] > e["a"]["y"]))
-    on_edge = lambda e: (side(e) == 0) & x.between(F.least(e["a"]["x"], e["b"]["x"]), F.greatest(e["a"]["x"], e["b"]["x"])) & y.between(F.least(e["a"]["y"], e["b"]["y"]), F.greatest(e["a"]["y"], e["b"]["y"]))
-    return (F.size(F.filter(edges, crosses)) % 2 == 1) & ~F.exists(edges, on_edge)
+    top = y0 + size
+
+    def within(e: Column) -> Column:
+        left, right = F.greatest(F.least(e["xa"], e["xb"]), x0), F.least(F.greatest(e["xa"], e["xb"]), x0 + size)
+        at = lambda x: e["ya"] + (e["yb"] - e["ya"]) * (x - e["xa"]) / F.nullif(e["xb"] - e["xa"], F.lit(0.0)) - y0
+        p, q = at(left), at(right)
+        over = F.when(p == q, (p >= size).cast("double")).otherwise((F.greatest(q - size, F.lit(0.0)) - F.greatest(p - size, F.lit(0.0))) / F.nullif(q - p, F.lit(0.0)))
+        part = area_below(p, q, right - left, size) - over * (right - left) * size
+        return F.when(right > left, part * F.signum(e["xa"] - e["xb"]) * e["sign"]).otherwise(0.0)
+
+    below = F.aggregate(F.transform(edges, within), F.lit(0.0), lambda s, v: s + v)
+    corner = (inside.cast("int") + F.size(F.filter(edges, lambda e: spans(e, "x", x0) & is_above(e, x0, y0) & ~is_above(e, x0, top)))) % 2
+    at = lambda e: e["xa"] + (e["xb"] - e["xa"]) * (top - e["ya"]) / F.nullif(e["yb"] - e["ya"], F.lit(0.0))
+    turned = lambda e: F.when((e["ya"] >= top) != (e["yb"] >= top), -F.signum(e["yb"] - e["ya"]) * e["sign"] * F.greatest(F.least(x0 + size - at(e), size), F.lit(0.0)) * (at(e) > x0).cast("double")).otherwise(0.0)
+    open_top = corner * size + F.aggregate(F.transform(edges, turned), F.lit(0.0), lambda s, v: s + v)
+    return below + size * open_top
 
 
 def usable_rings(rings: Column) -> Column:

@@ -5,8 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions.geo import contains, edge_area, edges_of, laea_to_lonlat, usable_rings
-from ..functions.scalars import centi_percent, classify_prefix, parse_grid_id, rank_of
+from ..functions.geo import laea_to_lonlat, usable_rings
+from ..functions.scalars import centi_percent, classify_prefix, parse_grid_id
 from .ranking import dedupe, rank_in, sample_examples, share_of_total
 
 
@@ -240,68 +240,8 @@ def matrix_examples(df: DataFrame, cell: str, n: int, classes: list[str], codes:
     return sample_examples(broken, "rule", cell, n)
 
 
-def edges(polygons: DataFrame, keys: list[str], rings: str) -> DataFrame:
-    """One row per edge of each polygon: ring (0 is the outer one), xa, ya, xb, yb, and the ring's lowest y."""
-    least = F.array_min(F.transform(F.flatten(rings), lambda p: p["y"]))
-    out = polygons.select(*keys, least.alias("low"), F.explode(edges_of(F.col(rings))).alias("_e"))
-    return out.select(*keys, "low", F.col("_e.ring").alias("ring"), *[F.col(f"_e.{p}.{c}").alias(f"{c}{p}") for p in "ab" for c in "xy"])
-
-
-def overlay(polygons: DataFrame, keys: list[str], rings: str, res: int) -> DataFrame:
-    """(keys, e, n, area): exact area of each polygon in each cell that it covers; ``keys`` tell polygons apart.
-
-    Each edge goes to the cells that lie below it within the polygon's extent and adds the area between
-    it and the cell's bottom; edges of the other direction count against. So it is plain arithmetic and
-    one sum by ring and cell. Holes are taken off.
-    """
-    cells = edges(polygons, keys, rings).where("xa <> xb")
-    steps = lambda a, b: F.explode(F.sequence(F.floor(a / res), F.ceil(b / res) - 1))
-    cells = cells.withColumn("e", steps(F.least("xa", "xb"), F.greatest("xa", "xb")))
-    cells = cells.withColumn("n", F.explode(F.sequence(F.floor(F.col("low") / res), F.greatest(F.ceil(F.greatest("ya", "yb") / res) - 1, F.floor(F.col("low") / res)))))
-    part = edge_area(*[F.col(c) for c in ("xa", "ya", "xb", "yb")], F.col("e") * res, F.col("n") * res, F.lit(float(res)))
-    ring_sums = cells.groupBy(*keys, "ring", "e", "n").agg(F.abs(F.sum(part)).alias("part"))
-    out = ring_sums.groupBy(*keys, "e", "n").agg(F.sum(F.when(F.col("ring") == 0, F.col("part")).otherwise(-F.col("part"))).alias("area"))
-    return out.where(F.col("area") > res * res * 1e-9)  # what rounding leaves is no area
-
-
-def micro_cells(polygons: DataFrame, keys: list[str], rings: str, res: int) -> DataFrame:
-    """(keys, e, n): cells whose centre lies in the polygon, row by row between the crossings of its edges."""
-    rows = edges(polygons, keys, rings).where("ya <> yb")
-    low, high = F.least("ya", "yb"), F.greatest("ya", "yb")
-    rows = rows.withColumn("n", F.explode(F.filter(F.sequence(F.floor(low / res) - 1, F.ceil(high / res)), lambda n: ((n + 0.5) * res >= low) & ((n + 0.5) * res < high))))
-    x = F.col("xa") + (F.col("xb") - F.col("xa")) * ((F.col("n") + 0.5) * res - F.col("ya")) / (F.col("yb") - F.col("ya"))
-    spans = rows.groupBy(*keys, "n").agg(F.sort_array(F.collect_list(x)).alias("_x"))
-    pairs = spans.select(*keys, "n", F.explode(F.expr("transform(sequence(0, size(_x) div 2 - 1), i -> struct(_x[2 * i] AS a, _x[2 * i + 1] AS b))")).alias("_p"))
-    first, last = F.ceil(F.col("_p.a") / res - 0.5), F.ceil(F.col("_p.b") / res - 0.5) - 1
-    return pairs.where(first <= last).select(*keys, F.explode(F.sequence(first, last)).alias("e"), "n")
-
-
-def assign_polygons(points: DataFrame, polygons: DataFrame, rings: str, tile: int) -> DataFrame:
-    """All polygons that hold a point strictly inside: equal tiles, then their extents, then the exact test."""
-    at = lambda f, a: f(F.transform(F.flatten(rings), lambda p: p[a]))
-    boxed = polygons.withColumns({"_x0": at(F.array_min, "x"), "_x1": at(F.array_max, "x"), "_y0": at(F.array_min, "y"), "_y1": at(F.array_max, "y"), "_edges": edges_of(F.col(rings))})
-    step = lambda a, b: F.explode(F.sequence(F.floor(F.col(a) / tile), F.floor(F.col(b) / tile)))
-    tiled = boxed.drop(rings).withColumn("_tx", step("_x0", "_x1")).withColumn("_ty", step("_y0", "_y1"))
-    keyed = points.withColumn("_tx", F.floor(F.col("x") / tile)).withColumn("_ty", F.floor(F.col("y") / tile))
-    met = keyed.join(tiled, ["_tx", "_ty"]).where("x > _x0 AND x < _x1 AND y > _y0 AND y < _y1")
-    return met.where(contains(F.col("_edges"), F.col("x"), F.col("y"))).drop("_tx", "_ty", "_x0", "_x1", "_y0", "_y1", "_edges").distinct()
-
-
 def match_summary(matches: DataFrame, key: str, columns: list[str]) -> DataFrame:
     """Per point: matches, how many values of each column, those values joined, and that it is inside."""
     joined = lambda c: F.array_join(F.sort_array(F.collect_set(F.col(c).cast("string"))), "|")
     out = matches.groupBy(key).agg(F.count("*").alias("n_matches"), *[F.count_distinct(c).alias(f"n_{c}") for c in columns], *[joined(c).alias(f"all_{c}") for c in columns])
     return out.withColumn("inside", F.lit(True))
-
-
-def resolve_overlaps(polygons: DataFrame, keys: list[str], cls: str, year: str, status: str, src: str, rings: str, res: int) -> DataFrame:
-    """(keys, area): what is left of each polygon when better ones of its class take what both cover.
-
-    The newer year wins, then the better status, then the smaller source id. Overlaps are resolved on
-    micro-cells of ``res``, so an area is exact up to its perimeter times ``res``; a polygon that loses
-    all its cells goes. ``keys`` tell polygons apart and hold the other columns.
-    """
-    cells = micro_cells(polygons, list(dict.fromkeys([*keys, cls, year, status, src])), rings, res)
-    order = F.struct(F.coalesce(F.col(year).cast("long"), F.lit(-1)).alias("y"), rank_of(F.col(status)).alias("s"), (-F.col(src)).alias("i"))
-    best = cells.groupBy(cls, "e", "n").agg(F.max_by(F.struct(*keys), order).alias("best"))
-    return best.groupBy("best").agg((F.count("*") * float(res * res)).alias("area")).select("best.*", "area")

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from ..functions import scalars as S
 from ..functions.geo import point
-from ..operators import changes, cube, inventory, landcover, master, ranking, species
+from ..operators import changes, cube, inventory, landcover, master, ranking, shapes, species
 from ..sources import tables
 from .standins import view, with_views
 
@@ -175,12 +175,12 @@ def rings_of_box():
     d AS (SELECT *, unnest(range(CAST(floor(y0 / 100) AS BIGINT), CAST(floor(y1 / 100) AS BIGINT) + 1)) AS n FROM c),
     a AS (SELECT poly, e, n, (least(x1, e * 100 + 100) - greatest(x0, e * 100)) * (least(y1, n * 100 + 100) - greatest(y0, n * 100)) AS area FROM d) SELECT * FROM a WHERE area > 0""", "polys")
 def overlay_boxes(spark, sf_dir):
-    return landcover.overlay(view(spark, sf_dir, "polys").select("poly", rings_of_box().alias("rings")), ["poly"], "rings", 100)
+    return shapes.overlay(view(spark, sf_dir, "polys").select("poly", rings_of_box().alias("rings")), ["poly"], "rings", 100)
 
 
 def matches_of(spark, sf_dir):
     polys = view(spark, sf_dir, "polys").select("poly", "formation", "code", rings_of_box().alias("rings"))
-    return landcover.assign_polygons(view(spark, sf_dir, "points"), polys, "rings", 200)
+    return shapes.assign_polygons(view(spark, sf_dir, "points"), polys, "rings", 200)
 
 
 @query("SELECT id, poly, formation FROM points JOIN polys ON x > x0 AND x < x1 AND y > y0 AND y < y1", "points", "polys")
@@ -195,15 +195,14 @@ def match_summary(spark, sf_dir):
     return landcover.match_summary(matches_of(spark, sf_dir), "id", ["formation", "code"])
 
 
-@query("""+ c AS (SELECT *, unnest(range(CAST(ceil(x0 / 20 - 0.5) AS BIGINT), CAST(ceil(x1 / 20 - 0.5) AS BIGINT))) AS e FROM polys),
-    d AS (SELECT *, unnest(range(CAST(ceil(y0 / 20 - 0.5) AS BIGINT), CAST(ceil(y1 / 20 - 0.5) AS BIGINT))) AS n FROM c),
-    w AS (SELECT formation, e, n, max(mapping_year::BIGINT * 1000000000 + (CASE status WHEN 'A' THEN 4 WHEN 'B' THEN 3 WHEN 'C' THEN 2 ELSE 1 END) * 100000000 - poly) AS best FROM d GROUP BY ALL),
-    o AS (SELECT d.poly, d.formation, d.mapping_year, count(*) AS k FROM d JOIN w ON d.formation = w.formation AND d.e = w.e AND d.n = w.n
-          AND d.mapping_year::BIGINT * 1000000000 + (CASE d.status WHEN 'A' THEN 4 WHEN 'B' THEN 3 WHEN 'C' THEN 2 ELSE 1 END) * 100000000 - d.poly = w.best GROUP BY ALL)
-    SELECT formation, mapping_year, poly, k * 400.0::DOUBLE AS area FROM o""", "polys")
+@query("""+ v AS (SELECT *, mapping_year::BIGINT * 1000000000 + (CASE status WHEN 'A' THEN 4 WHEN 'B' THEN 3 WHEN 'C' THEN 2 ELSE 1 END) * 100000000 - poly AS best FROM polys),
+    xs AS (SELECT formation, x AS xl, lead(x) OVER (PARTITION BY formation ORDER BY x) AS xr FROM (SELECT formation, x0 AS x FROM polys UNION SELECT formation, x1 FROM polys)),
+    ys AS (SELECT formation, y AS yl, lead(y) OVER (PARTITION BY formation ORDER BY y) AS yr FROM (SELECT formation, y0 AS y FROM polys UNION SELECT formation, y1 FROM polys)),
+    c AS (SELECT v.formation, xl, xr, yl, yr, max(best) AS best FROM v JOIN xs ON v.formation = xs.formation AND xl >= x0 AND xr <= x1 JOIN ys ON v.formation = ys.formation AND yl >= y0 AND yr <= y1 GROUP BY ALL)
+    SELECT v.formation, mapping_year, poly, sum((xr - xl) * (yr - yl)) AS area FROM c JOIN v ON c.formation = v.formation AND c.best = v.best GROUP BY ALL""", "polys")
 def resolve_overlaps(spark, sf_dir):
     polys = view(spark, sf_dir, "polys").select("poly", "formation", "mapping_year", "status", rings_of_box().alias("rings"))
-    return landcover.resolve_overlaps(polys, ["poly", "formation", "mapping_year"], "formation", "mapping_year", "status", "poly", "rings", 20)
+    return shapes.resolve_overlaps(polys, ["poly", "formation", "mapping_year"], "formation", "mapping_year", "status", "poly", "rings", 1)
 
 
 @query("""SELECT DISTINCT id, CAST(id AS VARCHAR) AS nid, CASE WHEN lower(sound_status) IN ('true', '1', 'yes', 'y') THEN TRUE ELSE FALSE END AS truth,

@@ -1,4 +1,6 @@
+import collections
 import glob
+import math
 import os
 import random
 
@@ -9,7 +11,7 @@ from pyspark.sql import functions as F
 
 from fieldloom.functions import scalars as S
 from fieldloom.functions.geo import lonlat_to_laea, point
-from fieldloom.operators import changes, cube, inventory, landcover, master, ranking, species
+from fieldloom.operators import changes, cube, inventory, landcover, master, ranking, shapes, species
 from fieldloom.plans import queries as plans
 from fieldloom.sources import tables
 from fieldloom.streaming.updates import fold_batch, read_upserted, stream_new_files, stream_upsert
@@ -68,28 +70,116 @@ def square(x, y, size):
 
 def test_triangle_areas_add_up(spark):
     rings = F.array(ring((10, 10), (290, 40), (120, 280)))
-    got = landcover.overlay(spark.range(1).select("id", rings.alias("rings")), ["id"], "rings", 100)
+    got = shapes.overlay(spark.range(1).select("id", rings.alias("rings")), ["id"], "rings", 100)
     assert abs(got.agg(F.sum("area")).first()[0] - abs((280 * 270 - 30 * 110) / 2)) < 1e-6
 
 
+OUTER = [(13.0, 7.0), (305.0, 61.0), (250.0, 180.0), (310.0, 330.0), (40.0, 290.0), (90.0, 150.0)]
+HOLE = [(120.0, 110.0), (220.0, 120.0), (180.0, 230.0)]
+
+
+def shoelace(p):
+    return abs(sum(x0 * y1 - x1 * y0 for (x0, y0), (x1, y1) in zip(p, p[1:] + p[:1]))) / 2
+
+
+def in_rings(rings, x, y):
+    odd = False
+    for r in rings:
+        for (xa, ya), (xb, yb) in zip(r, r[1:] + r[:1]):
+            if (ya > y) != (yb > y) and x < xa + (xb - xa) * (y - ya) / (yb - ya):
+                odd = not odd
+    return odd
+
+
+def star(rng, x, y, n, size, whole=False):
+    """A ring of n points around a place, on whole coordinates if asked, so that edges meet corners and borders of cells."""
+    angles = sorted(rng.uniform(0, 6.283) for _ in range(n))
+    at = [(x + math.cos(a) * rng.uniform(0.4, 1) * size, y + math.sin(a) * rng.uniform(0.4, 1) * size) for a in angles]
+    return [(float(round(a / 10) * 10), float(round(b / 10) * 10)) if whole else (a, b) for a, b in at]
+
+
+def is_simple(r):
+    cross = lambda o, a, b: (a[0] - o[0]) * (b[1] - o[1]) - (a[1] - o[1]) * (b[0] - o[0])
+    pairs = [(r[i], r[(i + 1) % len(r)], r[j], r[(j + 1) % len(r)]) for i in range(len(r)) for j in range(i + 2, len(r)) if (i, j) != (0, len(r) - 1)]
+    return shoelace(r) > 0 and not any(cross(a, b, p) * cross(a, b, q) <= 0 and cross(p, q, a) * cross(p, q, b) <= 0 for a, b, p, q in pairs)
+
+
+def as_rings(spark, polygons):
+    """(id, rings) of lists of rings."""
+    rows = [(i, [[{"x": x, "y": y} for x, y in r] for r in rings]) for i, rings in enumerate(polygons)]
+    return spark.createDataFrame(rows, "id long, rings array<array<struct<x:double,y:double>>>")
+
+
 def test_overlay_of_any_polygon_matches_small_cells(spark):
     """Areas by cell against the number of points of a fine lattice inside, with a hole, in either direction of the rings."""
-    outer = [(13.0, 7.0), (305.0, 61.0), (250.0, 180.0), (310.0, 330.0), (40.0, 290.0), (90.0, 150.0)]
-    hole = [(120.0, 110.0), (220.0, 120.0), (180.0, 230.0)]
-    for a, b in ((outer, hole), (outer[::-1], hole), (outer, hole[::-1])):
-        df = spark.range(1).select("id", F.array(ring(*a), ring(*b)).alias("rings"))
-        got = {(r["e"], r["n"]): r["area"] for r in landcover.overlay(df, ["id"], "rings", 100).collect()}
-        cells = landcover.micro_cells(df, ["id"], "rings", 2).groupBy(F.floor(F.col("e") / 50).alias("e"), F.floor(F.col("n") / 50).alias("n")).agg((F.count("*") * 4).alias("area")).collect()
-        assert {(r["e"], r["n"]) for r in cells} <= set(got) and all(abs(got[r["e"], r["n"]] - r["area"]) < 400 for r in cells)
-        area = lambda p: abs(sum(x0 * y1 - x1 * y0 for (x0, y0), (x1, y1) in zip(p, p[1:] + p[:1]))) / 2
-        assert abs(sum(got.values()) - area(a) + area(b)) < 1e-6
+    polygons = [[OUTER, HOLE], [OUTER[::-1], HOLE], [OUTER, HOLE[::-1]]]
+    got = shapes.overlay(as_rings(spark, polygons), ["id"], "rings", 100).collect()
+    for k, rings in enumerate(polygons):
+        cells = {(r["e"], r["n"]): r["area"] for r in got if r["id"] == k}
+        small = collections.Counter((i // 50, j // 50) for i in range(200) for j in range(200) if in_rings(rings, 2 * i + 1, 2 * j + 1))
+        assert set(small) <= set(cells) and all(abs(cells[c] - 4 * n) < 400 for c, n in small.items())
+        assert abs(sum(cells.values()) - shoelace(OUTER) + shoelace(HOLE)) < 1e-6
+
+
+def test_edges_go_to_no_more_cells_than_they_cross(spark):
+    """A high polygon with many short edges: rows of overlay() and of the tile index follow crossed and covered cells."""
+    n = 2000
+    left = [(float(i % 2), i * 10.0) for i in range(n)]
+    polygon = [[*left, (250.0, (n - 1) * 10.0), (250.0, 0.0)]]
+    df = as_rings(spark, [polygon])
+    out = shapes.overlay(df, ["id"], "rings", 100)
+    assert out.count() == 3 * 200 and abs(out.agg(F.sum("area")).first()[0] - shoelace(polygon[0])) < 1e-3
+    swept = out._jdf.queryExecution().optimizedPlan().toString()
+    assert swept.count("Generate explode") == 4  # of edges, their columns, the cells that they cross, and those between
+    index = shapes.tile_index(df, ["id"], "rings", 100.0).select("tx", "ty", F.size("edges").alias("n"), "inside").collect()
+    assert sum(r["n"] for r in index) < 2 * n and max(r["n"] for r in index) < 40 and sum(r["n"] == 0 and r["inside"] for r in index) > 150
+
+
+@pytest.mark.parametrize("seed", [1, 2])
+def test_index_areas_and_points_match_overlay_and_ray_casting(spark, seed):
+    """Stars on whole coordinates, tiles with corners on them: areas of tiles as overlay() has them, points by a ray."""
+    from fieldloom.functions.geo import area_in_square, cuts_square
+
+    rng = random.Random(seed)
+    polygons = [[OUTER, HOLE], *[[star(rng, rng.uniform(0, 200), rng.uniform(0, 200), 9, 150, k % 2 == 0)] for k in range(12)]]
+    polygons = [p for p in polygons if all(map(is_simple, p))]
+    df = as_rings(spark, polygons)
+    corner = F.col("tx") * 50.0, F.col("ty") * 50.0, F.lit(50.0)
+    index = shapes.tile_index(df, ["id"], "rings", 50.0).withColumn("edges", F.filter("edges", lambda e: cuts_square(e, *corner)))
+    areas = {(r["id"], r["tx"], r["ty"]): r["a"] for r in index.select("id", "tx", "ty", area_in_square(F.col("edges"), F.col("inside"), *corner).alias("a")).collect()}
+    want = {(r["id"], r["e"], r["n"]): r["area"] for r in shapes.overlay(df, ["id"], "rings", 50).collect()}
+    assert set(want) <= set(areas) and all(abs(a - want.get(k, 0.0)) < 1e-5 for k, a in areas.items())
+    points = [(i, rng.choice([rng.uniform(-50, 350), 50.0 * rng.randrange(6)]), rng.choice([rng.uniform(-50, 350) + 1e-3, 10.0 * rng.randrange(30)])) for i in range(400)]
+    found = {(r["id"], r["pid"]) for r in shapes.assign_polygons(spark.createDataFrame(points, "pid long, x double, y double"), df, "rings", 50, ["id"]).collect()}
+
+    def border(rings, x, y):
+        return any(min(a[0], b[0]) <= x <= max(a[0], b[0]) and min(a[1], b[1]) <= y <= max(a[1], b[1]) and abs((b[0] - a[0]) * (y - a[1]) - (b[1] - a[1]) * (x - a[0])) < 1e-9 for r in rings for a, b in zip(r, r[1:] + r[:1]))
+
+    assert found == {(k, i) for k, rings in enumerate(polygons) for i, x, y in points if in_rings(rings, x, y) and not border(rings, x, y)} and len(found) > 300
+
+
+def test_overlaps_of_any_polygons_come_near_small_cells(spark):
+    rng = random.Random(7)
+    polygons = [[r] for r in (star(rng, rng.uniform(50, 150), rng.uniform(50, 150), 8, 90, True) for _ in range(12)) if is_simple(r)][:7]
+    rows = as_rings(spark, polygons).select("id", (F.col("id") % 2).alias("cls"), (F.col("id") % 3).cast("int").alias("year"), F.lit("A").alias("status"), "rings")
+    got = {r["id"]: r["area"] for r in shapes.resolve_overlaps(rows, ["id"], "cls", "year", "status", "id", "rings", 0.5).collect()}
+    taken = collections.Counter()
+    for i in range(600):
+        for j in range(600):
+            inside = [k for k, rings in enumerate(polygons) if in_rings(rings, i / 2 - 50 + 0.26, j / 2 - 50 + 0.27)]
+            for c in (0, 1):
+                if own := [k for k in inside if k % 2 == c]:
+                    taken[max(own, key=lambda k: (k % 3, -k))] += 0.25
+    assert set(taken) - {k for k, a in taken.items() if a < 50} <= set(got) and all(abs(got.get(k, 0) - a) < 0.02 * a + 60 for k, a in taken.items())
+    alone = shapes.resolve_overlaps(rows.where("id = 3"), ["id"], "cls", "year", "status", "id", "rings", 64.0).first()["area"]
+    assert abs(alone - shoelace(polygons[3][0])) < 1e-6  # no other polygon: exact at any size
 
 
 def test_points_on_borders_and_in_holes_are_outside(spark):
     rings = F.array(square(0, 0, 100), square(40, 40, 20))
     polys = spark.range(1).select(F.lit(7).alias("poly"), rings.alias("rings"))
     points = spark.createDataFrame([(1, 10.0, 10.0), (2, 50.0, 50.0), (3, 0.0, 50.0), (4, 40.0, 50.0), (5, 100.0, 100.0), (6, 99.0, 1.0), (7, 130.0, 50.0)], "id long, x double, y double")
-    assert sorted(r["id"] for r in landcover.assign_polygons(points, polys, "rings", 30).collect()) == [1, 6]
+    assert sorted(r["id"] for r in shapes.assign_polygons(points, polys, "rings", 30).collect()) == [1, 6]
     bad = spark.range(1).select(F.array(ring((0, 0), (1, 1))).alias("rings"))
     assert landcover.drop_bad(bad, "rings").count() == 0 and landcover.drop_bad(polys, "rings").count() == 1
     parts = spark.range(1).select(F.array(F.array(square(0, 0, 1)), F.array(square(5, 5, 1))).alias("parts"))
@@ -100,7 +190,7 @@ def test_of_overlapping_polygons_only_the_overlap_goes(spark):
     rows = [(1, "f", 2020, "B", 0.0), (2, "f", 2021, "C", 50.0), (3, "f", 2021, "A", 80.0), (4, "g", 2000, "C", 0.0)]
     df = spark.createDataFrame(rows, "poly long, cls string, year int, status string, x double")
     rings = F.array(F.array(*[point(F.col("x") + dx, F.lit(dy)) for dx, dy in ((0, 0), (100, 0), (100, 100), (0, 100))]))
-    got = landcover.resolve_overlaps(df.withColumn("rings", rings), ["poly"], "cls", "year", "status", "poly", "rings", 10)
+    got = shapes.resolve_overlaps(df.withColumn("rings", rings), ["poly"], "cls", "year", "status", "poly", "rings", 10)
     assert {r["poly"]: r["area"] for r in got.collect()} == {1: 5000.0, 2: 3000.0, 3: 10000.0, 4: 10000.0}
 
 
