@@ -50,10 +50,12 @@ def with_documents(lines: DataFrame, own: DataFrame, shared: DataFrame, keys: li
 def recurring_lines(hashed: DataFrame, n_docs: int, min_docs: int = MIN_DOCS, fixed_percent: int = FIXED_PERCENT, field_percent: int = FIELD_PERCENT) -> DataFrame:
     """(line, check): two hashes of the tokens of each line whose template recurs.
 
-    Within a leaf a token is fixed at its place if ``field_percent`` of the leaf's documents have it there,
-    however many these are; all others are variable fields. A template recurs when ``fixed_percent`` of
-    its tokens are fixed and ``min_docs`` documents have a line of it. So does a line itself that
-    ``min_docs`` documents have, of whose tokens that many have no digit. Documents count once each.
+    Within a leaf a token behind the leading ones is fixed at its place if ``field_percent`` of the leaf's documents have
+    it there, however many these are; all others are variable fields. A template recurs when ``fixed_percent`` of
+    the tokens behind the leading ones are fixed, one at least, and ``min_docs`` documents have a line of it. Several
+    templates may share a leaf. So lines that are left are parted once more, by their token of the most documents that
+    is not fixed there but which ``min_docs`` have, and judged in these groups alike. A line recurs too that
+    ``min_docs`` documents have as it is, if that many of its tokens have no digit. Documents count once each.
     ``hashed``: doc_id, leaf, line, check, masked of all lines. Leaves are counted first, so that only lines
     of leaves with enough documents, as a bounded bitmap tells, shuffle with their tokens.
     """
@@ -67,19 +69,33 @@ def recurring_lines(hashed: DataFrame, n_docs: int, min_docs: int = MIN_DOCS, fi
     shared = saved(of_doc.where("size(lines) > 1").select("doc_id", "leaf", F.explode("lines").alias("line")))
     distinct = maybe_in(hashed.select("leaf", "line", "check", "masked"), cell, blocks).where("_maybe").groupBy("leaf", "line", "check").agg(F.min("masked").alias("masked"), F.count("*").alias("rows"))
     distinct = saved(distinct.join(leaves, "leaf"))
-    words = distinct.select("leaf", "line", "check", "leaf_docs", F.posexplode(F.split("masked", " ")).alias("at", "token"))
-    plain = words.where(F.col("token") != VARIABLE)
-    places = with_documents(plain.select("leaf", "line", "leaf_docs", "at", "token"), own, shared, ["leaf", "leaf_docs", "at", "token"])
-    fixed = places.where(F.col("docs") * 100 >= F.col("leaf_docs") * field_percent).select("leaf", "at", "token")
-    sizes = words.groupBy("leaf", "line", "check").agg(F.count("*").alias("n"), F.count_if(F.col("token") != VARIABLE).alias("n_plain"))
-    marked = plain.join(fixed, ["leaf", "at", "token"]).groupBy("leaf", "line", "check").agg(F.count("*").alias("n_fixed"), F.sum(F.xxhash64("at", "token").cast("decimal(38,0)")).alias("template"))
-    templates = saved(sizes.join(marked, ["leaf", "line", "check"], "left"))
-    wide = templates.where(F.col("n_fixed") * 100 >= F.col("n") * fixed_percent)
-    many = with_documents(wide.select("leaf", "line", "template"), own, shared, ["leaf", "template"]).where(F.col("docs") >= min_docs)
-    general = wide.join(many, ["leaf", "template"], "left_semi").select("line", "check")
-    often = with_documents(templates.select("leaf", "line"), own, shared, ["leaf", "line"]).where(F.col("docs") >= min_docs)
-    alone = templates.where(F.col("n_plain") * 100 >= F.col("n") * fixed_percent).join(often, ["leaf", "line"], "left_semi").select("line", "check")
+    line = ["leaf", "line", "check"]
+
+    def judged(lines: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
+        """Of lines (leaf, line, check, masked, group, group_docs): those of recurring templates, their words behind the lead, and how many documents have each of these."""
+        words = lines.select(*line, "group", "group_docs", F.posexplode(F.slice(F.split("masked", " "), DEPTH + 1, 1 << 30)).alias("at", "token")).where(F.col("token") != VARIABLE)
+        places = with_documents(words.select("leaf", "line", "group", "group_docs", "at", "token"), own, shared, ["group", "group_docs", "at", "token"])
+        fixed = places.where(F.col("docs") * 100 >= F.col("group_docs") * field_percent).select("group", "at", "token")
+        n = F.size(F.split("masked", " ")) - DEPTH
+        marked = words.join(fixed, ["group", "at", "token"]).groupBy(*line, "group").agg(F.count("*").alias("n_fixed"), F.sum(F.xxhash64("at", "token").cast("decimal(38,0)")).alias("template"))
+        wide = saved(marked.join(lines.select(*line, n.alias("n")), line).where(F.col("n_fixed") * 100 >= F.col("n") * fixed_percent).drop("n"))
+        many = with_documents(wide.select("leaf", "line", "group", "template"), own, shared, ["group", "template"]).where(F.col("docs") >= min_docs)
+        return wide.join(many, ["group", "template"], "left_semi").select(*line), words, places
+
+    tokens = F.split("masked", " ")
+    longer = distinct.where(F.size(tokens) > DEPTH).select(*line, "masked", F.col("leaf").alias("group"), F.col("leaf_docs").alias("group_docs"))
+    general, words, places = judged(longer)
+    plain = F.size(F.filter(tokens, lambda t: t != VARIABLE)) * 100 >= F.size(tokens) * fixed_percent
+    often = with_documents(distinct.select("leaf", "line"), own, shared, ["leaf", "line"]).where(F.col("docs") >= min_docs)
+    alone = distinct.where(plain).join(often, ["leaf", "line"], "left_semi").select(*line)
     found = saved(general.unionByName(alone).distinct())
+    # the token that parts the lines left: a field by its share, but one that enough documents have
+    parting = places.where((F.col("docs") >= min_docs) & (F.col("docs") * 100 < F.col("group_docs") * field_percent)).select("group", "at", "token", "docs")
+    best = words.join(parting, ["group", "at", "token"]).join(found, line, "left_anti").groupBy(*line).agg(F.min(F.struct((-F.col("docs")).alias("d"), "at", "token")).alias("k"))
+    parted = saved(longer.join(best, line).select(*line, "masked", F.xxhash64("leaf", "k.at", "k.token").alias("group")))
+    sizes = with_documents(parted.select("leaf", "line", "group"), own, shared, ["group"]).where(F.col("docs") >= min_docs)
+    second, _, _ = judged(saved(parted.join(sizes.withColumnRenamed("docs", "group_docs"), "group")))
+    found = found.unionByName(second).select("line", "check").distinct()
     return distinct.join(found, ["line", "check"], "left_semi").groupBy("line").agg(F.min("check").alias("kind"), F.sum("rows").alias("rows"))
 
 
@@ -89,7 +105,7 @@ def line_dedup(docs: DataFrame, min_docs: int = MIN_DOCS, fixed_percent: int = F
     All lines of a recurring template go, in every document. Lines are what line feeds part;
     blank ones stay. A null text counts as empty, which is one blank line. Documents without a
     dropped line pass straight through; a bounded bitmap of ids tells which may have one. Ties do not
-    arise: shares and counts are compared with >=. An id stands for one text; rows that repeat it count as
+    arise: shares and counts are compared with >=, and of tokens that as many documents have the first one parts lines. An id stands for one text; rows that repeat it count as
     one document, and each loses the lines that recur at the same places. Other columns are ignored.
     """
     docs = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
@@ -123,13 +139,21 @@ e AS (SELECT doc_id, unnest(lines) AS line, unnest(range(len(lines))) AS pos FRO
 t AS (SELECT doc_id, pos, line, list_transform(regexp_extract_all(line, '[^\\x20\\x09-\\x0D]+'), lambda w: CASE WHEN regexp_matches(w, '[0-9]') THEN '<*>' ELSE w END) AS tokens FROM e),
 k AS (SELECT doc_id, pos, line, tokens, len(tokens) AS n, array_to_string(tokens, ' ') AS masked, array_to_string(tokens[1:3], ' ') AS lead FROM t),
 l AS (SELECT n, lead, count(DISTINCT doc_id) AS leaf_docs FROM k WHERE n > 0 GROUP BY n, lead),
-w AS (SELECT DISTINCT doc_id, n, lead, masked, unnest(tokens) AS token, unnest(range(n)) AS i FROM k WHERE n > 0),
-f AS (SELECT n, lead, i, token FROM w JOIN l USING (n, lead) WHERE token <> '<*>' AND leaf_docs >= 5 GROUP BY n, lead, i, token, leaf_docs HAVING count(DISTINCT doc_id) * 100 >= leaf_docs * 25),
-p AS (SELECT doc_id, n, lead, masked, count(*) FILTER (WHERE token <> '<*>') AS n_plain FROM w GROUP BY ALL),
+w AS (SELECT * FROM (SELECT DISTINCT doc_id, n, lead, masked, unnest(tokens) AS token, unnest(range(n)) AS i FROM k WHERE n > 0) AS u WHERE i > 2 AND token <> '<*>'),
+h AS (SELECT n, lead, i, token, leaf_docs, count(DISTINCT doc_id) AS docs FROM w JOIN l USING (n, lead) WHERE leaf_docs >= 5 GROUP BY ALL),
+f AS (SELECT n, lead, i, token FROM h WHERE docs * 100 >= leaf_docs * 25),
 m AS (SELECT w.doc_id, w.n, w.lead, w.masked, count(*) AS n_fixed, string_agg(CAST(i AS VARCHAR) || '=' || token, ' ' ORDER BY i) AS template FROM w JOIN f USING (n, lead, i, token) GROUP BY w.doc_id, w.n, w.lead, w.masked),
-g AS (SELECT n, lead, template FROM m WHERE n_fixed * 100 >= n * 60 GROUP BY ALL HAVING count(DISTINCT doc_id) >= 5),
-d AS (SELECT DISTINCT masked FROM m JOIN g USING (n, lead, template)
-      UNION SELECT masked FROM p WHERE n_plain * 100 >= n * 60 GROUP BY masked HAVING count(DISTINCT doc_id) >= 5),
+g AS (SELECT n, lead, template FROM m WHERE n_fixed * 100 >= (n - 3) * 60 GROUP BY ALL HAVING count(DISTINCT doc_id) >= 5),
+d1 AS (SELECT DISTINCT masked FROM m JOIN g USING (n, lead, template)
+       UNION SELECT masked FROM k WHERE n > 0 AND len(list_filter(tokens, lambda t: t <> '<*>')) * 100 >= n * 60 GROUP BY masked HAVING count(DISTINCT doc_id) >= 5),
+b AS (SELECT masked, i AS ki, token AS kt FROM (SELECT DISTINCT n, lead, masked, i, token FROM w) JOIN h USING (n, lead, i, token)
+      WHERE docs >= 5 AND docs * 100 < leaf_docs * 25 AND masked NOT IN (SELECT masked FROM d1) QUALIFY row_number() OVER (PARTITION BY masked ORDER BY docs DESC, i, token) = 1),
+w1 AS (SELECT w.*, ki, kt FROM w JOIN b USING (masked)),
+w2 AS (SELECT w1.*, part_docs FROM w1 JOIN (SELECT n, lead, ki, kt, count(DISTINCT doc_id) AS part_docs FROM w1 GROUP BY ALL) AS z USING (n, lead, ki, kt)),
+f2 AS (SELECT n, lead, ki, kt, i, token FROM w2 WHERE part_docs >= 5 GROUP BY n, lead, ki, kt, i, token, part_docs HAVING count(DISTINCT doc_id) * 100 >= part_docs * 25),
+m2 AS (SELECT w2.doc_id, w2.n, w2.lead, ki, kt, w2.masked, count(*) AS n_fixed, string_agg(CAST(i AS VARCHAR) || '=' || token, ' ' ORDER BY i) AS template FROM w2 JOIN f2 USING (n, lead, ki, kt, i, token) GROUP BY ALL),
+g2 AS (SELECT n, lead, ki, kt, template FROM m2 WHERE n_fixed * 100 >= (n - 3) * 60 GROUP BY ALL HAVING count(DISTINCT doc_id) >= 5),
+d AS (SELECT masked FROM d1 UNION SELECT masked FROM m2 JOIN g2 USING (n, lead, ki, kt, template)),
 x AS (SELECT k.doc_id, k.pos, k.line, d.masked IS NOT NULL AS gone FROM k LEFT JOIN d ON k.masked = d.masked AND k.n > 0)
 SELECT doc_id, count(*) AS n_lines, count(*) FILTER (WHERE gone) AS n_dropped,
        sha256(coalesce(string_agg(line, chr(10) ORDER BY pos) FILTER (WHERE NOT gone), '')) AS kept_sha256

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -117,19 +118,20 @@ def anchor_rows(docs: DataFrame, window: int, anchor: int, bits: int) -> DataFra
     return docs.select("doc_id", "text").mapInArrow(run, "cell long, doc_id long")
 
 
-STRETCH = "key long, doc_id long, start int, words string, first int, last int"
+STRETCH = "key long, doc_id long, start long, words string, first int, last int"
 
 
 def stretch_rows(docs: DataFrame, window: int, anchor: int, bits: int, bitmap) -> DataFrame:
     """STRETCH: for each anchor that another document may have, the words of its windows.
 
-    ``start`` is the place of the first word in the document; the windows to judge begin at the
+    ``start`` is the place of the first word in the document, with the text's number above the lower 32 bits; the windows to judge begin at the
     words ``first`` to ``last`` of ``words``.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             ids, texts = batch["doc_id"].to_numpy(zero_copy_only=False), as_bytes(batch["text"])
+            origin = batch["no"].to_numpy() << 32
             for i, j in pieces(texts):
                 words = Words(texts[i:j])
                 key, first, last = anchored(words, window, anchor)
@@ -138,12 +140,12 @@ def stretch_rows(docs: DataFrame, window: int, anchor: int, bits: int, bitmap) -
                 text = words.text_of[first]
                 cut = [b" ".join(words.buf[a:b].tobytes().split()) for a, b in zip(words.start[first], words.end[last + window - 1])]
                 yield pa.RecordBatch.from_arrays(
-                    [as_long(key), pa.array(ids[i:j][text]), pa.array((first - words.first[text]).astype(np.int32)), pa.array(cut, pa.binary()).cast(pa.string()),
+                    [as_long(key), pa.array(ids[i:j][text]), pa.array(first - words.first[text] + origin[i:j][text]), pa.array(cut, pa.binary()).cast(pa.string()),
                      pa.array(np.zeros(len(key), np.int32)), pa.array((last - first).astype(np.int32))],
                     ["key", "doc_id", "start", "words", "first", "last"],
                 )
 
-    return docs.select("doc_id", "text").mapInArrow(run, STRETCH)
+    return docs.select("doc_id", "text", "no").mapInArrow(run, STRETCH)
 
 
 def references(rows: DataFrame) -> DataFrame:
@@ -227,20 +229,25 @@ def matched(rows: DataFrame, window: int, anchor: int, turn: int) -> DataFrame:
                 ]
                 yield pa.RecordBatch.from_pylist(out, MATCHED)
 
-    return rows.mapInArrow(run, "doc_id long, start int, words string, cut array<struct<first: int, last: int>>, todo array<struct<key: long, first: int, last: int>>")
+    return rows.mapInArrow(run, "doc_id long, start long, words string, cut array<struct<first: long, last: long>>, todo array<struct<key: long, first: int, last: int>>")
+
+
+def ranges_of(kind: pa.DataType) -> list[pa.Field]:
+    return [pa.field("first", kind), pa.field("last", kind)]
 
 
-RANGE = [pa.field("first", pa.int32()), pa.field("last", pa.int32())]
 MATCHED = pa.schema(
-    [("doc_id", pa.int64()), ("start", pa.int32()), ("words", pa.string()), ("cut", pa.list_(pa.struct(RANGE))), ("todo", pa.list_(pa.struct([pa.field("key", pa.int64()), *RANGE])))]
+    [("doc_id", pa.int64()), ("start", pa.int64()), ("words", pa.string()), ("cut", pa.list_(pa.struct(ranges_of(pa.int64())))), ("todo", pa.list_(pa.struct([pa.field("key", pa.int64()), *ranges_of(pa.int32())])))]
 )
+#: The last word of a range that has all words of a text.
+ALL_WORDS = (1 << 31) - 1
 
 
 def repeated_texts(docs: DataFrame) -> DataFrame:
-    """doc_id of the documents whose whole text a document with a smaller id has."""
-    rows = saved(docs.where(F.col("text").isNotNull()).select("doc_id", F.xxhash64("text").alias("h"), F.xxhash64(F.lit(1), "text").alias("check")))
+    """(doc_id, no) of the texts that a document with a smaller id has as a whole."""
+    rows = saved(docs.where(F.col("text").isNotNull()).select("doc_id", "no", F.xxhash64("text").alias("h"), F.xxhash64(F.lit(1), "text").alias("check")))
     groups = rows.groupBy("h", "check").agg(F.min("doc_id").alias("lo"), F.count("*").alias("rows")).where("rows > 1").withColumnRenamed("check", "group_check")
-    return join_unique(rows, saved(groups), "h", "rows", rows.count()).where("check = group_check AND doc_id > lo").select("doc_id")
+    return join_unique(rows, saved(groups), "h", "rows", rows.count()).where("check = group_check AND doc_id > lo").select("doc_id", "no")
 
 
 def substring_dedup(docs: DataFrame, window: int = WINDOW, anchor: int = ANCHOR) -> DataFrame:
@@ -256,16 +263,17 @@ def substring_dedup(docs: DataFrame, window: int = WINDOW, anchor: int = ANCHOR)
        References of anchors that a large share of the passages have are broadcast, 500 at most.
 
     Null and empty texts have no words. A window that only repeats within one document stays. Windows are
-    judged on the input. An id stands for one text: of a repeated id the windows of all its texts count as
-    its own. A null id is neither smaller nor larger than others, so such texts stay whole and are no reference.
+    judged on the input. Texts of a repeated id are told apart by a hash: each loses its own words alone, and none
+    loses windows to another of the same id. A null id is neither smaller nor larger than others, so such texts stay whole and are no reference.
     Other columns are ignored; an empty table gives no rows.
     """
     spark = docs.sparkSession
-    docs = docs.select("doc_id", "text")
+    docs = docs.select("doc_id", "text", F.coalesce(F.xxhash64("text").bitwiseAND(F.lit(ALL_WORDS)), F.lit(0)).cast("long").alias("no"))
     n_docs = docs.count()
     bits = bits_for(n_docs, BITS_PER_ROW)
     copies = saved(repeated_texts(docs))
-    firsts = without(docs.where("doc_id IS NOT NULL"), copies, "doc_id", n_docs)
+    row = F.concat_ws(":", "doc_id", "no")
+    firsts = without(docs.where("doc_id IS NOT NULL"), copies.select(row.alias("key")), row, n_docs)
     cells = anchor_rows(firsts, window, anchor, bits).groupBy("cell").agg(F.min("doc_id").alias("lo"), F.max("doc_id").alias("hi")).where("lo < hi")
     bitmap = spark.sparkContext.broadcast(collect_bitmap(cells.select("cell"), "cell", bits))
     rows = saved(stretch_rows(firsts, window, anchor, bits, bitmap))
@@ -281,18 +289,19 @@ def substring_dedup(docs: DataFrame, window: int = WINDOW, anchor: int = ANCHOR)
         several = saved(bitmap_blocks(keys.select(cell.alias("_cell")), "_cell"))
         todo = left.select("doc_id", "start", "words", F.explode("todo").alias("t")).select("t.key", "doc_id", "start", "words", "t.first", "t.last")
         rows = saved(maybe_in(todo, cell, several).where("_maybe").drop("_maybe"))
-    gone = cuts[0].unionByName(cuts[1]).unionByName(cuts[2]).groupBy("doc_id").agg(F.collect_list(F.struct("first", "last")).alias("cut"))
-    gone = saved(gone.select("doc_id", "cut.first", "cut.last", F.lit(False).alias("copy")).unionByName(copies.distinct().select("doc_id", F.lit(None).cast("array<int>").alias("first"), F.lit(None).cast("array<int>").alias("last"), F.lit(True).alias("copy"))))
+    whole_text = F.shiftleft("no", 32)
+    cuts.append(copies.distinct().select("doc_id", whole_text.alias("first"), (whole_text + ALL_WORDS).alias("last")))
+    own = lambda c: F.col(c).bitwiseAND(F.lit(ALL_WORDS)).alias(c)
+    gone = reduce(DataFrame.unionByName, cuts).select("doc_id", F.shiftright("first", 32).alias("no"), own("first"), own("last"))
+    gone = saved(gone.groupBy("doc_id", "no").agg(F.collect_list(F.struct("first", "last")).alias("cut")).select("doc_id", "no", "cut.first", "cut.last"))
 
     def cut_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             kept, sizes, gone_sizes = [], [], []
-            for text, first, last, copy in zip(as_bytes(batch["text"]), batch["first"], batch["last"], batch["copy"].to_pylist()):
+            for text, first, last in zip(as_bytes(batch["text"]), batch["first"], batch["last"]):
                 words = text.split()
                 gone = np.zeros(len(words), bool)
-                if copy and len(words) >= window:
-                    gone[:] = True
-                elif first.is_valid:
+                if first.is_valid and len(words) >= window:
                     for a, b in zip(first.as_py(), last.as_py()):
                         gone[a:b] = True
                 sizes.append(len(words))
@@ -302,8 +311,8 @@ def substring_dedup(docs: DataFrame, window: int = WINDOW, anchor: int = ANCHOR)
 
     doc_cell = F.pmod(F.xxhash64("doc_id"), F.lit(bits)) + 1
     tested = maybe_in(docs, doc_cell, saved(bitmap_blocks(gone.select(doc_cell.alias("_cell")), "_cell")))
-    whole = tested.where(~F.col("_maybe")).select("doc_id", "text", F.lit(None).cast("array<int>").alias("first"), F.lit(None).cast("array<int>").alias("last"), F.lit(False).alias("copy"))
-    cut = tested.where("_maybe").select("doc_id", "text").join(gone.hint("merge"), "doc_id", "left").select("doc_id", "text", "first", "last", F.coalesce("copy", F.lit(False)).alias("copy"))
+    whole = tested.where(~F.col("_maybe")).select("doc_id", "text", F.lit(None).cast("array<long>").alias("first"), F.lit(None).cast("array<long>").alias("last"))
+    cut = tested.where("_maybe").select("doc_id", "no", "text").join(gone.hint("merge"), ["doc_id", "no"], "left").select("doc_id", "text", "first", "last")
     return whole.unionByName(cut).mapInArrow(cut_words, "doc_id long, n_words long, n_removed long, kept string")
 
 

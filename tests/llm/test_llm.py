@@ -5,6 +5,7 @@ import uuid
 from collections import defaultdict
 
 import numpy as np
+import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
@@ -152,6 +153,16 @@ def substrings_by_hand(words):
     return want
 
 
+def test_texts_of_a_repeated_id_lose_their_own_words_alone(spark):
+    words = lambda name, n=60: " ".join(f"{name}{i}" for i in range(n))
+    a, b, c = words("a"), words("b"), words("c")
+    rows = [(5, a), (9, a), (9, b), (9, b), (12, f"{b} {c}"), (12, f"{c} {words('d')}"), (13, c), (9, words("a", 49))]
+    docs = spark.createDataFrame([(i, t, "en", "s", None, None, None) for i, t in rows], DOCS).repartition(3)
+    got = sorted((r["doc_id"], r["n_words"], r["n_removed"], r["kept"]) for r in substrings.substring_dedup(docs).collect())
+    want = [(5, 60, 0, a), (9, 49, 0, words("a", 49)), (9, 60, 0, b), (9, 60, 0, b), (9, 60, 60, ""), (12, 120, 0, f"{c} {words('d')}"), (12, 120, 60, c), (13, 60, 60, "")]
+    assert got == sorted(want)
+
+
 @pytest.mark.parametrize("hot_bytes", [20_000, 0])
 def test_substrings_of_many_edited_copies(spark, monkeypatch, hot_bytes):
     """Edits that several copies share are found by further anchors and at last by all words of a window."""
@@ -207,13 +218,44 @@ def test_templates_do_not_depend_on_the_size_of_the_table(spark, n):
 
 
 def test_lines_of_one_document_are_one_document(spark):
-    body = ["\n".join(f"- see also {x}" for x in ("Apples", "Pears", "Plums", "Figs", "Dates")), *[f"- see also {x}" for x in ("Kiwis", "Limes")], "a\nb"]
+    body = ["\n".join(f"- see also the tree {x}" for x in ("Apples", "Pears", "Plums", "Figs", "Dates")), *[f"- see also the tree {x}" for x in ("Kiwis", "Limes")], "a\nb"]
     assert all(r["n_dropped"] == 0 for r in line_dedup.line_dedup(documents(spark, body)).collect())
-    more = [*body, *[f"- see also {x}" for x in ("Nuts", "Oats")]]
+    more = [*body, *[f"- see also the tree {x}" for x in ("Nuts", "Oats")]]
     got = {r["doc_id"]: r["n_dropped"] for r in line_dedup.line_dedup(documents(spark, more)).collect()}
     assert got == {0: 5, 1: 1, 2: 1, 3: 0, 4: 1, 5: 1}
 
 
+def letters(i):
+    return "".join(chr(97 + int(d)) for d in str(i))
+
+
+def test_lines_with_a_common_start_alone_stay(spark):
+    """Ten documents, each with a line of its own behind three common words; so do twenty that share one word more."""
+    body = [f"It was a {letters(i)}x {letters(i)}y" for i in range(10)] + [f"There is no good {letters(i)} {letters(i)}z" for i in range(20)]
+    assert all(r["n_dropped"] == 0 for r in line_dedup.line_dedup(documents(spark, body)).collect())
+
+
+def test_templates_that_share_a_leaf_are_told_apart(spark):
+    """Ten templates of twenty documents each, with one field."""
+    body = [f"the pump at {letters(t)}place has sent {letters(1000 + t)}note {letters(t * 20 + k)}" for t in range(10) for k in range(20)]
+    assert [r["n_dropped"] for r in line_dedup.line_dedup(documents(spark, body)).collect()] == [1] * 200
+
+
+@pytest.mark.parametrize("case", range(3))
+def test_lines_match_sql(spark, case):
+    """The query's SQL over invented lines with leaves of many templates, against the operator."""
+    import duckdb
+
+    rng = random.Random(case)
+    words = [f"w{letters(i)}" for i in range(6)]
+    line = lambda: " ".join(["see the list"[: rng.choice([3, 12])], *[rng.choice(words) if rng.random() < 0.7 else letters(rng.randrange(10**6)) for _ in range(rng.choice([1, 3, 4]))], rng.choice(["", "7"])])
+    body = ["\n".join(line() for _ in range(rng.randrange(6))) for _ in range(400)]
+    documents_ = pd.DataFrame({"doc_id": range(len(body)), "text": body})
+    want = dict(duckdb.sql(f"WITH documents AS (FROM documents_) {line_dedup.OP2_SQL.strip().replace('WITH s AS', ', s AS', 1)}").df()[["doc_id", "kept_sha256"]].itertuples(index=False))
+    got = {r["doc_id"]: hashlib.sha256(r["kept_text"].encode()).hexdigest() for r in line_dedup.line_dedup(documents(spark, body)).collect()}
+    assert got == want and len({k for k in got if hashlib.sha256(body[k].encode()).hexdigest() != got[k]}) > 20
+
+
 def test_mixing_targets(spark):
     docs = documents(spark, ["a b c"] * 300 + [None, "", "x"], lambda i: None if i > 301 else ["a", "b", "c"][i % 3])
     out = mixing.mixed(docs).collect()
