@@ -10,6 +10,7 @@ spaces, where both sides' tokens end: each distinct cut is a fragment without op
 from __future__ import annotations
 
 import hashlib
+import os
 import re
 import uuid
 from collections.abc import Iterator
@@ -18,21 +19,23 @@ from itertools import chain
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
+import zstandard
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .sentencepieces import spread
 from .shared import saved, table
-from .text import as_bytes, pieces
+from .text import as_bytes, coded, pieces, range_sums
 
 BYTE_VOCABULARY, PIECE_VOCABULARY = "byte_bpe_50k.json", "piece_bpe_32k.model"
 #: Texts over so many bytes are cut into ranges of CHUNK_BYTES, whose fragments compose FAN_IN at a time.
 LONG_BYTES, CHUNK_BYTES, FAN_IN = 1 << 20, 1 << 18, 8
 #: Bytes of the texts of a block.
-BLOCK_BYTES = 2_000_000
-#: Distinct cuts that a worker remembers before it starts afresh, some 250 MB.
-MEMORY = 700_000
-#: Id pairs that are broadcast with their counts, at most: those with at least 1 / MAX_PAIRS of all links, so no more exist (34 MB).
+BLOCK_BYTES = 1_000_000
+#: Distinct cuts that a worker remembers before it starts afresh, some 70 MB; a task leaves none behind.
+MEMORY = 150_000
+#: Id pairs that are broadcast with their counts, at most (34 MB): all of them, or those with at least 1 / MAX_PAIRS of all links, of which no more exist.
 MAX_PAIRS = 2_000_000
 
 # Before these spaces a text may be cut: what stands before is no white space, of Unicode either.
@@ -40,9 +43,12 @@ CUT = re.compile(rb"(?<=[!-~\x80-\xff])(?<!\xc2[\x85\xa0])(?<!\xe1\x9a\x80)(?<!\
 # Texts with none of these are cut before each space.
 UNEVEN = re.compile(rb"^ | $|[\x00-\x20] |\xc2[\x85\xa0] |\xe1\x9a\x80 |\xe2\x80[\x80-\x8a\xa8\xa9\xaf] |\xe2\x81\x9f |\xe3\x80\x80 ")
 
+MARK = b"\xff"  # no byte of UTF-8
+ZSTD = zstandard.ZstdCompressor(level=1)
+
 STATS = ("n_a", "n_b", "n_groups", "n_links")
 DOC = f"doc_id long, {', '.join(f'{s} long' for s in STATS)}, groups_sha256 string, groups string"
-BLOCKS = f"block string, docs array<struct<{DOC.replace(' long', ': long').replace(' string', ': string')}>>, cuts binary, n_cuts binary, n_pairs binary, pairs binary, times binary, codes binary, totals binary"
+BLOCKS = f"block string, docs array<struct<{DOC.replace(' long', ': long').replace(' string', ': string')}>>, body binary, codes binary, totals binary"
 CHUNKS = "row string, doc_id long, no int, at long, low long, high long, text binary"
 FRAGMENTS = f"row string, doc_id long, no int, valid boolean, cut boolean, prefix_a binary, prefix_b binary, suffix_a binary, suffix_b binary, {', '.join(f'{s} long' for s in STATS)}, groups binary, codes binary, times binary"
 
@@ -93,6 +99,7 @@ class Aligner:
         import sentencepiece
         from tokenizers import Tokenizer
 
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"  # Spark runs a task a core
         self.a = Tokenizer.from_str(byte_model)
         self.a.encode_special_tokens = True  # their strings in a text are then plain text
         self.b = sentencepiece.SentencePieceProcessor(model_proto=piece_model)
@@ -171,14 +178,15 @@ class Aligner:
 
     def places(self, texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
         """The remembered cuts of all texts, one after the other, and how many each has."""
-        cuts = [t.split(b" ") if not UNEVEN.search(t) else [c[1:] for c in CUT.split(b" " + t)] if t else [] for t in texts]
         if len(self.groups) > MEMORY:
             self.forget()
-        if new := list(set(chain.from_iterable(cuts)).difference(self.known)):
+        parted = [t.replace(b" ", MARK) if not UNEVEN.search(t) else MARK.join([c[1:] for c in CUT.split(b" " + t)]) for t in texts]
+        codes, counts, distinct = coded(pc.split_pattern(pa.array(parted, pa.binary()), pattern=MARK))
+        if new := [c for c in distinct if c not in self.known]:
             self.learn(new)
-        counts = np.fromiter(map(len, cuts), np.int64, len(cuts)) * np.fromiter(map(bool, texts), bool, len(texts))
-        some = chain.from_iterable(c for c, t in zip(cuts, texts) if t)
-        return np.fromiter(map(self.known.__getitem__, some), np.int64, counts.sum()), counts
+        some = np.fromiter(map(bool, texts), bool, len(texts))
+        at = np.fromiter(map(self.known.__getitem__, distinct), np.int64, len(distinct))
+        return at[codes[np.repeat(some, counts)]], counts * some
 
     def fragment(self, text: bytes, at: int, low: int, high: int) -> tuple[Fragment, bool]:
         """Of the tokens of a text that begins with a space at byte ``at`` of its document: those that end in low + 1 .. high; and whether it is valid."""
@@ -226,11 +234,6 @@ def summed(codes: np.ndarray, times: np.ndarray) -> tuple[np.ndarray, np.ndarray
     return codes[first], np.add.reduceat(times, first) if len(first) else times
 
 
-def range_sums(values: np.ndarray, counts: np.ndarray) -> np.ndarray:
-    """Sums of the first counts[0] values, of the next counts[1], .."""
-    return np.diff(np.concatenate(([0], np.cumsum(values)))[np.concatenate(([0], np.cumsum(counts)))])
-
-
 _aligners: dict[tuple, Aligner] = {}
 
 
@@ -246,12 +249,14 @@ def block_of(docs: list[tuple], cuts: np.ndarray, n_cuts: np.ndarray, n_pairs: n
     """A block: its documents, their cuts by number, each cut's id pairs and how often it has them, and the pairs of the block with their sums."""
     codes, pairs = np.unique(pair_codes, return_inverse=True)
     totals = np.bincount(pairs, weights=(times * np.repeat(np.bincount(cuts, minlength=len(n_pairs)), n_pairs)), minlength=len(codes)).astype(np.int64)
-    packed = [x.astype(kind).tobytes() for x, kind in ((cuts, "<u4"), (n_cuts, "<u4"), (n_pairs, "<u4"), (pairs, "<u4"), (times, "<u4"), (np.diff(codes, prepend=0), "<u8"), (totals, "<u8"))]
+    body = [x.astype("<u4") for x in (cuts, n_cuts, n_pairs, pairs, times)]
+    body = np.concatenate((np.array([len(x) for x in body], "<u4"), *body)).tobytes()
+    packed = [ZSTD.compress(x) for x in (body, np.diff(codes, prepend=0).astype("<i8").tobytes(), totals.astype("<i8").tobytes())]
     kinds = [x.split() for x in DOC.split(", ")]
     struct = pa.struct([(n, pa.int64() if k == "long" else pa.string()) for n, k in kinds])
     rows = pa.array([dict(zip([n for n, _ in kinds], d)) for d in docs], struct)
     values = [pa.array([uuid.uuid4().hex]), pa.ListArray.from_arrays([0, len(docs)], rows), *[pa.array([x], pa.binary()) for x in packed]]
-    return pa.RecordBatch.from_arrays(values, [x.split()[0] for x in ("block, docs, cuts, n_cuts, n_pairs, pairs, times, codes, totals").split(", ")])
+    return pa.RecordBatch.from_arrays(values, ["block", "docs", "body", "codes", "totals"])
 
 
 def digest(groups: bytes) -> str:
@@ -276,6 +281,7 @@ def short_blocks(batches: Iterator[pa.RecordBatch], models: tuple[str, bytes], k
             n_pairs = np.diff(m.ptr)[distinct]
             codes = m.codes[spread(m.ptr[distinct], n_pairs)]
             yield block_of(docs, cuts, n_cuts, n_pairs, codes, np.ones(len(codes), np.int64))
+    m.forget()
 
 
 def ranges(text: bytes) -> list[tuple[int, int, int, int]]:
@@ -355,8 +361,8 @@ def pair_sums(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
     for batch in batches:
         for c, n in zip(batch["codes"], batch["totals"]):
-            codes.append(np.cumsum(np.frombuffer(c.as_buffer(), "<i8")))
-            times.append(np.frombuffer(n.as_buffer(), "<i8"))
+            codes.append(np.cumsum(unzipped(c, "<i8")))
+            times.append(unzipped(n, "<i8"))
             size += len(codes[-1])
             if size > MAX_PAIRS:
                 yield flush()
@@ -381,10 +387,15 @@ class Known:
         return hit, self.n[at] * hit, self.best[at] * hit
 
 
+def unzipped(x: pa.BinaryScalar, kind: str) -> np.ndarray:
+    return np.frombuffer(zstandard.ZstdDecompressor().decompress(x.as_buffer()), kind)
+
+
 def unpacked_block(batch: pa.RecordBatch, i: int) -> dict[str, np.ndarray]:
-    kinds = {"cuts": "<u4", "n_cuts": "<u4", "n_pairs": "<u4", "pairs": "<u4", "times": "<u4", "codes": "<i8"}
-    out = {c: np.frombuffer(batch[c][i].as_buffer(), k).astype(np.int64) for c, k in kinds.items()}
-    return out | {"codes": np.cumsum(out["codes"])}
+    body = unzipped(batch["body"][i], "<u4").astype(np.int64)
+    names = "cuts", "n_cuts", "n_pairs", "pairs", "times"
+    parts = np.split(body[len(names) :], np.cumsum(body[: len(names) - 1]))
+    return dict(zip(names, parts)) | {"codes": np.cumsum(unzipped(batch["codes"][i], "<i8"))}
 
 
 def with_sums(batches: Iterator[pa.RecordBatch], known: Known) -> Iterator[pa.RecordBatch]:
@@ -429,8 +440,8 @@ def token_alignment(docs: DataFrame, byte_vocabulary: str | None = None, piece_v
 
     One row for each row of ``docs``, repeated ids too. Null and empty texts, and those whose tokens' bytes on either
     side are not the text's, have no tokens: zeros, and an empty digest. Other columns are ignored.
-    Pairs are counted in tasks before they are shuffled. Those with at least 1 / ``max_pairs`` of all links, ``max_pairs``
-    at most, are broadcast; links of all others are looked up by a join. A task's memory follows the longest text;
+    Pairs are counted in tasks before they are shuffled. If there are more than ``max_pairs``, only those with at least
+    1 / ``max_pairs`` of all links are broadcast, and links of all others are looked up by a join. A task's memory follows the longest text;
     of texts over LONG_BYTES, what tokenizers and groups take follows a range.
     """
     import public_tokenizers
@@ -457,7 +468,7 @@ def token_alignment(docs: DataFrame, byte_vocabulary: str | None = None, piece_v
     highest = pairs.groupBy("b").agg(F.max("n").alias("highest"))  # one row an id of the vocabulary
     pairs = saved(pairs.join(F.broadcast(highest), "b").select("code", "n", (F.col("n") == F.col("highest")).alias("best")))
     n_pairs, links = pairs.agg(F.count("*"), F.sum("n")).first()
-    many = F.col("n") >= -(-(links or 0) // max_pairs)
+    many = F.col("n") >= (-(-links // max_pairs) if n_pairs > max_pairs else 0)
     known = Known(pairs.where(many).toArrow())
     shared = docs.sparkSession.sparkContext.broadcast(known)
     out = blocks.mapInArrow(lambda b: with_sums(b, shared.value), f"block string, at int, {DOC}, n_best long, count_sum long")
