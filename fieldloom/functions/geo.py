@@ -179,3 +179,8 @@ def lonlat_to_lcc(lon: Column, lat: Column) -> tuple[Column, Column]:
 def cell_centroid_lonlat(n: Column, e: Column, res: int) -> tuple[Column, Column]:
     """Longitude and latitude of a grid cell's centre."""
     return laea_to_lonlat((e + 0.5) * res, (n + 0.5) * res)
+
+
+def laea_to_lcc(x: Column, y: Column) -> tuple[Column, Column]:
+    """From the equal-area to the conformal conic projection."""
+    return lonlat_to_lcc(*laea_to_lonlat(x, y))

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.scalars import coded, hour_series, window_hours
@@ -54,46 +54,78 @@ def sample_cube(points: DataFrame, cube: DataFrame, key: str, variables: list[st
     return out.select(key, "var", "hour", F.from_utc_timestamp("hour", tz).alias("local"), "value", "inside")
 
 
-def interpolated(ordered: Column, p: float) -> Column:
-    """The quantile of a sorted array: between the two nearest values, counted from the nearer one."""
-    at = (F.size(ordered) - 1) * F.lit(p)
-    low = F.floor(at).cast("int")
-    a, b, t = F.get(ordered, low), F.coalesce(F.get(ordered, low + 1), F.get(ordered, low)), at - low
-    return F.when(t < 0.5, a + (b - a) * t).otherwise(b - (b - a) * (1 - t))
-
-
 def monthly_quantiles(cube: DataFrame, probabilities: list[float], scale: int, nodata: int, accuracy: int | None = None) -> DataFrame:
     """Scaled quantiles of the finite values by variable, node and month, as 16-bit numbers; a month without values is nodata.
 
-    Exact, from all values of a month; with ``accuracy`` from a bounded sketch of them, for cubes of many years.
+    Exact: equal values count together, and a running count of the sorted values gives those next to each quantile's place.
+    No group is gathered in memory, so a month may have any number of years; a month's values are
+    sorted on disk if need be. With ``accuracy`` from a bounded sketch of them instead.
     """
     v = F.when(F.abs("value") < float("inf"), F.col("value"))
-    groups = cube.groupBy("var", "x", "y", F.month("ts").alias("month"))
-    if accuracy is None:
-        out = groups.agg(F.sort_array(F.collect_list(v)).alias("q"))
-        quantiles = [interpolated(F.col("q"), p) for p in probabilities]
-    else:
-        out = groups.agg(F.percentile_approx(v, F.array(*[F.lit(p) for p in probabilities]), accuracy).alias("q"))
-        quantiles = [F.col("q")[i] for i in range(len(probabilities))]
-    kept = lambda q: F.when(q.isNotNull(), F.least(F.greatest(F.rint(q * scale), F.lit(-32768.0)), F.lit(32767.0)))
-    scaled = [F.coalesce(kept(q), F.lit(float(nodata))).cast("short").alias(f"p{round(p * 100)}") for q, p in zip(quantiles, probabilities)]
-    return out.select("var", "x", "y", "month", *scaled)
-
-
-def resample_to_grid(nodes: DataFrame, cells: DataFrame, x0: float, y0: float, step: float, keys: list[str]) -> DataFrame:
+    keys = ["var", "x", "y", "month"]
+    cube = cube.select("var", "x", "y", F.month("ts").alias("month"), v.alias("value"))
+    if accuracy is not None:
+        out = cube.groupBy(*keys).agg(F.percentile_approx("value", F.array(*[F.lit(p) for p in probabilities]), accuracy).alias("q"))
+        return out.select(*keys, *[scaled(F.col("q")[i], scale, nodata).alias(f"p{round(p * 100)}") for i, p in enumerate(probabilities)])
+    counts = cube.groupBy(*keys, "value").agg(F.count("value").alias("n"))
+    w = Window.partitionBy(*keys)
+    ranked = counts.withColumn("upto", F.sum("n").over(w.orderBy(F.asc_nulls_first("value")))).withColumn("total", F.sum("n").over(w))
+    columns, places = [], []
+    for k, p in enumerate(probabilities):
+        at = (F.col("total") - 1) * F.lit(p)
+        low = F.floor(at)
+        has = lambda i: (F.col("upto") > i) & (F.col("upto") - F.col("n") <= i)
+        places += [F.max(F.when(has(low), F.col("value"))).alias(f"a{k}"), F.max(F.when(has(F.least(low + 1, F.col("total") - 1)), F.col("value"))).alias(f"b{k}"), F.max(at - low).alias(f"t{k}")]
+        a, b, t = F.col(f"a{k}"), F.col(f"b{k}"), F.col(f"t{k}")
+        columns.append(scaled(F.when(t < 0.5, a + (b - a) * t).otherwise(b - (b - a) * (1 - t)), scale, nodata).alias(f"p{round(p * 100)}"))
+    return ranked.groupBy(*keys).agg(*places).select(*keys, *columns)
+
+
+#: Nodes on a side of a lattice block.
+BLOCK = 8
+
+
+def lattice_blocks(nodes: DataFrame, keys: list[str], block: int = BLOCK) -> DataFrame:
+    """(keys, bi, bj, values): a lattice (keys, i, j, value) as blocks of arrays, row by row, null where a node is missing.
+
+    A block has ``block`` nodes a side and one more, the first ones of the blocks behind it, so that all nodes around a
+    place within a block are in its array.
+    """
+    side = block + 1
+    homes = lambda c: F.when(F.pmod(c, F.lit(block)) == 0, F.array(F.floor(c / block), F.floor(c / block) - 1)).otherwise(F.array(F.floor(c / block)))
+    dealt = nodes.select(*keys, "i", "j", "value", F.explode(homes(F.col("i"))).alias("bi")).withColumn("bj", F.explode(homes(F.col("j"))))
+    at = (F.col("i") - F.col("bi") * block) * side + F.col("j") - F.col("bj") * block
+    found = dealt.groupBy(*keys, "bi", "bj").agg(F.map_from_entries(F.collect_list(F.struct(at.cast("int").alias("at"), "value"))).alias("m"))
+    return found.select(*keys, "bi", "bj", F.transform(F.sequence(F.lit(0), F.lit(side * side - 1)), lambda k: F.try_element_at("m", k)).alias("values"))
+
+
+def resample_to_grid(blocks: DataFrame, cells: DataFrame, x0: float, y0: float, step: float, keys: list[str], project=None, scale: int | None = None, nodata: int = -32768, block: int = BLOCK) -> DataFrame:
     """``cells`` (x, y and others) with the bilinear mean of the four lattice nodes around them for each of ``keys``.
 
-    ``nodes``: keys, i, j, value. Null and missing nodes leave the mean to the others by their weights.
+    ``blocks``: lattice_blocks() of nodes that stand ``step`` apart from (x0, y0) on. ``project`` takes a cell's x and y to
+    the lattice's projection. A cell meets the one block that it lies in. Null and missing nodes leave the mean
+    to the others by their weights; a cell without any, in a block of the lattice, has no value. With
+    ``scale`` values are 16-bit numbers, scaled and rounded, and ``nodata`` where there is none.
     """
-    u, v = (F.col("x") - x0) / step, (F.col("y") - y0) / step
-    corner = F.struct(F.col("_d.i").alias("i"), F.col("_d.j").alias("j"))
-    offsets = F.array(*[F.struct(F.lit(i).alias("i"), F.lit(j).alias("j")) for i in (0, 1) for j in (0, 1)])
-    around = cells.withColumn("_u", u).withColumn("_v", v).withColumn("_d", F.explode(offsets)).withColumn("_c", corner)
-    around = around.withColumn("i", F.floor("_u") + F.col("_c.i")).withColumn("j", F.floor("_v") + F.col("_c.j"))
-    weight = (1 - F.abs(F.col("_u") - F.col("i"))) * (1 - F.abs(F.col("_v") - F.col("j")))
-    met = around.withColumn("_w", weight).join(nodes.where(F.col("value").isNotNull()), ["i", "j"])
-    out = met.groupBy(*keys, *cells.columns).agg(F.sum(F.col("value") * F.col("_w")).alias("_s"), F.sum("_w").alias("_t"))
-    return out.where("_t > 0").withColumn("value", F.col("_s") / F.col("_t")).drop("_s", "_t")
+    px, py = project(F.col("x"), F.col("y")) if project else (F.col("x"), F.col("y"))
+    # a generator keeps the projection from being worked out anew wherever its result is used
+    placed = cells.select("*", F.inline(F.array(F.struct(((px - x0) / step).alias("_u"), ((py - y0) / step).alias("_v")))))
+    placed = placed.withColumns({"bi": F.floor(F.floor("_u") / block), "bj": F.floor(F.floor("_v") / block)})
+    met = placed.join(blocks, ["bi", "bj"])
+    u, v = F.col("_u") - F.col("bi") * block, F.col("_v") - F.col("bj") * block
+    corners = [((F.floor(u) + i), (F.floor(v) + j)) for i in (0, 1) for j in (0, 1)]
+    value = lambda i, j: F.get("values", (i * (block + 1) + j).cast("int"))
+    weight = lambda i, j: F.when(value(i, j).isNotNull(), (1 - F.abs(u - i)) * (1 - F.abs(v - j))).otherwise(0.0)
+    total = sum((weight(i, j) for i, j in corners), F.lit(0.0))
+    mean = sum((weight(i, j) * F.coalesce(value(i, j), F.lit(0.0)) for i, j in corners), F.lit(0.0)) / F.nullif(total, F.lit(0.0))
+    out = met.withColumn("value", mean).select(*keys, *cells.columns, "value")
+    return out if scale is None else out.withColumn("value", scaled(F.col("value"), scale, nodata))
+
+
+def scaled(q: Column, scale: int, nodata: int) -> Column:
+    """A value as a 16-bit number, nodata if it is null."""
+    kept = F.when(q.isNotNull(), F.least(F.greatest(F.rint(q * scale), F.lit(-32768.0)), F.lit(32767.0)))
+    return F.coalesce(kept, F.lit(float(nodata))).cast("short")
 
 
 def tile_layout(bounds: DataFrame, tile: float) -> DataFrame:

@@ -8,20 +8,56 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.scalars import coded, hash_shard, local_parts, month_in_window, work_key
+from ..functions.scalars import clean_label, coded, hash_shard, local_parts, month_in_window, segment_bounds, to_number, work_key
 from .ranking import dedupe, rank_in, top_k
 
 
+#: Models of a work list, at most; the list is broadcast.
+MAX_MODELS = 10_000
+
+
 def worklist(recordings: DataFrame, models: DataFrame, key: str, shards: int) -> DataFrame:
-    """Every recording with every model of the short model list, its key and shard."""
-    out = recordings.crossJoin(models)
+    """Every recording with every model of the short model list, its key and shard. The list is counted, then broadcast."""
+    if models.count() > MAX_MODELS:
+        raise ValueError(f"more than {MAX_MODELS} models")
+    out = recordings.crossJoin(F.broadcast(models))
     return out.withColumn("work_key", work_key(F.col(key).cast("string"), F.col("model"))).withColumn("shard", hash_shard(F.col(key).cast("string"), shards))
 
 
-def melt_scores(raw: DataFrame, keys: list[str], scores: str) -> DataFrame:
-    """Map of maps {segment: {label: score}} as rows."""
-    outer = raw.select(*keys, F.explode(scores).alias("segment", "_inner"))
-    return outer.select(*keys, "segment", F.explode("_inner").alias("label", "score"))
+def melt_scores(raw: DataFrame, keys: list[str], scores: str, labels: str | None = None, seconds: float = 3.0) -> DataFrame:
+    """(keys, segment, start, end, label, score) of what models return, whatever its form, as JSON text or VARIANT.
+
+    Forms: {segment: {label: score}}, where a segment that is no number is 0; {label: score} of segment 0; lists of
+    scores, one or one a segment, by themselves or below any name, whose labels are those of the array column ``labels``,
+    if it has as many. All forms are exploded by one path and told apart by what is found at each depth.
+    Scores that are no finite numbers, and lists without labels, have no rows.
+    """
+    v = F.try_parse_json(scores) if raw.schema[scores].dataType.simpleString() == "string" else F.col(scores)
+    out = raw.select(*keys, v.alias("_v"), (F.lit(None).cast("array<string>") if labels is None else F.col(labels)).alias("_labels"))
+    below = lambda df, k: df.lateralJoin(df.sparkSession.tvf.variant_explode_outer(F.col("_v" if k == 1 else f"_v{k - 1}").outer()).toDF(f"_p{k}", f"_k{k}", f"_v{k}"))
+    for k in (1, 2, 3):
+        out = below(out, k)
+    v1, v2, v3 = (F.col(f"_v{k}") for k in (1, 2, 3))
+    named, deep, deepest = F.col("_k1").isNotNull(), v2.isNotNull(), v3.isNotNull()
+    number = F.when(F.col("_k1").rlike(r"^\d+$"), F.col("_k1").try_cast("int")).otherwise(0)
+    case = lambda segment, at, label, value, row: F.struct(segment.cast("int").alias("segment"), at.cast("int").alias("at"), label.cast("string").alias("label"), value.alias("v"), row.alias("row"))
+    zero, none, no_row = F.lit(0), F.lit(None), F.lit(None).cast("variant")
+    cell = (
+        F.when(deepest & named & F.col("_k2").isNull() & F.col("_k3").isNull(), case(F.col("_p2"), F.col("_p3"), none, v3, v2))
+        .when(deep & ~deepest & named & F.col("_k2").isNotNull(), case(number, none, F.col("_k2"), v2, no_row))
+        .when(deep & ~deepest & named, case(zero, F.col("_p2"), none, v2, v1))
+        .when(deep & ~deepest & ~named & F.col("_k2").isNull(), case(F.col("_p1"), F.col("_p2"), none, v2, v1))
+        .when(~deep & named, case(zero, none, F.col("_k1"), v1, no_row))
+        .when(~deep & ~named & v1.isNotNull(), case(zero, F.col("_p1"), none, v1, F.col("_v")))
+    )
+    out = out.select(*keys, "_labels", cell.alias("c")).select(*keys, "_labels", "c.*")
+    width = F.size(F.try_variant_get("row", "$", "array<variant>"))
+    by_index = F.when(F.size("_labels") == width, F.get("_labels", F.col("at")))
+    score = to_number(F.try_variant_get("v", "$", "string"))
+    out = out.withColumn("label", clean_label(F.when(F.col("at").isNull(), F.col("label")).otherwise(by_index))).withColumn("score", score)
+    bounds = segment_bounds(F.col("segment"), F.lit(float(seconds)))
+    good = F.col("score").isNotNull() & (F.col("at").isNull() | (F.size("_labels") == width))
+    return out.where(good).select(*keys, "segment", bounds["start"].alias("start"), bounds["end"].alias("end"), "label", "score")
 
 
 def melt_embeddings(raw: DataFrame, keys: list[str], vectors: str, seconds: float) -> DataFrame:

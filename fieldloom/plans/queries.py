@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import scalars as S
-from ..functions.geo import point
+from ..functions.geo import laea_to_lcc, point
 from ..operators import changes, cube, inventory, landcover, master, ranking, shapes, species
 from ..sources import tables
 from .standins import view, with_views
@@ -722,14 +722,20 @@ def raster_stats(spark, sf_dir):
     return cube.raster_stats(view(spark, sf_dir, "pixels"), -9999, 4, 0.215).withColumn("empty_fraction", F.round("empty_fraction", 9))
 
 
-@query("""+ m AS (SELECT id, label, unnest(embedding) AS score, unnest(range(len(embedding))) AS i FROM raw_scores)
-    SELECT id, CAST(i // 8 AS VARCHAR) AS segment, 's' || CAST(i % 8 AS VARCHAR) AS label, score FROM m""", "raw_scores")
+@query("""+ m AS (SELECT id, id % 6 AS form, CAST(floor(1000 * CAST(unnest(embedding) AS DOUBLE)) AS DOUBLE) AS score, unnest(range(len(embedding))) AS i FROM raw_scores),
+    s AS (SELECT id, score, CAST(CASE WHEN form IN (2, 4) THEN 0 ELSE i // 8 END AS INT) AS segment, CASE form WHEN 2 THEN 'flat ' || CAST(i AS VARCHAR) WHEN 4 THEN 'l' || CAST(i AS VARCHAR) ELSE CASE form WHEN 0 THEN 's' ELSE 'l' END || CAST(i % 8 AS VARCHAR) END AS label FROM m WHERE form < 5)
+    SELECT id, segment, segment * 3.0::DOUBLE AS start, (segment + 1) * 3.0::DOUBLE AS "end", label, score FROM s""", "raw_scores")
 def melt_scores(spark, sf_dir):
-    raw = view(spark, sf_dir, "raw_scores")
-    part = lambda s: F.map_from_entries(F.transform(F.sequence(F.lit(0), F.lit(7)), lambda j: F.struct(F.concat(F.lit("s"), j.cast("string")), F.get("embedding", s * 8 + j))))
-    n = (F.size("embedding") / 8).cast("int") - 1
-    maps = raw.select("id", F.map_from_entries(F.transform(F.sequence(F.lit(0), n), lambda s: F.struct(s.cast("string"), part(s)))).alias("scores"))
-    return species.melt_scores(maps, ["id"], "scores")
+    """Vectors as the JSON that models return: map of maps, matrix, flat map, matrix below a name, one list, and a list with too few labels."""
+    raw = view(spark, sf_dir, "raw_scores").withColumn("v", F.transform("embedding", lambda x: F.floor(x.cast("double") * 1000)))
+    rows = F.transform(F.sequence(F.lit(0), (F.size("v") / 8).cast("int") - 1), lambda s: F.slice("v", s * 8 + 1, 8))
+    named = lambda values, name: F.map_from_entries(F.transform(values, lambda x, i: F.struct(F.concat(F.lit(name), i.cast("string")), x)))
+    maps = F.map_from_entries(F.transform(rows, lambda r, i: F.struct(i.cast("string"), named(r, "s"))))
+    form = F.col("id") % 6
+    text = F.when(form == 0, F.to_json(maps)).when(form == 2, F.to_json(named(F.col("v"), "flat  "))).when(form == 3, F.to_json(F.create_map(F.lit("scores"), rows))).when(form == 4, F.to_json("v")).otherwise(F.to_json(rows))
+    n = F.when(form == 4, F.size("v")).when(form == 5, 7).otherwise(8)
+    labels = F.transform(F.sequence(F.lit(0), n - 1), lambda i: F.concat(F.lit("l"), i.cast("string")))
+    return species.melt_scores(raw.select("id", text.alias("scores"), labels.alias("labels")), ["id"], "scores", "labels")
 
 
 @query("""SELECT label AS id, count(*) AS n_segments, count(*) FILTER (WHERE len(embedding) <> 64) AS n_wrong_dim, count(*) FILTER (WHERE len(embedding) <> 64) = 0 AS valid FROM raw_scores GROUP BY label""", "raw_scores")
@@ -767,17 +773,49 @@ def tile_layout(spark, sf_dir):
     return cube.tile_layout(bounds, 250.0)
 
 
-NODES = """nodes AS (SELECT CAST(s_suppkey % 38 AS BIGINT) AS i, CAST(s_suppkey % 37 AS BIGINT) AS j, CAST(floor(max(s_acctbal)) AS DOUBLE) AS value FROM supplier GROUP BY ALL) """
-
-
-@query("+ " + NODES + """, a AS (SELECT id, x, y, x / 100 AS u, y / 100 AS v FROM points), d AS (SELECT a.*, CAST(floor(u) AS BIGINT) + di AS i, CAST(floor(v) AS BIGINT) + dj AS j FROM a, (VALUES (0, 0), (0, 1), (1, 0), (1, 1)) AS o(di, dj)),
-    m AS (SELECT id, x, y, sum(value * (1 - abs(u - d.i)) * (1 - abs(v - d.j))) AS s, sum((1 - abs(u - d.i)) * (1 - abs(v - d.j))) AS t FROM d JOIN nodes n ON n.i = d.i AND n.j = d.j GROUP BY ALL)
-    SELECT id, x, y, round(s / t, 3) AS value FROM m WHERE t > 0""", "points")
+def sql_projections() -> str:
+    """The two projections between the grid and the lattice in SQL, with the library's constants worked out."""
+    import math
+
+    from ..functions import geo as G
+
+    e2 = G.GRS80_F * (2 - G.GRS80_F)
+    e = math.sqrt(e2)
+    q_of = lambda s: (1 - e2) * (s / (1 - e2 * s * s) - math.log((1 - e * s) / (1 + e * s)) / (2 * e))
+    qp, phi = q_of(1.0), math.radians(G.LAEA_LAT)
+    b0, rq = math.asin(q_of(math.sin(phi)) / qp), G.GRS80_A * math.sqrt(qp / 2)
+    d = G.GRS80_A * (math.cos(phi) / math.sqrt(1 - e2 * math.sin(phi) ** 2)) / (rq * math.cos(b0))
+    series = (e2 / 3 + 31 * e2**2 / 180 + 517 * e2**3 / 5040, 23 * e2**2 / 360 + 251 * e2**3 / 3780, 761 * e2**3 / 45360)
+    m_of = lambda p: math.cos(p) / math.sqrt(1 - (e * math.sin(p)) ** 2)
+    t_at = lambda p: math.tan(math.pi / 4 - p / 2) / ((1 - e * math.sin(p)) / (1 + e * math.sin(p))) ** (e / 2)
+    p1, p2, p0 = map(math.radians, (G.LCC_LAT1, G.LCC_LAT2, G.LCC_LAT0))
+    n = (math.log(m_of(p1)) - math.log(m_of(p2))) / (math.log(t_at(p1)) - math.log(t_at(p2)))
+    f = m_of(p1) / (n * t_at(p1) ** n)
+    r = lambda v: f"({v!r}::DOUBLE)"
+    return f"""c1 AS (SELECT *, (x - {r(G.LAEA_X)}) / {r(d)} AS dx, (y - {r(G.LAEA_Y)}) * {r(d)} AS dy FROM cells), c2 AS (SELECT *, sqrt(dx * dx + dy * dy) AS rho, asin(sqrt(dx * dx + dy * dy) / {r(2 * rq)}) * 2 AS c FROM c1),
+    c3 AS (SELECT *, asin(cos(c) * {r(math.sin(b0))} + dy * sin(c) * {r(math.cos(b0))} / rho) AS beta, atan2(dx * sin(c), rho * {r(math.cos(b0))} * cos(c) - dy * {r(math.sin(b0))} * sin(c)) AS lam FROM c2),
+    c4 AS (SELECT *, beta + {" + ".join(f"{r(k)} * sin({2 * i} * beta)" for i, k in enumerate(series, 1))} AS phi FROM c3),
+    c5 AS (SELECT *, {r(G.GRS80_A * f)} * pow(tan({r(math.pi / 4)} - phi / 2) / pow((1 - sin(phi) * {r(e)}) / (1 + sin(phi) * {r(e)}), {r(e / 2)}), {r(n)}) AS rr, lam * {r(n)} AS th FROM c4),
+    pc AS (SELECT id, x, y, rr * sin(th) + {r(G.LCC_X)} AS px, {r(G.GRS80_A * f * t_at(p0) ** n + G.LCC_Y)} - rr * cos(th) AS py FROM c5) """
+
+
+GRID_CELLS = "cells AS (SELECT c_custkey AS id, CAST(4321050 + (c_custkey * 37 % 320 - 10) * 1000 AS DOUBLE) AS x, CAST(3210050 + (c_custkey * 53 % 80 - 10) * 1000 AS DOUBLE) AS y FROM customer)"
+
+
+@query("WITH nodes AS (SELECT event_type AS var, user_id % 30 AS i, user_id // 30 AS j, CAST(CASE WHEN min(user_id) % 13 <> 0 THEN floor(max(value)) END AS DOUBLE) AS value FROM events WHERE event_type IN ('click', 'view') AND user_id % 17 <> 0 GROUP BY ALL), " + GRID_CELLS + ", " + sql_projections() + """,
+    a AS (SELECT *, (px - 4000000) / 10000 AS u, (py - 2800000) / 10000 AS v FROM pc), d AS (SELECT a.*, CAST(floor(u) AS BIGINT) + di AS i, CAST(floor(v) AS BIGINT) + dj AS j FROM a, (VALUES (0, 0), (0, 1), (1, 0), (1, 1)) AS o(di, dj)),
+    b AS (SELECT DISTINCT var, CAST(floor(i / 8) AS BIGINT) - z AS bi, CAST(floor(j / 8) AS BIGINT) - w AS bj FROM nodes, (VALUES (0), (1)) AS p(z), (VALUES (0), (1)) AS q(w) WHERE (z = 0 OR i % 8 = 0) AND (w = 0 OR j % 8 = 0)),
+    g AS (SELECT b.var, a.* FROM a JOIN b ON bi = CAST(floor(floor(u) / 8) AS BIGINT) AND bj = CAST(floor(floor(v) / 8) AS BIGINT)),
+    m AS (SELECT g.var, g.id, sum(value * (1 - abs(d.u - d.i)) * (1 - abs(d.v - d.j))) AS s, sum(CASE WHEN value IS NOT NULL THEN (1 - abs(d.u - d.i)) * (1 - abs(d.v - d.j)) END) AS t FROM g JOIN d USING (id) LEFT JOIN nodes n ON n.i = d.i AND n.j = d.j AND n.var = g.var GROUP BY ALL)
+    SELECT var, id, CASE WHEN t > 0 THEN CAST(round_even(s / t * 10, 0) AS SMALLINT) ELSE -9999 END AS value FROM m""")
 def resample_grid(spark, sf_dir):
-    s = spark.read.parquet(f"{sf_dir}/supplier.parquet")
-    nodes = s.groupBy((F.col("s_suppkey") % 38).cast("long").alias("i"), (F.col("s_suppkey") % 37).cast("long").alias("j")).agg(F.floor(F.max("s_acctbal")).cast("double").alias("value"))
-    points = view(spark, sf_dir, "points").select("id", F.col("x").cast("double").alias("x"), F.col("y").cast("double").alias("y"))
-    return cube.resample_to_grid(nodes, points, 0.0, 0.0, 100.0, []).withColumn("value", F.round("value", 3))
+    events = spark.read.parquet(f"{sf_dir}/events.parquet").where("event_type IN ('click', 'view') AND user_id % 17 <> 0")
+    nodes = events.groupBy(F.col("event_type").alias("var"), (F.col("user_id") % 30).cast("long").alias("i"), F.floor(F.col("user_id") / 30).alias("j")).agg(F.floor(F.max("value")).cast("double").alias("value"))
+    nodes = nodes.withColumn("value", F.when((F.col("j") * 30 + F.col("i")) % 13 != 0, F.col("value")))
+    k = F.col("c_custkey")
+    cells = spark.read.parquet(f"{sf_dir}/customer.parquet").select(k.alias("id"), (4321050 + (k * 37 % 320 - 10) * 1000).cast("double").alias("x"), (3210050 + (k * 53 % 80 - 10) * 1000).cast("double").alias("y"))
+    out = cube.resample_to_grid(cube.lattice_blocks(nodes, ["var"]), cells, 4000000.0, 2800000.0, 10000.0, ["var"], laea_to_lcc, 10, -9999)
+    return out.select("var", "id", "value")
 
 
 CODES = ["Brand#11", "Brand#22", "Brand#33", "Brand#44", "Brand#55"]
