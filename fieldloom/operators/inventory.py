@@ -107,8 +107,14 @@ def in_extent(df: DataFrame, bounds: DataFrame, x: str, y: str, margin: float =
     return df.crossJoin(F.broadcast(bounds.select("xmin", "ymin", "xmax", "ymax").limit(1))).where(near).drop("xmin", "ymin", "xmax", "ymax")
 
 
-def extent(df: DataFrame, x: str, y: str) -> DataFrame:
-    return df.agg(F.count("*").alias("n_rows"), F.min(x).alias("xmin"), F.min(y).alias("ymin"), F.max(x).alias("xmax"), F.max(y).alias("ymax"))
+def extent(df: DataFrame, x: str, y: str, cls: str | None = None) -> DataFrame:
+    """One row: rows, bounds and, of a layer with classes, how many rows each class has as class=n joined by |."""
+    out = df.agg(F.count("*").alias("n_rows"), F.min(x).alias("xmin"), F.min(y).alias("ymin"), F.max(x).alias("xmax"), F.max(y).alias("ymax"))
+    if cls is None:
+        return out
+    n = df.groupBy(F.coalesce(F.col(cls).cast("string"), F.lit("missing")).alias("c")).agg(F.count("*").alias("n"))
+    counts = n.agg(F.array_join(F.sort_array(F.collect_list(F.concat_ws("=", "c", "n"))), "|").alias("class_counts"))
+    return out.crossJoin(F.broadcast(counts))  # one row each
 
 
 def expected_media_ids(source: DataFrame, key: str, url: str, existing: DataFrame) -> DataFrame:

@@ -191,12 +191,22 @@ def master_table(base: DataFrame, attach: list, key: str, columns: list[str], pr
     return table if previous is None or ids is None else upsert_by_id(previous.select(*columns), table, ids, key)
 
 
-def assign_cell(points: DataFrame, cells: DataFrame, lon: str, lat: str, cell: str, res: int) -> DataFrame:
-    """``points`` with ``cell``, the id of the grid cell that holds them if it is in ``cells``; cells hold their lower borders."""
-    x, y = lonlat_to_laea(F.col(lon), F.col(lat))
-    named = points.withColumn(cell, F.when(F.col(lon).isNotNull() & F.col(lat).isNotNull(), grid_id_of(x, y, res)))
-    known = cells.select(cell).distinct().withColumn("_in", F.lit(True))
-    return named.join(known, cell, "left").withColumn(cell, F.when(F.col("_in"), F.col(cell))).drop("_in")
+def assign_cell(points: DataFrame, cells: DataFrame, key: str, x: str, y: str, cell: str, res: int, lonlat: bool = False) -> DataFrame:
+    """``points`` with ``cell``, the id of the grid cell that holds them if it is in ``cells``.
+
+    A point on a border lies in all cells that share it; the first of their ids counts, of those in ``cells``. Only such
+    points are looked up more than once. ``x`` and ``y`` are the grid's coordinates, or longitude and latitude.
+    """
+    px, py = lonlat_to_laea(F.col(x), F.col(y)) if lonlat else (F.col(x), F.col(y))
+    placed = points.select("*", F.inline(F.array(F.struct(px.alias("_x"), py.alias("_y")))))
+    known = cells.select(cell).distinct()
+    border = F.coalesce((F.pmod("_x", F.lit(res)) == 0) | (F.pmod("_y", F.lit(res)) == 0), F.lit(False))
+    inner = placed.where(~border).withColumn("_cell", F.when(F.col("_x").isNotNull() & F.col("_y").isNotNull(), grid_id_of(F.col("_x"), F.col("_y"), res)))
+    inner = inner.join(known.select(F.col(cell).alias("_cell"), F.col(cell)), "_cell", "left").select(*points.columns, cell)
+    around = lambda c: F.when(F.pmod(c, F.lit(res)) == 0, F.array(F.col(c), F.col(c) - res)).otherwise(F.array(c))
+    near = placed.where(border).select(key, "_x", "_y").distinct().withColumn("_cx", F.explode(around("_x"))).withColumn("_cy", F.explode(around("_y")))
+    first = near.withColumn(cell, grid_id_of(F.col("_cx"), F.col("_cy"), res)).join(known, cell).groupBy(key).agg(F.min(cell).alias(cell))
+    return inner.unionByName(placed.where(border).join(first, key, "left").select(*points.columns, cell))
 
 
 def point_status(lat: Column, lon: Column, cell: Column, inside: Column) -> Column:

@@ -2,13 +2,17 @@
 
 from __future__ import annotations
 
+import tempfile
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import scalars as S
-from ..functions.geo import laea_to_lcc, point
+from ..functions.geo import laea_to_lcc, laea_to_lonlat, lonlat_to_laea, lonlat_to_lcc, point
 from ..operators import changes, cube, inventory, landcover, master, ranking, shapes, species
 from ..sources import tables
+from ..streaming import updates
 from .standins import view, with_views
 
 CELL_AREA = 10_000.0
@@ -364,11 +368,12 @@ def segment_top_k(spark, sf_dir):
 
 
 def plausible_of(spark, sf_dir):
-    preds = view(spark, sf_dir, "preds").withColumn("month", (F.col("id") % 12 + 1).cast("int"))
+    recordings = spark.read.parquet(f"{sf_dir}/orders.parquet").select(F.col("o_orderkey").alias("id"), F.col("o_orderdate").alias("recorded"))
+    preds = species.with_month(view(spark, sf_dir, "preds"), recordings, "id", "recorded")
     return species.plausibility(preds, view(spark, sf_dir, "allow"), "month")
 
 
-PLAUSIBLE = """+ pm AS (SELECT *, id % 12 + 1 AS month FROM preds),
+PLAUSIBLE = """+ pm AS (SELECT preds.*, month(o_orderdate) AS month FROM preds LEFT JOIN orders ON id = o_orderkey),
     pl AS (SELECT pm.*, accepted_name, taxon_group, CASE WHEN accepted_name IS NULL THEN 'not_evaluated' WHEN NOT present OR NOT (CASE WHEN start_month <= end_month THEN month BETWEEN start_month AND end_month ELSE month >= start_month OR month <= end_month END) THEN 'flagged' ELSE 'accepted' END AS status
     FROM pm LEFT JOIN allow USING (species)),
     bm AS (SELECT id, coalesce(accepted_name, species) AS species, model, max(score) AS score, count(DISTINCT segment) AS segments, min(taxon_group) AS taxon_group FROM pl WHERE status <> 'flagged' GROUP BY id, coalesce(accepted_name, species), model),
@@ -606,20 +611,29 @@ def temporal_summary(spark, sf_dir):
 
 
 @query(MATRIX + """, ms2 AS (SELECT id, count(*) AS n_matches, count(DISTINCT formation) AS n_formation, string_agg(DISTINCT formation, '|' ORDER BY formation) AS all_formation FROM points JOIN polys ON x > x0 AND x < x1 AND y > y0 AND y < y1 GROUP BY id),
-    p AS (SELECT id, x AS lat, y AS lon, CASE WHEN id % 6 > 0 THEN '100mN' || CAST(id % 60 AS VARCHAR) || 'E' || CAST(id % 50 AS VARCHAR) END AS grid_id FROM points),
+    p AS (SELECT id, x AS lat, y AS lon, '100mN' || CAST(CAST(floor(y / 100) AS BIGINT) AS VARCHAR) || 'E' || CAST(CAST(floor(x / 100) AS BIGINT) AS VARCHAR) AS grid_id FROM points),
     q AS (SELECT p.* EXCLUDE (grid_id), mm.grid_id, majority, coalesce(n_matches, 0) AS n_matches, coalesce(n_formation, 0) AS n_formation, all_formation FROM p LEFT JOIN mm ON mm.grid_id = p.grid_id LEFT JOIN ms2 ON ms2.id = p.id)
     SELECT id, grid_id, majority, n_matches, n_formation, all_formation, grid_id IS NOT NULL AS inside_majority_grid, n_matches > 0 AS inside_polygon,
     CASE WHEN n_matches > 0 THEN 'inside_lrt_polygon' WHEN grid_id IS NULL THEN 'outside_majority_grid' ELSE 'inside_majority_grid_outside_lrt' END AS processing_status FROM q""", "ix", "points", "polys")
 def point_table(spark, sf_dir):
     summary = landcover.matrix_summary(matrix_of(spark, sf_dir), "grid_id", "formation").select("grid_id", "majority")
-    cell = F.when(F.col("id") % 6 > 0, F.concat(F.lit("100mN"), (F.col("id") % 60).cast("string"), F.lit("E"), (F.col("id") % 50).cast("string")))
-    points = view(spark, sf_dir, "points").select("id", F.col("x").alias("lat"), F.col("y").alias("lon"), cell.alias("_cell"))
-    points = points.join(summary.select(F.col("grid_id").alias("_cell"), "grid_id"), "_cell", "left").drop("_cell")
+    points = view(spark, sf_dir, "points").select("id", F.col("x").cast("double").alias("x"), F.col("y").cast("double").alias("y"))
+    points = master.assign_cell(points, summary, "id", "x", "y", "grid_id", 100).select("id", F.col("x").alias("lat"), F.col("y").alias("lon"), "grid_id")
     matches = landcover.match_summary(matches_of(spark, sf_dir), "id", ["formation"]).drop("inside")
     out = master.point_table(points, summary, matches, "id", "grid_id", ["n_matches", "n_formation"])
     return out.select("id", "grid_id", "majority", "n_matches", "n_formation", "all_formation", "inside_majority_grid", "inside_polygon", "processing_status")
 
 
+@query("""+ g AS (SELECT DISTINCT grid_id, n, e FROM ix WHERE (n + e) % 3 > 0), p AS (SELECT c_custkey AS id, CAST(c_custkey % 71 * 50 AS DOUBLE) AS x, CAST(c_custkey * 7 % 43 * 25 AS DOUBLE) AS y FROM customer)
+    SELECT p.id, x, y, min(grid_id) AS cell FROM p LEFT JOIN g ON x BETWEEN e * 100 AND e * 100 + 100 AND y BETWEEN n * 100 AND n * 100 + 100 GROUP BY p.id, x, y""", "ix")
+def assign_cells(spark, sf_dir):
+    """Half of the points lie on borders of cells, which several cells share, and some cells are missing."""
+    k = F.col("c_custkey")
+    points = spark.read.parquet(f"{sf_dir}/customer.parquet").select(k.alias("id"), (k % 71 * 50).cast("double").alias("x"), (k * 7 % 43 * 25).cast("double").alias("y"))
+    cells = view(spark, sf_dir, "ix").where("(n + e) % 3 > 0").select(F.col("grid_id").alias("cell"))
+    return master.assign_cell(points, cells, "id", "x", "y", "cell", 100)
+
+
 # Queries of single rules over whole tables.
 
 
@@ -755,14 +769,15 @@ def mark_duplicates(spark, sf_dir):
     return inventory.mark_duplicates(view(spark, sf_dir, "media").select("id", "name"), "id", [F.asc("name")])
 
 
-@query("SELECT count(*) AS n_rows, min(x0) AS xmin, min(y0) AS ymin, max(x0) AS xmax, max(y0) AS ymax FROM polys", "polys")
+@query("""+ c AS (SELECT status || '=' || CAST(count(*) AS VARCHAR) AS s FROM polys GROUP BY status)
+    SELECT count(*) AS n_rows, min(x0) AS xmin, min(y0) AS ymin, max(x0) AS xmax, max(y0) AS ymax, (SELECT string_agg(s, '|' ORDER BY s) FROM c) AS class_counts FROM polys""", "polys")
 def extent(spark, sf_dir):
-    return inventory.extent(view(spark, sf_dir, "polys"), "x0", "y0")
+    return inventory.extent(view(spark, sf_dir, "polys"), "x0", "y0", "status")
 
 
-@query("""+ b AS (SELECT min(x0) AS xmin, min(y0) AS ymin, max(x0) AS xmax, max(y0) AS ymax FROM polys WHERE poly > 50) SELECT p.id, p.x, p.y FROM points p, b WHERE x BETWEEN xmin - 20 AND xmax + 20 AND y BETWEEN ymin - 20 AND ymax + 20""", "points", "polys")
+@query("""+ b AS (SELECT min(x0) AS xmin, min(y0) AS ymin, max(x0) - 1000 AS xmax, max(y0) - 1000 AS ymax FROM polys) SELECT p.id, p.x, p.y FROM points p, b WHERE x BETWEEN xmin - 20 AND xmax + 20 AND y BETWEEN ymin - 20 AND ymax + 20""", "points", "polys")
 def in_extent(spark, sf_dir):
-    bounds = inventory.extent(view(spark, sf_dir, "polys").where("poly > 50"), "x0", "y0")
+    bounds = inventory.extent(view(spark, sf_dir, "polys"), "x0", "y0").withColumns({c: F.col(c) - 1000 for c in ("xmax", "ymax")})
     return inventory.in_extent(view(spark, sf_dir, "points").select("id", "x", "y"), bounds, "x", "y", 20.0)
 
 
@@ -943,3 +958,69 @@ def preserve_columns(spark, sf_dir):
 @query("""+ m AS (SELECT id, name, mtime FROM media QUALIFY row_number() OVER (PARTITION BY id ORDER BY mtime DESC, name) = 1) SELECT s.id, s.lat, m.name, m.mtime FROM source s LEFT JOIN m ON s.id = m.id""", "source", "media")
 def enrich_left(spark, sf_dir):
     return changes.enrich_left(view(spark, sf_dir, "source").select("id", "lat"), view(spark, sf_dir, "media"), "id", ["name", "mtime"], [F.desc("mtime"), F.asc("name")])
+
+
+def scratch(spark, name):
+    """A new folder below spark.checkpoint.dir, or a local one where that is unset, as in tests."""
+    base = spark.conf.get("spark.checkpoint.dir", None)
+    if not base:
+        if not spark.sparkContext.master.startswith("local["):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
+        base = tempfile.mkdtemp(prefix="spark-")
+    return f"{base.rstrip('/')}/{name}-{uuid.uuid4().hex}"
+
+
+@query("SELECT user_id, event_id, ts, value FROM events QUALIFY row_number() OVER (PARTITION BY user_id ORDER BY ts DESC, value DESC, event_id DESC) = 1")
+def stream_upsert(spark, sf_dir):
+    """The newest event of each user from a stream of files in an order that has nothing to do with time."""
+    events = spark.read.parquet(f"{sf_dir}/events.parquet").select("user_id", "event_id", "ts", "value")
+    place = scratch(spark, "upsert")
+    events.repartition(6, F.xxhash64("event_id")).write.parquet(f"{place}/in")
+    updates.stream_upsert(spark, f"{place}/in", events.schema, f"{place}/out", f"{place}/log", "user_id", "ts", 8, files_per_batch=2, compact_every=2)
+    return updates.read_upserted(spark, f"{place}/out", events.schema, "user_id", "ts")
+
+
+@query("""WITH p AS (SELECT c_custkey AS id, CAST(4321050 + (c_custkey * 37 % 900 - 450) * 1000 AS DOUBLE) AS x, CAST(3210050 + (c_custkey * 53 % 900 - 450) * 1000 AS DOUBLE) AS y FROM customer), """ + GRID_CELLS.replace("cells AS (", "_unused AS (") + ", cells AS (SELECT * FROM p), " + sql_projections() + """
+    SELECT pc.id, round(px, 2) AS px, round(py, 2) AS py, round(degrees(lam) + 10, 6) AS lon, round(degrees(phi), 6) AS lat, TRUE AS there_and_back FROM pc JOIN c5 USING (id)""")
+def projections(spark, sf_dir):
+    """Cells of the equal-area grid in degrees and in the lattice's projection, and whether the way back ends within a millimetre."""
+    k = F.col("c_custkey")
+    cells = spark.read.parquet(f"{sf_dir}/customer.parquet").select(k.alias("id"), (4321050 + (k * 37 % 900 - 450) * 1000).cast("double").alias("x"), (3210050 + (k * 53 % 900 - 450) * 1000).cast("double").alias("y"))
+    lon, lat = laea_to_lonlat(F.col("x"), F.col("y"))
+    placed = cells.select("*", F.inline(F.array(F.struct(lon.alias("lon"), lat.alias("lat")))))
+    px, py = lonlat_to_lcc(F.col("lon"), F.col("lat"))
+    bx, by = lonlat_to_laea(F.col("lon"), F.col("lat"))
+    near = (F.abs(bx - F.col("x")) < 1e-3) & (F.abs(by - F.col("y")) < 1e-3)
+    return placed.select("id", F.round(px, 2).alias("px"), F.round(py, 2).alias("py"), F.round("lon", 6).alias("lon"), F.round("lat", 6).alias("lat"), near.alias("there_and_back"))
+
+
+@query("""+ t AS (SELECT event_id AS id, date_trunc('second', ts) AS wall, CAST(event_id % 4000 AS DOUBLE) / 50 AS duration FROM events)
+    SELECT id, wall - INTERVAL 1 HOUR AS instant, strftime(wall, '%Y-%m-%dT%H:%M:%S') || '+01:00' AS iso, coalesce(abs(duration - 60) <= 5, FALSE) AS duration_ok,
+    CASE WHEN duration > 0 AND abs(duration - 60) > 5 THEN printf('duration_not_60s:observed=%.6fs,allowed=55-65s', duration) END AS duration_issue, 'rec_' || CAST(id AS VARCHAR) AS name,
+    (id % 20) * 3.0::DOUBLE AS start, (id % 20 + 1) * 3.0::DOUBLE AS "end", array_to_string(list_transform(range(0, CAST(id % 3 AS INT) + 1), lambda i: strftime(TIMESTAMP '2024-11-15' + to_months(CAST(i AS INT)), '%Y-%m')), '|') AS months FROM t""", "times")
+def time_rules(spark, sf_dir):
+    """Instants, offsets, durations, segments and months of clock times in a zone."""
+    events = spark.read.parquet(f"{sf_dir}/events.parquet")
+    wall, duration = F.date_trunc("second", "ts"), (F.col("event_id") % 4000).cast("double") / 50
+    bounds = S.segment_bounds(F.col("event_id") % 20, F.lit(3.0))
+    first = F.lit("2024-11-15").cast("timestamp")
+    months = S.months_spanning(first, F.add_months(first, (F.col("event_id") % 3).cast("int")).cast("timestamp"))
+    return events.select(
+        F.col("event_id").alias("id"), S.to_instant(wall, "Europe/Berlin").alias("instant"), S.format_iso_offset(wall, "Europe/Berlin").alias("iso"), S.duration_ok(duration, 60, 5).alias("duration_ok"), S.duration_issue(duration, 60, 5).alias("duration_issue"),
+        S.slug(F.col("event_id").cast("string"), "rec_").alias("name"), bounds["start"].alias("start"), bounds["end"].alias("end"), F.array_join(months, "|").alias("months"),
+    )
+
+
+@query("""SELECT '{"rows":' || count(*) || ',"urgent":' || count(*) FILTER (WHERE o_orderpriority = '1-URGENT') || ',"state_counts":{' || (SELECT string_agg('"' || s || '":' || n, ',' ORDER BY s) FROM (SELECT o_orderstatus AS s, count(*) AS n FROM orders GROUP BY 1)) || '}}' AS summary FROM orders""")
+def summary_record(spark, sf_dir):
+    orders = spark.read.parquet(f"{sf_dir}/orders.parquet")
+    return tables.summary_record(orders.select((F.col("o_orderpriority") == "1-URGENT").alias("urgent"), F.col("o_orderstatus").alias("state")), ["urgent"], ["state"])
+
+
+@query("SELECT poly, part, x0 + part * 1000 AS xmin FROM polys CROSS JOIN (SELECT unnest([0, 2]) AS part) AS p", "polys")
+def polygon_parts(spark, sf_dir):
+    """Parts of multipolygons of which the second has no area and goes."""
+    box = lambda dx, w: F.array(F.array(*[point(F.col("x0") + dx + w * i, F.col("y0") + w * j) for i, j in ((0, 0), (1, 0), (1, 1), (0, 1))]))
+    polys = view(spark, sf_dir, "polys").select("poly", "x0", F.array(box(0, 5), box(1000, 0), box(2000, 7)).alias("parts"))
+    kept = landcover.drop_bad(landcover.explode_parts(polys, "parts", "rings"), "rings")
+    return kept.select("poly", "part", F.array_min(F.transform(F.col("rings")[0], lambda p: p["x"])).alias("xmin"))

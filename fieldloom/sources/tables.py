@@ -10,6 +10,10 @@ from pyspark.sql import types as T
 from pyspark.errors import AnalysisException
 
 from ..functions.scalars import normalise_id
+from .listing import FolderListing
+
+#: Folders of a table in buckets.
+BUCKETS = 64
 
 
 def read_delimited(spark: SparkSession, path: str) -> DataFrame:
@@ -43,10 +47,13 @@ def read_ids(spark: SparkSession, path: str, aliases: tuple[str, ...] = ("record
 
 
 def list_files(spark: SparkSession, root: str, glob: str, id_pattern: str) -> DataFrame:
-    """One row per file: id from the name, path, size and time; contents are not read."""
-    files = spark.read.format("binaryFile").option("pathGlobFilter", glob).option("recursiveFileLookup", True).load(root)
-    name = F.element_at(F.split("path", "/"), -1)
-    return files.select(name.alias("name"), F.regexp_extract(name, id_pattern, 1).alias("id"), "path", F.col("length").alias("size_bytes"), F.col("modificationTime").alias("modified"))
+    """One row per file below ``root``: id from the name, path, size and time; contents are not read.
+
+    Folders are listed by the executors, see listing.FolderListing.
+    """
+    spark.dataSource.register(FolderListing)
+    files = spark.read.format("folder_listing").option("glob", glob).load(root)
+    return files.select("name", F.regexp_extract("name", id_pattern, 1).alias("id"), "path", "size_bytes", "modified")
 
 
 def read_json_docs(spark: SparkSession, root: str) -> DataFrame:
@@ -59,6 +66,29 @@ def lookup_rows(df: DataFrame, ids: list | DataFrame, key: str, columns: list[st
     return found.select(key, *columns)
 
 
+def publish_buckets(df: DataFrame, path: str, key: str, buckets: int = BUCKETS) -> None:
+    """Write a table in folders by a hash of its key, sorted by the key within each, for look_up_buckets()."""
+    dealt = df.withColumn("_bucket", bucket_of(F.col(key), buckets)).repartition(buckets, "_bucket").sortWithinPartitions("_bucket", key)
+    dealt.write.mode("overwrite").option("compression", "zstd").partitionBy("_bucket").parquet(path)
+
+
+def look_up_buckets(spark: SparkSession, path: str, ids: DataFrame, key: str, columns: list[str], buckets: int = BUCKETS) -> DataFrame:
+    """Rows of the ids of a table from publish_buckets(): only the folders of their hashes are read.
+
+    Up to ``buckets`` ids also go into the scan, where the sorted files' statistics leave out all other row groups.
+    """
+    wanted = ids.select(key).distinct()
+    touched = [r[0] for r in wanted.select(bucket_of(F.col(key), buckets)).distinct().collect()]  # ``buckets`` at most
+    rows = spark.read.parquet(path).where(F.col("_bucket").isin(touched))
+    few = [r[0] for r in wanted.limit(buckets + 1).collect()]
+    rows = rows.where(F.col(key).isin(few)) if len(few) <= buckets else rows.join(wanted, key, "left_semi")
+    return rows.select(key, *columns)
+
+
+def bucket_of(key, buckets: int):
+    return F.pmod(F.xxhash64(key), F.lit(buckets)).cast("int")
+
+
 def harmonise_columns(df: DataFrame, aliases: dict[str, list[str]], required: list[str]) -> DataFrame:
     """Columns by their usual names, whatever their case or alias; a missing required one is an error."""
     lower = {c.lower(): c for c in df.columns}

@@ -443,3 +443,35 @@ def test_status_of_the_majority_is_an_allowed_one(spark):
     assert set(got) == {"a", "b", "d"} and (a["majority"], a["majority_status"], a["majority_value"], a["second_value"], a["n_classes"], a["n_codes"]) == ("f", "A", 10000, 3000, 2, 3)
     assert (b["majority_status"], b["n_codes"], d["n_codes"], d["majority_status"]) == (None, 1, 0, "C")
     assert (a["f"], a["h"], a["f_K"], a["f_A"], a["1"], a["1_K"], a["2_K"]) == (10000, 0, 6000, 2000, 8000, 6000, 0)
+
+
+def test_folders_are_listed_in_partitions(spark, tmp_path):
+    """The same rows as Spark's own listing, over nested folders, one partition a folder."""
+    for name in ("a.wav", "x/1_b.wav", "x/y/z/2_c.wav", "x/y/no.txt", "w/3_d.WAV", "w/4_e.mp3"):
+        (tmp_path / name).parent.mkdir(parents=True, exist_ok=True)
+        (tmp_path / name).write_text(name)
+    got = tables.list_files(spark, str(tmp_path), "*.{wav,mp3}", r"^(\d+)_")
+    assert got.rdd.getNumPartitions() == 3
+    own = spark.read.format("binaryFile").option("pathGlobFilter", "*.{wav,mp3}").option("recursiveFileLookup", True).load(str(tmp_path))
+    want = {(r["path"], r["length"], r["modificationTime"]) for r in own.drop("content").collect()}
+    assert {(r["path"], r["size_bytes"], r["modified"]) for r in got.collect()} == want and len(want) == 4
+    assert {r["name"]: r["id"] for r in got.collect()} == {"a.wav": "", "1_b.wav": "1", "2_c.wav": "2", "4_e.mp3": "4"}
+
+
+def test_lookups_read_only_their_buckets(spark, tmp_path):
+    path = str(tmp_path / "t")
+    tables.publish_buckets(spark.range(5000).withColumn("v", F.col("id") * 2), path, "id", 32)
+    few = tables.look_up_buckets(spark, path, spark.createDataFrame([(7,), (7,), (4999,), (10**9,)], "id long"), "id", ["v"], 32)
+    assert sorted(map(tuple, few.collect())) == [(7, 14), (4999, 9998)]
+    plan = few._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(_bucket" in plan or "PartitionFilters: [_bucket" in plan
+    files = few.select(F.input_file_name()).distinct().count()
+    assert files <= 2 and "PushedFilters: [In(id" in plan
+    many = tables.look_up_buckets(spark, path, spark.range(100).where("id % 2 = 0"), "id", ["v"], 32)
+    assert many.count() == 50
+
+
+def test_points_without_place_or_cell(spark):
+    cells = spark.createDataFrame([("10mN0E0",), ("10mN0E1",), ("10mN1E1",)], "cell string")
+    points = spark.createDataFrame([(1, 10.0, 5.0), (2, 10.0, 10.0), (3, None, 1.0), (4, 25.0, 5.0), (5, 5.0, 5.0), (6, 20.0, 20.0)], "id int, x double, y double")
+    assert {r["id"]: r["cell"] for r in master.assign_cell(points, cells, "id", "x", "y", "cell", 10).collect()} == {1: "10mN0E0", 2: "10mN0E0", 3: None, 4: None, 5: "10mN0E0", 6: "10mN1E1"}
