@@ -557,7 +557,9 @@ def master_frame(spark, sf_dir):
     weather = series.groupBy("id").agg(F.lit("yes").alias("weather_exists"), (F.count("*") % 2 == 0).alias("has_issues"))
     weather = weather.withColumn("issue_codes", F.when(F.col("has_issues"), "Odd rows").otherwise(""))
     sentinel = scores.groupBy("id").agg(F.lit(True).alias("exists"), (F.count_if(F.col("score").isNull()) > 2).alias("has_issues"), F.lit("").alias("codes"), F.max("score").alias("best"))
-    summary = landcover.matrix_summary(matrix_of(spark, sf_dir), "grid_id", "formation")
+    # written once: both lookups of a cell's class read it
+    landcover.matrix_summary(matrix_of(spark, sf_dir), "grid_id", "formation").write.parquet(place := scratch(spark, "summary"))
+    summary = spark.read.parquet(place)
     qc = species.completion_qc(work_of(spark, sf_dir), view(spark, sf_dir, "preds"), "id", ["click", "purchase"], failed_of(spark, sf_dir))
     stats = cube.band_stats(view(spark, sf_dir, "pixels"), -9999)
     lines = cube.constant_lines(view(spark, sf_dir, "pixels"), -9999).where("axis = 'row'").groupBy("file", "band").agg(F.count("*").alias("nodata_rows"))
