@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from .shared import saved, table
@@ -13,7 +13,9 @@ WEIGHTS = (5, 2, 1)
 SHARE = 1.5
 #: No target is above this many times its source's size.
 LIMIT = 2
-SEED = "mix-1"
+SEED = "mix"
+#: Draws of each source; the one that comes nearest to its target counts.
+DRAWS = 16
 #: Source statistics of up to this many sources are broadcast; more are joined by shuffle.
 MAX_BROADCAST_SOURCES = 100_000
 
@@ -49,21 +51,30 @@ def mixed(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", sourc
     """``docs`` with size, source_size, target and copies, the number of times the mix emits the row.
 
     The rate of a source is target / source_size; a document comes floor(rate) times, plus once
-    more if a number made from a hash of the seed and its id is below the fraction. Null texts
-    have size 0, a null source is a source of its own, and one without words takes nothing.
+    more if a number made from a hash of the seed and its id is below the fraction. Of DRAWS such seeds each source has
+    the one whose words come nearest to its target, the first of equals, so that few documents do not miss it by chance.
+    Null texts have size 0, a null source is a source of its own, and one without words takes nothing.
     Clashing column names are overwritten. Rows that repeat an id decide alike.
     """
-    sized = docs.withColumn("size", word_count(F.col(text_col)))
-    sizes = saved(sized.groupBy(F.col(source_col).alias("source")).agg(F.sum("size").alias("source_size")))
+    own = saved(docs.select(F.col(id_col).alias("_id"), F.col(source_col).alias("_from"), word_count(F.col(text_col)).alias("_n")))
+    sizes = saved(own.groupBy(F.col("_from").alias("source")).agg(F.sum("_n").alias("source_size")))
     few = sizes.count() <= MAX_BROADCAST_SOURCES
-    rates = source_targets(sizes, weights, share, limit).select(F.col("source").alias("_source"), F.col("source_size").alias("_size"), F.col("target").alias("_target"))
-    rates = saved(rates)
-    joined = sized.join(F.broadcast(rates) if few else rates, F.col(source_col).eqNullSafe(F.col("_source")))
+    rates = saved(source_targets(sizes, weights, share, limit).select(F.col("source").alias("_source"), F.col("source_size").alias("_size"), F.col("target").alias("_target")))
     rate = F.when(F.col("_size") > 0, F.col("_target") / F.col("_size")).otherwise(0.0)
-    drawn = F.conv(F.substring(F.md5(F.concat(F.lit(f"{seed}:"), F.col(id_col).cast("string"))), 1, 13), 16, 10).cast("double") / F.lit(float(1 << 52))
-    drawn = F.coalesce(drawn, F.lit(0.5))
-    copies = F.floor(rate) + F.when(drawn < rate - F.floor(rate), 1).otherwise(0)
-    return joined.withColumn("source_size", F.col("_size")).withColumn("target", F.col("_target")).withColumn("copies", copies.cast("long")).drop("_source", "_size", "_target")
+
+    def copies(name: str, draw) -> Column:
+        hashed = F.md5(F.concat(F.lit(f"{seed}-"), draw.cast("string"), F.lit(":"), F.col(name).cast("string")))
+        drawn = F.coalesce(F.conv(F.substring(hashed, 1, 13), 16, 10).cast("double") / F.lit(float(1 << 52)), F.lit(0.5))
+        return (F.floor(rate) + F.when(drawn < rate - F.floor(rate), 1).otherwise(0)).cast("long")
+
+    met = own.join(F.broadcast(rates) if few else rates, F.col("_from").eqNullSafe(F.col("_source")))
+    taken = met.groupBy("_source", "_size", "_target").agg(*[F.sum(F.col("_n") * copies("_id", F.lit(k))).alias(f"_t{k}") for k in range(1, DRAWS + 1)])
+    nearest = F.array_min(F.array(*[F.struct(F.abs(F.col(f"_t{k}") - F.col("_target")).alias("miss"), F.lit(k).alias("draw")) for k in range(1, DRAWS + 1)]))
+    rates = saved(taken.select("_source", "_size", "_target", nearest["draw"].alias("_draw")))
+    sized = docs.withColumn("size", word_count(F.col(text_col)))
+    joined = sized.join(F.broadcast(rates) if few else rates, F.col(source_col).eqNullSafe(F.col("_source")))
+    out = joined.withColumn("source_size", F.col("_size")).withColumn("target", F.col("_target")).withColumn("copies", copies(id_col, F.col("_draw")))
+    return out.drop("_source", "_size", "_target", "_draw")
 
 
 def emit(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", **options) -> DataFrame:
@@ -100,10 +111,13 @@ r AS (
   SELECT source, source_size, CASE WHEN is_full THEN CAST(cap AS DOUBLE) ELSE weight * coalesce((SELECT open_level FROM o), 0.0) END AS target
   FROM l),
 m AS (
-  SELECT d.*, r.source_size, r.target, CASE WHEN r.source_size > 0 THEN r.target / r.source_size ELSE 0.0 END AS rate,
-         CAST(CAST('0x' || substr(md5('mix-1:' || CAST(doc_id AS VARCHAR)), 1, 13) AS BIGINT) AS DOUBLE) / 4503599627370496.0 AS drawn
+  SELECT d.*, r.source_size, r.target, CASE WHEN r.source_size > 0 THEN r.target / r.source_size ELSE 0.0 END AS rate
   FROM d JOIN r ON d.source IS NOT DISTINCT FROM r.source),
-n AS (SELECT *, CAST(floor(rate) AS BIGINT) + CASE WHEN drawn < rate - floor(rate) THEN 1 ELSE 0 END AS copies FROM m)
+q AS (SELECT m.*, k, CAST(CAST('0x' || substr(md5('mix-' || CAST(k AS VARCHAR) || ':' || CAST(doc_id AS VARCHAR)), 1, 13) AS BIGINT) AS DOUBLE) / 4503599627370496.0 AS drawn
+      FROM m CROSS JOIN (SELECT unnest(range(1, 17)) AS k) AS ks),
+p AS (SELECT *, CAST(floor(rate) AS BIGINT) + CASE WHEN drawn < rate - floor(rate) THEN 1 ELSE 0 END AS copies FROM q),
+w AS (SELECT source, k AS draw FROM p GROUP BY source, k, target QUALIFY row_number() OVER (PARTITION BY source ORDER BY abs(sum(size * copies) - target), k) = 1),
+n AS (SELECT p.* FROM p JOIN w ON p.source IS NOT DISTINCT FROM w.source AND k = draw)
 """
 
 OP6_SQL = MIX_SQL.format(docs="documents") + "SELECT doc_id, size, source_size, target, size * copies AS taken FROM n"
