@@ -14,8 +14,8 @@ from .shared import BLOCK_BITS, bits_for, dealt, join_unique, maybe_in, saved, s
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 #: Bits of the filter for each row. Its size is bounded by shared.MAX_BITS, 128 MB.
 BITS_PER_ROW = 64
-#: Bits that a digest sets.
-HASHES = 2
+#: Bits that a digest sets, and cells that a task merges at a time, about, at most.
+HASHES, GROUP_CELLS = 2, 1 << 24
 
 
 def text_digest(text_col: str) -> Column:
@@ -32,14 +32,14 @@ def cells(bits: int) -> list[Column]:
     return [(F.conv(F.substring("text_sha256", 1 + 15 * k, 15), 16, 10).cast("long") % bits).alias(f"c{k}") for k in range(HASHES)]
 
 
-def filter_of_repeats(rows: DataFrame, bits: int) -> DataFrame:
+def filter_of_repeats(rows: DataFrame, n_rows: int, bits: int) -> DataFrame:
     """(block, bits): the first pass, a Bloom filter of the cells that two or more rows set.
 
     Each batch of a partition sends the cells that it has set, once, or twice if several of its rows
     set them; the packed pieces are merged by ranges of cells. The rows themselves stay where they
     are. All cells of a repeated digest are set twice, so none is lost.
     """
-    parts = min(bits // BLOCK_BITS, 1 << (shuffle_partitions(rows.sparkSession) - 1).bit_length())
+    parts = min(bits // BLOCK_BITS, 1 << (max(shuffle_partitions(rows.sparkSession), n_rows * HASHES // GROUP_CELLS) - 1).bit_length())
     kind = np.uint32
 
     def own_cells(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -69,12 +69,14 @@ def exact_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     texts the row with the largest id stays. The second pass tests each row against the filter of the
     first: rows with a cell that is set once pass straight through, the others shuffle and are grouped by
     their whole digest. False positives only cost a shuffled row. Rows that repeat an id are rows of
-    their own: if they have the text of the id that stays, all of them stay, as in OP8_SQL. An empty
+    their own: if they have the text of the id that stays, all of them stay, as in OP8_SQL. A row without an id
+    stays only if all rows of its text have none. An empty
     table gives no rows; other columns are ignored.
     """
     rows = saved(digests(docs, id_col, text_col))
-    bits = bits_for(rows.count(), bits_per_row)
-    blocks = saved(filter_of_repeats(rows, bits))  # at most MAX_BITS / 8 bytes
+    n_rows = rows.count()
+    bits = bits_for(n_rows, bits_per_row)
+    blocks = saved(filter_of_repeats(rows, n_rows, bits))  # at most MAX_BITS / 8 bytes
     tested = rows.withColumn("all_set", F.lit(True))
     for cell in cells(bits):
         tested = maybe_in(tested, cell + 1, blocks).withColumn("all_set", F.col("all_set") & F.col("_maybe")).drop("_maybe")
@@ -85,7 +87,7 @@ def exact_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     groups = saved(maybe.groupBy("text_sha256").agg(F.max("doc_id").alias("keep_id"), F.count("*").alias("group_size"), F.count("*").alias("rows")))
     grouped = join_unique(maybe, groups, "text_sha256", "rows", maybe.count())
     return single.unionByName(
-        grouped.select("doc_id", "keep_id", "group_size", (F.col("doc_id") == F.col("keep_id")).alias("kept"), "text_sha256")
+        grouped.select("doc_id", "keep_id", "group_size", F.col("doc_id").eqNullSafe(F.col("keep_id")).alias("kept"), "text_sha256")
     )
 
 
@@ -98,6 +100,6 @@ WITH d AS (
   SELECT doc_id, sha256(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')) AS text_sha256
   FROM documents)
 SELECT doc_id, max(doc_id) OVER w AS keep_id, count(*) OVER w AS group_size,
-       doc_id = max(doc_id) OVER w AS kept, text_sha256
+       doc_id IS NOT DISTINCT FROM max(doc_id) OVER w AS kept, text_sha256
 FROM d WINDOW w AS (PARTITION BY text_sha256)
 """

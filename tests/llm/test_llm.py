@@ -277,6 +277,20 @@ def test_mixing_comes_near_its_targets(spark):
     assert len(rows) == 6 and all(abs(r["taken"] - r["target"]) <= 5 * 4 * 0.5 * r["n"] ** 0.5 for r in rows)
 
 
+def test_small_sources_come_near_their_targets(spark):
+    rng = random.Random(9)
+    docs = documents(spark, [" ".join("x" * rng.randrange(1, 200)) for _ in range(300)], lambda i: f"s{i % 10:02}")
+    rows = mixing.mixed(docs).groupBy("source").agg(F.sum(F.col("size") * F.col("copies")).alias("taken"), F.first("target").alias("target")).collect()
+    assert len(rows) == 10 and all(abs(r["taken"] - r["target"]) <= 0.05 * r["target"] for r in rows)
+
+
+def test_rows_without_an_id_are_copies_of_those_with_one(spark):
+    rows = [(None, "a b"), (None, "A b"), (3, "a b"), (None, "c"), (None, "C")]
+    docs = spark.createDataFrame([(i, t, "en", "s", None, None, None) for i, t in rows], DOCS)
+    got = sorted((r["doc_id"] is not None, r["group_size"], r["kept"]) for r in exact_dedup.exact_dedup(docs).collect())
+    assert got == [(False, 2, True), (False, 2, True), (False, 3, False), (False, 3, False), (True, 3, True)]
+
+
 def test_vectors_match_brute_force(spark):
     rng = np.random.default_rng(1)
     x = rng.normal(size=(60, 8))
