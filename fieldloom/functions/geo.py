@@ -176,7 +176,7 @@ def lonlat_to_lcc(lon: Column, lat: Column) -> tuple[Column, Column]:
     return r * F.sin(theta) + LCC_X, F.lit(GRS80_A * f * t_at(p0) ** n + LCC_Y) - r * F.cos(theta)
 
 
-def cell_centroid_lonlat(n: Column, e: Column, res: int) -> tuple[Column, Column]:
+def cell_centroid_lonlat(n: Column, e: Column, res: Column | int) -> tuple[Column, Column]:
     """Longitude and latitude of a grid cell's centre."""
     return laea_to_lonlat((e + 0.5) * res, (n + 0.5) * res)
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions.geo import laea_to_lonlat, usable_rings
+from ..functions.geo import cell_centroid_lonlat, usable_rings
 from ..functions.scalars import centi_percent, classify_prefix, parse_grid_id
 from .ranking import dedupe, rank_in, sample_examples, share_of_total
 
@@ -146,7 +146,7 @@ def majority_grid(cells: DataFrame, summary: DataFrame, cell: str, columns: list
     out = out.withColumn("_g", part)
     res, n, e = (F.col(f"_g.{c}") for c in ("res", "n", "e"))
     out = out.withColumns({"x0": e * res, "y0": n * res, "cx": (e + 0.5) * res, "cy": (n + 0.5) * res})
-    lon, lat = laea_to_lonlat(F.col("cx"), F.col("cy"))
+    lon, lat = cell_centroid_lonlat(n, e, res)
     return out.withColumn("lon", lon).withColumn("lat", lat).drop("_g")
 
 

@@ -17,11 +17,6 @@ def domain_status(exists: Column, has_issues: Column) -> Column:
     return F.when(~F.coalesce(exists, F.lit(False)), "missing").when(F.coalesce(has_issues, F.lit(False)), "has_issues").otherwise("validated")
 
 
-def assemble(base: DataFrame, parts: list[DataFrame], key: str) -> DataFrame:
-    """Left joins of parts with one row per key; all are dealt by the key once."""
-    return reduce(lambda df, part: df.join(part, key, "left"), parts, base)
-
-
 def coalesce_aliases(df: DataFrame, target: str, sources: list[str]) -> DataFrame:
     """``target`` from itself and then the sources that there are, which go."""
     found = [c for c in [target, *sources] if c in df.columns]
@@ -180,15 +175,22 @@ def release_status(table: DataFrame, previous: DataFrame | None, key: str) -> Da
     return table.join(old, key, "left").withColumn("release_status", F.when(F.col("_approved"), "approved").otherwise(now)).drop("_approved")
 
 
-def master_table(base: DataFrame, attach: list, key: str, columns: list[str], previous: DataFrame | None = None, ids: DataFrame | None = None) -> DataFrame:
+def projected(table: DataFrame, columns: dict[str, str]) -> DataFrame:
+    """The fixed columns of a table (name: type) in order; one that it lacks is null."""
+    return table.select(*[(F.col(c) if c in table.columns else F.lit(None)).cast(kind).alias(c) for c, kind in columns.items()])
+
+
+def master_table(base: DataFrame, attach: list, key: str, columns: list[str] | dict[str, str], previous: DataFrame | None = None, ids: DataFrame | None = None) -> DataFrame:
     """The master table: ``base`` (see base_table) with what each function of ``attach`` adds, then statuses, flags and codes.
 
-    With ``ids`` only these are worked out and replace their rows in ``previous``.
+    ``columns``: their names, or names and types of a fixed form of which some may be missing. With ``ids`` only these
+    are worked out and replace their rows in ``previous``.
     """
     table = base if ids is None else base.join(ids.select(key).distinct(), key, "left_semi")
     table = reduce(lambda df, f: f(df), attach, table)
-    table = release_status(record_status(blocking_codes(readiness_flags(domain_statuses(table)))), previous, key).select(*columns)
-    return table if previous is None or ids is None else upsert_by_id(previous.select(*columns), table, ids, key)
+    table = release_status(record_status(blocking_codes(readiness_flags(domain_statuses(table)))), previous, key)
+    form = lambda df: projected(df, columns) if isinstance(columns, dict) else df.select(*columns)
+    return form(table) if previous is None or ids is None else upsert_by_id(form(previous), form(table), ids, key)
 
 
 def assign_cell(points: DataFrame, cells: DataFrame, key: str, x: str, y: str, cell: str, res: int, lonlat: bool = False) -> DataFrame:

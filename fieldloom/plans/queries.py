@@ -520,7 +520,7 @@ MASTER = ROLLUP.replace("FROM files", "FROM media") + """, rt AS (SELECT id, att
     c AS (SELECT b.*, si.id IS NOT NULL AS se_, concat_ws('|', CASE WHEN si.id IS NULL THEN 'missing_file' END, ro.codes, rr.codes) AS sc, coalesce(si.h, TRUE) AS sh,
         wi.id IS NOT NULL AS we, CASE WHEN wi.id IS NULL THEN 'missing_file' WHEN wi.h THEN 'odd_rows' ELSE '' END AS wc,
         se.id IS NOT NULL AS ne, CASE WHEN se.id IS NULL THEN 'missing_file' ELSE '' END AS nc, coalesce(se.h, TRUE) AS nh, se.score,
-        ma.majority AS f1, ma.majority_value AS v1, ma.delta AS d1, mb.majority AS f2, qc.status AS qs, qc.required_complete AS qr
+        ma.majority AS f1, ma.majority_value AS v1, ma.delta AS d1, ma.disputed AS p1, mb.majority AS f2, mb.majority_value AS v2, mb.delta AS d2, mb.disputed AS p2, qc.status AS qs, qc.required_complete AS qr, qc.f AS qf
         FROM b LEFT JOIN si ON si.id = b.id LEFT JOIN ro ON ro.id = b.id LEFT JOIN rr ON rr.id = b.id LEFT JOIN wi ON wi.id = b.id LEFT JOIN se ON se.id = b.id
         LEFT JOIN mm ma ON ma.grid_id = b.cell LEFT JOIN mm mb ON mb.grid_id = b.fine LEFT JOIN qc ON qc.id = b.id),
     d AS (SELECT *, CASE WHEN vt AND vc THEN 'validated' ELSE 'has_issues' END AS metadata_status, CASE WHEN NOT se_ THEN 'missing' WHEN sh OR sc <> '' THEN 'has_issues' ELSE 'validated' END AS sound_status,
@@ -535,12 +535,21 @@ MASTER = ROLLUP.replace("FROM files", "FROM media") + """, rt AS (SELECT id, att
         CASE weather_point_status WHEN 'missing' THEN 'weather_point_missing' WHEN 'has_issues' THEN 'weather_point_issue' END, CASE sentinel_status WHEN 'missing' THEN 'sentinel_missing' WHEN 'has_issues' THEN 'sentinel_issue' END, 'photo_missing',
         CASE WHEN f1 IS NULL THEN 'grid_100m_missing_majority_formation' END, CASE WHEN f2 IS NULL THEN 'grid_10m_missing_majority_formation' END) AS record_blocking_issue_codes,
         CASE WHEN metadata_status <> 'validated' AND sound_status <> 'validated' AND weather_point_status <> 'validated' AND sentinel_status <> 'validated' THEN 'has_issues' WHEN gen AND f1 IS NOT NULL AND f2 IS NOT NULL THEN 'validated' ELSE 'partial' END AS record_status,
-        'all_nodata|raster_structure_warning' AS weather_raster_100m_issue_codes FROM g),
+        'all_nodata|raster_structure_warning' AS weather_raster_100m_issue_codes, cell, fine, lat, lon, CASE WHEN vt THEN stamp END AS datetime_local, strftime(wall, '%H:%M:%S') AS time_local, se_ AS sound_exists, sh OR sc <> '' AS sound_has_issues,
+        we AS weather_point_exists, wc <> '' AS weather_point_has_issues, ne AS sentinel_exists, nh OR nc <> '' AS sentinel_has_issues, nc AS sentinel_issue_codes, FALSE AS photo_exists, TRUE AS photo_has_issues, 'missing' AS photo_status,
+        coalesce(qs <> 'validated', TRUE) AS bioacoustic_has_issues, CASE WHEN qs IS NULL THEN 'bioacoustic_result_missing' ELSE concat_ws('|', CASE WHEN NOT qr THEN 'required_models_incomplete' END, CASE WHEN qf THEN 'model_inference_failed' END) END AS bioacoustic_issue_codes,
+        coalesce(qr, FALSE) AS bioacoustic_required_models_complete, TRUE AS weather_raster_100m_exists, TRUE AS weather_raster_100m_has_issues, CAST(NULL AS VARCHAR) AS majority_formation_status_100m, d1 AS majority_delta_100m, coalesce(p1, FALSE) AS majority_disputed_100m,
+        cell IS NOT NULL AS grid_100m_assignment_exists, f1 IS NOT NULL AS grid_100m_has_majority_formation, CAST(NULL AS VARCHAR) AS majority_formation_status_10m, v2 AS majority_value_10m, d2 AS majority_delta_10m, v2 - d2 AS second_value_10m,
+        coalesce(p2, FALSE) AS majority_disputed_10m, fine IS NOT NULL AS grid_10m_assignment_exists, f2 IS NOT NULL AS grid_10m_has_majority_formation, id % 4 > 0 AS inside_lrt_polygon, FALSE AS formation_status_100m_10m_agree FROM g),
     mx AS (SELECT *, CASE WHEN id % 37 = 0 AND id % 17 <> 0 THEN 'approved' WHEN record_status = 'validated' THEN 'manual_review_required' ELSE 'not_started' END AS release_status FROM mt) """
 MASTER_COLUMNS = """id datetime_utc date_local sound_issue_codes weather_point_issue_codes photo_issue_codes sentinel_quality_score majority_formation_100m majority_value_100m second_value_100m majority_formation_10m
     formation_100m_10m_agree bioacoustic_status metadata_status sound_status weather_point_status sentinel_status formation_100m_status formation_10m_status lrt_polygon_count ready_for_general_analysis
     ready_for_formation_analysis_100m ready_for_direct_lrt_analysis ready_for_formation_weather_raster_analysis_100m ready_for_formation_analysis_10m ready_for_multimodal_analysis ready_for_bioacoustic_analysis
-    record_blocking_issue_codes record_status weather_raster_100m_issue_codes release_status""".split()
+    record_blocking_issue_codes record_status weather_raster_100m_issue_codes release_status
+    cell fine lat lon datetime_local time_local sound_exists sound_has_issues weather_point_exists weather_point_has_issues sentinel_exists sentinel_has_issues sentinel_issue_codes photo_exists photo_has_issues photo_status
+    bioacoustic_has_issues bioacoustic_issue_codes bioacoustic_required_models_complete weather_raster_100m_exists weather_raster_100m_has_issues majority_formation_status_100m majority_delta_100m majority_disputed_100m
+    grid_100m_assignment_exists grid_100m_has_majority_formation majority_formation_status_10m majority_value_10m majority_delta_10m second_value_10m majority_disputed_10m grid_10m_assignment_exists
+    grid_10m_has_majority_formation inside_lrt_polygon formation_status_100m_10m_agree""".split()
 QC = f""", qw AS (SELECT id, model, TRUE AS w FROM source CROSS JOIN (SELECT DISTINCT model FROM preds) AS m), qn AS (SELECT DISTINCT id, model FROM preds),
     qg AS (SELECT qw.id, count(*) FILTER (WHERE qn.id IS NOT NULL AND qw.model IN ('click', 'purchase')) = 2 AS required_complete, bool_or(qn.id IS NOT NULL) AS any_done, qw.id % 7 = 0 AS f FROM qw LEFT JOIN qn ON qn.id = qw.id AND qn.model = qw.model GROUP BY qw.id),
     qc AS (SELECT *, CASE WHEN required_complete AND NOT f THEN 'validated' WHEN any_done THEN 'partial' ELSE 'failed' END AS status FROM qg) """
@@ -813,14 +822,14 @@ def sql_projections() -> str:
     c3 AS (SELECT *, asin(cos(c) * {r(math.sin(b0))} + dy * sin(c) * {r(math.cos(b0))} / rho) AS beta, atan2(dx * sin(c), rho * {r(math.cos(b0))} * cos(c) - dy * {r(math.sin(b0))} * sin(c)) AS lam FROM c2),
     c4 AS (SELECT *, beta + {" + ".join(f"{r(k)} * sin({2 * i} * beta)" for i, k in enumerate(series, 1))} AS phi FROM c3),
     c5 AS (SELECT *, {r(G.GRS80_A * f)} * pow(tan({r(math.pi / 4)} - phi / 2) / pow((1 - sin(phi) * {r(e)}) / (1 + sin(phi) * {r(e)}), {r(e / 2)}), {r(n)}) AS rr, lam * {r(n)} AS th FROM c4),
-    pc AS (SELECT id, x, y, rr * sin(th) + {r(G.LCC_X)} AS px, {r(G.GRS80_A * f * t_at(p0) ** n + G.LCC_Y)} - rr * cos(th) AS py FROM c5) """
+    conic AS (SELECT id, x, y, rr * sin(th) + {r(G.LCC_X)} AS px, {r(G.GRS80_A * f * t_at(p0) ** n + G.LCC_Y)} - rr * cos(th) AS py FROM c5) """
 
 
 GRID_CELLS = "cells AS (SELECT c_custkey AS id, CAST(4321050 + (c_custkey * 37 % 320 - 10) * 1000 AS DOUBLE) AS x, CAST(3210050 + (c_custkey * 53 % 80 - 10) * 1000 AS DOUBLE) AS y FROM customer)"
 
 
 @query("WITH nodes AS (SELECT event_type AS var, user_id % 30 AS i, user_id // 30 AS j, CAST(CASE WHEN min(user_id) % 13 <> 0 THEN floor(max(value)) END AS DOUBLE) AS value FROM events WHERE event_type IN ('click', 'view') AND user_id % 17 <> 0 GROUP BY ALL), " + GRID_CELLS + ", " + sql_projections() + """,
-    a AS (SELECT *, (px - 4000000) / 10000 AS u, (py - 2800000) / 10000 AS v FROM pc), d AS (SELECT a.*, CAST(floor(u) AS BIGINT) + di AS i, CAST(floor(v) AS BIGINT) + dj AS j FROM a, (VALUES (0, 0), (0, 1), (1, 0), (1, 1)) AS o(di, dj)),
+    a AS (SELECT *, (px - 4000000) / 10000 AS u, (py - 2800000) / 10000 AS v FROM conic), d AS (SELECT a.*, CAST(floor(u) AS BIGINT) + di AS i, CAST(floor(v) AS BIGINT) + dj AS j FROM a, (VALUES (0, 0), (0, 1), (1, 0), (1, 1)) AS o(di, dj)),
     b AS (SELECT DISTINCT var, CAST(floor(i / 8) AS BIGINT) - z AS bi, CAST(floor(j / 8) AS BIGINT) - w AS bj FROM nodes, (VALUES (0), (1)) AS p(z), (VALUES (0), (1)) AS q(w) WHERE (z = 0 OR i % 8 = 0) AND (w = 0 OR j % 8 = 0)),
     g AS (SELECT b.var, a.* FROM a JOIN b ON bi = CAST(floor(floor(u) / 8) AS BIGINT) AND bj = CAST(floor(floor(v) / 8) AS BIGINT)),
     m AS (SELECT g.var, g.id, sum(value * (1 - abs(d.u - d.i)) * (1 - abs(d.v - d.j))) AS s, sum(CASE WHEN value IS NOT NULL THEN (1 - abs(d.u - d.i)) * (1 - abs(d.v - d.j)) END) AS t FROM g JOIN d USING (id) LEFT JOIN nodes n ON n.i = d.i AND n.j = d.j AND n.var = g.var GROUP BY ALL)
@@ -907,10 +916,20 @@ def matrix_examples(spark, sf_dir):
     return landcover.matrix_examples(stored_of(spark, sf_dir), "grid_id", 5, [k.lower() for k in KINDS], CODE_COLUMNS).select("rule", "grid_id")
 
 
-@query(WIDE + ", g AS (SELECT DISTINCT grid_id, n, e FROM ix) SELECT grid_id, majority, delta, e * 100 AS x0, n * 100 AS y0, e * 100 + 50.0::DOUBLE AS cx, n * 100 + 50.0::DOUBLE AS cy FROM g JOIN wide USING (grid_id)", "ix")
+@query(WIDE + ", g AS (SELECT DISTINCT grid_id, n, e FROM ix), cells AS (SELECT grid_id AS id, e * 100 + 50.0::DOUBLE AS x, n * 100 + 50.0::DOUBLE AS y FROM g), " + sql_projections() + """
+    SELECT g.grid_id, majority, delta, e * 100 AS x0, n * 100 AS y0, x AS cx, y AS cy, round(degrees(lam) + 10, 6) AS lon, round(degrees(phi), 6) AS lat FROM g JOIN wide USING (grid_id) JOIN c5 ON c5.id = g.grid_id""", "ix")
 def majority_grid(spark, sf_dir):
     cells = view(spark, sf_dir, "ix").select("grid_id").distinct()
-    return landcover.majority_grid(cells, wide_of(spark, sf_dir).select("grid_id", "majority", "delta"), "grid_id", []).select("grid_id", "majority", "delta", "x0", "y0", "cx", "cy")
+    out = landcover.majority_grid(cells, wide_of(spark, sf_dir).select("grid_id", "majority", "delta"), "grid_id", [])
+    return out.select("grid_id", "majority", "delta", "x0", "y0", "cx", "cy", F.round("lon", 6).alias("lon"), F.round("lat", 6).alias("lat"))
+
+
+@query("""+ m AS (SELECT id, CASE WHEN probe_ok THEN 'probed' ELSE 'not_probed' END AS r FROM media UNION ALL SELECT id, 'short' FROM media WHERE NOT duration_ok)
+    SELECT id, string_agg(DISTINCT r, '|' ORDER BY r) AS reasons FROM m GROUP BY id""", "media")
+def id_reasons(spark, sf_dir):
+    media = view(spark, sf_dir, "media")
+    rows = media.select("id", F.when(F.col("probe_ok"), "probed").otherwise("not_probed").alias("reason")).unionByName(media.where("NOT duration_ok").select("id", F.lit("short").alias("reason")))
+    return changes.id_reason_export(rows, "id", "reason")
 
 
 @query("""+ x AS (SELECT code, formation, CASE WHEN code LIKE 'Brand#1%' THEN 'first' WHEN code LIKE 'Brand#2%' THEN 'second' ELSE 'other' END AS expected, CASE WHEN code LIKE 'Brand#12%' THEN 'third' WHEN code LIKE 'Brand#1%' THEN 'first' ELSE 'other' END AS "current" FROM ix),
@@ -983,7 +1002,7 @@ def stream_upsert(spark, sf_dir):
 
 
 @query("""WITH p AS (SELECT c_custkey AS id, CAST(4321050 + (c_custkey * 37 % 900 - 450) * 1000 AS DOUBLE) AS x, CAST(3210050 + (c_custkey * 53 % 900 - 450) * 1000 AS DOUBLE) AS y FROM customer), """ + GRID_CELLS.replace("cells AS (", "_unused AS (") + ", cells AS (SELECT * FROM p), " + sql_projections() + """
-    SELECT pc.id, round(px, 2) AS px, round(py, 2) AS py, round(degrees(lam) + 10, 6) AS lon, round(degrees(phi), 6) AS lat, TRUE AS there_and_back FROM pc JOIN c5 USING (id)""")
+    SELECT conic.id, round(px, 2) AS px, round(py, 2) AS py, round(degrees(lam) + 10, 6) AS lon, round(degrees(phi), 6) AS lat, TRUE AS there_and_back FROM conic JOIN c5 USING (id)""")
 def projections(spark, sf_dir):
     """Cells of the equal-area grid in degrees and in the lattice's projection, and whether the way back ends within a millimetre."""
     k = F.col("c_custkey")

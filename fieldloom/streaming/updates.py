@@ -10,7 +10,7 @@ from ..functions.scalars import id_from_name
 from ..operators.changes import status_events
 from ..operators.inventory import reusable_rows
 from ..operators.ranking import dedupe
-from ..sources.tables import ended_folders, publish_partition, read_optional, remove_folder
+from ..sources.tables import ended_folders, publish_partition, remove_folder
 
 #: Batches whose rows are read besides the last base, at most; after so many a new base is written.
 COMPACT_EVERY = 16
@@ -111,7 +111,3 @@ def stream_new_files(spark: SparkSession, root: str, glob: str, out: str, checkp
         publish_partition(batch.withColumn("batch", F.lit(number)), out, "batch")
 
     rows.writeStream.foreachBatch(add).option("checkpointLocation", checkpoint).trigger(availableNow=True).start().awaitTermination()
-
-
-def read_new_files(spark: SparkSession, out: str, schema: T.StructType) -> DataFrame:
-    return read_optional(spark, out, schema)

@@ -471,6 +471,11 @@ def test_lookups_read_only_their_buckets(spark, tmp_path):
     assert many.count() == 50
 
 
+def test_a_fixed_form_has_all_its_columns(spark):
+    got = master.projected(spark.createDataFrame([(1, "x")], "id int, b string"), {"b": "string", "c": "boolean", "id": "bigint"})
+    assert got.dtypes == [("b", "string"), ("c", "boolean"), ("id", "bigint")] and tuple(got.first()) == ("x", None, 1)
+
+
 def test_points_without_place_or_cell(spark):
     cells = spark.createDataFrame([("10mN0E0",), ("10mN0E1",), ("10mN1E1",)], "cell string")
     points = spark.createDataFrame([(1, 10.0, 5.0), (2, 10.0, 10.0), (3, None, 1.0), (4, 25.0, 5.0), (5, 5.0, 5.0), (6, 20.0, 20.0)], "id int, x double, y double")
