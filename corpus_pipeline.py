@@ -8,6 +8,9 @@ other, they link with nothing else, take no words of the mix and have no tokens.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+from functools import wraps
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -18,13 +21,32 @@ from fieldloom.llm.quality import quality_scores
 from fieldloom.llm.sentencepieces import token_digests
 from fieldloom.llm.shared import parted, row_key, saved, table, without
 
+Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
+#: Rows of an Arrow batch between Spark and Python, at most: all stages share the executors, whose memory follows the largest batches.
+BATCH_ROWS = 2000
+
+
+def small_batches(stage: Stage) -> Stage:
+    """The stage with at most BATCH_ROWS rows in the session's Arrow batches; what is set lower stays."""
+
+    @wraps(stage)
+    def run(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+        rows = int(spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch"))
+        if not 0 < rows <= BATCH_ROWS:
+            spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", BATCH_ROWS)
+        return stage(spark, docs, sf_dir)
+
+    return run
+
 
+@small_batches
 def good_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the quality classifier does not reject."""
     scored = saved(quality_scores(docs, table(spark, sf_dir, "labels"), key=row_key()))
     return without(docs, scored.where("predicted = 0").select("doc_id"), row_key(), scored.count())
 
 
+@small_batches
 def distinct_texts(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of equal texts, the document with the largest id; of rows that repeat it with its text, one."""
     key = F.concat_ws(":", "doc_id", "text_sha256").alias("key")
@@ -38,17 +60,20 @@ def distinct_texts(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
     return once.unionByName(packed.dropDuplicates(["key"]).select("row.*"))
 
 
+@small_batches
 def distinct_groups(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of documents that links join, the one with the smallest id; rows that share an id go together."""
     found = saved(jaccard_components(docs).select("doc_id", "component_id"))
     return without(docs, found.where("doc_id <> component_id").select("doc_id"), "doc_id", found.count())
 
 
+@small_batches
 def mixture(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents as often as the mix of the sources takes them; rows that share an id are taken alike."""
     return emit(docs)
 
 
+@small_batches
 def encoded(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """doc_id, n_tokens, tokens_sha256 and round_trip of each document of the mix."""
     return token_digests(docs)

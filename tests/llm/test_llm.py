@@ -437,6 +437,22 @@ def test_pipeline_stages(spark):
     assert len(kept) == len({r[0] for r in kept})
 
 
+def test_stages_of_the_pipeline_take_small_batches(spark):
+    import corpus_pipeline
+
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(key)
+    try:
+        docs = spark.range(9000).selectExpr("id AS doc_id", "'a b' AS text", "'s' AS source").coalesce(1)
+        corpus_pipeline.encoded(spark, docs, "")
+        assert max(r["n"] for r in docs.select("text").mapInPandas(lambda parts: (pd.DataFrame({"n": [len(p)]}) for p in parts), "n long").collect()) <= corpus_pipeline.BATCH_ROWS
+        spark.conf.set(key, 7)
+        corpus_pipeline.encoded(spark, docs, "")
+        assert spark.conf.get(key) == "7"
+    finally:
+        spark.conf.set(key, before)
+
+
 def test_pipeline_matches_plain_python(spark):
     """run() over sf0.001 against plain Python from stage to stage; the scores are the classifier's, the copies the mix's."""
     import sentencepiece
