@@ -256,6 +256,22 @@ def test_lines_match_sql(spark, case):
     assert got == want and len({k for k in got if hashlib.sha256(body[k].encode()).hexdigest() != got[k]}) > 20
 
 
+def test_words_of_lines_shuffle_once(spark):
+    """Lines of 200 words of their own: as long as these are grouped, they shuffle as one row each, and for nothing else."""
+    body = [f"a b c{letters(i // 5)} " + " ".join(f"w{letters(i * 200 + k)}" for k in range(200)) for i in range(200)]
+    docs, context = documents(spark, body), spark.sparkContext
+    limit = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    stages = lambda: {s.stageId(): s.shuffleWriteRecords() for found in [context._jsc.sc().statusStore().stageList(None, False, False, context._gateway.new_array(context._jvm.double, 0), None)] for s in map(found.apply, range(found.size()))}
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", -1)
+    try:
+        before = stages()
+        assert all(r["n_dropped"] == 0 for r in line_dedup.line_dedup(docs).collect())
+        context._jsc.sc().listenerBus().waitUntilEmpty()
+        assert 40_000 <= sum(n for k, n in stages().items() if k not in before) <= 60_000
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", limit)
+
+
 def test_mixing_targets(spark):
     docs = documents(spark, ["a b c"] * 300 + [None, "", "x"], lambda i: None if i > 301 else ["a", "b", "c"][i % 3])
     out = mixing.mixed(docs).collect()
