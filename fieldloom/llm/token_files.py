@@ -30,6 +30,7 @@ FILE_IDS, MAX_FILES, SMALL_FILE = 1 << 26, 20_000, 1 << 18
 #: Bytes of words and ids that an encoder remembers before it starts afresh, some 150 MB with what holds them.
 MEMORY = 20_000_000
 PIECE_BYTES = 2_000_000  # of the texts that are taken together
+JOINED = 64  # new words that go through the library as one text
 LEVEL = 3
 
 # Fixed values of the seekable zstandard format: magic numbers of its table and its end, and of the frame with the index.
@@ -72,9 +73,18 @@ class WordEncoder:
         return self.marks.sub(rb" \g<0>", text)
 
     def learn(self, words: list[str]) -> None:
-        for w, found in zip(words, self.library.encode_batch_fast(words, add_special_tokens=False)):
-            self.known[w] = ids = np.array(found.ids, self.kind).tobytes()
-            self.size += 2 * len(w) + len(ids)
+        """Remember the words' ids. JOINED words make one text for the library; where a token ends tells the word it is of."""
+        joined = [w for w in words if "<|" not in w]  # special tokens may take the space beside them
+        groups = [joined[i : i + JOINED] for i in range(0, len(joined), JOINED)] + [[w] for w in words if "<|" in w]
+        for group, found in zip(groups, self.library.encode_batch([" ".join(g) for g in groups], add_special_tokens=False)):
+            ids = np.array(found.ids, self.kind).tobytes()
+            ends = np.array(found.offsets, np.int64).reshape(-1, 2)[:, 1]
+            after = np.fromiter(map(len, group), np.int64, len(group)) + 1
+            cut = (np.searchsorted(ends, np.cumsum(after) - 1, "right") * self.kind.itemsize).tolist()
+            cut[-1] = len(ids)
+            for w, i, j in zip(group, [0, *cut], cut):
+                self.known[w] = ids[i:j]
+                self.size += 2 * len(w) + j - i
 
     def encode(self, texts: list[bytes], end_id: int) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all texts one after the other, with ``end_id`` behind each, and how many each has."""

@@ -41,6 +41,24 @@ def test_words_give_the_librarys_ids(library, words, text):
     assert n[0] == 1 and n.sum() == len(ids) and ids[1 : n[1]].astype("<u4").tobytes() == library_ids(library, text.encode("utf-8", "ignore").decode())
 
 
+@settings(max_examples=100, deadline=None)
+@given(st.lists(odd, max_size=200))
+def test_new_words_go_through_the_library_together(library, texts):
+    """Words that are joined keep their own ids, and the library gets few texts."""
+    sent = []
+
+    class Counted:
+        def __getattr__(self, name):
+            return lambda texts, **options: sent.append(len(texts)) or getattr(library, name)(texts, **options)
+
+    words = WordEncoder(library.to_str())
+    words.library = Counted()
+    new = list(dict.fromkeys(w.decode() for t in texts for w in t.encode("utf-8", "ignore").split()))
+    words.learn(new)
+    assert {w: np.frombuffer(x, words.kind).astype("<u4").tobytes() for w, x in words.known.items()} == {w: library_ids(library, w) for w in new}
+    assert sum(sent) <= len(new) // token_files.JOINED + 1 + sum("<|" in w for w in new)
+
+
 @pytest.mark.parametrize("frame_bytes", [40, 1 << 18])
 def test_files_are_seekable_zstandard(frame_bytes):
     rng = random.Random(1)
