@@ -55,7 +55,9 @@ def distinct_texts(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
     own = F.concat_ws(":", F.col("doc_id").cast("string"), text_digest("text"))
     left = without(docs, found.where("NOT kept").select("key"), own, n)
     again = saved(found.where("kept").groupBy("key").agg(F.count("*").alias("n")).where("n > 1").select("key"))
-    once, more = parted(left, again, own, n)
+    if again.isEmpty():
+        return left
+    once, more = parted(saved(left), again, own, n)
     packed = more.select(F.struct(*[F.col(f"`{c}`") for c in more.columns]).alias("row"), own.alias("key"))
     return once.unionByName(packed.dropDuplicates(["key"]).select("row.*"))
 

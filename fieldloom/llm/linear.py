@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterator
+from collections.abc import Callable, Iterator, Sequence
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -75,7 +76,21 @@ class Ftrl:
         self.n[at] = n + g * g
 
 
-def sample_features(docs: DataFrame, labels: DataFrame, features: Callable[[list[bytes]], Features], rows: int) -> list[tuple]:
+class Sample(Sequence):
+    """Rows (doc_id, label, weight numbers, values) in a given order; one is made when it is asked for, so they take the driver no more than the table."""
+
+    def __init__(self, rows: pa.Table, order: pa.Array):
+        self.rows, self.order = rows, order.to_pylist()
+
+    def __len__(self) -> int:
+        return len(self.order)
+
+    def __getitem__(self, k: int) -> tuple:
+        doc_id, label, at, x = (c[self.order[k]] for c in self.rows.columns)
+        return doc_id.as_py(), label.as_py(), np.frombuffer(at.as_buffer(), np.int32).astype(np.int64), np.frombuffer(x.as_buffer(), np.float32).astype(float)
+
+
+def sample_features(docs: DataFrame, labels: DataFrame, features: Callable[[list[bytes]], Features], rows: int) -> Sample:
     """(doc_id, label, weight numbers, values) of at most ``rows`` labelled documents, picked by a hash of their ids.
 
     ``labels``: doc_id and label. The bound keeps the training sample small enough for the
@@ -98,8 +113,8 @@ def sample_features(docs: DataFrame, labels: DataFrame, features: Callable[[list
             yield pa.RecordBatch.from_arrays([batch["doc_id"], batch["label"].cast(pa.int32()), pa.array(at, pa.binary()), pa.array(x, pa.binary())], ["doc_id", "label", "at", "x"])
 
     got = picked.mapInArrow(extract, "doc_id long, label int, at binary, x binary").withColumn("o", order).toArrow()
-    found = [(r["o"], r["doc_id"], r["label"], np.frombuffer(r["at"], np.int32).astype(np.int64), np.frombuffer(r["x"], np.float32).astype(float)) for r in got.to_pylist()]
-    return [r[1:] for r in sorted(found, key=lambda r: (r[0], r[1], len(r[3])))]
+    size = pc.binary_length(got["x"])
+    return Sample(got.select(["doc_id", "label", "at", "x"]), pc.sort_indices(pa.table({"o": got["o"], "doc_id": got["doc_id"], "n": size}), [("o", "ascending"), ("doc_id", "ascending"), ("n", "ascending")]))
 
 
 def score_texts(docs: DataFrame, features: Callable[[list[bytes]], Features], weights: np.ndarray, finish: Callable[[np.ndarray], dict[str, np.ndarray]], schema: str, keep: list[str]) -> DataFrame:

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 import numpy as np
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -30,7 +32,7 @@ def features(texts: list[bytes]) -> Features:
     return np.concatenate(text), np.concatenate(cell), np.concatenate(value)
 
 
-def train(sample: list[tuple], passes: int = PASSES) -> tuple[np.ndarray, float]:
+def train(sample: Sequence[tuple], passes: int = PASSES) -> tuple[np.ndarray, float]:
     """Weights and bias. ``sample``: (doc_id, label, weight numbers, values)."""
     model, bias, bias_n = Ftrl(alpha=0.5, beta=1e-3, l1=1e-4, l2=1e-3), 0.0, 1e-3
     for _ in range(passes):

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 import numpy as np
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -37,7 +39,7 @@ def features(texts: list[bytes]) -> Features:
     return key // DIMS, key % DIMS, np.ones(len(key))
 
 
-def telling(sample: list[tuple]) -> np.ndarray:
+def telling(sample: Sequence[tuple]) -> np.ndarray:
     """Which weights are learnt: features that toxic documents have far more often than by chance.
 
     A feature must be in LEAST_DOCS documents of the sample or more, and the number of toxic
@@ -49,7 +51,7 @@ def telling(sample: list[tuple]) -> np.ndarray:
     return (n >= LEAST_DOCS) & (toxic - n * p >= LEAST_Z * np.sqrt(n * p * (1 - p))) & (toxic > 0)
 
 
-def grade(sample: list[tuple], marker: np.ndarray) -> list[tuple]:
+def grade(sample: Sequence[tuple], marker: np.ndarray) -> list[tuple]:
     """The sample with severity grades for the 0/1 labels, and with the telling features alone.
 
     Labels above 1 are grades already. If they say toxic or not, how severe is read from the number of telling features. Toxic
@@ -62,7 +64,7 @@ def grade(sample: list[tuple], marker: np.ndarray) -> list[tuple]:
     return [(i, 1 + int((len(at) > steps).sum()) if y > 0 else 0, at, x) for i, y, at, x in kept]
 
 
-def train(sample: list[tuple], passes: int = PASSES) -> tuple[np.ndarray, np.ndarray]:
+def train(sample: Sequence[tuple], passes: int = PASSES) -> tuple[np.ndarray, np.ndarray]:
     """Weights and thresholds: P(grade > k) = sigmoid(weights . x - thresholds[k])."""
     model, cuts, cut_n = Ftrl(alpha=0.5, beta=1.0, l1=0.3, l2=0.01, positive=True), np.arange(1.0, GRADES), np.full(GRADES - 1, 1.0)
     for _ in range(passes):

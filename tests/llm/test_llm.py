@@ -9,7 +9,7 @@ import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
-from fieldloom.llm import exact_dedup, jaccard, language, line_dedup, mixing, quality, sentencepieces, substrings, toxicity, vectors
+from fieldloom.llm import exact_dedup, jaccard, language, line_dedup, linear, mixing, quality, sentencepieces, substrings, toxicity, vectors
 from fieldloom.llm.shared import connected_components
 
 DOCS = "doc_id long, text string, lang string, source string, n_chars long, score double, size long"
@@ -602,3 +602,40 @@ def test_real_grades_are_taken_as_they_are():
     marker = np.ones(toxicity.DIMS, bool)
     sample = [(i, y, np.arange(3), np.ones(3)) for i, y in enumerate([0, 1, 2, 3])]
     assert [r[1] for r in toxicity.grade(sample, marker)] == [0, 1, 2, 3]
+
+
+def test_training_rows_are_made_one_at_a_time(spark):
+    """The driver holds the packed sample, not all rows of it as wider arrays; the rows and their order are those of the whole list."""
+    import tracemalloc
+
+    docs = documents(spark, [" ".join(f"w{i * k % 997}" for k in range(800)) for i in range(60)])
+    labels = spark.createDataFrame([(r["doc_id"], i % 2) for i, r in enumerate(docs.select("doc_id").collect())], "doc_id long, label int")
+    sample = linear.sample_features(docs, labels, quality.features, 50)
+    assert len(sample) == 50 and len({r[0] for r in sample}) == 50
+    all_bytes = sum(at.nbytes + x.nbytes for _, _, at, x in sample)
+    tracemalloc.start()
+    for _ in sample:
+        pass
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < all_bytes / 5
+    assert list(sample)[7][2].dtype == np.int64 and list(sample)[7][3].dtype == np.float64
+    before = [(i, y, at.copy(), x.copy()) for i, y, at, x in sample]
+    (w, b), (v, c) = quality.train(sample), quality.train(before)
+    assert b == c and (w == v).all()
+
+
+def test_exact_dedup_stage_tests_rows_again_only_if_some_repeat(spark, capsys):
+    import corpus_pipeline
+
+    def joins(ids):
+        docs = spark.createDataFrame([(i, t, "s") for i, t in zip(ids, ["a b", "A b", "c", None])], "doc_id long, text string, source string")
+        out = corpus_pipeline.distinct_texts(spark, docs, "")
+        out.explain()
+        found = capsys.readouterr().out.count("LeftAnti")
+        assert {(r["doc_id"], r["text"]) for r in out.collect()} == {(max(ids[:2]), "A b"), (ids[2], "c"), (ids[3], None)}
+        return found
+
+    assert joins([1, 2, 3, 4]) == 1
+    docs = spark.createDataFrame([(1, "a", "s"), (1, "a", "s"), (2, "b", "s")], "doc_id long, text string, source string")
+    assert sorted(r["doc_id"] for r in corpus_pipeline.distinct_texts(spark, docs, "").collect()) == [1, 2]
