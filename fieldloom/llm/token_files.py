@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import json
 import os
 import re
 import struct
@@ -47,15 +48,39 @@ def vocabulary_path(name: str = VOCABULARY) -> str:
     return public_tokenizers.path(name)
 
 
+#: How the normalizer and the pattern of a tokenizer look for which plain_tokenizer() is known to give the same ids.
+NORMAL = [{"type": "NFC"}, {"type": "Replace", "pattern": {"Regex": r"\s+"}, "content": " "}, {"type": "Lowercase"}]
+SPLIT = {"type": "Split", "pattern": {"Regex": r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"}, "behavior": "Removed", "invert": True}
+BYTES = {"type": "ByteLevel", "add_prefix_space": False, "trim_offsets": True, "use_regex": False}
+WORD_END = "</w>"
+
+
+def plain_tokenizer(model: str):
+    """The library's tokenizer without normalizer and pattern, for lower-case words of Latin-1 letters; None if the model differs.
+
+    Such a word is in normal form and one run of letters, so the pattern would leave it as it is.
+    """
+    from tokenizers import Tokenizer
+
+    own = json.loads(model)
+    if own["normalizer"] != {"type": "Sequence", "normalizers": NORMAL} or own["pre_tokenizer"] != {"type": "Sequence", "pretokenizers": [SPLIT, BYTES]} or own["model"].get("end_of_word_suffix") != WORD_END:
+        return None
+    own |= {"normalizer": None, "pre_tokenizer": {"type": "Sequence", "pretokenizers": [{"type": "WhitespaceSplit"}, BYTES]}}
+    return Tokenizer.from_str(json.dumps(own))
+
+
 class WordEncoder:
     """Ids of texts by a tokenizer that drops white space: each distinct word goes through the library once.
 
     Such a tokenizer never joins what white space parts, so a text's ids are those of its words. To have fewer of
     these, marks behind a Latin letter or a digit are parted from it, as the tokenizer's pattern does, and A-Z are
     lower-cased where that comes to the same: where no accent follows by itself and no special token may appear.
+    Words of plain letters alone need neither the pattern nor normal forms: see ``plain_tokenizer``.
     """
 
-    marks = re.compile(rb"[.,;:!?](?:(?<=[A-Za-z0-9].)|(?<=[\xc4\xc5][\x80-\xbf].)|(?<=\xc3[\x80-\x96\x98-\xb6\xb8-\xbf].))[.,;:!?]*(?=[ \n]|\Z)")
+    # any ASCII mark but ', which may begin a token of letters, and those that special tokens are made of
+    marks = re.compile(rb"[!-&(-/:;=?@[-`{}~](?:(?<=[A-Za-z0-9].)|(?<=[\xc4\xc5][\x80-\xbf].)|(?<=\xc3[\x80-\x96\x98-\xb6\xb8-\xbf].))[!-&(-/:;=?@[-`{}~]*(?=[ \n]|\Z)")
+    letters = re.compile("[A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u00ff]+")
 
     def __init__(self, model: str):
         from tokenizers import Tokenizer
@@ -63,6 +88,9 @@ class WordEncoder:
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # Spark runs a task a core
         self.library = Tokenizer.from_str(model)
         self.kind = np.dtype("<u2") if self.library.get_vocab_size() <= 1 << 16 else IDS
+        self.plain = plain_tokenizer(model)
+        self.last = np.zeros(self.library.get_vocab_size(), bool)  # ids of tokens that end a word
+        self.last[[i for token, i in self.library.get_vocab().items() if token.endswith(WORD_END)]] = True
         self.known: dict[str, bytes] = {}
         self.size = 0
 
@@ -73,6 +101,27 @@ class WordEncoder:
         return self.marks.sub(rb" \g<0>", text)
 
     def learn(self, words: list[str]) -> None:
+        """Remember the words' ids."""
+        letters = [w for w in words if self.letters.fullmatch(w)] if self.plain else []
+        if self.learn_plain(letters):
+            words = [w for w in words if w not in self.known]
+        self.learn_any(words)
+
+    def learn_plain(self, words: list[str]) -> bool:
+        """Remember the ids of words of ``letters``, each of which ends with the one token that ends a word; false if any does not."""
+        if not words:
+            return False
+        texts = [" ".join(words[i : i + JOINED]).lower() for i in range(0, len(words), JOINED)]
+        ids = np.concatenate([np.array(found.ids, self.kind) for found in self.plain.encode_batch_fast(texts, add_special_tokens=False)])
+        cut = np.flatnonzero(self.last[ids]) + 1
+        if len(cut) != len(words) or cut[-1] != len(ids):
+            return False
+        ids, cut = ids.tobytes(), (cut * self.kind.itemsize).tolist()
+        self.known.update((w, ids[i:j]) for w, i, j in zip(words, [0, *cut], cut))
+        self.size += 2 * sum(map(len, words)) + len(ids)
+        return True
+
+    def learn_any(self, words: list[str]) -> None:
         """Remember the words' ids. JOINED words make one text for the library; where a token ends tells the word it is of."""
         joined = [w for w in words if "<|" not in w]  # special tokens may take the space beside them
         groups = [joined[i : i + JOINED] for i in range(0, len(joined), JOINED)] + [[w] for w in words if "<|" in w]
