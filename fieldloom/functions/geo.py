@@ -84,6 +84,34 @@ def crossings(edges: Column, x0: Column, y0: Column, x: Column, y: Column) -> Co
     return F.size(F.filter(edges, lambda e: up(e) | right(e))) + F.size(F.filter(edges, lambda e: up(e) & right(e)))
 
 
+#: What terms() are of an edge that is not there: it meets nothing.
+NO_EDGE = {"y0": math.inf, "up": math.inf}
+
+
+def terms(e: Column, x0: Column, y0: Column) -> dict[str, Column]:
+    """What an edge has to do with the ways of crossings() from (x0, y0), as numbers for met_by()."""
+    turn = F.when(e["yb"] < e["ya"], -1.0).otherwise(1.0)
+    dx, dy = e["xb"] - e["xa"], e["yb"] - e["ya"]
+    low = F.when(dx * dy > 0, F.lit(5e-324)).otherwise(0.0)  # at or above the least number is above 0
+    return {
+        "xa": e["xa"], "ya": e["ya"], "dx": dx * turn, "dy": dy * turn, "left": dy * (x0 - e["xa"]) * turn, "turn": F.signum(dx) * turn,
+        "x0": F.least(e["xa"], e["xb"]), "x1": F.greatest(e["xa"], e["xb"]), "y0": F.least(e["ya"], e["yb"]), "y1": F.greatest(e["ya"], e["yb"]),
+        "up": F.when(spans(e, "x", x0) & is_above(e, x0, y0), low).otherwise(math.inf),
+    }
+
+
+def met_by(t: dict[str, Column], x: Column, y: Column) -> tuple[Column, Column, Column]:
+    """Whether an edge with these terms() crosses the way up, whether it crosses the way right, and whether (x, y) lies on it.
+
+    The same numbers as in side(), is_above() and on_edge(), in so few steps that a join of many edges is still compiled.
+    """
+    at = t["dx"] * (y - t["ya"])
+    up = (at - t["left"]) * t["turn"] >= t["up"]
+    right = (y >= t["y0"]) & (y < t["y1"]) & (at > t["left"]) & (at <= t["dy"] * (x - t["xa"]))
+    on = (y >= t["y0"]) & (y <= t["y1"]) & (x >= t["x0"]) & (x <= t["x1"]) & (at == t["dy"] * (x - t["xa"]))
+    return up, right, on
+
+
 def cuts_square(e: Column, x0: Column, y0: Column, size: Column) -> Column:
     """Whether an edge passes through the inside of a square, not only along its border."""
     corners = [side(e, x, y) for x in (x0, x0 + size) for y in (y0, y0 + size)]

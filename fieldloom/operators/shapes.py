@@ -5,12 +5,16 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions.geo import area_in_square, crossings, cuts_square, edge_area, edges_of, is_above, on_edge, spans
+from ..functions.geo import NO_EDGE, area_in_square, crossings, cuts_square, edge_area, edges_of, is_above, met_by, on_edge, spans, terms
 from ..functions.scalars import rank_of
 
 
 #: A square that is parted has so many parts on each side.
 SPLIT = 4
+#: Up to so many edges of a polygon in a tile are columns, so that points meet them in compiled code.
+FEW = 4
+#: Points of one place that meet the polygons together.
+LOT = 1000
 
 
 def edges(polygons: DataFrame, keys: list[str], rings: str) -> DataFrame:
@@ -76,12 +80,14 @@ def tile_index(polygons: DataFrame, keys: list[str], rings: str, tile: float) ->
     x0 = F.col("tx") * size
     low, high = heights(e, x0, float(tile))
     slack = tile * 1e-9  # a tile too many does no harm
-    row = lambda n, edge, crosses: F.struct(n.alias("ty"), edge.alias("edge"), crosses.alias("crosses"))
-    touched = F.transform(F.sequence(F.floor((low - slack) / size), F.floor((high + slack) / size)), lambda n: row(n, e, F.lit(0)))
+    low, high = F.floor((low - slack) / size), F.floor((high + slack) / size)
     guess = F.floor(at_x(e, x0) / size)
-    highest = F.array_max(F.filter(F.sequence(guess - 1, guess + 1), lambda n: is_above(e, x0, n * size)))
-    crossed = F.when(spans(e, "x", x0), F.array(row(highest, F.lit(None).cast("struct<xa:double,ya:double,xb:double,yb:double,sign:double>"), F.lit(1)))).otherwise(F.array())
-    rows = cut.select(*keys, "tx", F.explode(F.concat(touched, crossed)).alias("r")).select(*keys, "tx", "r.*")
+    highest = F.when(is_above(e, x0, (guess + 1) * size), guess + 1).when(is_above(e, x0, guess * size), guess).when(is_above(e, x0, (guess - 1) * size), guess - 1)
+    cut = cut.withColumns({"low": low, "high": high, "corner": F.when(spans(e, "x", x0), highest)})
+    least, most = (F.coalesce(f(c, "corner"), c) for f, c in ((F.least, F.col("low")), (F.greatest, F.col("high"))))
+    rows = cut.withColumn("ty", F.explode(F.sequence(least, most)))
+    touched, crosses = F.col("ty").between(F.col("low"), F.col("high")), F.coalesce(F.col("ty") == F.col("corner"), F.lit(False)).cast("int")
+    rows = rows.select(*keys, "tx", "ty", F.when(touched, e).alias("edge"), crosses.alias("crosses"))
     tiles = rows.groupBy(*keys, "tx", "ty").agg(F.collect_list("edge").alias("edges"), F.sum("crosses").alias("crosses"))
     w = downward(keys, "tx", "ty")
     swept = tiles.withColumn("inside", F.sum("crosses").over(w.rowsBetween(Window.unboundedPreceding, 0)) % 2 == 1).withColumn("next", F.lead("ty").over(w))
@@ -97,15 +103,39 @@ def assign_polygons(points: DataFrame, polygons: DataFrame, rings: str, tile: in
 
     A point meets the tiles of its place in the polygons' index; there the edges between it and the tile's corner
     decide, and in a tile without edges nothing is left to test. ``keys`` tell polygons apart, all their columns unless given.
+    Points of one place are tested once. Points and tiles are shuffled, never broadcast: the size of
+    a file says little on that of its rows, and the driver would gather them.
     """
     own = [c for c in polygons.columns if c != rings]
     keys = keys or own
-    index = tile_index(polygons, keys, rings, tile)
-    at = lambda c: F.floor(F.col(c) / tile)
-    met = points.withColumn("tx", at("x")).withColumn("ty", at("y")).join(index, ["tx", "ty"])
-    x, y = F.col("x").cast("double"), F.col("y").cast("double")
-    odd = crossings(F.col("edges"), F.col("tx") * F.lit(float(tile)), F.col("ty") * F.lit(float(tile)), x, y) % 2 == 1
-    found = met.where((F.col("inside") != odd) & ~F.exists("edges", lambda e: on_edge(e, x, y))).drop("tx", "ty", "edges", "inside")
+    # few rows, much work: as many tasks as there are partitions
+    parts = int(polygons.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    index = tile_index(polygons.repartition(parts, *keys), keys, rings, tile).repartition(parts, "tx", "ty")
+    size, x, y = F.lit(float(tile)), F.col("_x"), F.col("_y")
+    corner = F.col("tx") * size, F.col("ty") * size
+    placed = points.select(F.struct(*points.columns).alias("_p"), F.col("x").cast("double").alias("_x"), F.col("y").cast("double").alias("_y")).where(~F.isnan("_x") & ~F.isnan("_y"))
+    placed = placed.withColumns({"tx": F.floor(x / size), "ty": F.floor(y / size)}).repartition(parts, "tx", "ty")
+    lot = F.floor((F.row_number().over(Window.partitionBy("tx", "ty", "_x", "_y").orderBy("_x")) - 1) / LOT)
+    placed = placed.withColumn("_lot", lot).groupBy("tx", "ty", "_x", "_y", "_lot").agg(F.collect_list("_p").alias("_p"))
+    placed = placed.select("tx", "ty", F.coalesce("_x", F.lit(0.0)).alias("_x"), F.coalesce("_y", F.lit(0.0)).alias("_y"), "_p")  # never null, so that no test of nulls is compiled
+
+    def met(kind: Column, row: Column, columns: dict[str, Column], found: Column) -> DataFrame:
+        """Tiles of one kind with their points. They are parted behind the shuffle, so that there is one for both kinds."""
+        part = index.select(*keys, "tx", "ty", F.coalesce("inside", F.lit(False)).alias("_inside"), F.explode_outer(F.when(kind, F.array(row))).alias("_row")).where("_row IS NOT NULL")
+        part = part.select(*keys, "tx", "ty", "_inside", *[c.alias(k) for k, c in columns.items()])
+        return placed.hint("merge").join(part, ["tx", "ty"]).where(found).select(F.inline("_p"), *keys)
+
+    names = list(terms({c: F.lit(0.0) for c in ("xa", "ya", "xb", "yb")}, *corner))
+    of_edges = F.transform("edges", lambda e: F.struct(*[c.alias(k) for k, c in terms(e, *corner).items()]))
+    columns, inside, border = {}, F.col("_inside"), F.lit(False)
+    for i in range(FEW):
+        columns |= {f"_{k}{i}": F.coalesce(F.get("_row", F.lit(i))[k], F.lit(NO_EDGE.get(k, 0.0))) for k in names}
+        up, right, on = met_by({k: F.col(f"_{k}{i}") for k in names}, x, y)
+        inside, border = inside != (up != right), border | on
+    few = met(F.size("edges") <= FEW, of_edges, columns, inside & ~border)
+    odd = crossings(F.col("_edges"), *corner, x, y) % 2 == 1
+    many = met(F.size("edges") > FEW, F.col("edges"), {"_edges": F.col("_row")}, (F.col("_inside") != odd) & ~F.exists("_edges", lambda e: on_edge(e, x, y)))
+    found = few.unionByName(many)
     return found if set(keys) == set(own) else found.join(polygons.select(*own), keys)
 
 

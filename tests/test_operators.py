@@ -186,6 +186,36 @@ def test_points_on_borders_and_in_holes_are_outside(spark):
     assert landcover.explode_parts(parts, "parts", "rings").count() == 2
 
 
+def broadcasts(df):
+    """Tables that the plan broadcasts, as it was made for sizes of files below Spark's limit."""
+    return df._jdf.queryExecution().executedPlan().toString().count("BroadcastExchange")
+
+
+def test_points_meet_polygons_without_broadcast_and_in_compiled_code(spark):
+    """Few bytes of a file may be many points: none are gathered on the driver. Edges in columns are tested in a method that is small enough to be compiled."""
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        out = plans.points_in_polygons(spark, SF)
+        assert broadcasts(out) == 0
+        debug = spark._jvm.org.apache.spark.sql.execution.debug.__getattr__("package$").__getattr__("MODULE$")
+        parts = debug.codegenString(out._jdf.queryExecution().executedPlan()).split("== Subtree ")
+        sizes = [int(x.split("maxMethodCodeSize:")[1].split(";")[0]) for x in parts if "SortMergeJoin [tx" in x[:3000] and "_dx0" in x]
+        assert sizes and max(sizes) < 8000  # the JVM compiles no longer ones
+    finally:
+        spark.conf.unset("spark.sql.adaptive.enabled")
+
+
+def test_points_of_one_place_and_points_that_are_nowhere(spark):
+    """All points of a place are found, however many; NaN is no place, though tile 0 is covered; decimals are places as doubles are."""
+    polys = spark.range(2).select((F.col("id") + 7).alias("poly"), F.array(square(-50, -50, 200)).alias("rings"))
+    points = spark.range(2500).select("id", F.lit("10.5").cast("decimal(20,1)").alias("x"), F.lit(20.25).alias("y"))
+    got = shapes.assign_polygons(points, polys, "rings", 30)
+    assert got.columns == ["id", "x", "y", "poly"] and got.schema["x"].dataType == points.schema["x"].dataType
+    assert got.count() == 5000 and got.distinct().count() == 5000
+    nowhere = spark.createDataFrame([(1, float("nan"), 5.0), (2, 5.0, float("nan")), (3, None, 5.0), (4, float("inf"), 5.0), (5, 5.0, 5.0), (6, -0.0, 0.0), (7, 0.0, -0.0)], "id long, x double, y double")
+    assert sorted(r["id"] for r in shapes.assign_polygons(nowhere, polys, "rings", 30).collect()) == [5, 5, 6, 6, 7, 7]
+
+
 def test_of_overlapping_polygons_only_the_overlap_goes(spark):
     rows = [(1, "f", 2020, "B", 0.0), (2, "f", 2021, "C", 50.0), (3, "f", 2021, "A", 80.0), (4, "g", 2000, "C", 0.0)]
     df = spark.createDataFrame(rows, "poly long, cls string, year int, status string, x double")
