@@ -240,8 +240,17 @@ def matrix_examples(df: DataFrame, cell: str, n: int, classes: list[str], codes:
     return sample_examples(broken, "rule", cell, n)
 
 
-def match_summary(matches: DataFrame, key: str, columns: list[str]) -> DataFrame:
-    """Per point: matches, how many values of each column, those values joined, and that it is inside."""
-    joined = lambda c: F.array_join(F.sort_array(F.collect_set(F.col(c).cast("string"))), "|")
-    out = matches.groupBy(key).agg(F.count("*").alias("n_matches"), *[F.count_distinct(c).alias(f"n_{c}") for c in columns], *[joined(c).alias(f"all_{c}") for c in columns])
+def match_summary(matches: DataFrame, key: str | list[str], columns: list[str]) -> DataFrame:
+    """Per point: matches, how many values of each column, those values joined, and that it is inside.
+
+    Matches are first counted by point and value, where they are found, so that only a row a value is moved and gathered.
+    """
+    keys = [key] if isinstance(key, str) else key
+    last = len(columns) - 1
+    level = {c: 2 ** len(columns) - 1 - 2 ** (last - i) for i, c in enumerate(columns)}  # grouping_id() of a point's values of a column
+    counts = matches.groupingSets([[*keys, c] for c in columns] or [keys], *keys, *columns).agg(F.count("*").alias("_n"), F.grouping_id().alias("_level"))
+    of = lambda c: F.when(F.col("_level") == level[c], F.col(c))
+    joined = lambda c: F.array_join(F.sort_array(F.collect_set(of(c).cast("string"))), "|")
+    n = F.sum(F.when(F.col("_level") == (level[columns[0]] if columns else 0), F.col("_n")))
+    out = counts.groupBy(*keys).agg(n.alias("n_matches"), *[F.count(of(c)).alias(f"n_{c}") for c in columns], *[joined(c).alias(f"all_{c}") for c in columns])
     return out.withColumn("inside", F.lit(True))

@@ -216,6 +216,26 @@ def test_points_of_one_place_and_points_that_are_nowhere(spark):
     assert sorted(r["id"] for r in shapes.assign_polygons(nowhere, polys, "rings", 30).collect()) == [5, 5, 6, 6, 7, 7]
 
 
+def test_summary_of_matches_gathers_values_and_not_matches(spark):
+    rows = [(1, "b", "x"), (1, "a", "x"), (1, "b", None), (2, None, None), (2, None, None), (3, "a", "y")]
+    matches = spark.createDataFrame(rows, "id long, formation string, code string")
+    out = landcover.match_summary(matches, "id", ["formation", "code"])
+    assert sorted(map(tuple, out.collect())) == [(1, 3, 2, 1, "a|b", "x", True), (2, 2, 0, 0, "", "", True), (3, 1, 1, 1, "a", "y", True)]
+    assert sorted(map(tuple, landcover.match_summary(matches, "id", []).collect())) == [(1, 3, True), (2, 2, True), (3, 1, True)]
+    assert sorted(map(tuple, landcover.match_summary(matches, ["id", "code"], ["formation"]).collect()), key=str) == sorted([(1, "x", 2, 2, "a|b", True), (1, None, 1, 1, "b", True), (2, None, 2, 0, "", True), (3, "y", 1, 1, "a", True)], key=str)
+    plan = out._jdf.queryExecution().optimizedPlan().toString()
+    lists = [line for line in plan.splitlines() if "collect_set" in line]
+    below = plan[plan.rindex("collect_set") :]
+    assert len(lists) == 1 and "count(1)" in below  # values are counted before they are gathered
+
+
+def test_places_are_summarised_once_without_broadcast(spark):
+    out = plans.match_summary(spark, SF)
+    assert broadcasts(out) == 0
+    plan = out._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.index("collect_set") < plan.index("Aggregate [x#", plan.index("count(1)"))  # places are told apart below the summary
+
+
 def test_of_overlapping_polygons_only_the_overlap_goes(spark):
     rows = [(1, "f", 2020, "B", 0.0), (2, "f", 2021, "C", 50.0), (3, "f", 2021, "A", 80.0), (4, "g", 2000, "C", 0.0)]
     df = spark.createDataFrame(rows, "poly long, cls string, year int, status string, x double")
