@@ -197,7 +197,7 @@ def assign_cell(points: DataFrame, cells: DataFrame, key: str, x: str, y: str, c
     """``points`` with ``cell``, the id of the grid cell that holds them if it is in ``cells``.
 
     A point on a border lies in all cells that share it; the first of their ids counts, of those in ``cells``. Only such
-    points are looked up more than once. ``x`` and ``y`` are the grid's coordinates, or longitude and latitude.
+    points are looked up more than once, by a shuffle: all points may lie on borders. ``x`` and ``y`` are the grid's coordinates, or longitude and latitude.
     """
     px, py = lonlat_to_laea(F.col(x), F.col(y)) if lonlat else (F.col(x), F.col(y))
     placed = points.select("*", F.inline(F.array(F.struct(px.alias("_x"), py.alias("_y")))))
@@ -207,7 +207,7 @@ def assign_cell(points: DataFrame, cells: DataFrame, key: str, x: str, y: str, c
     inner = inner.join(known.select(F.col(cell).alias("_cell"), F.col(cell)), "_cell", "left").select(*points.columns, cell)
     around = lambda c: F.when(F.pmod(c, F.lit(res)) == 0, F.array(F.col(c), F.col(c) - res)).otherwise(F.array(c))
     near = placed.where(border).select(key, "_x", "_y").distinct().withColumn("_cx", F.explode(around("_x"))).withColumn("_cy", F.explode(around("_y")))
-    first = near.withColumn(cell, grid_id_of(F.col("_cx"), F.col("_cy"), res)).join(known, cell).groupBy(key).agg(F.min(cell).alias(cell))
+    first = near.withColumn(cell, grid_id_of(F.col("_cx"), F.col("_cy"), res)).join(known.hint("merge"), cell).groupBy(key).agg(F.min(cell).alias(cell))
     return inner.unionByName(placed.where(border).join(first, key, "left").select(*points.columns, cell))
 
 
@@ -219,10 +219,10 @@ def point_status(lat: Column, lon: Column, cell: Column, inside: Column) -> Colu
     )
 
 
-def point_table(points: DataFrame, cells: DataFrame, matches: DataFrame, key: str, cell: str, counts: list[str]) -> DataFrame:
+def point_table(points: DataFrame, cells: DataFrame, matches: DataFrame, key: str | list[str], cell: str, counts: list[str]) -> DataFrame:
     """One row per point: its cell's columns, its polygons' counts (0 without any) and lists, and its status.
 
-    ``points``: key, lat, lon and cell (see assign_cell); ``cells``: one row a cell; ``matches``: match_summary().
+    ``points``: key, lat, lon and cell (see assign_cell); ``cells``: one row a cell; ``matches``: match_summary() by ``key``, which may be the point's place.
     """
     out = points.join(cells, cell, "left").join(matches, key, "left")
     out = out.withColumns({c: F.coalesce(F.col(c), F.lit(0)).cast("long") for c in counts})

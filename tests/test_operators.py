@@ -236,6 +236,15 @@ def test_places_are_summarised_once_without_broadcast(spark):
     assert plan.index("collect_set") < plan.index("Aggregate [x#", plan.index("count(1)"))  # places are told apart below the summary
 
 
+def test_point_table_sends_no_points_through_the_driver(spark):
+    out = plans.point_table(spark, SF)
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    assert "SortMergeJoin [tx#" in plan and "BroadcastHashJoin [tx#" not in plan
+    assert not [line for line in plan.splitlines() if "BroadcastHashJoin [grid_id#" in line and "BuildLeft" in line]  # points on borders of cells
+    joins = [line for line in out._jdf.queryExecution().optimizedPlan().toString().splitlines() if "Join LeftOuter" in line]
+    assert any("lat#" in j and "lon#" in j for j in joins)  # one summary a place
+
+
 def test_of_overlapping_polygons_only_the_overlap_goes(spark):
     rows = [(1, "f", 2020, "B", 0.0), (2, "f", 2021, "C", 50.0), (3, "f", 2021, "A", 80.0), (4, "g", 2000, "C", 0.0)]
     df = spark.createDataFrame(rows, "poly long, cls string, year int, status string, x double")
